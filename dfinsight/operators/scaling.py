@@ -46,7 +46,8 @@ def scaling_report(runs: DataFrame) -> DataFrame:
         .when(F.col("speedup") <= 0, F.lit(0.0)) \
         .otherwise((F.lit(1.0) - F.lit(1.0) / F.col("speedup")) / (F.lit(1.0) - F.lit(1.0) / n))
     t = t.withColumn("f_raw", f_raw)
-    return t.withColumn("f", F.greatest(F.lit(F_LOW), F.least(F.col("f_raw"), F.lit(F_HIGH))))
+    clamped = F.greatest(F.lit(F_LOW), F.least(F.col("f_raw"), F.lit(F_HIGH)))
+    return t.withColumn("f", F.when(F.col("f_raw").isNull(), F.lit(None).cast("double")).otherwise(clamped))
 
 
 def amdahl_curve(report: DataFrame, lo: float = CURVE_LO, hi: float = CURVE_HI,
