@@ -16,19 +16,25 @@ from pyspark.sql import functions as F
 from ..functions.columns import standardise
 from .ranking import global_sequence
 
-# The shuffle key is an arithmetic hash (reproducible in SQL): a multiplicative
-# congruential step modulo the prime 2^31 - 1.
+# The shuffle key is an arithmetic hash (reproducible in SQL): two multiplicative
+# congruential rounds modulo the prime 2^31 - 1, the epoch and seed salted in between.
 HASH_PRIME = 2147483647
-HASH_MULT = 48271
+HASH_MULT = 1588635695
+HASH_MULT2 = 950706376
 HASH_EPOCH = 69621
 BATCH_SIZE = 64
 N_CLASSES = 10
 
 
 def shuffle_key(id_col: str, epoch: int, seed: int = 0):
-    """Deterministic per-epoch shuffle key: pmod(pmod(id, p) * a + pmod(epoch * b + seed, p), p)."""
+    """Per-epoch shuffle key: pmod(pmod(pmod(id, p) * a + salt, p) * b, p), salt from epoch and seed.
+
+    Every product stays below 2^62, so the arithmetic never overflows a bigint.
+    """
     salt = (epoch * HASH_EPOCH + seed) % HASH_PRIME
-    return F.pmod(F.pmod(F.col(id_col), F.lit(HASH_PRIME)) * F.lit(HASH_MULT) + F.lit(salt), F.lit(HASH_PRIME))
+    p = F.lit(HASH_PRIME)
+    first = F.pmod(F.pmod(F.col(id_col), p) * F.lit(HASH_MULT) + F.lit(salt), p)
+    return F.pmod(first * F.lit(HASH_MULT2), p)
 
 
 def epoch_shards(df: DataFrame, id_col: str, world_size: int = 2, epoch: int = 0, seed: int = 0,

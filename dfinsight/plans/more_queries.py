@@ -96,13 +96,13 @@ def q_amdahl_curve(spark, sf):
 
 
 # ----------------------------------------------------------------------------- learning
-P, A, B = learning.HASH_PRIME, learning.HASH_MULT, learning.HASH_EPOCH
+P, A, A2, B = learning.HASH_PRIME, learning.HASH_MULT, learning.HASH_MULT2, learning.HASH_EPOCH
 
 
 def _shards_sql(world: int, epoch: int, seed: int = 0) -> str:
     salt = (epoch * B + seed) % P
     return f"""
-WITH h AS (SELECT vec_id, ((((vec_id % {P}) + {P}) % {P}) * {A} + {salt}) % {P} AS h FROM embeddings),
+WITH h AS (SELECT vec_id, (((((vec_id % {P}) + {P}) % {P}) * {A} + {salt}) % {P}) * {A2} % {P} AS h FROM embeddings),
 s AS (SELECT vec_id, row_number() OVER (ORDER BY h, vec_id) - 1 AS p FROM h),
 c AS (SELECT count(*) AS n, ((count(*) + {world} - 1) // {world}) * {world} AS total FROM embeddings),
 u AS (SELECT vec_id, p AS position, false AS is_padding FROM s
