@@ -31,3 +31,16 @@ def join_by_size(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
     side = F.broadcast(renamed) if n <= limit else renamed
     cond = reduce(and_, [big[c].eqNullSafe(side[f"__r_{c}"]) for c in on])
     return big.join(side, cond, how).drop(*[f"__r_{c}" for c in on])
+
+
+def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Spread an under-partitioned input before CPU-heavy per-row work (e.g. tokenising text).
+
+    Only when the scan yields fewer partitions than the cluster's default parallelism (a planning
+    fact, no job runs); a large input already has many splits and is left as it is.
+    """
+    spark = df.sparkSession
+    parallelism = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    return df.repartition(parallelism * factor)
