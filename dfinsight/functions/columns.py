@@ -116,20 +116,35 @@ def _epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def ntz_micros_of_day(c: ColumnOrName) -> Column:
+    """Microseconds since midnight of a timestamp_ntz, from its wall-clock fields (zone-free;
+    ``timestamp_diff`` on timestamp_ntz would go through the session zone)."""
+    c = col_(c)
+    secs = F.date_part(F.lit("SECOND"), c)  # seconds with the microsecond fraction, decimal(8,6)
+    return (F.hour(c).cast("long") * F.lit(3_600_000_000) + F.minute(c).cast("long") * F.lit(60_000_000)
+            + (secs * F.lit(1_000_000)).cast("long"))
+
+
+def ntz_micros(c: ColumnOrName) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a timestamp_ntz wall clock (zone-free)."""
+    c = col_(c)
+    return F.unix_date(c.cast("date")).cast("long") * F.lit(86_400_000_000) + ntz_micros_of_day(c)
+
+
 def ntz_to_instant(c: ColumnOrName) -> Column:
     """timestamp_ntz wall clock -> timestamp at the same UTC instant, whatever the session zone.
 
     Structured Streaming watermarks need the ``timestamp`` type; going through microseconds keeps
     day and hour windows aligned with the wall clock.
     """
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), col_(c)))
+    return F.timestamp_micros(ntz_micros(c))
 
 
 def instant_to_ntz(c: ColumnOrName) -> Column:
-    """Inverse of :func:`ntz_to_instant`."""
+    """Inverse of :func:`ntz_to_instant` (``timestamp_add`` on timestamp_ntz is zone-free)."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(col_(c)), _epoch_ntz())
 
 
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Elapsed seconds (double) between two timestamp_ntz values; exact to the microsecond."""
-    return F.timestamp_diff("MICROSECOND", col_(start), col_(end)).cast("double") / F.lit(1e6)
+    return (ntz_micros(end) - ntz_micros(start)).cast("double") / F.lit(1e6)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import ColumnOrName, col_, round_long, round_to
+from ..functions.columns import ColumnOrName, col_, ntz_micros_of_day, round_long, round_to
 
 
 def _mean(c: ColumnOrName, places: int | None) -> Column:
@@ -72,13 +72,29 @@ def trend(df: DataFrame, bucket_col: Column, bucket_name: str, count_name: str =
     return res
 
 
+_DATE_UNITS = {"year", "quarter", "month", "week"}
+_MICROS = {"hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000}
+
+
 def time_bucket(ts: ColumnOrName, unit: str) -> Column:
-    """D9 bucket: ``year`` / ``quarter`` / ``month`` / ``week`` / ``day`` / ``hour`` start as
-    timestamp_ntz (wall clock kept whatever the session zone), or ``decade`` as an int year."""
+    """D9 bucket start as timestamp_ntz, computed without the session time zone.
+
+    ``year`` / ``quarter`` / ``month`` / ``week`` truncate the calendar date, ``day`` is the date,
+    ``hour`` / ``minute`` / ``second`` round the wall clock down in microseconds; ``decade`` gives
+    an int year. (``date_trunc`` on timestamp_ntz would detour through the session zone.)
+    """
     ts = col_(ts)
     if unit == "decade":
         return (F.floor(F.year(ts) / F.lit(10)) * F.lit(10)).cast("int")
-    return F.date_trunc(unit, ts).cast("timestamp_ntz")
+    day = ts.cast("date")
+    if unit == "day":
+        return day.cast("timestamp_ntz")
+    if unit in _DATE_UNITS:
+        return F.trunc(day, unit).cast("timestamp_ntz")
+    step = _MICROS[unit]
+    since_midnight = ntz_micros_of_day(ts)
+    return F.timestamp_add("MICROSECOND", since_midnight - F.pmod(since_midnight, F.lit(step)),
+                           day.cast("timestamp_ntz"))
 
 
 def trend_by_time(df: DataFrame, ts: str, unit: str = "year", count_name: str = "n",

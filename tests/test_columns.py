@@ -71,3 +71,22 @@ def test_standardise(spark):
     out = df.select(standardise("a")).first()[0]
     assert abs(out[0]) < 1e-6 and abs(out[1] - 1.0) < 1e-6
     assert all(not math.isnan(x) for x in out)
+
+
+def test_ntz_instant_round_trip_in_dst_gap(spark):
+    import datetime as dt
+
+    from dfinsight.functions.columns import instant_to_ntz, ntz_to_instant, seconds_between
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 31, 0, 0), dt.datetime(2024, 3, 31, 2, 30, 15, 250))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        r = df.select(instant_to_ntz(ntz_to_instant("b")).alias("back"),
+                      F.unix_micros(ntz_to_instant("a")).alias("us"),
+                      seconds_between("a", "b").alias("secs")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.back == dt.datetime(2024, 3, 31, 2, 30, 15, 250)
+    assert r.us == int(dt.datetime(2024, 3, 31, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    assert r.secs == 9015.00025

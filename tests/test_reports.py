@@ -40,3 +40,22 @@ def test_scans_are_pruned(spark):
     plan = plan_of(queries()["two_region_high"](spark, SF01))
     read_schema = plan.split("ReadSchema: ")[1].split(",")[0] if "ReadSchema: " in plan else ""
     assert "o_orderkey" in plan and "o_orderstatus" not in read_schema and "o_totalprice" not in plan
+
+
+def test_time_buckets_ignore_session_zone(spark):
+    import datetime as dt
+
+    from dfinsight.operators.reports import time_bucket
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 31, 2, 30, 15),), (dt.datetime(1999, 12, 31, 23, 59),)],
+                               "ts timestamp_ntz")
+    units = ["year", "quarter", "month", "week", "day", "hour", "minute"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        got = [tuple(r) for r in df.select(*[time_bucket("ts", u).alias(u) for u in units]).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got[0] == (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 1),
+                      dt.datetime(2024, 3, 25), dt.datetime(2024, 3, 31), dt.datetime(2024, 3, 31, 2),
+                      dt.datetime(2024, 3, 31, 2, 30))
+    assert got[1][0] == dt.datetime(1999, 1, 1) and got[1][2] == dt.datetime(1999, 12, 1)
