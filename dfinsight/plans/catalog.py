@@ -201,11 +201,11 @@ LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query("numeric_summary_lineitem", " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, count({c}) AS n, {R(f'avg({c})', 6)} AS mean, {R(f'stddev_samp({c})', 6)} AS stddev,
+    f"""SELECT '{c}' AS column_name, count({c}) AS n, {R(f'avg({c})', 4)} AS mean, {R(f'stddev_samp({c})', 4)} AS stddev,
   CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM lineitem""" for c in LINEITEM_NUMERIC))
 def q_numeric_summary(spark, sf):
     s = profile.numeric_summary(table(spark, sf, "lineitem"), LINEITEM_NUMERIC)
-    return s.select("column_name", "n", round_to("mean", 6).alias("mean"), round_to("stddev", 6).alias("stddev"),
+    return s.select("column_name", "n", round_to("mean", 4).alias("mean"), round_to("stddev", 4).alias("stddev"),
                     "min", "max")
 
 
@@ -290,11 +290,11 @@ def q_word_conv(spark, sf):
 # ----------------------------------------------------------------------------- reports on TPC-H-ish tables
 @query("flag_report_lineitem", f"""
 SELECT l_returnflag, l_linestatus, count(*) AS n, count(l_discount) AS n_discount,
-       {R('avg(l_quantity)', 6)} AS avg_qty, {R('avg(l_extendedprice)', 6)} AS avg_price,
+       {R('avg(l_quantity)', 4)} AS avg_qty, {R('avg(l_extendedprice)', 4)} AS avg_price,
        {R('avg(l_discount)', 6)} AS avg_disc
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def q_flag_report(spark, sf):
-    means = {"avg_qty": ("l_quantity", 6), "avg_price": ("l_extendedprice", 6), "avg_disc": ("l_discount", 6)}
+    means = {"avg_qty": ("l_quantity", 4), "avg_price": ("l_extendedprice", 4), "avg_disc": ("l_discount", 6)}
     return table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         *reports.measures("n", means), *reports.measures("n_discount", count_col="l_discount"))
 

@@ -64,20 +64,20 @@ g AS (SELECT *, CASE WHEN f_raw IS NULL THEN NULL ELSE greatest(0.1, least(f_raw
 
 
 @query("run_times_tasks", RUN_TIMES_SQL + f"""
-SELECT query, n_workers, n_runs, {R('secs', 6)} AS secs FROM t""")
+SELECT query, n_workers, n_runs, {R('secs', 4)} AS secs FROM t""")
 def q_run_times(spark, sf):
     t = scaling.run_times(task_log(spark, sf))
-    return t.select("query", "n_workers", "n_runs", round_to("secs", 6).alias("secs"))
+    return t.select("query", "n_workers", "n_runs", round_to("secs", 4).alias("secs"))
 
 
 REPORT_COLS = ["secs", "base_secs", "speedup", "f_raw", "f"]
 
 
 @query("scaling_report_tasks", RUN_TIMES_SQL + "\nSELECT query, n_workers, n_runs, "
-       + ", ".join(f"{R(c, 6)} AS {c}" for c in REPORT_COLS) + " FROM g")
+       + ", ".join(f"{R(c, 4)} AS {c}" for c in REPORT_COLS) + " FROM g")
 def q_scaling_report(spark, sf):
     rep = scaling.scaling_report(task_log(spark, sf))
-    return rep.select("query", "n_workers", "n_runs", *[round_to(c, 6).alias(c) for c in REPORT_COLS])
+    return rep.select("query", "n_workers", "n_runs", *[round_to(c, 4).alias(c) for c in REPORT_COLS])
 
 
 _STEP = (scaling.CURVE_HI - scaling.CURVE_LO) / (scaling.CURVE_POINTS - 1)
@@ -166,13 +166,13 @@ def q_gram(spark, sf):
 
 
 @query("integral_user", f"""
-SELECT user_id, count(*) AS n_points, {R('coalesce(sum(area), 0.0)', 4)} AS integral FROM (
+SELECT user_id, count(*) AS n_points, {R('coalesce(sum(area), 0.0)', 2)} AS integral FROM (
   SELECT user_id, (CAST(date_diff('microsecond', lag(ts) OVER w, ts) AS DOUBLE) / 1e6)
          * (value + lag(value) OVER w) / 2.0 AS area
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) x GROUP BY user_id""")
 def q_integral(spark, sf):
     out = numeric.integrate(table(spark, sf, "events"), "user_id", "ts", "value", "event_id")
-    return out.select("user_id", "n_points", round_to("integral", 4).alias("integral"))
+    return out.select("user_id", "n_points", round_to("integral", 2).alias("integral"))
 
 
 # ----------------------------------------------------------------------------- streams
