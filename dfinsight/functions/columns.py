@@ -23,6 +23,11 @@ def col_(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def name_col(name: str) -> Column:
+    """A column by its exact name (dots, spaces and backticks taken literally)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def safe_cast(c: ColumnOrName, to: str) -> Column:
     """ANSI-safe cast: unparsable text gives NULL instead of failing the job.
 

@@ -47,7 +47,8 @@ def gram_matrix(df: DataFrame, vec_col: str) -> DataFrame:
             yield pd.DataFrame({"i": ii.ravel().astype(np.int32), "j": jj.ravel().astype(np.int32),
                                 "value": acc.ravel()})
 
-    parts = df.select(vec_col).mapInPandas(partial, "i int, j int, value double")
+    rows = df.select(vec_col).filter(F.col(vec_col).isNotNull())
+    parts = rows.mapInPandas(partial, "i int, j int, value double")
     return parts.groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import MISSING_SENTINELS, bucket, explode_labels, is_missing, pct
+from ..functions.columns import MISSING_SENTINELS, bucket, explode_labels, is_missing, name_col, pct, safe_cast
 
 
 def _unpivot(wide: DataFrame, n: int, row_sql: list[str], names: str) -> DataFrame:
@@ -30,7 +30,7 @@ def missing_profile(df: DataFrame, cols: list[str] | None = None,
     """
     cols = cols or df.columns
     wide = df.agg(F.count(F.lit(1)).alias("__n"),
-                  *[F.count_if(is_missing(c, sentinels)).alias(f"__m{i}") for i, c in enumerate(cols)])
+                  *[F.count_if(is_missing(name_col(c), sentinels)).alias(f"__m{i}") for i, c in enumerate(cols)])
     long = _unpivot(wide, len(cols), [f"{i + 1}, {_q(c)}, __m{i}, __n" for i, c in enumerate(cols)],
                     "position, column_name, n_missing, n_rows")
     return long.select(F.col("position").cast("int").alias("position"), "column_name", "n_missing",
@@ -41,7 +41,7 @@ def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     """D3: mean, sample stddev (NULL for one row), min, max per column; one pass, then unpivot."""
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = safe_cast(name_col(c), "double")  # text that is not a number counts as NULL
         aggs += [F.avg(x).alias(f"__a{i}"), F.stddev_samp(x).alias(f"__s{i}"),
                  F.min(x).alias(f"__lo{i}"), F.max(x).alias(f"__hi{i}"), F.count(x).alias(f"__n{i}")]
     wide = df.agg(*aggs)

@@ -102,3 +102,15 @@ def trend_by_time(df: DataFrame, ts: str, unit: str = "year", count_name: str =
                   delta: str | None = None) -> DataFrame:
     """D9 (+W3): trend by calendar unit on a real timestamp column; output column ``period``."""
     return trend(df, time_bucket(ts, unit), "period", count_name, means, delta)
+
+
+def leaderboard(df: DataFrame, key: str, score: str, weight: str | None = None, min_count: int = 3,
+                k: int = 20, places: int = 2) -> DataFrame:
+    """Groups with at least ``min_count`` rows, ranked by the rounded mean ``score`` then the
+    count (then the key), top ``k``; ``weight`` adds its rounded (bigint) mean.
+    Output (key, n, avg_<score>[, avg_<weight>])."""
+    means = {f"avg_{score}": (score, places)}
+    if weight:
+        means[f"avg_{weight}"] = (weight, 0)
+    return group_report(df, key, "n", means, min_count=min_count,
+                        order=[F.col(f"avg_{score}").desc(), F.col("n").desc()], k=k)

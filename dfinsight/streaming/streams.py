@@ -117,3 +117,10 @@ def metric_latest(df: DataFrame, key: str, ts: str, tiebreak: str, value: str) -
     return df.groupBy(key).agg(
         F.max_by(F.col(value), F.struct(F.col(ts), F.col(tiebreak))).alias("latest"),
         F.avg(value).alias("mean"), F.max(value).alias("max"), F.count(F.lit(1)).alias("n"))
+
+
+def stream_latest(stream: DataFrame, key: str, ts: str, tiebreak: str, values: list[str],
+                  base: str | None = None) -> DataFrame:
+    """Run the latest-value aggregation over a stream until drained; the current table."""
+    _, current = run_updates(latest_values(stream, key, ts, tiebreak, values), [key], "stream_latest", base=base)
+    return current

@@ -39,3 +39,11 @@ def test_bucket_counts_and_row_count(spark):
     df = spark.createDataFrame([(1991.0,), (1999.0,), (2001.0,)], "y double")
     assert sorted((r.bucket_start, r.n) for r in bucket_counts(df, "y").collect()) == [(1990, 2), (2000, 1)]
     assert row_count(df).first().n_rows == 3
+
+
+def test_profile_odd_names_and_text_numbers(spark):
+    df = spark.createDataFrame([("1.5", None), ("abc", "x"), ("", "")], "`a.b` string, `c d` string")
+    prof = {r.column_name: r.n_missing for r in missing_profile(df).collect()}
+    assert prof == {"a.b": 1, "c d": 2}
+    summ = numeric_summary(df, ["a.b"]).first()
+    assert summ.n == 1 and summ.mean == 1.5

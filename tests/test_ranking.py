@@ -35,3 +35,11 @@ def test_sorted_ranges_ascend(spark):
     assert sum(r.n_rows for r in proof) == o.count()
     for a, b in zip(proof, proof[1:]):
         assert a.max_key <= b.min_key
+
+
+def test_sort_in_ranges_is_globally_sorted(spark):
+    from dfinsight.operators.ranking import sort_in_ranges
+    o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_totalprice", "o_orderkey")
+    parts = sort_in_ranges(o, ["o_totalprice", "o_orderkey"], 5).rdd.glom().collect()
+    flat = [(r.o_totalprice, r.o_orderkey) for p in parts for r in p]
+    assert flat == sorted(flat) and len(flat) == o.count()

@@ -59,3 +59,21 @@ def test_time_buckets_ignore_session_zone(spark):
                       dt.datetime(2024, 3, 25), dt.datetime(2024, 3, 31), dt.datetime(2024, 3, 31, 2),
                       dt.datetime(2024, 3, 31, 2, 30))
     assert got[1][0] == dt.datetime(1999, 1, 1) and got[1][2] == dt.datetime(1999, 12, 1)
+
+
+def test_leaderboard_orders_by_rounded_mean_then_count(spark):
+    from dfinsight.operators.reports import leaderboard
+    data = [("a", 9.004, 10)] * 3 + [("b", 9.0, 20)] * 4 + [("c", 9.5, 1)] * 2 + [(None, 1.0, 1)] * 3
+    df = spark.createDataFrame(data, "d string, s double, w long")
+    out = leaderboard(df, "d", "s", "w", min_count=3, k=2).collect()
+    assert [(r.d, r.n, r.avg_s, r.avg_w) for r in out] == [("b", 4, 9.0, 20), ("a", 3, 9.0, 10)]
+
+
+def test_profile_report_frames(spark):
+    from dfinsight.plans.movies import profile_report
+    rep = profile_report(titles(spark, SF01))
+    assert rep["rows_before"].first().n_rows == 15000 and rep["rows_after"].first().n_rows == 11030
+    assert rep["preview"].count() == 5 and len(rep["genres_top10"].collect()) == 10
+    assert {r.column_name for r in rep["numeric"].collect()} == {"year", "rating_score", "rating_count",
+                                                                  "collect_count"}
+    assert rep["schema"].count() == 10 and rep["missing"].count() == 10 and rep["decades"].count() > 0

@@ -80,3 +80,17 @@ def test_latest_values_batch_and_stream_agree(spark):
     s = streams.file_stream(spark, SF01, "events.parquet")
     _, cur = streams.run_updates(streams.latest_values(s, "user_id", "ts", "event_id", ["value"]), ["user_id"], "t2")
     assert rows(cur, "user_id", "event_id", "value") == rows(batch, "user_id", "event_id", "value")
+
+
+def test_metric_latest_stream_equals_batch(spark):
+    s = streams.file_stream(spark, SF01, "events.parquet")
+    _, cur = streams.run_updates(streams.metric_latest(s, "event_type", "ts", "event_id", "value"),
+                                 ["event_type"], "t5")
+    batch = streams.metric_latest(spark.read.parquet(f"{SF01}/events.parquet"), "event_type", "ts", "event_id", "value")
+    assert rows(cur, "event_type", "latest", "max", "n") == rows(batch, "event_type", "latest", "max", "n")
+
+
+def test_stream_latest_helper(spark):
+    cur = streams.stream_latest(streams.file_stream(spark, SF01, "events.parquet"), "user_id", "ts", "event_id",
+                                ["value"])
+    assert cur.count() == 150
