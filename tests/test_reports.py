@@ -77,3 +77,11 @@ def test_profile_report_frames(spark):
     assert {r.column_name for r in rep["numeric"].collect()} == {"year", "rating_score", "rating_count",
                                                                   "collect_count"}
     assert rep["schema"].count() == 10 and rep["missing"].count() == 10 and rep["decades"].count() > 0
+
+
+def test_float32_mean_and_null_first_tiebreak(spark):
+    df = spark.createDataFrame([(None, 8.7), ("b", 8.7), ("a", 8.7)], "k string, s float")
+    # float32 8.7 is 8.69999980926..., so its mean rounds to 8.7 only through the rounding route
+    out = group_report(df, "k", "n", {"m": ("s", 2), "raw": ("s", None)}, order=[F.col("n").desc()], k=3).collect()
+    assert [r.k for r in out] == [None, "a", "b"]
+    assert out[0].m == 8.7 and abs(out[0].raw - 8.699999809265137) < 1e-12
