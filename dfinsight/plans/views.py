@@ -6,6 +6,8 @@ and its oracle read the same rows. The views scale with the tables they are deri
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -58,8 +60,8 @@ FROM (
 """
 
 
-def load_tables(spark: SparkSession, sf_dir: str, names=TABLES, register: bool = True) -> dict[str, DataFrame]:
-    """Read the driver tables (one parquet each) and optionally register them as temp views."""
+def load_tables(spark: SparkSession, sf_dir: str, names=TABLES, register: bool = False) -> dict[str, DataFrame]:
+    """Read the driver tables (one parquet each); optionally register them as temp views."""
     out = {}
     for name in names:
         df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -70,9 +72,10 @@ def load_tables(spark: SparkSession, sf_dir: str, names=TABLES, register: bool =
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str, needs: tuple[str, ...]) -> DataFrame:
-    """Run a derived-view SQL text over freshly registered driver tables."""
-    load_tables(spark, sf_dir, needs)
-    return spark.sql(sql)
+    """Run a derived-view SQL text over the driver tables, passed as DataFrame parameters
+    (``FROM orders`` becomes ``FROM {orders}``), so no session view name is created or replaced."""
+    text = re.sub(r"\bFROM (" + "|".join(needs) + r")\b", lambda m: "FROM {" + m.group(1) + "}", sql)
+    return spark.sql(text, **load_tables(spark, sf_dir, needs))
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
