@@ -27,28 +27,34 @@ def matmul(a: DataFrame, b: DataFrame) -> DataFrame:
 def gram_matrix(df: DataFrame, vec_col: str) -> DataFrame:
     """M1 for dense rows: G = X^T X of an array column, as (i, j, value) cells.
 
-    Each task multiplies its own rows (numpy over Arrow batches) into one d x d partial sum; only
-    those partials (d^2 cells per task, independent of the row count) are shuffled and added.
+    Each task multiplies its own rows into one d x d partial sum: an Arrow list column flattens to
+    one contiguous numpy block (no per-row Python objects), and ``X^T X`` runs in BLAS. Only those
+    partials (d^2 cells per task, independent of the row count) are shuffled and added.
     """
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     def partial(batches):
         acc = None
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            arr = batch.column(0)
+            if len(arr) == 0:
                 continue
-            x = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
+            offsets = arr.offsets.to_numpy()
+            d = int(offsets[1] - offsets[0])
+            if not np.all(np.diff(offsets) == d):
+                raise ValueError("gram_matrix needs arrays of one length")
+            x = arr.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(arr), d)
             g = x.T @ x
             acc = g if acc is None else acc + g
         if acc is not None:
             d = acc.shape[0]
-            ii, jj = np.meshgrid(np.arange(d), np.arange(d), indexing="ij")
-            yield pd.DataFrame({"i": ii.ravel().astype(np.int32), "j": jj.ravel().astype(np.int32),
-                                "value": acc.ravel()})
+            ii, jj = np.meshgrid(np.arange(d, dtype=np.int32), np.arange(d, dtype=np.int32), indexing="ij")
+            yield pa.RecordBatch.from_arrays([pa.array(ii.ravel()), pa.array(jj.ravel()), pa.array(acc.ravel())],
+                                             names=["i", "j", "value"])
 
     rows = df.select(vec_col).filter(F.col(vec_col).isNotNull())
-    parts = rows.mapInPandas(partial, "i int, j int, value double")
+    parts = rows.mapInArrow(partial, "i int, j int, value double")
     return parts.groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 

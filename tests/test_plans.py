@@ -9,7 +9,7 @@ from tests.conftest import SF001, plan_of
 # Queries whose builders run a stream or write files first; their plans are checked in test_streams.
 SIDE_EFFECTS = {"stream_counts_events", "stream_latest_events", "stream_dedupe_events", "metric_series_day",
                 "csv_roundtrip_titles", "word_count_lines", "classifier_train_embeddings"}
-ARROW_BATCHED = {"gram_matrix"}
+ARROW_BATCHED = {"gram_matrix"}  # MapInArrow: per-task X^T X
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
@@ -17,7 +17,7 @@ def test_no_row_at_a_time_python(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF001))
     assert "BatchEvalPython" not in plan and "PythonUDF" not in plan
     if name not in ARROW_BATCHED:
-        assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan
+        assert "MapInPandas" not in plan and "MapInArrow" not in plan and "ArrowEvalPython" not in plan
 
 
 def test_numeric_summary_single_scan(spark):
@@ -29,4 +29,4 @@ def test_numeric_summary_single_scan(spark):
 
 def test_gram_matrix_shuffles_only_partials(spark):
     plan = plan_of(entry.queries()["gram_matrix"](spark, SF001))
-    assert "MapInPandas" in plan and "hashpartitioning(i" in plan
+    assert "MapInArrow" in plan and "hashpartitioning(i" in plan
