@@ -36,26 +36,36 @@ def with_event_time(stream: DataFrame, ts: str, out: str = "event_time") -> Data
 
 
 # ----------------------------------------------------------------------------- sinks
-def run_updates(agg: DataFrame, keys: list[str], name: str, trigger_available_now: bool = True,
-                base: str | None = None) -> tuple[str, DataFrame]:
-    """Run an aggregating stream in update mode until the input is drained; return
-    (folder, current table). Re-running with the same ``base`` resumes from its checkpoint."""
-    spark = agg.sparkSession
-    base = base or scratch_path(spark, name)
+def start_updates(agg: DataFrame, base: str, trigger: dict | None = None):
+    """Start an aggregating stream in update mode writing its change log under ``base``; return
+    the ``StreamingQuery``. ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
+    ``{"processingTime": "1 minute"}`` for a long-running counter); default: drain what is there."""
     log = f"{base}/log"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", f"{base}/checkpoint"))
-    q = q.trigger(availableNow=True) if trigger_available_now else q
-    handle = q.start()
+    writer = (agg.writeStream.outputMode("update").foreachBatch(write)
+              .option("checkpointLocation", f"{base}/checkpoint"))
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def current_table(spark: SparkSession, base: str, keys: list[str]) -> DataFrame:
+    """The current result of a stream started with :func:`start_updates` (latest row per key)."""
+    return latest_per_key(spark.read.parquet(f"{base}/log"), keys)
+
+
+def run_updates(agg: DataFrame, keys: list[str], name: str, base: str | None = None) -> tuple[str, DataFrame]:
+    """Run an aggregating stream in update mode until the input is drained; return
+    (folder, current table). Re-running with the same ``base`` resumes from its checkpoint."""
+    spark = agg.sparkSession
+    base = base or scratch_path(spark, name)
+    handle = start_updates(agg, base)
     try:
         handle.awaitTermination()
     finally:
         handle.stop()
-    return base, latest_per_key(spark.read.parquet(log), keys)
+    return base, current_table(spark, base, keys)
 
 
 def latest_per_key(log: DataFrame, keys: list[str]) -> DataFrame:

@@ -94,3 +94,14 @@ def test_stream_latest_helper(spark):
     cur = streams.stream_latest(streams.file_stream(spark, SF01, "events.parquet"), "user_id", "ts", "event_id",
                                 ["value"])
     assert cur.count() == 150
+
+
+def test_processing_time_counter_handle(spark):
+    base = scratch_path(spark, "t1-live")
+    q = streams.start_updates(streams.stream_counts(streams.file_stream(spark, SF01, "events.parquet"), "event_type"),
+                              base, {"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sum(r.n for r in streams.current_table(spark, base, ["event_type"]).collect()) == 10000
