@@ -50,9 +50,47 @@ def start_updates(agg: DataFrame, base: str, trigger: dict | None = None):
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _numbered_dirs(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers N of the ``prefix=N`` sub-folders of ``path`` (a listing on the driver, no job)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(jpath)]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(prefix + "="))
+
+
 def current_table(spark: SparkSession, base: str, keys: list[str]) -> DataFrame:
-    """The current result of a stream started with :func:`start_updates` (latest row per key)."""
-    return latest_per_key(spark.read.parquet(f"{base}/log"), keys)
+    """The current result of a stream started with :func:`start_updates` (latest row per key):
+    the newest snapshot written by :func:`compact_updates` plus the log batches after it."""
+    log = spark.read.parquet(f"{base}/log")
+    snaps = _numbered_dirs(spark, f"{base}/snapshot", "upto")
+    if snaps:
+        upto = snaps[-1]
+        snap = spark.read.parquet(f"{base}/snapshot/upto={upto}")
+        log = snap.unionByName(log.filter(F.col("batch") > F.lit(upto)))  # pruned to later batches
+    return latest_per_key(log, keys)
+
+
+def compact_updates(spark: SparkSession, base: str, keys: list[str]) -> int | None:
+    """Write the current table as a snapshot at the newest logged batch; later reads skip every
+    batch up to it. Returns that batch id (None when nothing is logged yet)."""
+    batches = _numbered_dirs(spark, f"{base}/log", "batch")
+    if not batches:
+        return None
+    upto = batches[-1]
+    cur = latest_per_key(_log_up_to(spark, base, upto), keys)
+    cur.withColumn("batch", F.lit(upto)).write.mode("overwrite").parquet(f"{base}/snapshot/upto={upto}")
+    return upto
+
+
+def _log_up_to(spark: SparkSession, base: str, upto: int) -> DataFrame:
+    log = spark.read.parquet(f"{base}/log").filter(F.col("batch") <= F.lit(upto))
+    snaps = [s for s in _numbered_dirs(spark, f"{base}/snapshot", "upto") if s <= upto]
+    if not snaps:
+        return log
+    snap = spark.read.parquet(f"{base}/snapshot/upto={snaps[-1]}")
+    return snap.unionByName(log.filter(F.col("batch") > F.lit(snaps[-1])))
 
 
 def run_updates(agg: DataFrame, keys: list[str], name: str, base: str | None = None) -> tuple[str, DataFrame]:

@@ -57,6 +57,7 @@ def test_counts_survive_restart(spark):
     _, first = streams.run_updates(streams.stream_counts(streams.file_stream(spark, d), "event_type"),
                                    ["event_type"], "t1", base=base)
     assert sum(r.n for r in first.collect()) == 6000
+    assert streams.compact_updates(spark, base, ["event_type"]) == 0  # snapshot, then keep streaming
     _write(d, "b.parquet", ev.filter(pc.greater_equal(ev["event_id"], 6000)), now + 10)
     _, second = streams.run_updates(streams.stream_counts(streams.file_stream(spark, d), "event_type"),
                                     ["event_type"], "t1", base=base)
@@ -105,3 +106,21 @@ def test_processing_time_counter_handle(spark):
     finally:
         q.stop()
     assert sum(r.n for r in streams.current_table(spark, base, ["event_type"]).collect()) == 10000
+
+
+def test_compaction_keeps_the_current_table(spark):
+    ev = pq.read_table(f"{SF01}/events.parquet")
+    d = tempfile.mkdtemp(prefix="dfinsight-compact-")
+    now = time.time() - 100
+    for i, lo in enumerate(range(0, 10000, 2500)):
+        _write(d, f"p{i}.parquet", ev.filter(pc.and_(pc.greater_equal(ev["event_id"], lo),
+                                                     pc.less(ev["event_id"], lo + 2500))), now + 10 * i)
+    base = scratch_path(spark, "t1-compact")
+    agg = streams.stream_counts(streams.file_stream(spark, d, max_files_per_trigger=1), "event_type")
+    q = streams.start_updates(agg, base, {"availableNow": True})
+    q.awaitTermination()
+    before = rows(streams.current_table(spark, base, ["event_type"]))
+    upto = streams.compact_updates(spark, base, ["event_type"])
+    assert upto == 3
+    after = rows(streams.current_table(spark, base, ["event_type"]))
+    assert after == before and sum(n for _, n in after) == 10000
