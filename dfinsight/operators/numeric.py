@@ -59,16 +59,17 @@ def gram_matrix(df: DataFrame, vec_col: str) -> DataFrame:
 
 
 def integrate(df: DataFrame, key: str, ts: str, value: str, tiebreak: str,
-              n_partitions: int | None = None) -> DataFrame:
+              n_partitions: int | None = None, layout: DataFrame | None = None) -> DataFrame:
     """M2: per key, the trapezoid integral of ``value`` over ``ts`` (seconds), plus the point count.
 
     Same as ``sum((ts - lag(ts)) * (value + lag(value)) / 2) OVER (PARTITION BY key ORDER BY ts,
     tiebreak)`` summed per key (0 for a single point), but a key holding a third of all rows never
     lands in one task: rows are range-partitioned on (key, ts, tiebreak); each (key, partition)
     piece is integrated locally, and the segment joining consecutive pieces of the same key comes
-    from a small per-piece table.
+    from a small per-piece table. ``layout``: a shared :func:`ranged_layout` on (key, ts, tiebreak).
     """
-    laid = ranged_layout(df.select(key, ts, value, tiebreak), [key, ts, tiebreak], n_partitions)
+    laid = layout if layout is not None else ranged_layout(
+        df.select(key, ts, value, tiebreak), [key, ts, tiebreak], n_partitions)
     w = Window.partitionBy(key, PID).orderBy(POS)
     prev_ts, prev_v = F.lag(ts).over(w), F.lag(value).over(w)
     seg = laid.withColumn("_area", seconds_between(prev_ts, F.col(ts)) * (F.col(value) + prev_v) / F.lit(2.0))

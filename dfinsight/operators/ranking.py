@@ -26,16 +26,17 @@ def top_per_label(df: DataFrame, label: str, order: list[Column], k: int = 3,
 
 
 def running_count(df: DataFrame, key: str, ts: str, tiebreak: str, out: str = "running_count",
-                  n_partitions: int | None = None) -> DataFrame:
+                  n_partitions: int | None = None, layout: DataFrame | None = None) -> DataFrame:
     """Per key, the number of rows up to and including this one in (ts, tiebreak) order.
 
     Same result as ``count(*) OVER (PARTITION BY key ORDER BY ts, tiebreak ROWS UNBOUNDED
     PRECEDING)``, but no task ever holds a whole key: rows are range-partitioned on
     (key, ts, tiebreak); a key's rows are contiguous inside each partition, so the local count is
     a position difference, and the count carried in from earlier partitions comes from a small
-    (partition, key) table.
+    (partition, key) table. ``layout``: a :func:`ranged_layout` of ``df`` on (key, ts, tiebreak)
+    already built for another operator over the same order (shared, not rebuilt).
     """
-    laid = ranged_layout(df, [key, ts, tiebreak], n_partitions)
+    laid = layout if layout is not None else ranged_layout(df, [key, ts, tiebreak], n_partitions)
     stats = laid.groupBy(PID, key).agg(F.count(F.lit(1)).alias("_c"), F.min(POS).alias("_first"))
     w = Window.partitionBy(key).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(PID, key, "_first",

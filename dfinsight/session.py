@@ -55,3 +55,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (stream state, landed tables)."""
     return f"{checkpoint_dir(spark).rstrip('/')}/dfinsight/{name}-{uuid.uuid4().hex}"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
+                  min_partitions: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so one shuffle partition of an input of ``input_bytes``
+    holds about ``target_bytes`` (AQE then coalesces small ones and splits skewed joins), and the
+    AQE advisory size to match. Returns the partition count. Range layouts use the same count."""
+    n = max(min_partitions or spark.sparkContext.defaultParallelism, -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return n

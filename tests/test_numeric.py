@@ -47,3 +47,27 @@ def test_integrate_matches_pandas_with_hot_key(spark):
         assert got.keys() == want.keys()
         for k in want:
             assert abs(got[k] - want[k]) <= 1e-6 * max(1.0, abs(want[k]))
+
+
+def test_running_count_and_integral_share_one_layout(spark):
+    from dfinsight.operators.ranking import running_count
+    from dfinsight.plans.ranged import ranged_layout
+    ev = spark.read.parquet(f"{SF01}/events.parquet").select("event_id", "user_id", "ts", "value")
+    laid = ranged_layout(ev, ["user_id", "ts", "event_id"])
+    shared = running_count(ev, "user_id", "ts", "event_id", layout=laid)
+    alone = running_count(ev, "user_id", "ts", "event_id")
+    assert sorted(map(tuple, shared.select("event_id", "running_count").collect())) == \
+        sorted(map(tuple, alone.select("event_id", "running_count").collect()))
+    a = {r.user_id: r.integral for r in integrate(ev, "user_id", "ts", "value", "event_id", layout=laid).collect()}
+    b = {r.user_id: r.integral for r in integrate(ev, "user_id", "ts", "value", "event_id").collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 for k in a)
+
+
+def test_size_shuffles(spark):
+    from dfinsight.session import size_shuffles
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 100 * (256 << 20)) == 100
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
