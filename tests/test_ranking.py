@@ -43,3 +43,20 @@ def test_sort_in_ranges_is_globally_sorted(spark):
     parts = sort_in_ranges(o, ["o_totalprice", "o_orderkey"], 5).rdd.glom().collect()
     flat = [(r.o_totalprice, r.o_orderkey) for p in parts for r in p]
     assert flat == sorted(flat) and len(flat) == o.count()
+
+
+def test_join_by_size_broadcasts_only_under_the_limit(spark):
+    from dfinsight.plans.sizing import join_by_size
+    from tests.conftest import plan_of
+    big = spark.range(1000).withColumn("k", F.col("id") % 10)
+    small = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        under = join_by_size(big, small, ["k"], max_rows=100)
+        over = join_by_size(big, small, ["k"], max_rows=5)
+        assert "BroadcastHashJoin" in plan_of(under) and under.count() == 1000
+        assert over.count() == 1000
+        over_plan = over._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in over_plan or "ShuffledHashJoin" in over_plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
