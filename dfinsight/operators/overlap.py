@@ -9,20 +9,22 @@ from ..functions.columns import split_labels
 
 
 def region_overlap(df: DataFrame, id_col: str, label_col: str, a: str, b: str, sep: str = "/",
-                   trim: bool = False) -> DataFrame:
+                   trim: bool = False, ids_unique: bool = False) -> DataFrame:
     """(id, side) with side in {'both', 'a_only', 'b_only'} for ids carrying a or b.
 
     Semantically the intersection (semi join) and the two differences (anti joins) of the a-set
     and the b-set; computed as one aggregation on the id instead of three joins, so each id is
-    shuffled once and a label shared by a third of all rows adds no hot join key.
+    shuffled once and a label shared by a third of all rows adds no hot join key. With
+    ``ids_unique=True`` (the id is the table's key) the side is decided per row, with no shuffle.
     """
     labels = split_labels(label_col, sep, trim=trim)
     flags = (df.select(id_col, labels.alias("_l"))
              .select(id_col,
                      F.exists("_l", lambda x: x == F.lit(a)).alias("_a"),
                      F.exists("_l", lambda x: x == F.lit(b)).alias("_b"))
-             .filter(F.col("_a") | F.col("_b"))
-             .groupBy(id_col).agg(F.bool_or("_a").alias("_a"), F.bool_or("_b").alias("_b")))
+             .filter(F.col("_a") | F.col("_b")))
+    if not ids_unique:
+        flags = flags.groupBy(id_col).agg(F.bool_or("_a").alias("_a"), F.bool_or("_b").alias("_b"))
     side = (F.when(F.col("_a") & F.col("_b"), F.lit("both"))
             .when(F.col("_a"), F.lit("a_only")).otherwise(F.lit("b_only")))
     return flags.select(id_col, side.alias("side"))

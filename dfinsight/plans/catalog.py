@@ -136,7 +136,9 @@ SELECT movie_id, CASE WHEN bool_or(l = 'US') AND bool_or(l = 'CN') THEN 'both'
 FROM (SELECT movie_id, unnest(string_split(countries, '/')) AS l FROM base) x
 GROUP BY movie_id HAVING bool_or(l = 'US') OR bool_or(l = 'CN')"""))
 def q_region_overlap(spark, sf):
-    return region_overlap(movies.analysis_base(titles(spark, sf)), "movie_id", "countries", "US", "CN")
+    # movie_id is the key of the movie table (one row per movie), so no shuffle is needed
+    return region_overlap(movies.analysis_base(titles(spark, sf)), "movie_id", "countries", "US", "CN",
+                          ids_unique=True)
 
 
 # ----------------------------------------------------------------------------- cleaning

@@ -85,3 +85,15 @@ def test_float32_mean_and_null_first_tiebreak(spark):
     out = group_report(df, "k", "n", {"m": ("s", 2), "raw": ("s", None)}, order=[F.col("n").desc()], k=3).collect()
     assert [r.k for r in out] == [None, "a", "b"]
     assert out[0].m == 8.7 and abs(out[0].raw - 8.699999809265137) < 1e-12
+
+
+def test_region_overlap_repeated_and_unique_ids(spark):
+    from dfinsight.operators.overlap import region_overlap
+    df = spark.createDataFrame([(1, "US"), (1, "CN"), (2, "US/CN"), (3, "CN/"), (4, "JP"), (5, None)],
+                               "id long, c string")
+    got = sorted(tuple(r) for r in region_overlap(df, "id", "c", "US", "CN").collect())
+    assert got == [(1, "both"), (2, "both"), (3, "b_only")]
+    uniq = df.filter("id > 1")
+    fast = region_overlap(uniq, "id", "c", "US", "CN", ids_unique=True)
+    assert sorted(tuple(r) for r in fast.collect()) == [(2, "both"), (3, "b_only")]
+    assert "Exchange" not in plan_of(fast)
