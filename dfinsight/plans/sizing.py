@@ -39,11 +39,13 @@ def join_by_size(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
 def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
     """Spread an under-partitioned input before CPU-heavy per-row work (e.g. tokenising text).
 
-    Only when the scan yields fewer partitions than the cluster's default parallelism (a planning
-    fact, no job runs); a large input already has many splits and is left as it is.
+    Applies when the scan yields fewer than ``factor`` x the cluster's default parallelism
+    partitions (a planning fact, no job runs); then rows are spread round-robin over that many
+    partitions. Splits can be empty (a split only reads the row groups that start in it), hence the
+    margin. A large input already has many splits and is left as it is.
     """
     spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
+    target = spark.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(parallelism * factor)
+    return df.repartition(target)
