@@ -157,9 +157,10 @@ def q_cleaning_audit(spark, sf):
     return movies.clean_audit(titles(spark, sf))
 
 
-CLEAN_SQL = with_titles("""
+CLEAN_SQL = with_titles(f"""
 , typed AS (SELECT movie_id, title, try_cast(year AS FLOAT) AS year, CAST(rating_score AS FLOAT) AS rating_score,
-    rating_count, genres, countries, directors, collect_count, coalesce(summary, '暂无简介') AS summary FROM titles)
+    rating_count, genres, countries, directors, collect_count,
+    coalesce(summary, '{movies.SUMMARY_DEFAULT}') AS summary FROM titles)
 SELECT * FROM typed WHERE year IS NOT NULL AND rating_score >= 1 AND NOT isnan(rating_score)
   AND year >= 1900 AND NOT isnan(year)""")
 
@@ -186,9 +187,9 @@ def q_missing_events(spark, sf):
     return profile.missing_profile(messy_events(spark, sf))
 
 
-@query("fill_summary_titles", with_titles("""
-SELECT movie_id, coalesce(summary, '暂无简介') AS summary,
-       CASE WHEN summary IS NULL OR summary IN ('', 'null') THEN '暂无简介' ELSE summary END AS summary_all
+@query("fill_summary_titles", with_titles(f"""
+SELECT movie_id, coalesce(summary, '{movies.SUMMARY_DEFAULT}') AS summary,
+       CASE WHEN summary IS NULL OR summary IN ('', 'null') THEN '{movies.SUMMARY_DEFAULT}' ELSE summary END AS summary_all
 FROM titles"""))
 def q_fill_summary(spark, sf):
     from ..operators.cleaning import fill_missing
