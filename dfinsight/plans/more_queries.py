@@ -269,3 +269,51 @@ def q_word_count_lines(spark, sf):
     base = scratch_path(spark, "lines")
     table(spark, sf, "benchmark").select("text").write.text(f"{base}/text")
     return word_count(io.read_lines(spark, f"{base}/text"), "value")
+
+
+# ----------------------------------------------------------------------------- more API surface
+@query("label_counts_distinct_titles", with_titles("""
+SELECT label, count(*) AS n FROM (
+  SELECT unnest(list_distinct(list_filter(list_transform(string_split(countries, '/'), lambda x: trim(x)),
+                                          lambda x: x <> ''))) AS label FROM titles) x
+GROUP BY label"""))
+def q_label_counts_distinct(spark, sf):
+    """P5/P6 switches: trim, drop empty labels, count each label once per row."""
+    from ..functions.columns import split_labels
+    t = titles(spark, sf).select(F.explode(split_labels("countries", "/", trim=True, drop_empty=True,
+                                                        dedupe=True)).alias("label"))
+    return t.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("leaderboard_customer", f"""
+SELECT c_nationkey, count(*) AS n, {R('avg(c_acctbal)', 2)} AS avg_c_acctbal FROM customer
+GROUP BY c_nationkey HAVING count(*) >= 3
+ORDER BY avg_c_acctbal DESC, n DESC, c_nationkey ASC NULLS FIRST LIMIT 10""")
+def q_leaderboard_customer(spark, sf):
+    from ..operators.reports import leaderboard
+    return leaderboard(table(spark, sf, "customer"), "c_nationkey", "c_acctbal", min_count=3, k=10)
+
+
+@query("trend_day_events", f"""
+SELECT date_trunc('day', ts) AS period, count(*) AS n, {R('avg(value)', 6)} AS avg_value,
+       n - lag(n) OVER (ORDER BY period) AS delta
+FROM events GROUP BY 1""")
+def q_trend_day(spark, sf):
+    from ..operators.reports import trend_by_time
+    return trend_by_time(table(spark, sf, "events"), "ts", "day", "n", {"avg_value": ("value", 6)}, delta="delta")
+
+
+@query("trend_hour_events", """
+SELECT date_trunc('hour', ts) AS period, count(*) AS n FROM events GROUP BY 1""")
+def q_trend_hour(spark, sf):
+    from ..operators.reports import trend_by_time
+    return trend_by_time(table(spark, sf, "events"), "ts", "hour", "n")
+
+
+@query("preview_titles", with_titles("""
+SELECT movie_id, substr(title, 1, 50) AS title, substr(year, 1, 50) AS year, rating_score, rating_count,
+       substr(genres, 1, 50) AS genres, substr(countries, 1, 50) AS countries, substr(directors, 1, 50) AS directors,
+       collect_count, substr(summary, 1, 50) AS summary
+FROM titles ORDER BY movie_id LIMIT 5"""))
+def q_preview_titles(spark, sf):
+    return io.preview(titles(spark, sf), 5, 50, order_by=["movie_id"])
