@@ -18,10 +18,12 @@ def _write(dirpath, name, tbl, mtime):
     os.utime(p, (mtime, mtime))
 
 
-@pytest.fixture(scope="module")
-def late_dir():
+def _late_files(days_behind: int) -> str:
     """Three files, read in order: ids < 6000; ids >= 5000 (1,000 duplicates); ids 0-9 again as new
-    ids (+1,000,000) with ts 20 days behind the maximum (late)."""
+    ids (+1,000,000) with ts ``days_behind`` days behind the maximum (late)."""
+    import datetime as dt
+
+    import pyarrow as pa
     ev = pq.read_table(f"{SF01}/events.parquet")
     d = tempfile.mkdtemp(prefix="dfinsight-late-")
     now = time.time() - 100
@@ -30,15 +32,24 @@ def late_dir():
     _write(d, "f1.parquet", ev.filter(pc.greater_equal(ids, 5000)), now + 10)
     late = ev.filter(pc.less(ids, 10))
     max_ts = pc.max(ev["ts"]).as_py()
-    import datetime as dt
-    import pyarrow as pa
     late = late.set_column(late.schema.get_field_index("event_id"), "event_id", pc.add(late["event_id"], 1_000_000))
     late = late.set_column(late.schema.get_field_index("ts"), "ts",
-                           pa.array([max_ts - dt.timedelta(days=20)] * late.num_rows, type=ev.schema.field("ts").type))
+                           pa.array([max_ts - dt.timedelta(days=days_behind)] * late.num_rows,
+                                    type=ev.schema.field("ts").type))
     _write(d, "f2.parquet", late, now + 20)
     return d
 
 
+@pytest.fixture(scope="module")
+def late_dir():
+    return _late_files(20)
+
+
+@pytest.fixture(scope="module")
+def slightly_late_dir():
+    return _late_files(2)
+
+
 @pytest.mark.parametrize("delay,max_files,expected", [("1 hour", 1, 10000), ("10 days", 1, 10010),
                                                       ("1 hour", 3, 10010)])
 def test_dedupe_late_and_duplicates(spark, late_dir, delay, max_files, expected):
@@ -48,6 +59,16 @@ def test_dedupe_late_and_duplicates(spark, late_dir, delay, max_files, expected)
     assert out.select("event_id").distinct().count() == expected
 
 
+@pytest.mark.parametrize("delay,max_files", [("1 hour", 1), ("10 days", 1), ("1 hour", 3)])
+def test_lateness_uses_the_earlier_watermark(spark, slightly_late_dir, delay, max_files):
+    """Rows 2 days behind survive even a 1-hour delay: late rows are judged with the watermark as
+    it stood before the previous batch (after file 0 only), not after file 1."""
+    s = streams.with_event_time(streams.file_stream(spark, slightly_late_dir, "*.parquet",
+                                                    max_files_per_trigger=max_files), "ts")
+    _, out = streams.run_append(streams.stream_dedupe(s, "event_id", "event_time", delay).drop("event_time"), "t3b")
+    assert out.count() == 10010
+
+
 def test_counts_survive_restart(spark):
     ev = pq.read_table(f"{SF01}/events.parquet")
     d = tempfile.mkdtemp(prefix="dfinsight-t1-")
