@@ -9,17 +9,18 @@ from ..functions.columns import seconds_between
 from ..plans.ranged import PID, POS, ranged_layout
 
 
-def matmul(a: DataFrame, b: DataFrame) -> DataFrame:
+def matmul(a: DataFrame, b: DataFrame, combine_duplicates: bool = False) -> DataFrame:
     """C = A x B on coordinate tables (row, col, value).
 
-    Duplicate coordinates are summed on each side first (partial aggregation before any shuffle);
-    the product joins on the inner index and sums per output cell. The sum runs as a partial
-    aggregate in the join's own stage, so the joined pairs are never shuffled; AQE splits a
-    skewed inner index across tasks.
+    The product joins on the inner index and sums per output cell; the sum runs as a partial
+    aggregate in the join's own stage, so joined pairs are never shuffled, and AQE splits a skewed
+    inner index across tasks. Duplicate coordinates need no pre-sum (the product is linear);
+    ``combine_duplicates=True`` sums them first, worth its extra shuffle only when many repeat.
     """
-    a2 = a.groupBy("row", "col").agg(F.sum("value").alias("value"))
-    b2 = b.groupBy("row", "col").agg(F.sum("value").alias("value"))
-    j = a2.alias("a").join(b2.alias("b"), F.col("a.col") == F.col("b.row"))
+    if combine_duplicates:
+        a = a.groupBy("row", "col").agg(F.sum("value").alias("value"))
+        b = b.groupBy("row", "col").agg(F.sum("value").alias("value"))
+    j = a.alias("a").join(b.alias("b"), F.col("a.col") == F.col("b.row"))
     return j.groupBy(F.col("a.row").alias("row"), F.col("b.col").alias("col")).agg(
         F.sum(F.col("a.value") * F.col("b.value")).alias("value"))
 

@@ -317,3 +317,19 @@ SELECT movie_id, substr(title, 1, 50) AS title, substr(year, 1, 50) AS year, rat
 FROM titles ORDER BY movie_id LIMIT 5"""))
 def q_preview_titles(spark, sf):
     return io.preview(titles(spark, sf), 5, 50, order_by=["movie_id"])
+
+
+@query("matmul_order_size", f"""
+WITH a AS (SELECT l_orderkey AS r, l_partkey AS c, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2),
+b AS (SELECT p_partkey AS r, CAST(floor(p_size / 10) AS BIGINT) AS c, sum(p_retailprice) AS v FROM part GROUP BY 1, 2)
+SELECT a.r AS "row", b.c AS col, {R('sum(a.v * b.v)', 2)} AS value FROM a JOIN b ON a.c = b.r GROUP BY 1, 2""")
+def q_matmul(spark, sf):
+    """(order x part quantities) x (part x size-bucket prices) = value per order and size
+    bucket. Each part has one size bucket, so the join emits one pair per line item."""
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("row"), F.col("l_partkey").alias("col"),
+                                            F.col("l_quantity").alias("value"))
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("row"),
+                                          F.floor(F.col("p_size") / F.lit(10)).alias("col"),
+                                          F.col("p_retailprice").alias("value"))
+    out = numeric.matmul(li, part)
+    return out.select("row", "col", round_to("value", 2).alias("value"))
