@@ -12,7 +12,8 @@ from tests.conftest import rows
 
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
-events = st.lists(st.tuples(st.sampled_from([1, 1, 1, 2, 3, None]), st.integers(0, 50)), min_size=1, max_size=60)
+events = st.lists(st.tuples(st.sampled_from([1, 1, 1, 2, 3, None]), st.one_of(st.none(), st.integers(0, 50))),
+                  min_size=1, max_size=60)
 
 
 @SETTINGS
