@@ -236,7 +236,12 @@ def q_metric_latest(spark, sf):
 
 
 # ----------------------------------------------------------------------------- sources and sinks
-@query("schema_report_orders", None)
+@query("schema_report_orders", """
+SELECT CAST(ordinal_position AS INTEGER) AS position, column_name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type,
+       is_nullable = 'YES' AS nullable
+FROM information_schema.columns WHERE table_name = 'orders'""")
 def q_schema_report(spark, sf):
     return io.schema_report(table(spark, sf, "orders"))
 

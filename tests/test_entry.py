@@ -9,7 +9,7 @@ from dfinsight.plans.views import TABLES
 from tests.conftest import SF001
 
 # Queries without a SQL twin: sampled range bounds, metadata, an iterative fit.
-ROWS_ONLY = {"sorted_ranges_orders", "schema_report_orders", "classifier_train_embeddings"}
+ROWS_ONLY = {"sorted_ranges_orders", "classifier_train_embeddings"}
 
 
 def test_entry_smoke(spark):
