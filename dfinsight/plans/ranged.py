@@ -10,6 +10,10 @@ partitions and written once to the shared checkpoint folder. Each row then carri
 
 Per-partition facts are tiny (one row per partition, or per partition and key) and carry the
 sequence across partition borders. A hot key simply spans several balanced partitions.
+
+Later steps use ``_pid`` / ``_pos`` only as data (grouping, join and window keys), never the
+physical partitioning, so the layout is stored as Parquet: each later pass reads just the columns
+it needs (the per-partition counts read ``_pid`` alone).
 """
 
 from __future__ import annotations
@@ -17,17 +21,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 
 PID = "_pid"
 POS = "_pos"
 
 
-def ranged_layout(df: DataFrame, order: list[Column | str], n: int | None = None) -> DataFrame:
-    """Range-partition on ``order`` (which must end in a unique key), sort, checkpoint, number.
+def ranged_layout(df: DataFrame, order: list[Column | str], n: int | None = None,
+                  store: str = "parquet") -> DataFrame:
+    """Range-partition on ``order`` (which must end in a unique key), sort, number, materialise.
 
-    The reliable checkpoint pins the sampled range bounds, so every later read sees the same
-    partitions and positions, and a lost executor re-reads the files rather than re-sampling.
+    ``store="parquet"`` writes the numbered rows under the session's shared checkpoint folder and
+    reads them back (columnar, pruned reads); ``store="checkpoint"`` uses a reliable RDD
+    checkpoint instead. Either way the sampled range bounds are pinned: every later read sees the
+    same positions, and a lost executor re-reads files rather than re-sampling.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -38,7 +45,11 @@ def ranged_layout(df: DataFrame, order: list[Column | str], n: int | None = None
     # monotonically_increasing_id = (partition index << 33) + row index inside the partition.
     ranged = ranged.withColumn(PID, pid).withColumn(
         POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-    return ranged.checkpoint(eager=True)
+    if store == "checkpoint":
+        return ranged.checkpoint(eager=True)
+    path = scratch_path(spark, "layout")
+    ranged.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def partition_offsets(laid: DataFrame) -> DataFrame:
