@@ -9,7 +9,8 @@ from ..operators import learning, numeric, ranking, scaling
 from ..session import scratch_path
 from ..sources import io
 from ..streaming import streams
-from .catalog import R, query, with_titles
+from . import movies
+from .catalog import R, query, with_base, with_titles
 from .views import TASK_LOG_SQL, table, task_log, titles
 
 # ----------------------------------------------------------------------------- windows / sequences
@@ -338,3 +339,37 @@ def q_matmul(spark, sf):
                                           F.col("p_retailprice").alias("value"))
     out = numeric.matmul(li, part)
     return out.select("row", "col", round_to("value", 2).alias("value"))
+
+
+# ----------------------------------------------------------------------------- flagship variants
+@query("country_report_short", with_base(f"""
+SELECT country, count(*) AS movie_count, {R('avg(rating_score)', 2)} AS avg_rating
+FROM (SELECT unnest(string_split(countries, '/')) AS country, rating_score FROM base) x
+GROUP BY country HAVING count(*) >= 5
+ORDER BY movie_count DESC, country ASC NULLS FIRST LIMIT 15"""))
+def q_country_short(spark, sf):
+    """The timed short form of Q1 (count and rounded mean score only)."""
+    from ..functions.columns import explode_labels
+    from ..operators.reports import group_report
+    base = movies.analysis_base(titles(spark, sf)).select("countries", "rating_score")
+    return group_report(explode_labels(base, "countries", "country"), "country", "movie_count",
+                        {"avg_rating": ("rating_score", 2)}, min_count=5, order=[F.col("movie_count").desc()], k=15)
+
+
+@query("country_report_trimmed", with_base(f"""
+SELECT country, count(rating_score) AS movie_count, {R('avg(rating_score)', 6)} AS avg_rating,
+       {R('avg(rating_count)', 4)} AS avg_rating_count
+FROM (SELECT trim(unnest(string_split(countries, '/'))) AS country, rating_score, rating_count FROM base) x
+GROUP BY country HAVING count(rating_score) >= 5
+ORDER BY movie_count DESC, country ASC NULLS FIRST LIMIT 15"""))
+def q_country_trimmed(spark, sf):
+    """P7 + D11: the single-machine form of Q1 - labels trimmed (' FR' and 'FR' merge), the count
+    is of non-NULL scores, means unrounded in the operator (rounded here only for the comparison)."""
+    from ..functions.columns import explode_labels
+    from ..operators.reports import group_report
+    base = movies.analysis_base(titles(spark, sf)).select("countries", "rating_score", "rating_count")
+    rep = group_report(explode_labels(base, "countries", "country", trim=True), "country", "movie_count",
+                       {"avg_rating": ("rating_score", None), "avg_rating_count": ("rating_count", None)},
+                       count_col="rating_score", min_count=5, order=[F.col("movie_count").desc()], k=15)
+    return rep.select("country", "movie_count", round_to("avg_rating", 6).alias("avg_rating"),
+                      round_to("avg_rating_count", 4).alias("avg_rating_count"))
