@@ -79,13 +79,13 @@ def q_decade_trend(spark, sf):
     return movies.decade_trend(movies.analysis_base(titles(spark, sf)))
 
 
-@query("top3_per_genre", with_base("""
+@query("top_per_genre", with_base("""
 SELECT genre, title, rating_score, rating_count, year, rank_in_genre FROM (
   SELECT genre, title, rating_score, rating_count, year,
          CAST(dense_rank() OVER (PARTITION BY genre ORDER BY rating_score DESC, rating_count DESC) AS INTEGER) AS rank_in_genre
   FROM (SELECT unnest(string_split(genres, '/')) AS genre, title, rating_score, rating_count, year FROM base) x
 ) r WHERE rank_in_genre <= 3"""))
-def q_top3_per_genre(spark, sf):
+def q_top_per_genre(spark, sf):
     return movies.top_per_genre(movies.analysis_base(titles(spark, sf)))
 
 
@@ -245,10 +245,10 @@ def q_label_counts_trimmed(spark, sf):
     return profile.label_counts(titles(spark, sf), "countries", "/", trim=True)
 
 
-@query("genre_top10_clean", CLEAN_SQL.replace("SELECT * FROM typed WHERE", "SELECT genre, count(*) AS n FROM "
+@query("top_genres_clean", CLEAN_SQL.replace("SELECT * FROM typed WHERE", "SELECT genre, count(*) AS n FROM "
        "(SELECT unnest(string_split(genres, '/')) AS genre FROM typed WHERE", 1)
        + ") x GROUP BY genre ORDER BY n DESC, genre ASC NULLS FIRST LIMIT 10")
-def q_genre_top10(spark, sf):
+def q_top_genres(spark, sf):
     return profile.label_counts(movies.clean_movies(titles(spark, sf)), "genres", "/", k=10, out="genre")
 
 
@@ -275,8 +275,8 @@ def _word_sql(tbl: str, col: str) -> str:
             f"FROM {tbl}) x WHERE word <> '' GROUP BY word")
 
 
-@query("word_count_top10", _word_sql("documents", "text") + " ORDER BY n DESC, word ASC LIMIT 10")
-def q_word_top10(spark, sf):
+@query("word_count_top", _word_sql("documents", "text") + " ORDER BY n DESC, word ASC LIMIT 10")
+def q_word_top(spark, sf):
     return words.word_count(table(spark, sf, "documents"), "text", k=10)
 
 

@@ -109,6 +109,6 @@ def profile_report(raw: DataFrame, key: str = "movie_id") -> dict[str, DataFrame
         "rows_after": row_count(cleaned),
         "missing": missing_profile(raw),
         "numeric": numeric_summary(cleaned, NUMERIC_COLS),
-        "genres_top10": label_counts(cleaned, "genres", "/", k=10, out="genre"),
+        "genres_top": label_counts(cleaned, "genres", "/", k=10, out="genre"),
         "decades": bucket_counts(cleaned, "year", 10, out="decade"),
     }

@@ -73,7 +73,7 @@ def test_profile_report_frames(spark):
     from dfinsight.plans.movies import profile_report
     rep = profile_report(titles(spark, SF01))
     assert rep["rows_before"].first().n_rows == 15000 and rep["rows_after"].first().n_rows == 11030
-    assert rep["preview"].count() == 5 and len(rep["genres_top10"].collect()) == 10
+    assert rep["preview"].count() == 5 and len(rep["genres_top"].collect()) == 10
     assert {r.column_name for r in rep["numeric"].collect()} == {"year", "rating_score", "rating_count",
                                                                   "collect_count"}
     assert rep["schema"].count() == 10 and rep["missing"].count() == 10 and rep["decades"].count() > 0
