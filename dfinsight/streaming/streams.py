@@ -20,13 +20,20 @@ from ..session import scratch_path
 
 # ----------------------------------------------------------------------------- sources
 def file_stream(spark: SparkSession, directory: str, glob: str = "*.parquet", schema=None,
-                max_files_per_trigger: int | None = None, sample_path: str | None = None) -> DataFrame:
-    """A parquet file stream over ``directory`` (files matching ``glob``), schema fixed up front."""
+                max_files_per_trigger: int | None = None, sample_path: str | None = None,
+                max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """A parquet file stream over ``directory`` (files matching ``glob``), schema fixed up front.
+
+    ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound each micro-batch, so a large
+    backlog drains in several bounded batches even under ``availableNow``.
+    """
     if schema is None:
         schema = spark.read.parquet(sample_path or f"{directory.rstrip('/')}/{glob}").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return reader.parquet(directory)
 
 

@@ -145,3 +145,17 @@ def test_compaction_keeps_the_current_table(spark):
     assert upto == 3
     after = rows(streams.current_table(spark, base, ["event_type"]))
     assert after == before and sum(n for _, n in after) == 10000
+
+
+def test_bytes_bounded_batches_give_the_same_counts(spark):
+    ev = pq.read_table(f"{SF01}/events.parquet")
+    d = tempfile.mkdtemp(prefix="dfinsight-mbt-")
+    now = time.time() - 100
+    for i in range(3):
+        _write(d, f"p{i}.parquet", ev.filter(pc.equal(pc.bit_wise_and(ev["event_id"], 3), i)), now + i)
+    base = scratch_path(spark, "t1-bytes")
+    q = streams.start_updates(streams.stream_counts(streams.file_stream(spark, d, max_bytes_per_trigger=1),
+                                                    "event_type"), base)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3
+    assert sum(r.n for r in streams.current_table(spark, base, ["event_type"]).collect()) == 7500
