@@ -26,6 +26,9 @@ COUNTRY_MIN, COUNTRY_TOP = 5, 15
 DIRECTOR_MIN, DIRECTOR_TOP = 3, 20
 GENRE_TOP = 3
 HIGH_TOP = 15
+# Q5 rules: (country text, score strictly above, raters strictly above). The thresholds are the
+# original ones; the country texts are those of the titles view ('US', 'CN').
+HIGH_RULES = (("US", 8.5, 100000), ("CN", 8.0, 50000))
 
 STANDARD_MEANS = {"avg_rating": ("rating_score", 2), "avg_rating_count": ("rating_count", 0)}
 
@@ -87,10 +90,6 @@ def top_per_genre(base: DataFrame, k: int = GENRE_TOP, method: str = "dense_rank
     return ranked.select("genre", "title", "rating_score", "rating_count", "year", "rank_in_genre")
 
 
-# Q5 thresholds: (country text, score strictly above, raters strictly above).
-HIGH_RULES = (("US", 8.5, 100000), ("CN", 8.0, 50000))
-
-
 def two_region_high(base: DataFrame, rules=HIGH_RULES, k: int = HIGH_TOP) -> DataFrame:
     """Rows matching either region rule (once), top 15 by score, title as tie-break."""
     matched = any_rule(base, [Rule("countries", text, (("rating_score", s), ("rating_count", n)))
