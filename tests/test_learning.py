@@ -36,3 +36,16 @@ def test_train_classifier_runs(spark):
     model = train_classifier(emb, "embedding", "label", max_iter=10)
     m = classification_metrics(predict(model, emb, "embedding", "label", "vec_id")).first()
     assert m.n == emb.count() and m.mean_loss > 0
+
+
+def test_epoch_shards_fewer_rows_than_ranks(spark):
+    one = spark.createDataFrame([(42,)], "vec_id long")
+    sh = sorted((r.rank, r.position, r.is_padding) for r in epoch_shards(one, "vec_id", world_size=3).collect())
+    assert sh == [(0, 0, False), (1, 1, True), (2, 2, True)]
+
+
+def test_metrics_on_empty_predictions(spark):
+    empty = spark.createDataFrame([], "label int, prediction int, loss double, batch long")
+    m = classification_metrics(empty).first()
+    assert m.n is None or m.n == 0
+    assert m.accuracy_pct is None and m.mean_loss is None

@@ -71,3 +71,13 @@ def test_size_shuffles(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_integrate_single_point_and_empty(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(1, 1, dt.datetime(2024, 1, 1), 5.0),
+                                (2, 2, dt.datetime(2024, 1, 1), 1.0), (3, 2, dt.datetime(2024, 1, 1, 0, 0, 10), 3.0)],
+                               "id long, k long, ts timestamp_ntz, v double")
+    got = {r.k: (r.n_points, r.integral) for r in integrate(df, "k", "ts", "v", "id").collect()}
+    assert got == {1: (1, 0.0), 2: (2, 20.0)}
+    assert integrate(df.limit(0), "k", "ts", "v", "id").count() == 0
