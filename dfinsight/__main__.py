@@ -1,6 +1,9 @@
-"""Command line: ``python -m dfinsight list | run NAME | explain NAME`` over the registered queries.
+"""Command line over the registered queries and the movie-table report.
 
-``run`` writes the result as Parquet (``--out``) or shows the first rows; the session comes from
+``python -m dfinsight list | run NAME | explain NAME | profile PATH``
+
+``run`` writes the result as Parquet (``--out``) or shows the first rows; ``profile`` shows the
+cleaning report of a movie table (CSV with header, or Parquet). The session comes from
 ``spark-submit`` / the environment when one is active, else a local one.
 """
 
@@ -22,6 +25,9 @@ def main(argv: list[str] | None = None) -> int:
         if cmd == "run":
             p.add_argument("--out", help="write Parquet here instead of showing rows")
             p.add_argument("--rows", type=int, default=20)
+    prof = sub.add_parser("profile")
+    prof.add_argument("path")
+    prof.add_argument("--rows", type=int, default=20)
     args = ap.parse_args(argv)
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from dfinsight.plans import catalog
@@ -35,6 +41,16 @@ def main(argv: list[str] | None = None) -> int:
 
     from dfinsight.session import build_session
     spark = SparkSession.getActiveSession() or build_session()
+    if args.cmd == "profile":
+        from dfinsight.plans import movies
+        from dfinsight.sources.io import read_csv
+        raw = spark.read.parquet(args.path) if args.path.endswith(".parquet") else read_csv(spark, args.path)
+        report = movies.profile_report(raw)
+        report["audit"] = movies.clean_audit(raw)
+        for name, frame in report.items():
+            print(f"== {name}")
+            frame.show(args.rows, truncate=False)
+        return 0
     df = qs[args.name](spark, args.sf_dir)
     if args.cmd == "explain":
         df.explain("formatted")
