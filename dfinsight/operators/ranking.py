@@ -11,18 +11,67 @@ from ..plans.sizing import join_by_size
 _RANKERS = {"dense_rank": F.dense_rank, "rank": F.rank, "row_number": F.row_number}
 
 
-def top_per_label(df: DataFrame, label: str, order: list[Column], k: int = 3,
-                  method: str = "dense_rank", rank_name: str = "rank_in_label") -> DataFrame:
+OrderKey = Column | str | tuple[str, str]
+
+
+def _key_parts(order: list[OrderKey]) -> list[tuple[str, bool]] | None:
+    """(name, descending) pairs when every sort key is named; None when one is a bare Column."""
+    parts = []
+    for o in order:
+        if isinstance(o, str):
+            parts.append((o, False))
+        elif isinstance(o, tuple):
+            parts.append((o[0], o[1].lower() == "desc"))
+        else:
+            return None
+    return parts
+
+
+def _sort_cols(parts: list[tuple[str, bool]]) -> list[Column]:
+    return [F.col(n).desc() if d else F.col(n).asc() for n, d in parts]
+
+
+def top_per_label(df: DataFrame, label: str, order: list[OrderKey], k: int = 3,
+                  method: str = "dense_rank", rank_name: str = "rank_in_label",
+                  strategy: str = "auto") -> DataFrame:
     """Rank rows inside each label and keep rank <= k.
 
-    ``dense_rank`` / ``rank`` keep every tie, so a label may return more than k rows. The filter on
-    the rank lets Catalyst insert ``WindowGroupLimit`` before the shuffle: a label holding a third
-    of all rows sends only its local top ranks per task, not the rows themselves.
+    ``order``: sort keys as names (ascending), ``(name, "desc" | "asc")`` pairs, or Columns.
+    ``dense_rank`` / ``rank`` keep every tie, so a label may return more than k rows;
     ``row_number`` needs ``order`` to end in a unique column to be deterministic.
+
+    Strategies (same result):
+
+    * ``"window"``: one window; the filter on the rank lets Catalyst insert ``WindowGroupLimit``
+      before the shuffle, so each task ships only its local top ranks per label.
+    * ``"distinct"`` (``dense_rank`` / ``rank`` with named keys; ``"auto"`` picks it): each label's
+      top k *distinct* sort keys come from a table where ties are collapsed (partial aggregation
+      folds them per task), with the rank computed from tie counts; rows are then kept by a
+      size-checked broadcast join. Rows never move to a per-label reducer, so even a label holding
+      a third of all rows, all tied, stays spread over the input tasks.
     """
-    w = Window.partitionBy(label).orderBy(*order)
-    return (df.withColumn(rank_name, _RANKERS[method]().over(w))
-            .filter(F.col(rank_name) <= F.lit(k)))
+    parts = _key_parts(order)
+    cols = _sort_cols(parts) if parts is not None else list(order)
+    if strategy == "auto":
+        strategy = "distinct" if parts is not None and method in ("dense_rank", "rank") else "window"
+    if strategy == "window":
+        w = Window.partitionBy(label).orderBy(*cols)
+        return (df.withColumn(rank_name, _RANKERS[method]().over(w))
+                .filter(F.col(rank_name) <= F.lit(k)))
+    if parts is None or method not in ("dense_rank", "rank"):
+        raise ValueError("the distinct strategy needs named sort keys and dense_rank or rank")
+    names = [n for n, _ in parts]
+    keys = df.groupBy(label, *names).agg(F.count(F.lit(1)).alias("_ties"))
+    w = Window.partitionBy(label).orderBy(*cols)
+    top = keys.withColumn("_dr", F.dense_rank().over(w)).filter(F.col("_dr") <= F.lit(k))
+    if method == "dense_rank":
+        top = top.withColumn(rank_name, F.col("_dr"))
+    else:  # rank = 1 + rows with a strictly better key; only the top k distinct keys can reach k
+        before = Window.partitionBy(label).orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+        top = top.withColumn(rank_name, (F.lit(1) + F.coalesce(F.sum("_ties").over(before), F.lit(0))).cast("int"))
+        top = top.filter(F.col(rank_name) <= F.lit(k))
+    top = top.select(label, *names, F.col(rank_name).cast("int").alias(rank_name))
+    return join_by_size(df, top, [label, *names])
 
 
 def running_count(df: DataFrame, key: str, ts: str, tiebreak: str, out: str = "running_count",

@@ -101,7 +101,7 @@ def q_rank_variants(spark, sf):
     from ..operators.ranking import top_per_label
     base = movies.analysis_base(titles(spark, sf)).select("genres", "title", "rating_score", "rating_count")
     ex = explode_labels(base, "genres", "genre")
-    return top_per_label(ex, "genre", [F.col("rating_score").desc()], 2, "rank", "rank_in_genre") \
+    return top_per_label(ex, "genre", [("rating_score", "desc")], 2, "rank", "rank_in_genre") \
         .select("genre", "title", "rating_score", "rating_count", "rank_in_genre")
 
 

@@ -85,7 +85,7 @@ def top_per_genre(base: DataFrame, k: int = GENRE_TOP, method: str = "dense_rank
     """Explode genres, rank by score desc then raters desc inside each genre, keep <= 3."""
     exploded = explode_labels(base.select("genres", "title", "rating_score", "rating_count", "year"),
                               "genres", "genre")
-    ranked = top_per_label(exploded, "genre", [F.col("rating_score").desc(), F.col("rating_count").desc()],
+    ranked = top_per_label(exploded, "genre", [("rating_score", "desc"), ("rating_count", "desc")],
                            k, method, "rank_in_genre")
     return ranked.select("genre", "title", "rating_score", "rating_count", "year", "rank_in_genre")
 

@@ -97,3 +97,16 @@ def test_region_overlap_repeated_and_unique_ids(spark):
     fast = region_overlap(uniq, "id", "c", "US", "CN", ids_unique=True)
     assert sorted(tuple(r) for r in fast.collect()) == [(2, "both"), (3, "b_only")]
     assert "Exchange" not in plan_of(fast)
+
+
+def test_top_per_label_strategies_agree_with_hot_tied_label(spark):
+    rows_ = [("hot", 5.0, i) for i in range(300)] + [("hot", 9.0, 1), ("hot", 7.0, 2), ("hot", None, 3)] + \
+            [("a", float(i % 4), i) for i in range(20)] + [(None, 1.0, 0), (None, 1.0, 1)]
+    df = spark.createDataFrame(rows_, "g string, s double, id long")
+    for method, k in (("dense_rank", 3), ("rank", 3), ("rank", 2), ("dense_rank", 1)):
+        win = top_per_label(df, "g", [F.col("s").desc()], k, method, "r", strategy="window")
+        dis = top_per_label(df, "g", [("s", "desc")], k, method, "r", strategy="distinct")
+        key = lambda r: (r.g or "", r.id, r.r)
+        assert sorted(map(key, win.collect())) == sorted(map(key, dis.collect())), (method, k)
+    plan = plan_of(top_per_label(df, "g", [("s", "desc")], 3))
+    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
