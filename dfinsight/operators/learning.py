@@ -38,11 +38,12 @@ def shuffle_key(id_col: str, epoch: int, seed: int = 0):
 
 
 def epoch_shards(df: DataFrame, id_col: str, world_size: int = 2, epoch: int = 0, seed: int = 0,
-                 n_partitions: int | None = None) -> DataFrame:
+                 n_partitions: int | None = None, batch_size: int = BATCH_SIZE) -> DataFrame:
     """L1: position of every row in the epoch's shuffled order, padded by wrap-around so all ranks
     get the same number of rows; rank r takes positions r, r + world_size, ...
 
-    Output (id, epoch, rank, slot, position, is_padding); slot is the index inside the rank.
+    Output (id, epoch, rank, slot, batch, position, is_padding); slot is the index inside the
+    rank, batch = slot div ``batch_size`` (the rank's training step).
     The global order comes from :func:`global_sequence` (range partitions + offsets).
     """
     keyed = df.select(id_col).withColumn("_h", shuffle_key(id_col, epoch, seed))
@@ -60,6 +61,7 @@ def epoch_shards(df: DataFrame, id_col: str, world_size: int = 2, epoch: int = 0
     return rows.select(id_col, F.lit(epoch).alias("epoch"),
                        F.pmod(F.col("position"), F.lit(world_size)).cast("int").alias("rank"),
                        F.floor(F.col("position") / F.lit(world_size)).cast("long").alias("slot"),
+                       F.floor(F.col("position") / F.lit(world_size * batch_size)).cast("long").alias("batch"),
                        "position", "is_padding")
 
 

@@ -109,7 +109,8 @@ c AS (SELECT count(*) AS n, ((count(*) + {world} - 1) // {world}) * {world} AS t
 u AS (SELECT vec_id, p AS position, false AS is_padding FROM s
       UNION ALL SELECT vec_id, p + n AS position, true AS is_padding FROM s, c WHERE p < total - n)
 SELECT vec_id, {epoch} AS epoch, CAST(position % {world} AS INTEGER) AS rank,
-       CAST(position // {world} AS BIGINT) AS slot, CAST(position AS BIGINT) AS position, is_padding FROM u"""
+       CAST(position // {world} AS BIGINT) AS slot, CAST(position // {world * 64} AS BIGINT) AS batch,
+       CAST(position AS BIGINT) AS position, is_padding FROM u"""
 
 
 @query("epoch_shards_embeddings", _shards_sql(3, 1))

@@ -49,3 +49,10 @@ def test_metrics_on_empty_predictions(spark):
     m = classification_metrics(empty).first()
     assert m.n is None or m.n == 0
     assert m.accuracy_pct is None and m.mean_loss is None
+
+
+def test_epoch_shard_batches(spark):
+    emb = spark.read.parquet(f"{SF01}/embeddings.parquet")
+    sh = epoch_shards(emb, "vec_id", world_size=2, epoch=0, batch_size=64).collect()
+    per = Counter((r.rank, r.batch) for r in sh)
+    assert max(per.values()) == 64 and all(r.batch == r.slot // 64 for r in sh)
