@@ -123,3 +123,16 @@ def predict(model, df: DataFrame, features: str, label: str, id_col: str,
                       F.col("prediction").cast("int").alias("prediction"),
                       (-F.log(F.greatest(p, F.lit(1e-300)))).alias("loss"),
                       F.floor(F.col(id_col) / F.lit(batch_size)).cast("long").alias("batch"))
+
+
+def training_history(model) -> DataFrame:
+    """L2 training log: (iteration, objective) of a fitted :func:`train_classifier` model.
+
+    The history is kept by Spark ML on the driver and has one value per iteration (bounded by
+    ``max_iter``), so it becomes a small DataFrame directly.
+    """
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    hist = list(model.summary.objectiveHistory)
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, objective double")

@@ -1,6 +1,7 @@
 from collections import Counter
 
-from dfinsight.operators.learning import (classification_metrics, epoch_shards, predict, train_classifier)
+from dfinsight.operators.learning import (classification_metrics, epoch_shards, predict, train_classifier,
+                                          training_history)
 from tests.conftest import SF001, SF01
 
 
@@ -36,6 +37,8 @@ def test_train_classifier_runs(spark):
     model = train_classifier(emb, "embedding", "label", max_iter=10)
     m = classification_metrics(predict(model, emb, "embedding", "label", "vec_id")).first()
     assert m.n == emb.count() and m.mean_loss > 0
+    hist = [r.objective for r in training_history(model).orderBy("iteration").collect()]
+    assert 1 < len(hist) <= 11 and hist[-1] <= hist[0]
 
 
 def test_epoch_shards_fewer_rows_than_ranks(spark):
