@@ -60,9 +60,12 @@ def analysis_base(raw: DataFrame) -> DataFrame:
                       & present("countries"))
 
 
-def country_report(base: DataFrame, k: int = COUNTRY_TOP, min_count: int = COUNTRY_MIN) -> DataFrame:
-    """Per country label: movies, mean score (2 places), mean raters (bigint); >= 5; top 15."""
-    exploded = explode_labels(base.select("countries", "rating_score", "rating_count"), "countries", "country")
+def country_report(base: DataFrame, k: int = COUNTRY_TOP, min_count: int = COUNTRY_MIN,
+                   trim: bool = False) -> DataFrame:
+    """Per country label: movies, mean score (2 places), mean raters (bigint); >= 5; top 15.
+    ``trim=True`` merges ' FR' and 'FR' (the single-machine variant's labels)."""
+    exploded = explode_labels(base.select("countries", "rating_score", "rating_count"), "countries", "country",
+                              trim=trim)
     return group_report(exploded, "country", "movie_count", STANDARD_MEANS, min_count=min_count,
                         order=[F.col("movie_count").desc()], k=k)
 
@@ -81,10 +84,11 @@ def decade_trend(base: DataFrame) -> DataFrame:
     return trend(base, decade, "decade", "movie_count", means)
 
 
-def top_per_genre(base: DataFrame, k: int = GENRE_TOP, method: str = "dense_rank") -> DataFrame:
+def top_per_genre(base: DataFrame, k: int = GENRE_TOP, method: str = "dense_rank",
+                  trim: bool = False) -> DataFrame:
     """Explode genres, rank by score desc then raters desc inside each genre, keep <= 3."""
     exploded = explode_labels(base.select("genres", "title", "rating_score", "rating_count", "year"),
-                              "genres", "genre")
+                              "genres", "genre", trim=trim)
     ranked = top_per_label(exploded, "genre", [("rating_score", "desc"), ("rating_count", "desc")],
                            k, method, "rank_in_genre")
     return ranked.select("genre", "title", "rating_score", "rating_count", "year", "rank_in_genre")
