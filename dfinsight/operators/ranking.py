@@ -40,20 +40,23 @@ def top_per_label(df: DataFrame, label: str, order: list[OrderKey], k: int = 3,
     ``dense_rank`` / ``rank`` keep every tie, so a label may return more than k rows;
     ``row_number`` needs ``order`` to end in a unique column to be deterministic.
 
-    Strategies (same result):
+    Strategies (same result; ``"auto"`` is ``"window"``):
 
     * ``"window"``: one window; the filter on the rank lets Catalyst insert ``WindowGroupLimit``
-      before the shuffle, so each task ships only its local top ranks per label.
-    * ``"distinct"`` (``dense_rank`` / ``rank`` with named keys; ``"auto"`` picks it): each label's
-      top k *distinct* sort keys come from a table where ties are collapsed (partial aggregation
-      folds them per task), with the rank computed from tie counts; rows are then kept by a
-      size-checked broadcast join. Rows never move to a per-label reducer, so even a label holding
-      a third of all rows, all tied, stays spread over the input tasks.
+      before the shuffle, so each task ships only its local top ranks per label. Right for
+      near-unique sort keys: a hot label costs k rows per task. Its weak spot is a coarse key:
+      ranks keep every tie, so a hot label whose rows tie on the key ships all of them to one task.
+    * ``"distinct"`` (``dense_rank`` / ``rank`` with named keys): each label's top k *distinct*
+      sort keys come from a table where ties are collapsed (partial aggregation folds them per
+      task), with the rank computed from tie counts; rows are then kept by a size-checked
+      broadcast join and never move to a per-label reducer. Costs one narrow shuffle of the
+      per-task distinct (label, key) pairs - cheap for coarse keys (ranking by a score with few
+      values), up to all rows for near-unique keys.
     """
     parts = _key_parts(order)
     cols = _sort_cols(parts) if parts is not None else list(order)
     if strategy == "auto":
-        strategy = "distinct" if parts is not None and method in ("dense_rank", "rank") else "window"
+        strategy = "window"
     if strategy == "window":
         w = Window.partitionBy(label).orderBy(*cols)
         return (df.withColumn(rank_name, _RANKERS[method]().over(w))

@@ -108,5 +108,6 @@ def test_top_per_label_strategies_agree_with_hot_tied_label(spark):
         dis = top_per_label(df, "g", [("s", "desc")], k, method, "r", strategy="distinct")
         key = lambda r: (r.g or "", r.id, r.r)
         assert sorted(map(key, win.collect())) == sorted(map(key, dis.collect())), (method, k)
-    plan = plan_of(top_per_label(df, "g", [("s", "desc")], 3))
-    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
+    assert "WindowGroupLimit" in plan_of(top_per_label(df, "g", [("s", "desc")], 3))  # auto = window
+    plan = plan_of(top_per_label(df, "g", [("s", "desc")], 3, strategy="distinct"))
+    assert "BroadcastHashJoin" in plan
