@@ -67,9 +67,12 @@ def _numbered_dirs(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(prefix + "="))
 
 
-def current_table(spark: SparkSession, base: str, keys: list[str]) -> DataFrame:
+def current_table(spark: SparkSession, base: str, keys: list[str], schema=None) -> DataFrame:
     """The current result of a stream started with :func:`start_updates` (latest row per key):
-    the newest snapshot written by :func:`compact_updates` plus the log batches after it."""
+    the newest snapshot written by :func:`compact_updates` plus the log batches after it.
+    Before any batch is logged: an empty table of ``schema`` (the aggregate's schema)."""
+    if not _numbered_dirs(spark, f"{base}/log", "batch") and schema is not None:
+        return spark.createDataFrame([], schema)
     log = spark.read.parquet(f"{base}/log")
     snaps = _numbered_dirs(spark, f"{base}/snapshot", "upto")
     if snaps:
@@ -110,7 +113,7 @@ def run_updates(agg: DataFrame, keys: list[str], name: str, base: str | None = N
         handle.awaitTermination()
     finally:
         handle.stop()
-    return base, current_table(spark, base, keys)
+    return base, current_table(spark, base, keys, schema=agg.schema)
 
 
 def latest_per_key(log: DataFrame, keys: list[str]) -> DataFrame:

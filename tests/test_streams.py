@@ -159,3 +159,19 @@ def test_bytes_bounded_batches_give_the_same_counts(spark):
     q.awaitTermination()
     assert len(q.recentProgress) >= 3
     assert sum(r.n for r in streams.current_table(spark, base, ["event_type"]).collect()) == 7500
+
+
+def test_empty_stream_gives_an_empty_table(spark):
+    d = tempfile.mkdtemp(prefix="dfinsight-empty-")
+    schema = spark.read.parquet(f"{SF01}/events.parquet").schema
+    _, cur = streams.run_updates(streams.stream_counts(streams.file_stream(spark, d, schema=schema), "event_type"),
+                                 ["event_type"], "t1-empty")
+    assert cur.count() == 0 and cur.columns == ["event_type", "n"]
+
+
+def test_empty_append_stream(spark):
+    d = tempfile.mkdtemp(prefix="dfinsight-empty2-")
+    schema = spark.read.parquet(f"{SF01}/events.parquet").schema
+    s = streams.with_event_time(streams.file_stream(spark, d, schema=schema), "ts")
+    _, out = streams.run_append(streams.stream_dedupe(s, "event_id", "event_time", "1 hour"), "t3-empty")
+    assert out.count() == 0
