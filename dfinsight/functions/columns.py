@@ -150,6 +150,10 @@ def instant_to_ntz(c: ColumnOrName) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(col_(c)), _epoch_ntz())
 
 
-def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Elapsed seconds (double) between two timestamp_ntz values; exact to the microsecond."""
-    return (ntz_micros(end) - ntz_micros(start)).cast("double") / F.lit(1e6)
+def seconds_between(start: ColumnOrName, end: ColumnOrName, ntz: bool = True) -> Column:
+    """Elapsed seconds (double) between two timestamps; exact to the microsecond.
+
+    ``ntz=True``: timestamp_ntz wall clocks (zone-free); ``ntz=False``: zoned timestamps (instants).
+    """
+    micros = ntz_micros if ntz else (lambda c: F.unix_micros(col_(c)))
+    return (micros(end) - micros(start)).cast("double") / F.lit(1e6)

@@ -71,9 +71,10 @@ def integrate(df: DataFrame, key: str, ts: str, value: str, tiebreak: str,
     """
     laid = layout if layout is not None else ranged_layout(
         df.select(key, ts, value, tiebreak), [key, ts, tiebreak], n_partitions)
+    ntz = dict(laid.dtypes)[ts] == "timestamp_ntz"
     w = Window.partitionBy(key, PID).orderBy(POS)
     prev_ts, prev_v = F.lag(ts).over(w), F.lag(value).over(w)
-    seg = laid.withColumn("_area", seconds_between(prev_ts, F.col(ts)) * (F.col(value) + prev_v) / F.lit(2.0))
+    seg = laid.withColumn("_area", seconds_between(prev_ts, F.col(ts), ntz) * (F.col(value) + prev_v) / F.lit(2.0))
     pieces = seg.groupBy(key, PID).agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_area").alias("_inner"),
         F.min_by(F.struct(F.col(ts).alias("t"), F.col(value).alias("v")), F.col(POS)).alias("_first"),
@@ -81,7 +82,8 @@ def integrate(df: DataFrame, key: str, ts: str, value: str, tiebreak: str,
     wk = Window.partitionBy(key).orderBy(PID)
     prev_last = F.lag("_last").over(wk)
     pieces = pieces.withColumn(
-        "_edge", seconds_between(prev_last["t"], F.col("_first.t")) * (F.col("_first.v") + prev_last["v"]) / F.lit(2.0))
+        "_edge",
+        seconds_between(prev_last["t"], F.col("_first.t"), ntz) * (F.col("_first.v") + prev_last["v"]) / F.lit(2.0))
     return pieces.groupBy(key).agg(
         F.sum("_n").cast("long").alias("n_points"),
         (F.coalesce(F.sum("_inner"), F.lit(0.0)) + F.coalesce(F.sum("_edge"), F.lit(0.0))).alias("integral"))

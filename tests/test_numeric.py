@@ -81,3 +81,18 @@ def test_integrate_single_point_and_empty(spark):
     got = {r.k: (r.n_points, r.integral) for r in integrate(df, "k", "ts", "v", "id").collect()}
     assert got == {1: (1, 0.0), 2: (2, 20.0)}
     assert integrate(df.limit(0), "k", "ts", "v", "id").count() == 0
+
+
+def test_integrate_zoned_timestamps_across_dst(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(1, 1, dt.datetime(2024, 3, 31, 0, 0), 1.0), (2, 1, dt.datetime(2024, 3, 31, 4, 0), 1.0)],
+                               "id long, k long, ts timestamp_ntz, v double")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        zoned = df.withColumn("ts", F.col("ts").cast("timestamp"))  # local 00:00 -> 04:00 is 3 real hours
+        got_zoned = integrate(zoned, "k", "ts", "v", "id").first().integral
+        got_ntz = integrate(df, "k", "ts", "v", "id").first().integral
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got_zoned == 3 * 3600.0 and got_ntz == 4 * 3600.0
