@@ -11,7 +11,7 @@ from ..sources import io
 from ..streaming import streams
 from . import movies
 from .catalog import R, query, with_base, with_titles
-from .views import TASK_LOG_SQL, table, task_log, titles
+from .views import MESSY_EVENTS_SQL, TASK_LOG_SQL, messy_events, table, task_log, titles
 
 # ----------------------------------------------------------------------------- windows / sequences
 
@@ -374,3 +374,34 @@ def q_country_trimmed(spark, sf):
                        count_col="rating_score", min_count=5, order=[F.col("movie_count").desc()], k=15)
     return rep.select("country", "movie_count", round_to("avg_rating", 6).alias("avg_rating"),
                       round_to("avg_rating_count", 4).alias("avg_rating_count"))
+
+
+# ----------------------------------------------------------------------------- cleaning on the messy events view
+_MESSY = f"WITH messy AS ({MESSY_EVENTS_SQL})"
+
+
+@query("clean_events_counts", _MESSY + f"""
+SELECT event_type, count(*) AS n, {R('avg(value)', 6)} AS avg_value FROM messy
+WHERE value IS NOT NULL AND event_type IS NOT NULL AND event_type <> '' GROUP BY event_type""")
+def q_clean_events(spark, sf):
+    """C2 + C4: drop rows with a NULL value, keep present event types ('null' text stays a type)."""
+    from ..operators.cleaning import drop_missing, keep_present
+    from ..operators.reports import group_report
+    ev = keep_present(drop_missing(messy_events(spark, sf), ["value"]), "event_type")
+    return group_report(ev, "event_type", "n", {"avg_value": ("value", 6)})
+
+
+@query("cleaning_audit_events", _MESSY + """
+SELECT 1 AS step_no, 'value present' AS step, count(*) AS n_in, CAST(count_if(value IS NULL) AS BIGINT) AS n_rule,
+       CAST(0 AS BIGINT) AS n_null, CAST(count_if(value IS NOT NULL) AS BIGINT) AS n_out FROM messy
+UNION ALL
+SELECT 2, 'event_type present', count(*),
+       CAST(count_if(event_type IS NULL OR event_type = '' OR event_type = 'null') AS BIGINT), CAST(0 AS BIGINT),
+       CAST(count_if(NOT (event_type IS NULL OR event_type = '' OR event_type = 'null')) AS BIGINT)
+FROM messy WHERE value IS NOT NULL""")
+def q_audit_events(spark, sf):
+    """A10 with the missing-value test (C1) as a rule: NULL / '' / 'null' event types are removed."""
+    from ..functions.columns import is_missing
+    from ..operators.cleaning import Step, cleaning_audit
+    steps = [Step("value present", F.col("value").isNotNull()), Step("event_type present", ~is_missing("event_type"))]
+    return cleaning_audit(messy_events(spark, sf), steps)
