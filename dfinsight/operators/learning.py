@@ -100,14 +100,23 @@ def classification_metrics(pred: DataFrame, label: str = "label", prediction: st
 
 
 def train_classifier(df: DataFrame, features: str, label: str, max_iter: int = 50, reg: float = 0.0):
-    """L2: multinomial logistic regression on an array<float> column (converted in the JVM)."""
+    """L2: multinomial logistic regression on an array<float> column (converted in the JVM).
+
+    Each optimiser iteration is one pass over the data, so the converted (vector, label) rows are
+    persisted (memory, spilling to disk) for the fit and released after it.
+    """
+    from pyspark import StorageLevel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
-    data = df.withColumn("_features", array_to_vector(F.col(features)))
-    lr = LogisticRegression(featuresCol="_features", labelCol=label, family="multinomial",
-                            maxIter=max_iter, regParam=reg)
-    return lr.fit(data.withColumn(label, F.col(label).cast("double")))
+    data = (df.select(array_to_vector(F.col(features)).alias("_features"), F.col(label).cast("double").alias(label))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        lr = LogisticRegression(featuresCol="_features", labelCol=label, family="multinomial",
+                                maxIter=max_iter, regParam=reg)
+        return lr.fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict(model, df: DataFrame, features: str, label: str, id_col: str,
