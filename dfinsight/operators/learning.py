@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import standardise
-from .ranking import global_sequence
+from ..plans.ranged import PID, POS, partition_offsets, ranged_layout
 
 # The shuffle key is an arithmetic hash (reproducible in SQL): two multiplicative
 # congruential rounds modulo the prime 2^31 - 1, the epoch and seed salted in between.
@@ -44,12 +44,16 @@ def epoch_shards(df: DataFrame, id_col: str, world_size: int = 2, epoch: int = 0
 
     Output (id, epoch, rank, slot, batch, position, is_padding); slot is the index inside the
     rank, batch = slot div ``batch_size`` (the rank's training step).
-    The global order comes from :func:`global_sequence` (range partitions + offsets).
+    The global order comes from a range layout with per-partition offsets (as in
+    :func:`~dfinsight.operators.ranking.global_sequence`).
     """
     keyed = df.select(id_col).withColumn("_h", shuffle_key(id_col, epoch, seed))
-    seq = global_sequence(keyed, ["_h", id_col], "_seq", n_partitions).select(
-        id_col, (F.col("_seq") - 1).alias("position"))
-    n = df.count()
+    laid = ranged_layout(keyed, ["_h", id_col], n_partitions)
+    offsets = partition_offsets(laid)  # one row per range partition (reads only `_pid`)
+    # the row count comes from the layout's per-partition counts: no second scan of the input
+    n = offsets.agg(F.sum("_n")).first()[0] or 0
+    seq = (laid.join(F.broadcast(offsets.select(PID, "_offset")), PID)
+           .select(id_col, (F.col("_offset") + F.col(POS)).alias("position")))
     total = -(-n // world_size) * world_size
     rows = seq.withColumn("is_padding", F.lit(False))
     if total > n:

@@ -107,7 +107,7 @@ def global_sequence(df: DataFrame, order: list[Column | str], out: str = "seq",
     """
     laid = ranged_layout(df, order, n_partitions)
     offsets = partition_offsets(laid)
-    return (laid.join(F.broadcast(offsets), PID)
+    return (laid.join(F.broadcast(offsets.select(PID, "_offset")), PID)
             .withColumn(out, F.col("_offset") + F.col(POS) + F.lit(1))
             .drop(PID, POS, "_offset"))
 

@@ -53,10 +53,11 @@ def ranged_layout(df: DataFrame, order: list[Column | str], n: int | None = None
 
 
 def partition_offsets(laid: DataFrame) -> DataFrame:
-    """Rows before each partition: (``_pid``, ``_offset``). One row per partition, so the
-    unpartitioned window and the later broadcast are bounded by the partition count."""
+    """Rows before each partition and in it: (``_pid``, ``_offset``, ``_n``). One row per
+    partition, so the unpartitioned window and the later broadcast are bounded by the partition
+    count."""
     from pyspark.sql import Window
 
     counts = laid.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(PID, F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long").alias("_offset"))
+    return counts.select(PID, F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long").alias("_offset"), "_n")
