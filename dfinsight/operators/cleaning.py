@@ -9,12 +9,12 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ColumnOrName, col_, is_missing
+from ..functions.columns import ColumnOrName, col_, is_missing, name_col
 
 
 def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
     """Keep rows with no NULL in ``cols``."""
-    return df.filter(reduce(and_, [F.col(c).isNotNull() for c in cols]))
+    return df.filter(reduce(and_, [name_col(c).isNotNull() for c in cols]))
 
 
 def range_predicate(c: ColumnOrName, lo=None, hi=None, drop_nan: bool = True) -> Column:
@@ -74,10 +74,11 @@ def fill_missing(df: DataFrame, values: dict[str, object], normalise_sentinels:
     """
     cols = {}
     for name, value in values.items():
+        c = name_col(name)
         if normalise_sentinels:
-            cols[name] = F.when(is_missing(name), F.lit(value)).otherwise(F.col(name))
+            cols[name] = F.when(is_missing(c), F.lit(value)).otherwise(c)
         else:
-            cols[name] = F.coalesce(F.col(name), F.lit(value))
+            cols[name] = F.coalesce(c, F.lit(value))
     return df.withColumns(cols)
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from ..functions.columns import name_col
+
 BOM = "\ufeff"
 # Null marker used when landing CSV, so that NULL and the empty text survive a round trip.
 CSV_NULL = "\\N"
@@ -82,8 +84,8 @@ def schema_report(df: DataFrame) -> DataFrame:
 
 def preview(df: DataFrame, n: int = 5, width: int = 50, order_by: list[str | Column] | None = None) -> DataFrame:
     """SNK2: first ``n`` rows by ``order_by`` (bare ``show`` is unordered), text cut to ``width``."""
-    cut = [F.substring(F.col(f.name), 1, width).alias(f.name) if isinstance(f.dataType, StringType)
-           else F.col(f.name) for f in df.schema.fields]
+    cut = [F.substring(name_col(f.name), 1, width).alias(f.name) if isinstance(f.dataType, StringType)
+           else name_col(f.name) for f in df.schema.fields]
     ordered = df.orderBy(*order_by) if order_by else df
     return ordered.limit(n).select(*cut)
 

@@ -48,3 +48,10 @@ def test_schema_report_and_preview(spark):
     assert [r.k for r in pv] == [1, 2] and len(pv[1].s) == 50
     register(df, "t_preview")
     assert spark.sql("SELECT count(*) FROM t_preview").first()[0] == 2
+
+
+def test_preview_and_drop_missing_with_dotted_names(spark):
+    from dfinsight.operators.cleaning import drop_missing
+    df = spark.createDataFrame([(1, "x" * 60), (2, None)], "`a.b` int, `c.d` string")
+    assert [r[0] for r in preview(df, 5, 50, order_by=["`a.b`"]).collect()] == [1, 2]
+    assert drop_missing(df, ["c.d"]).count() == 1
