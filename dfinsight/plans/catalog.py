@@ -228,6 +228,20 @@ def q_numeric_titles(spark, sf):
                     "min", "max")
 
 
+@query("profile_orders", f"""
+SELECT 1 AS position, 'o_orderkey' AS column_name, count(*) AS n_rows, CAST(count_if(o_orderkey IS NULL OR CAST(o_orderkey AS VARCHAR) IN ('', 'null')) AS BIGINT) AS n_missing, CAST(CAST(count_if(o_orderkey IS NULL OR CAST(o_orderkey AS VARCHAR) IN ('', 'null')) AS BIGINT) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS pct_missing, count(o_orderkey) AS n, {R('avg(CAST(o_orderkey AS DOUBLE))', 4)} AS mean, {R('stddev_samp(CAST(o_orderkey AS DOUBLE))', 4)} AS stddev, CAST(min(o_orderkey) AS DOUBLE) AS min, CAST(max(o_orderkey) AS DOUBLE) AS max FROM orders
+ UNION ALL SELECT 2 AS position, 'o_custkey' AS column_name, count(*) AS n_rows, CAST(count_if(o_custkey IS NULL OR CAST(o_custkey AS VARCHAR) IN ('', 'null')) AS BIGINT) AS n_missing, CAST(CAST(count_if(o_custkey IS NULL OR CAST(o_custkey AS VARCHAR) IN ('', 'null')) AS BIGINT) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS pct_missing, count(o_custkey) AS n, {R('avg(CAST(o_custkey AS DOUBLE))', 4)} AS mean, {R('stddev_samp(CAST(o_custkey AS DOUBLE))', 4)} AS stddev, CAST(min(o_custkey) AS DOUBLE) AS min, CAST(max(o_custkey) AS DOUBLE) AS max FROM orders
+ UNION ALL SELECT 3 AS position, 'o_orderstatus' AS column_name, count(*) AS n_rows, CAST(count_if(o_orderstatus IS NULL OR CAST(o_orderstatus AS VARCHAR) IN ('', 'null')) AS BIGINT) AS n_missing, CAST(CAST(count_if(o_orderstatus IS NULL OR CAST(o_orderstatus AS VARCHAR) IN ('', 'null')) AS BIGINT) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS pct_missing, CAST(NULL AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max FROM orders
+ UNION ALL SELECT 4 AS position, 'o_totalprice' AS column_name, count(*) AS n_rows, CAST(count_if(o_totalprice IS NULL OR CAST(o_totalprice AS VARCHAR) IN ('', 'null')) AS BIGINT) AS n_missing, CAST(CAST(count_if(o_totalprice IS NULL OR CAST(o_totalprice AS VARCHAR) IN ('', 'null')) AS BIGINT) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS pct_missing, count(o_totalprice) AS n, {R('avg(CAST(o_totalprice AS DOUBLE))', 4)} AS mean, {R('stddev_samp(CAST(o_totalprice AS DOUBLE))', 4)} AS stddev, CAST(min(o_totalprice) AS DOUBLE) AS min, CAST(max(o_totalprice) AS DOUBLE) AS max FROM orders
+ UNION ALL SELECT 5 AS position, 'o_orderdate' AS column_name, count(*) AS n_rows, CAST(count_if(o_orderdate IS NULL OR CAST(o_orderdate AS VARCHAR) IN ('', 'null')) AS BIGINT) AS n_missing, CAST(CAST(count_if(o_orderdate IS NULL OR CAST(o_orderdate AS VARCHAR) IN ('', 'null')) AS BIGINT) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS pct_missing, CAST(NULL AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max FROM orders
+ UNION ALL SELECT 6 AS position, 'o_orderpriority' AS column_name, count(*) AS n_rows, CAST(count_if(o_orderpriority IS NULL OR CAST(o_orderpriority AS VARCHAR) IN ('', 'null')) AS BIGINT) AS n_missing, CAST(CAST(count_if(o_orderpriority IS NULL OR CAST(o_orderpriority AS VARCHAR) IN ('', 'null')) AS BIGINT) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS pct_missing, CAST(NULL AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max FROM orders""")
+def q_profile_orders(spark, sf):
+    """D1 + D2 + D3 in one scan of orders (rounded means / stddevs for the comparison)."""
+    p = profile.profile_table(table(spark, sf, "orders"))
+    return p.select("position", "column_name", "n_rows", "n_missing", "pct_missing", "n",
+                    round_to("mean", 4).alias("mean"), round_to("stddev", 4).alias("stddev"), "min", "max")
+
+
 @query("row_count_lineitem", "SELECT count(*) AS n_rows FROM lineitem")
 def q_row_count(spark, sf):
     return profile.row_count(table(spark, sf, "lineitem"))

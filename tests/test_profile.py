@@ -47,3 +47,14 @@ def test_profile_odd_names_and_text_numbers(spark):
     assert prof == {"a.b": 1, "c d": 2}
     summ = numeric_summary(df, ["a.b"]).first()
     assert summ.n == 1 and summ.mean == 1.5
+
+
+def test_profile_table_one_scan(spark):
+    from dfinsight.operators.profile import profile_table
+    ev = messy_events(spark, SF01)
+    prof = profile_table(ev)
+    assert plan_of(prof).count("FileScan parquet") == 1
+    rows = {r.column_name: r for r in prof.collect()}
+    assert rows["event_type"].n_missing == 2104 and rows["event_type"].mean is None
+    assert rows["value"].n_missing == 1429 and rows["value"].n == 10000 - 1429
+    assert all(r.n_rows == 10000 for r in rows.values())
