@@ -30,3 +30,29 @@ def test_numeric_summary_single_scan(spark):
 def test_gram_matrix_shuffles_only_partials(spark):
     plan = plan_of(entry.queries()["gram_matrix"](spark, SF001))
     assert "MapInArrow" in plan and "hashpartitioning(i" in plan
+
+
+def _windows(node):
+    """(partition key count) of every Window node in a physical plan, AQE wrappers unwrapped."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        yield from _windows(node.executedPlan())
+        return
+    if name == "Window":
+        yield node.partitionSpec().size()
+    kids = node.children()
+    for i in range(kids.size()):
+        yield from _windows(kids.apply(i))
+
+
+# Unpartitioned windows allowed only over bounded inputs: one row per time bucket (trend deltas),
+# per range partition (sequence offsets, range proofs).
+BOUNDED_GLOBAL_WINDOWS = {"trend_delta_orders": 1, "trend_day_events": 1, "global_sequence_events": 1,
+                          "sorted_ranges_check": 1, "epoch_shards_embeddings": 2}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
+def test_no_unpartitioned_window_over_data(spark, name):
+    plan = entry.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan()
+    unpartitioned = sum(1 for n in _windows(plan) if n == 0)
+    assert unpartitioned == BOUNDED_GLOBAL_WINDOWS.get(name, 0)
