@@ -56,3 +56,20 @@ def test_no_unpartitioned_window_over_data(spark, name):
     plan = entry.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan()
     unpartitioned = sum(1 for n in _windows(plan) if n == 0)
     assert unpartitioned == BOUNDED_GLOBAL_WINDOWS.get(name, 0)
+
+
+def _node_names(node):
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        yield from _node_names(node.executedPlan())
+        return
+    yield name
+    kids = node.children()
+    for i in range(kids.size()):
+        yield from _node_names(kids.apply(i))
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
+def test_no_cross_join(spark, name):
+    names = set(_node_names(entry.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan()))
+    assert not names & {"CartesianProduct", "BroadcastNestedLoopJoin"}
