@@ -21,3 +21,12 @@ def test_read_lines_fallback_is_eager(spark):
 def test_word_count_plan_stays_in_jvm(spark):
     plan = plan_of(word_count(lines_from(spark, SAMPLE), "value", k=10))
     assert "PythonUDF" not in plan and "TakeOrderedAndProject" in plan and "HashAggregate" in plan
+
+
+def test_ensure_parallelism_only_for_under_split_input(spark):
+    from dfinsight.plans.sizing import ensure_parallelism
+    par = spark.sparkContext.defaultParallelism
+    few = spark.range(100).coalesce(1)
+    assert ensure_parallelism(few).rdd.getNumPartitions() == 2 * par
+    many = spark.range(100).repartition(4 * par)
+    assert ensure_parallelism(many) is many
