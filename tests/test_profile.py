@@ -58,3 +58,13 @@ def test_profile_table_one_scan(spark):
     assert rows["event_type"].n_missing == 2104 and rows["event_type"].mean is None
     assert rows["value"].n_missing == 1429 and rows["value"].n == 10000 - 1429
     assert all(r.n_rows == 10000 for r in rows.values())
+
+
+def test_label_counts_switches_and_bucket_limit(spark):
+    df = spark.createDataFrame([("a / b/",), (" a",), ("",)], "s string")
+    plain = {r.label: r.n for r in label_counts(df, "s").collect()}
+    assert plain == {"a ": 1, " b": 1, "": 2, " a": 1}
+    tidy = {r.label: r.n for r in label_counts(df, "s", trim=True, drop_empty=True).collect()}
+    assert tidy == {"a": 2, "b": 1}
+    years = spark.createDataFrame([(1995.0,), (1981.0,), (2001.0,), (None,)], "y double")
+    assert [(r.bucket_start, r.n) for r in bucket_counts(years, "y", 10, k=2).collect()] == [(None, 1), (1980, 1)]
