@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import explode_labels, retype, safe_cast
 from ..operators.cleaning import Rule, Step, any_rule, apply_steps, cleaning_audit, fill_missing, present, range_predicate
-from ..operators.profile import bucket_counts, label_counts, missing_profile, numeric_summary, row_count
+from ..operators.profile import bucket_counts, label_counts, missing_profile, numeric_summary, profile_table, row_count
 from ..operators.ranking import top_per_label
 from ..operators.reports import group_report, top_k, trend
 from ..sources.io import preview, schema_report
@@ -103,9 +103,12 @@ def two_region_high(base: DataFrame, rules=HIGH_RULES, k: int = HIGH_TOP) -> Dat
 
 
 def profile_report(raw: DataFrame, key: str = "movie_id") -> dict[str, DataFrame]:
-    """Schema, ordered preview, row counts, missing profile, numeric summary, label and decade counts."""
+    """Schema, ordered preview, row counts, missing profile, numeric summary, label and decade counts.
+
+    ``table`` is the one-scan form of the raw table's profile (D1 + D2 + D3 together)."""
     cleaned = clean_movies(raw)
     return {
+        "table": profile_table(raw),
         "schema": schema_report(raw),
         "preview": preview(raw, 5, 50, order_by=[key]),
         "rows_before": row_count(raw),
