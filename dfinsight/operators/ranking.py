@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.ranged import PID, POS, partition_offsets, ranged_layout
 from ..plans.sizing import join_by_size
+from ..session import checkpoint_dir
 
 _RANKERS = {"dense_rank": F.dense_rank, "rank": F.rank, "row_number": F.row_number}
 
@@ -31,50 +32,69 @@ def _sort_cols(parts: list[tuple[str, bool]]) -> list[Column]:
     return [F.col(n).desc() if d else F.col(n).asc() for n, d in parts]
 
 
+def _top_keys(keys: DataFrame, label: str, names: list[str], cols: list[Column], k: int, method: str,
+              rank_name: str) -> DataFrame:
+    """Per label, the distinct sort keys whose dense rank / rank is <= k, from (label, keys, _ties)."""
+    w = Window.partitionBy(label).orderBy(*cols)
+    top = keys.withColumn("_dr", F.dense_rank().over(w)).filter(F.col("_dr") <= F.lit(k))
+    if method == "dense_rank":
+        top = top.withColumn(rank_name, F.col("_dr"))
+    else:  # rank = 1 + rows with a strictly better key; only the top k distinct keys can reach k
+        before = Window.partitionBy(label).orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+        top = top.withColumn(rank_name, (F.lit(1) + F.coalesce(F.sum("_ties").over(before), F.lit(0))).cast("int"))
+        top = top.filter(F.col(rank_name) <= F.lit(k))
+    return top.select(label, *names, F.col(rank_name).cast("int").alias(rank_name))
+
+
 def top_per_label(df: DataFrame, label: str, order: list[OrderKey], k: int = 3,
                   method: str = "dense_rank", rank_name: str = "rank_in_label",
-                  strategy: str = "auto") -> DataFrame:
+                  strategy: str = "auto", salts: int | None = None) -> DataFrame:
     """Rank rows inside each label and keep rank <= k.
 
     ``order``: sort keys as names (ascending), ``(name, "desc" | "asc")`` pairs, or Columns.
     ``dense_rank`` / ``rank`` keep every tie, so a label may return more than k rows;
     ``row_number`` needs ``order`` to end in a unique column to be deterministic.
 
-    Strategies (same result; ``"auto"`` is ``"window"``):
+    Strategies (same result; ``"auto"`` is ``"salted"`` for ``dense_rank`` / ``rank`` with named
+    keys, else ``"window"``):
 
     * ``"window"``: one window; the filter on the rank lets Catalyst insert ``WindowGroupLimit``
-      before the shuffle, so each task ships only its local top ranks per label. Right for
-      near-unique sort keys: a hot label costs k rows per task. Its weak spot is a coarse key:
-      ranks keep every tie, so a hot label whose rows tie on the key ships all of them to one task.
-    * ``"distinct"`` (``dense_rank`` / ``rank`` with named keys): each label's top k *distinct*
-      sort keys come from a table where ties are collapsed (partial aggregation folds them per
-      task), with the rank computed from tie counts; rows are then kept by a size-checked
-      broadcast join and never move to a per-label reducer. Costs one narrow shuffle of the
-      per-task distinct (label, key) pairs - cheap for coarse keys (ranking by a score with few
-      values), up to all rows for near-unique keys.
+      before the shuffle, so each task ships only its local top ranks per label. Its weak spot is
+      a coarse key: ranks keep every tie, so a hot label whose rows tie ships all of them to one task.
+    * ``"salted"``: the same window per (label, input partition) first - ``WindowGroupLimit``
+      keeps each task's local top k per label, and even a tied hot label is spread over as many
+      groups as there are input partitions. Every row whose key is in its label's global top k
+      survives this step. The surviving rows are checkpointed; each label's global top k
+      distinct keys (with tie counts, for ``rank``) come from their distinct keys, and the rows are
+      kept by a size-checked broadcast join. No label ever gathers in one task, and the common
+      case ships only k rows per label per task.
+    * ``"distinct"``: the global top k distinct keys from a tie-collapsed table of all rows, then
+      the broadcast join; one narrow shuffle of every per-task distinct (label, key).
     """
     parts = _key_parts(order)
     cols = _sort_cols(parts) if parts is not None else list(order)
     if strategy == "auto":
-        strategy = "window"
+        strategy = "salted" if parts is not None and method in ("dense_rank", "rank") else "window"
     if strategy == "window":
         w = Window.partitionBy(label).orderBy(*cols)
         return (df.withColumn(rank_name, _RANKERS[method]().over(w))
                 .filter(F.col(rank_name) <= F.lit(k)))
     if parts is None or method not in ("dense_rank", "rank"):
-        raise ValueError("the distinct strategy needs named sort keys and dense_rank or rank")
+        raise ValueError(f"the {strategy} strategy needs named sort keys and dense_rank or rank")
     names = [n for n, _ in parts]
-    keys = df.groupBy(label, *names).agg(F.count(F.lit(1)).alias("_ties"))
-    w = Window.partitionBy(label).orderBy(*cols)
-    top = keys.withColumn("_dr", F.dense_rank().over(w)).filter(F.col("_dr") <= F.lit(k))
-    if method == "dense_rank":
-        top = top.withColumn(rank_name, F.col("_dr"))
-    else:  # rank = 1 + rows with a strictly better key; only the top k distinct keys can reach k
-        before = Window.partitionBy(label).orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
-        top = top.withColumn(rank_name, (F.lit(1) + F.coalesce(F.sum("_ties").over(before), F.lit(0))).cast("int"))
-        top = top.filter(F.col(rank_name) <= F.lit(k))
-    top = top.select(label, *names, F.col(rank_name).cast("int").alias(rank_name))
-    return join_by_size(df, top, [label, *names])
+    if strategy == "distinct":
+        keys = df.groupBy(label, *names).agg(F.count(F.lit(1)).alias("_ties"))
+        return join_by_size(df, _top_keys(keys, label, names, cols, k, method, rank_name), [label, *names])
+    if strategy != "salted":
+        raise ValueError(f"unknown strategy {strategy}")
+    n_salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(n_salts)))
+    local = Window.partitionBy(label, "_salt").orderBy(*cols)
+    checkpoint_dir(df.sparkSession)
+    cand = (salted.withColumn("_ldr", F.dense_rank().over(local)).filter(F.col("_ldr") <= F.lit(k))
+            .drop("_salt", "_ldr").checkpoint(eager=True))
+    keys = cand.groupBy(label, *names).agg(F.count(F.lit(1)).alias("_ties"))
+    return join_by_size(cand, _top_keys(keys, label, names, cols, k, method, rank_name), [label, *names])
 
 
 def running_count(df: DataFrame, key: str, ts: str, tiebreak: str, out: str = "running_count",

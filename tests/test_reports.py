@@ -103,11 +103,13 @@ def test_top_per_label_strategies_agree_with_hot_tied_label(spark):
     rows_ = [("hot", 5.0, i) for i in range(300)] + [("hot", 9.0, 1), ("hot", 7.0, 2), ("hot", None, 3)] + \
             [("a", float(i % 4), i) for i in range(20)] + [(None, 1.0, 0), (None, 1.0, 1)]
     df = spark.createDataFrame(rows_, "g string, s double, id long")
-    for method, k in (("dense_rank", 3), ("rank", 3), ("rank", 2), ("dense_rank", 1)):
-        win = top_per_label(df, "g", [F.col("s").desc()], k, method, "r", strategy="window")
-        dis = top_per_label(df, "g", [("s", "desc")], k, method, "r", strategy="distinct")
-        key = lambda r: (r.g or "", r.id, r.r)
-        assert sorted(map(key, win.collect())) == sorted(map(key, dis.collect())), (method, k)
-    assert "WindowGroupLimit" in plan_of(top_per_label(df, "g", [("s", "desc")], 3))  # auto = window
-    plan = plan_of(top_per_label(df, "g", [("s", "desc")], 3, strategy="distinct"))
+    df = df.repartition(5)
+    key = lambda r: (r.g or "", r.id, r.r)
+    for method, k in (("dense_rank", 3), ("rank", 3), ("rank", 2), ("dense_rank", 1), ("rank", 310)):
+        win = sorted(map(key, top_per_label(df, "g", [F.col("s").desc()], k, method, "r", strategy="window").collect()))
+        for strategy in ("distinct", "salted"):
+            got = top_per_label(df, "g", [("s", "desc")], k, method, "r", strategy=strategy, salts=3)
+            assert sorted(map(key, got.collect())) == win, (method, k, strategy)
+    assert "WindowGroupLimit" in plan_of(top_per_label(df, "g", [F.col("s").desc()], 3))  # Column keys: window
+    plan = plan_of(top_per_label(df, "g", [("s", "desc")], 3))  # named keys: salted
     assert "BroadcastHashJoin" in plan
