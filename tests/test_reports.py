@@ -113,3 +113,16 @@ def test_top_per_label_strategies_agree_with_hot_tied_label(spark):
     assert "WindowGroupLimit" in plan_of(top_per_label(df, "g", [F.col("s").desc()], 3))  # Column keys: window
     plan = plan_of(top_per_label(df, "g", [("s", "desc")], 3))  # named keys: salted
     assert "BroadcastHashJoin" in plan
+
+
+def test_ranking_strategies_agree_on_titles(spark):
+    from dfinsight.functions.columns import explode_labels
+    base = movies.analysis_base(titles(spark, SF01)).select("genres", "title", "rating_score", "rating_count")
+    ex = explode_labels(base, "genres", "genre").repartition(7)
+    key = lambda r: (r.genre, r.title, r.r)
+    for method, order in (("dense_rank", [("rating_score", "desc"), ("rating_count", "desc")]),
+                          ("rank", [("rating_score", "desc")])):
+        want = sorted(map(key, top_per_label(ex, "genre", order, 3, method, "r", strategy="window").collect()))
+        for strategy in ("distinct", "salted"):
+            got = sorted(map(key, top_per_label(ex, "genre", order, 3, method, "r", strategy=strategy).collect()))
+            assert got == want, (method, strategy)
