@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.ranged import PID, POS, partition_offsets, ranged_layout
-from ..plans.sizing import join_by_size
-from ..session import checkpoint_dir
+from ..plans.sizing import join_by_size, materialize
 
 _RANKERS = {"dense_rank": F.dense_rank, "rank": F.rank, "row_number": F.row_number}
 
@@ -90,9 +89,8 @@ def top_per_label(df: DataFrame, label: str, order: list[OrderKey], k: int = 3,
     n_salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(n_salts)))
     local = Window.partitionBy(label, "_salt").orderBy(*cols)
-    checkpoint_dir(df.sparkSession)
-    cand = (salted.withColumn("_ldr", F.dense_rank().over(local)).filter(F.col("_ldr") <= F.lit(k))
-            .drop("_salt", "_ldr").checkpoint(eager=True))
+    cand = materialize(salted.withColumn("_ldr", F.dense_rank().over(local)).filter(F.col("_ldr") <= F.lit(k))
+                       .drop("_salt", "_ldr"), "rank-candidates")
     keys = cand.groupBy(label, *names).agg(F.count(F.lit(1)).alias("_ties"))
     return join_by_size(cand, _top_keys(keys, label, names, cols, k, method, rank_name), [label, *names])
 

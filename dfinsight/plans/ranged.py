@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir
+from .sizing import materialize
 
 PID = "_pid"
 POS = "_pos"
@@ -47,9 +48,7 @@ def ranged_layout(df: DataFrame, order: list[Column | str], n: int | None = None
         POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
     if store == "checkpoint":
         return ranged.checkpoint(eager=True)
-    path = scratch_path(spark, "layout")
-    ranged.write.parquet(path)
-    return spark.read.parquet(path)
+    return materialize(ranged, "layout")
 
 
 def partition_offsets(laid: DataFrame) -> DataFrame:
