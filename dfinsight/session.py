@@ -68,3 +68,13 @@ def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     return n
+
+
+def clean_scratch(spark: SparkSession) -> bool:
+    """Delete this library's scratch prefix (``<checkpoint dir>/dfinsight``: range layouts, rank
+    candidates, landed tables, stream logs and state) at the end of a job. Only call it once no
+    DataFrame returned by the operators is used any more. Returns whether anything was deleted."""
+    prefix = f"{checkpoint_dir(spark).rstrip('/')}/dfinsight"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(prefix)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.exists(jpath) and fs.delete(jpath, True))
