@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, scratch_path
+from ..session import scratch_path
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
@@ -22,12 +22,11 @@ def join_by_size(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
                  max_rows: int | None = None) -> DataFrame:
     """Equi-join (NULL-safe on every key) that broadcasts ``small`` only after counting it.
 
-    ``small`` is checkpointed to the shared folder (so it is computed once, holds no executor
+    ``small`` is written once to the shared folder (so it is computed once, holds no executor
     memory, and survives executor loss) and counted; at most ``max_rows`` rows are broadcast,
     otherwise the join stays a shuffled sort-merge join (AQE may still convert it at runtime).
     """
-    checkpoint_dir(small.sparkSession)
-    small = small.checkpoint(eager=True)
+    small = materialize(small, "small-side")
     n = small.count()
     limit = max_rows if max_rows is not None else max_broadcast_rows(big)
     renamed = small.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in small.columns])
