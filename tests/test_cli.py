@@ -14,3 +14,16 @@ def test_cli_run_writes_parquet(spark, tmp_path):
     out = str(tmp_path / "q1")
     assert main(["run", "country_report", "--sf-dir", "/root/testdata/sf0.001", "--out", out]) == 0
     assert spark.read.parquet(out).count() > 0
+
+
+def test_cli_profile_and_analyse(spark, capsys, tmp_path):
+    from tests.test_movies_csv import HEADER, LINES
+    p = tmp_path / "movies.csv"
+    p.write_text("﻿" + HEADER + "\n" + "\n".join(LINES) + "\n", encoding="utf-8")
+    assert main(["profile", str(p)]) == 0
+    out = capsys.readouterr().out
+    for section in ("== table", "== audit", "== missing", "== decades"):
+        assert section in out
+    assert main(["analyse", str(p), "--rule", "美国:8.5:100000", "--rule", "中国大陆:8.0:50000"]) == 0
+    out = capsys.readouterr().out
+    assert "== q5_two_regions" in out and "Seven" in out
