@@ -63,9 +63,9 @@ def top_per_label(df: DataFrame, label: str, order: list[OrderKey], k: int = 3,
     * ``"salted"``: the same window per (label, input partition) first - ``WindowGroupLimit``
       keeps each task's local top k per label, and even a tied hot label is spread over as many
       groups as there are input partitions. Every row whose key is in its label's global top k
-      survives this step. The surviving rows are written once (Parquet, shared folder); each label's global top k
-      distinct keys (with tie counts, for ``rank``) come from their distinct keys, and the rows are
-      kept by a size-checked broadcast join. No label ever gathers in one task, and the common
+      survives this step. The surviving rows are written once (Parquet, shared folder); each
+      label's global top k distinct keys (with tie counts, for ``rank``) come from their distinct
+      keys, and the rows are kept by a size-checked broadcast join. No label ever gathers in one task, and the common
       case ships only k rows per label per task.
     * ``"distinct"``: the global top k distinct keys from a tie-collapsed table of all rows, then
       the broadcast join; one narrow shuffle of every per-task distinct (label, key).
