@@ -405,3 +405,25 @@ def q_audit_events(spark, sf):
     from ..operators.cleaning import Step, cleaning_audit
     steps = [Step("value present", F.col("value").isNotNull()), Step("event_type present", ~is_missing("event_type"))]
     return cleaning_audit(messy_events(spark, sf), steps)
+
+
+# ----------------------------------------------------------------------------- shared range layout
+@query("user_activity_events", f"""
+WITH r AS (
+  SELECT user_id, ts, row_number() OVER w AS rn,
+         (CAST(date_diff('microsecond', lag(ts) OVER w, ts) AS DOUBLE) / 1e6) * (value + lag(value) OVER w) / 2.0 AS area
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, count(*) AS n_points, {R('coalesce(sum(area), 0.0)', 2)} AS integral,
+       max(CASE WHEN rn = 10 THEN ts END) AS tenth_event_ts
+FROM r GROUP BY user_id""")
+def q_user_activity(spark, sf):
+    """W4 + M2 over one shared range layout: per user, the event count, the integral of value over
+    time, and when the running count reached 10 (NULL for fewer events)."""
+    from ..plans.ranged import ranged_layout
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    laid = ranged_layout(ev, ["user_id", "ts", "event_id"])
+    counts = ranking.running_count(ev, "user_id", "ts", "event_id", layout=laid)
+    tenth = counts.filter(F.col("running_count") == F.lit(10)).select("user_id", F.col("ts").alias("tenth_event_ts"))
+    integ = numeric.integrate(ev, "user_id", "ts", "value", "event_id", layout=laid)
+    return (integ.join(tenth, "user_id", "left")
+            .select("user_id", "n_points", round_to("integral", 2).alias("integral"), "tenth_event_ts"))

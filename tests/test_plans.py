@@ -79,7 +79,8 @@ def test_no_cross_join(spark, name):
 # (global_sequence, epoch_shards), a counted stats / top-key table (running_count, the salted and distinct
 # rank strategy), or a side Catalyst sized from file statistics under the broadcast threshold
 # (matmul's part table at this scale).
-BOUNDED_BROADCASTS = {"rank_variants_genre": 1, "top_per_genre": 1, "running_count_user": 1, "global_sequence_events": 1,
+BOUNDED_BROADCASTS = {"rank_variants_genre": 1, "top_per_genre": 1, "running_count_user": 1,
+                      "user_activity_events": 1, "global_sequence_events": 1,
                       "epoch_shards_embeddings": 2, "matmul_order_size": 1}
 
 
