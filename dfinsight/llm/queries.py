@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import blob_ledger, lang_id, line_quality, source_mix
+from . import blob_ledger, bpe, lang_id, line_quality, source_mix, token_counts, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_token_counts": token_counts.q_token_counts,
+        "op2_toxicity": toxicity.q_toxicity,
         "op4_line_quality": line_quality.q_line_quality,
         "op6_blob_ledger": blob_ledger.q_blob_ledger,
+        "op8_bpe": bpe.q_bpe,
         "op9_source_mix": source_mix.q_source_mix,
         "op10_lang_id": lang_id.q_lang_id,
     }
