@@ -20,11 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package, wherever the driver was started."""
-    env = df.sparkSession.sparkContext.environment
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver was started."""
+    env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH")) if x)
+
+
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    importable(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
