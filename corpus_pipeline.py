@@ -7,13 +7,15 @@ one row per document copy with its token count and digests.
 
 from __future__ import annotations
 
-from dfinsight.llm import blob_ledger, lang_id, source_mix
+from dfinsight.llm import blob_ledger, bpe, lang_id, ngram_join, source_mix
 from dfinsight.llm.base import stored
 
 STAGES = [
     ("language_id", lang_id.stage_lang_id),
+    ("near_duplicates", ngram_join.stage_ngram_join),
     ("secrets", blob_ledger.stage_blob_ledger),
     ("mix", source_mix.stage_source_mix),
+    ("tokens", bpe.stage_bpe),
 ]
 
 #: The near-duplicate, secret-scan and BPE stages have no SQL form; tests hold run() against a brute-force version.
