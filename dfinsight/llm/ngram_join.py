@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .base import BITMAP_BITS, connected_components, id_bitmap, map_arrow, stored, table
 
-WORDS, PERCENT, LIST, BLOCK, SALT_ROWS = 5, 80, 32, 512, 256
+WORDS, PERCENT, LIST, BLOCK, STREAM, SALT_ROWS = 5, 80, 32, 512, 1024, 256
 #: U: the tokens below this bound, a quarter of the (signed, uniform) token space.
 QUARTER = -(1 << 62)
 #: Odd multipliers that re-order the token space, for the second and third order.
@@ -316,14 +316,16 @@ def _left_in_groups(docs: DataFrame, reps: DataFrame, groups: DataFrame, comps:
                      .withColumn("out", F.col("comp") != F.col("hub_comp")), "members")
     need = None
     for family, (index, stream) in enumerate((("out and smaller", "true"), ("out and not smaller", "smaller and not out"))):
-        held = members.filter(index).groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("k"))
-        at = lambda block: (block * 2 + family).alias("salt")
-        streamed = members.filter(stream).join(held, "hub").select(
-            "sig", "hub", "comp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("block")).select("sig", "hub", at(F.col("block")), F.lit(1).alias("role"), "comp")
-        met = members.filter(stream).select("hub").distinct()
-        indexed = members.filter(index).join(held, "hub").join(met, "hub", "left_semi").select(
-            "sig", "hub", at(F.pmod(F.xxhash64("sig"), F.col("k"))), F.lit(0).alias("role"), "comp")
-        both = streamed.union(indexed)
+        # k blocks of the index and s slices of the stream; every block meets every slice in a task of its own
+        cut = members.groupBy("hub").agg(F.ceil(F.count_if(F.expr(index)) / BLOCK).alias("k"), F.ceil(F.count_if(F.expr(stream)) / STREAM).alias("s")) \
+            .filter("k > 0 and s > 0")
+        whole = members.join(cut, "hub").withColumn("h", F.xxhash64("sig"))
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        salted = lambda df, role: df.select("sig", "hub", ((F.col("block") * F.col("s") + F.col("slice")) * 2 + family).alias("salt"),
+                                            F.lit(role).alias("role"), "comp")
+        streamed = whole.filter(stream).withColumns({"slice": F.pmod(F.col("h"), F.col("s")), "block": every("k")})
+        indexed = whole.filter(index).withColumns({"block": F.pmod(F.col("h"), F.col("k")), "slice": every("s")})
+        both = salted(streamed, 1).union(salted(indexed, 0))
         need = both if need is None else need.union(both)
     return _streamed(_with_texts(docs, reps, need), _against_blocks, ["hub", "salt", "role", "sig", "text", "comp"]).distinct()
 
