@@ -32,6 +32,13 @@ def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def pieces(batches, rows: int = 1024):
+    """The batches in slices of at most ``rows`` rows, so that what a task holds as Python objects stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again: cuts lineage, survives lost
     executors and is not computed twice."""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
-from .base import map_arrow, sha256_hex, table
+from .base import map_arrow, pieces, sha256_hex, table
 
 RULES_VERSION = "2"
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -52,7 +52,7 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
 
 
 def _scan(batches):
-    for b in batches:
+    for b in pieces(batches):
         found = [[{"kind": k, "start": s, "end": e} for k, s, e in find_secrets(t or "")] for t in b.column(1).to_pylist()]
         kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kinds)], names=["blob", "findings"])
@@ -128,7 +128,7 @@ def stage_blob_ledger(spark, docs, sf_dir):
     at, n_at = docs.columns.index("text"), docs.columns.index("n_chars")
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             cols = list(b.columns)
             texts, found_ = cols[at].to_pylist(), cols.pop().to_pylist()
             if any(found_):

@@ -27,7 +27,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .base import map_arrow, table
+from .base import map_arrow, pieces, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NEVER = 1 << 60
@@ -204,11 +204,9 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: st
 
     def run(batches):
         bpe = get()
-        for b in batches:
-            for s in range(0, b.num_rows, 256):
-                part = b.slice(s, 256)
-                got = pa.array([bpe.encode(t or "") for t in part.column(at).to_pylist()], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, got], names=[*b.schema.names, ids])
+        for b in pieces(batches, 256):
+            got = pa.array([bpe.encode(t or "") for t in b.column(at).to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*b.columns, got], names=[*b.schema.names, ids])
 
     return map_arrow(docs, run, _ddl(docs, f"`{ids}` array<int>"))
 
@@ -219,7 +217,7 @@ def decode(rows: DataFrame, ids: str = "token_ids", text: str = "decoded", path:
 
     def run(batches):
         bpe = get()
-        for b in batches:
+        for b in pieces(batches, 256):
             got = pa.array([bpe.decode(x or ()) for x in b.column(at).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, got], names=[*b.schema.names, text])
 
@@ -238,7 +236,7 @@ def digests(docs: DataFrame, text: str = "text", path: str | None = None) -> Dat
 
     def run(batches):
         bpe = get()
-        for b in batches:
+        for b in pieces(batches):
             n, of_ids, of_bytes = [], [], []
             for t in b.column(at).to_pylist():
                 ids = bpe.encode(t or "")

@@ -23,11 +23,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .base import map_arrow, table
+from .base import map_arrow, pieces, table
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-MAX_DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS, ORDER = 3000, 120_000, 60_000, 4
+MAX_DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS, ORDER = 3000, 80_000, 40_000, 4
 FLOOR, CACHE = -6.0, 300_000
 
 
@@ -56,10 +56,10 @@ def _count_grams(batches):
                                           names=["lang", "n", "gram", "c"])
 
     held: dict[str, Counter] = {}
-    for batch in batches:
+    for batch in pieces(batches):
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             held.setdefault(lang, Counter()).update(w[:64] for w in LETTERS.findall((text or "").lower()))
-            if sum(map(len, held.values())) > 200_000:
+            if sum(map(len, held.values())) > 60_000:
                 yield out(held)
                 held = {}
     if held:
@@ -75,24 +75,21 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
         return {"langs": [], "grams": [[] for _ in range(ORDER + 1)], "votes": []}
     share = F.create_map([x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1.0, max_docs_per_lang / n) * (1 << 30))))])
     sample = rows.filter(F.pmod(F.xxhash64(F.coalesce(F.col("k").cast("string"), F.lit("")), F.lit(10)), F.lit(1 << 30)) < share[F.col("l")])
-    found = (map_arrow(sample.select("t", "l"), _count_grams, "lang string, n int, gram string, c long")
-             .groupBy("n", "gram", "lang").agg(F.sum("c").alias("c"))
-             .groupBy("n", "gram").agg(F.sum("c").alias("total"), F.collect_list(F.struct("lang", "c")).alias("by")))
-    word, rest = found.filter("n = 0 and total > 1"), found.filter("n > 0 and total > 1")
-    top = lambda df, k: df.orderBy(F.desc("total"), "n", "gram").limit(k)
     langs = sorted(counts)
-    at = {x: i for i, x in enumerate(langs)}
+    found = (map_arrow(sample.select("t", "l"), _count_grams, "lang string, n int, gram string, c long").groupBy("n", "gram")
+             .agg(F.sum("c").alias("total"), *[F.sum(F.when(F.col("lang") == x, F.col("c")).otherwise(0)).alias(f"c{i}") for i, x in enumerate(langs)])
+             .filter("total > 1"))
     grams: list[list[str]] = [[] for _ in range(ORDER + 1)]
-    table_: list[list[np.ndarray]] = [[] for _ in range(ORDER + 1)]
-    for r in [*top(word, max_words).collect(), *top(rest, max_grams).collect()]:
-        v = np.zeros(len(langs))
-        for x in r.by:
-            v[at[x.lang]] = x.c
-        grams[r.n].append(r.gram)
-        table_[r.n].append(v)
+    counted: list[np.ndarray] = [np.zeros((0, len(langs)))] * (ORDER + 1)
+    for part, most in (("n = 0", max_words), ("n > 0", max_grams)):
+        rows = found.filter(part).orderBy(F.desc("total"), "n", "gram").limit(most).toArrow()
+        order, texts = rows["n"].to_numpy(), rows["gram"].to_pylist()
+        each = np.stack([rows[f"c{i}"].to_numpy() for i in range(len(langs))], 1).astype(np.float64)
+        for n in np.unique(order):
+            at = np.flatnonzero(order == n)
+            grams[n], counted[n] = [texts[i] for i in at], each[at]
     votes = []
-    for each in table_:
-        m = np.array(each).reshape(-1, len(langs))
+    for m in counted:
         logs = np.log((m + 0.1) / (m.sum(0) + 0.1 * max(1, len(m))))
         top_ = logs.max(1, keepdims=True) if len(m) else logs
         votes.append(np.maximum(logs - top_ - np.log(np.exp(logs - top_).sum(1, keepdims=True)), FLOOR).astype(np.float32) if len(m) else logs.astype(np.float32))
@@ -154,7 +151,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text", pred: str = "lang_
 
     def run(batches):
         scorer = Scorer(shared.value)
-        for b in batches:
+        for b in pieces(batches):
             got = [scorer.predict(t) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                                              names=[*b.schema.names, *names])

@@ -38,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .base import BITMAP_BITS, connected_components, id_bitmap, map_arrow, stored, table
+from .base import BITMAP_BITS, WHITE, connected_components, id_bitmap, map_arrow, pieces, stored, table
 
 WORDS, PERCENT, LIST, BLOCK, STREAM, SALT_ROWS = 5, 80, 32, 512, 1024, 256
 #: U: the tokens below this bound, a quarter of the (signed, uniform) token space.
@@ -80,28 +80,26 @@ def linked(common, a, b):
 
 def _sets(batches):
     seen: set[int] = set()
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            b = batch.slice(at, 1024)
-            n, sig, u, tokens, counts = [], [], [], [], []
-            for t in b.column(1).to_pylist():
-                s = shingles(t)
-                k, inside = signature(s), int(np.searchsorted(s, QUARTER))
-                n.append(len(s))
-                sig.append(k)
-                u.append(inside)
-                if len(s) and k not in seen:
-                    if len(seen) >= SEEN_CLASSES:
-                        seen.clear()
-                    seen.add(k)
-                    tokens.append(s[:max(inside, prefix_length(len(s)))])
-                    counts.append(len(tokens[-1]))
-                else:
-                    counts.append(0)
-            flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(u, pa.int64()), lists],
-                                             names=["doc_id", "n", "sig", "u", "tokens"])
+    for b in pieces(batches):
+        n, sig, u, tokens, counts = [], [], [], [], []
+        for t in b.column(1).to_pylist():
+            s = shingles(t)
+            k, inside = signature(s), int(np.searchsorted(s, QUARTER))
+            n.append(len(s))
+            sig.append(k)
+            u.append(inside)
+            if len(s) and k not in seen:
+                if len(seen) >= SEEN_CLASSES:
+                    seen.clear()
+                seen.add(k)
+                tokens.append(s[:max(inside, prefix_length(len(s)))])
+                counts.append(len(tokens[-1]))
+            else:
+                counts.append(0)
+        flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(u, pa.int64()), lists],
+                                         names=["doc_id", "n", "sig", "u", "tokens"])
 
 
 MATCH = "hub boolean, a long, b long, na long, nb long, inside int"
@@ -178,7 +176,7 @@ def _first_tokens(tokens: np.ndarray, order: int) -> np.ndarray:
 def _verify(batches):
     """Rows (hub, salt, role, sig, text), hub's own row (role 0) first -> (a, b) of links."""
     key = own = firsts = None
-    for batch in batches:
+    for batch in pieces(batches):
         a, b = [], []
         hubs, salts, roles, sigs, texts = (c.to_pylist() for c in batch.columns)
         for hub, salt, role, sig, text in zip(hubs, salts, roles, sigs, texts):
@@ -219,7 +217,7 @@ def _against_blocks(batches):
         m, o = np.nonzero(ok)
         found.update(zip(comps[m].tolist(), comp[o].tolist()))
 
-    for batch in batches:
+    for batch in pieces(batches):
         waiting: list = []
         for hub, salt, role, sig, text, comp in zip(*(c.to_pylist() for c in batch.columns)):
             if key != (hub, salt):
@@ -339,7 +337,7 @@ def stage_ngram_join(spark, docs, sf_dir):
     Documents without words, and those without an id, are linked with nothing and stay."""
     found = similarity_components(docs)
     stays = found.filter("n_shingles > 0 and doc_id = component_id").select("doc_id").distinct()
-    free = F.col("doc_id").isNull() | (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]")) == 0)
+    free = F.col("doc_id").isNull() | (F.translate(F.coalesce("text", F.lit("")), WHITE, "") == "")
     one = docs.filter(~free).join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return one.select(*docs.columns).unionByName(docs.filter(free))
 

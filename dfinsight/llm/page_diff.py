@@ -27,7 +27,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .base import map_arrow, table
+from .base import map_arrow, pieces, table
 
 TOKEN = re.compile(r"<!--(?:.*?-->|.*)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>?|<[!?][^>]*>?", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -178,23 +178,21 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def cut(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                b = whole.slice(at, 512)
-                take, bucket, own, lines, core = [], [], [], [], []
-                for i, (k, h) in enumerate(zip(b.column(3).to_pylist(), b.column(2).to_pylist())):
-                    p = min(bisect_left(highs, k), len(highs) - 1)
-                    found = page_lines(h)
-                    for to in (p, *([p - 1] if k <= lows[p] and p else []), *([p + 1] if k >= highs[p] and p + 1 < len(highs) else [])):
-                        take.append(i)
-                        bucket.append(to)
-                        own.append(to == p)
-                        lines.append([t for t, _ in found])
-                        core.append([c for _, c in found])
-                idx = pa.array(take, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), b.column(3).take(idx), pa.array(own, pa.bool_()), b.column(0).take(idx), b.column(1).take(idx),
-                                                  pa.array(lines, pa.list_(pa.string())), pa.array(core, pa.list_(pa.bool_()))],
-                                                 names=["bucket", "key", "own", "page_id", "url", "lines", "core"])
+        for b in pieces(batches, 512):
+            take, bucket, own, lines, core = [], [], [], [], []
+            for i, (k, h) in enumerate(zip(b.column(3).to_pylist(), b.column(2).to_pylist())):
+                p = min(bisect_left(highs, k), len(highs) - 1)
+                found = page_lines(h)
+                for to in (p, *([p - 1] if k <= lows[p] and p else []), *([p + 1] if k >= highs[p] and p + 1 < len(highs) else [])):
+                    take.append(i)
+                    bucket.append(to)
+                    own.append(to == p)
+                    lines.append([t for t, _ in found])
+                    core.append([c for _, c in found])
+            idx = pa.array(take, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), b.column(3).take(idx), pa.array(own, pa.bool_()), b.column(0).take(idx), b.column(1).take(idx),
+                                              pa.array(lines, pa.list_(pa.string())), pa.array(core, pa.list_(pa.bool_()))],
+                                             names=["bucket", "key", "own", "page_id", "url", "lines", "core"])
 
     def difference(batches):
         before = now = None  # (bucket, key, own, page_id, url, lines)
@@ -212,7 +210,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
                                               names=["page_id", "url", "text", "n_chars"])
 
         id_type = None
-        for b in batches:
+        for b in pieces(batches, 512):
             id_type, done = b.schema.field("page_id").type, []
             cols = [c.to_pylist() for c in b.columns]
             for bucket, k, own, pid, u, lines, core in zip(*cols):

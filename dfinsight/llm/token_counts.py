@@ -25,7 +25,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
-from .base import map_arrow, table
+from .base import map_arrow, pieces, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 OUTSIDE = -1
@@ -105,27 +105,25 @@ def section_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", sec
         if name not in _LOADED:
             _LOADED[name] = Offsets(*shared.value)
         offsets = _LOADED[name]
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                b = whole.slice(at, 512)
-                given = b.column(2).to_pylist() if sections else [None] * b.num_rows
-                counts, parts = [], []
-                for t, s in zip(b.column(1).to_pylist(), given):
-                    t = t or ""
-                    lo, hi = sentence_sections(t) if not sections else \
-                        (np.array([x["start"] for x in s or []], np.int64), np.array([x["end"] for x in s or []], np.int64))
-                    starts, ends = offsets.spans(t)
-                    owner, crossing = attribute(starts, ends, lo, hi)
-                    n, c = np.bincount(owner + 1, minlength=len(lo) + 1), np.bincount(owner + 1, crossing, len(lo) + 1).astype(np.int64)
-                    numbers = np.arange(OUTSIDE, len(lo))
-                    rows_ = np.stack([numbers, np.r_[0, lo], np.r_[0, hi], n, c, np.full(len(n), len(starts))])
-                    rows_ = rows_[:, 0 if n[0] or not len(lo) else 1:]
-                    parts.append(rows_)
-                    counts.append(rows_.shape[1])
-                cols = np.concatenate(parts, 1) if parts else np.zeros((6, 0), np.int64)
-                keys = b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), counts)))
-                yield pa.RecordBatch.from_arrays([keys, *(pa.array(c.astype(np.int64)) for c in cols)],
-                                                 names=["key", "section", "start", "end", "n_tokens", "n_crossing", "doc_tokens"])
+        for b in pieces(batches, 512):
+            given = b.column(2).to_pylist() if sections else [None] * b.num_rows
+            counts, parts = [], []
+            for t, s in zip(b.column(1).to_pylist(), given):
+                t = t or ""
+                lo, hi = sentence_sections(t) if not sections else \
+                    (np.array([x["start"] for x in s or []], np.int64), np.array([x["end"] for x in s or []], np.int64))
+                starts, ends = offsets.spans(t)
+                owner, crossing = attribute(starts, ends, lo, hi)
+                n, c = np.bincount(owner + 1, minlength=len(lo) + 1), np.bincount(owner + 1, crossing, len(lo) + 1).astype(np.int64)
+                numbers = np.arange(OUTSIDE, len(lo))
+                rows_ = np.stack([numbers, np.r_[0, lo], np.r_[0, hi], n, c, np.full(len(n), len(starts))])
+                rows_ = rows_[:, 0 if n[0] or not len(lo) else 1:]
+                parts.append(rows_)
+                counts.append(rows_.shape[1])
+            cols = np.concatenate(parts, 1) if parts else np.zeros((6, 0), np.int64)
+            keys = b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), counts)))
+            yield pa.RecordBatch.from_arrays([keys, *(pa.array(c.astype(np.int64)) for c in cols)],
+                                             names=["key", "section", "start", "end", "n_tokens", "n_crossing", "doc_tokens"])
 
     kind = rows.schema["key"].dataType.simpleString()
     return map_arrow(rows, run, f"key {kind}, section long, start long, end long, n_tokens long, n_crossing long, doc_tokens long") \

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .base import map_arrow, stored, table
+from .base import map_arrow, pieces, stored, table
 
 WORDS = re.compile(r"[^\W\d_]+")
 MAX_PER_CLASS, MAX_WORDS, MIN_DOCS, MIN_ODDS, GRADES = 6000, 4000, 5, 1.0, 3
@@ -146,7 +146,7 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     def run(batches):
         model = shared.value
         index, w, theta = {x: i for i, x in enumerate(model["words"])}, model["w"], model["theta"]
-        for b in batches:
+        for b in pieces(batches):
             f = np.array([float(np.dot(w[i], v)) if i else 0.0 for i, v in (sparse(t, index) for t in b.column(at).to_pylist())])
             up = 1 - _sigmoid(theta[None, :] - f.reshape(-1, 1)) if len(theta) else np.zeros((len(f), 1))
             prob = np.concatenate([1 - up[:, :1], up[:, :-1] - up[:, 1:], up[:, -1:]], 1)
