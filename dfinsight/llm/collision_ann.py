@@ -126,6 +126,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, key: str = "vec_
         cat = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
         return pa.table({"query_id": cat(out[0], np.int64), key: cat(out[1], np.int64), "score": cat(out[2], np.float64)})
 
+    # an explicit number of tasks: groups are small in bytes and long in work, so they must not be merged by size
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "dim", "block", "part")
     found = rows.groupBy("dim", "block", "part").applyInArrow(search, f"query_id long, {key} long, score double")
     best = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy("score", key)).cast("int"))
     return best.filter(F.col("rank") <= k).select("query_id", "rank", key, "score")
