@@ -47,6 +47,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns called like the ones an operator adds: its own columns replace them."""
+    taken = {n.lower() for n in names}
+    return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in taken])
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` is called so (case-insensitive)."""
     taken = {c.lower() for c in df.columns}

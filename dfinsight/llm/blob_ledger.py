@@ -81,7 +81,7 @@ def scan_history(history: DataFrame, ledger: str, text: str = "text", key: str =
 def with_findings(history: DataFrame, ledger_rows: DataFrame, columns: list, text: str = "text") -> DataFrame:
     """``columns`` of every row of ``history`` with the findings of its blob (column ``findings``).
     Blobs without findings are left out of the join, so most rows meet nothing."""
-    rows = history.select(F.struct(*columns).alias("d"), F.unhex(sha256_hex(F.col(text))).alias("blob"))
+    rows = history.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d"), F.unhex(sha256_hex(F.col(text))).alias("blob"))
     hits = ledger_rows.filter(F.size("findings") > 0)
     return rows.join(hits, "blob", "left").select("d.*", F.coalesce("findings", F.expr(f"cast(array() as {FINDINGS})")).alias("findings"))
 

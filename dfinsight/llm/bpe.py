@@ -27,7 +27,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .base import map_arrow, pieces, table
+from .base import map_arrow, pieces, table, without
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NEVER = 1 << 60
@@ -200,6 +200,7 @@ _TREES: dict[tuple, list] = {}
 
 def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: str = "token_ids") -> DataFrame:
     """All columns of ``docs`` plus the ids (array<int>) of the text."""
+    docs = without(docs, ids)
     get, at = shared_vocabulary(docs.sparkSession, path), docs.columns.index(text)
 
     def run(batches):
@@ -213,6 +214,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: st
 
 def decode(rows: DataFrame, ids: str = "token_ids", text: str = "decoded", path: str | None = None) -> DataFrame:
     """All columns of ``rows`` plus the bytes that the ids stand for."""
+    rows = without(rows, text)
     get, at = shared_vocabulary(rows.sparkSession, path), rows.columns.index(ids)
 
     def run(batches):
@@ -230,7 +232,8 @@ def _ddl(df: DataFrame, *more: str) -> str:
 
 def digests(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """``docs`` without the text, with n_tokens, ids_sha256 and decoded_sha256: encodes, and decodes the
-    ids again, without moving the ids out of the task."""
+    ids again, without moving the ids out of the task. Columns of the new names are replaced."""
+    docs = without(docs, "n_tokens", "ids_sha256", "decoded_sha256")
     get, at = shared_vocabulary(docs.sparkSession, path), docs.columns.index(text)
     sha = lambda x: hashlib.sha256(x).hexdigest()
 

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .base import map_arrow, pieces, table
+from .base import free_name, map_arrow, pieces, table, without
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -145,7 +145,8 @@ class Scorer:
 
 
 def predict(docs: DataFrame, model: dict, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """All columns of ``docs`` plus the predicted language and its posterior."""
+    """All columns of ``docs`` plus the predicted language and its posterior; columns of these names are replaced."""
+    docs = without(docs, pred, score)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at, names = docs.columns.index(text), [pred, score]
 
@@ -178,5 +179,6 @@ MIN_SCORE = 0.5
 def stage_lang_id(spark, docs, sf_dir):
     """Pipeline stage: documents whose language cannot be told, or only with a posterior below 0.5, go."""
     model = fit(docs.filter(~is_held_out(F.col("doc_id"))))
-    return (predict(docs, model, pred="_lang_pred", score="_lang_score")
-            .filter((F.col("_lang_pred") != UNDETERMINED) & (F.col("_lang_score") >= MIN_SCORE)).select(*docs.columns))
+    pred, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    return (predict(docs, model, pred=pred, score=score)
+            .filter((F.col(pred) != UNDETERMINED) & (F.col(score) >= MIN_SCORE)).select(*[f"`{c}`" for c in docs.columns]))

@@ -12,15 +12,15 @@ repeats are the windows sorted; a very long text costs n log n, never n squared.
 
 Defined cases: null text has no words and is rejected; an empty table gives an empty result; a text
 without a failing line keeps its text; lines without a word are neither counted nor judged; every
-row is judged by itself, so ties and repeated rows need no rule; extra columns are kept, and working
-columns take names that are free.
+row is judged by itself, so ties and repeated rows need no rule; extra columns are kept, but for
+those called like the new ones.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .base import WHITE, WORD, table
+from .base import WHITE, WORD, table, without
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, REPEAT_PERCENT, MAX_LOST, WINDOW = 10, 20, 0.5, 5
@@ -66,8 +66,9 @@ def repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
 
 def clean_lines(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
     """All columns of ``docs`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long),
-    clean_text, n_lines, n_lines_removed, base_failed, kept."""
-    keep = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    clean_text, n_lines, n_lines_removed, base_failed, kept; columns of these names are replaced."""
+    rest = without(docs, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "clean_text", "n_lines", "n_lines_removed", "base_failed", "kept")
+    keep = F.struct(*[F.col(f"`{c}`") for c in rest.columns])
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     df = docs.select(keep.alias("_d"), t.alias("_t"))
     df = df.withColumn("_words", F.regexp_extract_all("_t", F.lit(WORD), F.lit(0)))

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .base import table, word_count
+from .base import free_name, table, word_count
 
 WEIGHTS, SHARE, MAX_EPOCHS, SEED = (3, 1, 2), 1.5, 2, "mix-1"
 #: Hex digits of the key that name a range: 4096 ranges of every source.
@@ -107,7 +107,7 @@ FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
 def stage_source_mix(spark, docs, sf_dir):
     """Pipeline stage: each document comes as many times as the mix takes it (0, 1 or 2); the one on a
     source's cut comes once more where at least half its words are still in the budget."""
-    out = mix(docs)
+    out, copy = mix(docs), free_name(docs, "copy")
     times = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)))
     return (out.withColumn("times", times.cast("int")).filter("times > 0")
-            .select("d.*", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_copy")).select(*[f"`{c}`" for c in docs.columns]))
+            .select("d.*", F.explode(F.sequence(F.lit(1), F.col("times"))).alias(copy)).select(*[f"`{c}`" for c in docs.columns]))

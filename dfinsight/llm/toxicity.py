@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .base import map_arrow, pieces, stored, table
+from .base import map_arrow, pieces, stored, table, without
 
 WORDS = re.compile(r"[^\W\d_]+")
 MAX_PER_CLASS, MAX_WORDS, MIN_DOCS, MIN_ODDS, GRADES = 6000, 4000, 5, 1.0, 3
@@ -139,7 +139,9 @@ def fit(sample: DataFrame, grades: int = GRADES, max_words: int = MAX_WORDS) ->
 
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """All columns of ``docs`` but the text, plus expected ``severity``, most likely ``grade`` and
-    ``toxic`` (grade 1 or higher is likelier than not) with its probability ``p_toxic``."""
+    ``toxic`` (grade 1 or higher is likelier than not) with its probability ``p_toxic``. Columns of these
+    names are replaced."""
+    docs = without(docs, "severity", "grade", "toxic", "p_toxic")
     at = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
