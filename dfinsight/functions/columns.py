@@ -31,11 +31,12 @@ def name_col(name: str) -> Column:
 def safe_cast(c: ColumnOrName, to: str) -> Column:
     """ANSI-safe cast: unparsable text gives NULL instead of failing the job.
 
-    Text to an integral type goes through double so that '8.0' becomes 8 (truncating '8.9' to 8).
+    To an integral type the direct cast comes first, so every integer keeps all its digits; only what
+    it cannot read goes through double, so that the text '8.0' becomes 8 (truncating '8.9' to 8).
     """
     c = col_(c)
     if to.lower() in _INTEGRAL:
-        return c.try_cast("double").try_cast(to)
+        return F.coalesce(c.try_cast(to), c.try_cast("double").try_cast(to))
     return c.try_cast(to)
 
 
@@ -87,14 +88,17 @@ def bucket(c: ColumnOrName, width: int | float = 10) -> Column:
 def round_to(c: ColumnOrName, places: int) -> Column:
     """Half-up rounding through a decimal, so that both Spark and a SQL oracle agree on ties.
 
-    The value is first fixed to 8 places (decimal(38,8)) and then rounded to ``places``.
+    The value is first fixed to 8 places (decimal(38,8)) and then rounded to ``places``, so a value
+    within half a unit of the eighth place below a tie rounds up. Values of 1e30 and above, where
+    no place after the point is left in a double, come back as they are.
     """
-    return F.round(col_(c).cast("decimal(38,8)"), places).cast("double")
+    c = col_(c)
+    return F.coalesce(F.round(c.try_cast("decimal(38,8)"), places).cast("double"), c.cast("double"))
 
 
 def round_long(c: ColumnOrName) -> Column:
-    """Round to 0 places, then bigint (Spark's bare cast would truncate)."""
-    return F.round(col_(c).cast("decimal(38,8)"), 0).cast("bigint")
+    """Round to 0 places, then bigint (Spark's bare cast would truncate); NULL beyond a bigint."""
+    return F.round(col_(c).try_cast("decimal(38,8)"), 0).try_cast("bigint")
 
 
 def contains(c: ColumnOrName, text: str) -> Column:

@@ -9,7 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ColumnOrName, col_, is_missing, name_col
+from ..functions.columns import ColumnOrName, col_, is_missing, name_col, safe_cast
 
 
 def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -18,14 +18,18 @@ def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def range_predicate(c: ColumnOrName, lo=None, hi=None, drop_nan: bool = True) -> Column:
-    """C3 predicate: ``lo <= c <= hi``; NULL is never kept, NaN dropped unless ``drop_nan=False``."""
+    """C3 predicate: ``lo <= c <= hi``; NULL is never kept, NaN dropped unless ``drop_nan=False``.
+
+    Numeric bounds are for numeric columns. NaN is above every number, so it is tested for only where
+    no upper bound already drops it; columns of dates, timestamps or text are compared as they are.
+    """
     c = col_(c)
     parts = []
     if lo is not None:
         parts.append(c >= F.lit(lo))
     if hi is not None:
         parts.append(c <= F.lit(hi))
-    if drop_nan:
+    if drop_nan and hi is None and isinstance(lo, (int, float)) and not isinstance(lo, bool):
         parts.append(~F.isnan(c))
     if not parts:
         parts.append(c.isNotNull())
@@ -58,7 +62,7 @@ class Rule:
 
     def predicate(self) -> Column:
         parts = [F.col(self.text_col).contains(self.text)]
-        parts += [F.col(c) > F.lit(v) for c, v in self.greater]
+        parts += [safe_cast(c, "double") > F.lit(v) for c, v in self.greater]
         return reduce(and_, parts)
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.columns import explode_labels, retype, safe_cast
 from ..operators.cleaning import Rule, Step, any_rule, apply_steps, cleaning_audit, fill_missing, present, range_predicate
@@ -54,7 +55,10 @@ def clean_audit(raw: DataFrame) -> DataFrame:
 
 
 def analysis_base(raw: DataFrame) -> DataFrame:
-    """The filter every analysis query inherits (inferred types: year may be text)."""
+    """The filter every analysis query inherits. Inferred types: year, scores and counts may be text;
+    text that is no number becomes NULL (and a NULL score drops the row), typed columns stay as they are."""
+    numeric = [c for c in ("rating_score", "rating_count", "collect_count") if c in raw.columns]
+    raw = raw.withColumns({c: safe_cast(c, "double") for c in numeric if isinstance(raw.schema[c].dataType, StringType)})
     year = safe_cast("year", "double")
     return raw.filter(range_predicate(year, lo=MIN_YEAR) & range_predicate("rating_score", lo=MIN_SCORE)
                       & present("countries"))
@@ -86,12 +90,14 @@ def decade_trend(base: DataFrame) -> DataFrame:
 
 def top_per_genre(base: DataFrame, k: int = GENRE_TOP, method: str = "dense_rank",
                   trim: bool = False) -> DataFrame:
-    """Explode genres, rank by score desc then raters desc inside each genre, keep <= 3."""
+    """Explode genres, rank by score desc then raters desc inside each genre, keep <= 3;
+    ordered by genre, rank, title."""
     exploded = explode_labels(base.select("genres", "title", "rating_score", "rating_count", "year"),
                               "genres", "genre", trim=trim)
     ranked = top_per_label(exploded, "genre", [("rating_score", "desc"), ("rating_count", "desc")],
                            k, method, "rank_in_genre")
-    return ranked.select("genre", "title", "rating_score", "rating_count", "year", "rank_in_genre")
+    return (ranked.select("genre", "title", "rating_score", "rating_count", "year", "rank_in_genre")
+            .orderBy(F.col("genre").asc_nulls_first(), "rank_in_genre", "title"))
 
 
 def two_region_high(base: DataFrame, rules=HIGH_RULES, k: int = HIGH_TOP) -> DataFrame:

@@ -90,3 +90,18 @@ def test_ntz_instant_round_trip_in_dst_gap(spark):
     assert r.back == dt.datetime(2024, 3, 31, 2, 30, 15, 250)
     assert r.us == int(dt.datetime(2024, 3, 31, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
     assert r.secs == 9015.00025
+
+
+def test_integers_keep_all_digits_and_dates_have_ranges(spark):
+    import datetime as dt
+
+    from dfinsight.functions.columns import retype, round_to
+    from dfinsight.operators.cleaning import keep_range
+    df = spark.createDataFrame([("9007199254740993", 9007199254740993, dt.date(2020, 1, 2), 1e31), ("8.9", -5, dt.date(2021, 1, 2), 0.125), ("x", None, None, None)],
+                               "a string, b long, d date, x double")
+    got = retype(df, {"a": "bigint", "b": "bigint"}).collect()
+    assert [(r.a, r.b) for r in got] == [(9007199254740993, 9007199254740993), (8, -5), (None, None)]
+    assert keep_range(df, "d", lo=dt.date(2020, 6, 1)).count() == 1
+    stamped = df.withColumn("t", F.col("d").cast("timestamp_ntz"))
+    assert keep_range(stamped, "t", hi=dt.datetime(2020, 6, 1)).count() == 1
+    assert [r.y for r in df.select(round_to("x", 2).alias("y")).collect()] == [1e31, 0.13, None]
