@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import seconds_between
-from ..plans.ranged import PID, POS, ranged_layout
+from ..functions.columns import ntz_micros
+from ..plans.ranged import changes
+from ..session import importable
 
 
 def matmul(a: DataFrame, b: DataFrame, combine_duplicates: bool = False) -> DataFrame:
@@ -59,31 +60,55 @@ def gram_matrix(df: DataFrame, vec_col: str) -> DataFrame:
     return parts.groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 
-def integrate(df: DataFrame, key: str, ts: str, value: str, tiebreak: str,
-              n_partitions: int | None = None, layout: DataFrame | None = None) -> DataFrame:
+def integrate(df: DataFrame, key: str, ts: str, value: str, tiebreak: str, n_partitions: int | None = None) -> DataFrame:
     """M2: per key, the trapezoid integral of ``value`` over ``ts`` (seconds), plus the point count.
 
     Same as ``sum((ts - lag(ts)) * (value + lag(value)) / 2) OVER (PARTITION BY key ORDER BY ts,
-    tiebreak)`` summed per key (0 for a single point), but a key holding a third of all rows never
-    lands in one task: rows are range-partitioned on (key, ts, tiebreak); each (key, partition)
-    piece is integrated locally, and the segment joining consecutive pieces of the same key comes
-    from a small per-piece table. ``layout``: a shared :func:`ranged_layout` on (key, ts, tiebreak).
+    tiebreak)`` summed per key (0 for a single point; a NULL time or value leaves out the two
+    segments it ends), but a key holding a third of all rows never lands in one task: rows are
+    range-partitioned on (key, ts, tiebreak) and every sorted partition is integrated as it streams
+    by, one Arrow batch at a time. Only pieces leave it: count, area, first and last point of each
+    key in each batch. The segment from one partition to the next comes from those.
     """
-    laid = layout if layout is not None else ranged_layout(
-        df.select(key, ts, value, tiebreak), [key, ts, tiebreak], n_partitions)
-    ntz = dict(laid.dtypes)[ts] == "timestamp_ntz"
-    w = Window.partitionBy(key, PID).orderBy(POS)
-    prev_ts, prev_v = F.lag(ts).over(w), F.lag(value).over(w)
-    seg = laid.withColumn("_area", seconds_between(prev_ts, F.col(ts), ntz) * (F.col(value) + prev_v) / F.lit(2.0))
-    pieces = seg.groupBy(key, PID).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_area").alias("_inner"),
-        F.min_by(F.struct(F.col(ts).alias("t"), F.col(value).alias("v")), F.col(POS)).alias("_first"),
-        F.max_by(F.struct(F.col(ts).alias("t"), F.col(value).alias("v")), F.col(POS)).alias("_last"))
-    wk = Window.partitionBy(key).orderBy(PID)
-    prev_last = F.lag("_last").over(wk)
-    pieces = pieces.withColumn(
-        "_edge",
-        seconds_between(prev_last["t"], F.col("_first.t"), ntz) * (F.col("_first.v") + prev_last["v"]) / F.lit(2.0))
-    return pieces.groupBy(key).agg(
-        F.sum("_n").cast("long").alias("n_points"),
-        (F.coalesce(F.sum("_inner"), F.lit(0.0)) + F.coalesce(F.sum("_edge"), F.lit(0.0))).alias("integral"))
+    spark = df.sparkSession
+    importable(spark)
+    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    micros = ntz_micros(ts) if dict(df.dtypes)[ts] == "timestamp_ntz" else F.unix_micros(F.col(ts))
+    points = (df.select(key, ts, tiebreak, value).repartitionByRange(n, key, ts, tiebreak).sortWithinPartitions(key, ts, tiebreak)
+              .select(F.col(key).alias("k"), micros.alias("t"), F.col(value).cast("double").alias("v"), F.spark_partition_id().alias("p")))
+
+    def pieces(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        last, number = None, 0  # one-row columns of the last point
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [b.column(i) if last is None else pa.concat_arrays([last[i], b.column(i)]) for i in range(3)]
+            new = changes(cols[0])
+            t, v = (c.to_numpy(zero_copy_only=False).astype(float) for c in cols[1:])  # NULL becomes NaN
+            area = np.concatenate([[0.0], np.diff(t) / 1e6 * (v[1:] + v[:-1]) / 2])
+            area = np.where(new | np.isnan(area), 0.0, area)
+            skip = 0 if last is None else 1
+            new, area = new[skip:], area[skip:]
+            starts = np.flatnonzero(np.concatenate([[True], new[1:]]))
+            ends = np.append(starts[1:], len(new)) - 1
+            opens = np.zeros(len(starts), bool)
+            opens[0] = last is None  # what came before is in another partition
+            idx, end = pa.array(starts), pa.array(ends)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(idx), b.column(3).take(idx), pa.array(number + np.arange(len(starts))), pa.array(opens), pa.array(ends - starts + 1),
+                 pa.array(np.add.reduceat(area, starts)), b.column(1).take(idx), b.column(2).take(idx), b.column(1).take(end), b.column(2).take(end)],
+                names=["k", "p", "i", "opens", "n", "inner", "t0", "v0", "t1", "v1"])
+            number += len(starts)
+            last = [b.column(i).slice(b.num_rows - 1, 1) for i in range(3)]
+
+    kind = df.schema[key].dataType.simpleString()
+    found = points.mapInArrow(pieces, f"k {kind}, p int, i long, opens boolean, n long, inner double, t0 long, v0 double, t1 long, v1 double")
+    w = Window.partitionBy("k").orderBy("p", "i")
+    edge = (F.col("t0") - F.lag("t1").over(w)) / F.lit(1e6) * (F.col("v0") + F.lag("v1").over(w)) / F.lit(2.0)
+    whole = found.withColumn("edge", F.when(F.col("opens"), edge))
+    return whole.groupBy(F.col("k").alias(key)).agg(
+        F.sum("n").cast("long").alias("n_points"),
+        (F.sum("inner") + F.coalesce(F.sum("edge"), F.lit(0.0))).alias("integral"))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.ranged import PID, POS, partition_offsets, ranged_layout
-from ..plans.sizing import join_by_size, materialize
-
-_RANKERS = {"dense_rank": F.dense_rank, "rank": F.rank, "row_number": F.row_number}
-
+from ..plans.ranged import PID, POS, RUN, partition_offsets, ranged_layout
 
 OrderKey = Column | str | tuple[str, str]
 
@@ -46,74 +45,56 @@ def _top_keys(keys: DataFrame, label: str, names: list[str], cols: list[Column],
 
 
 def top_per_label(df: DataFrame, label: str, order: list[OrderKey], k: int = 3,
-                  method: str = "dense_rank", rank_name: str = "rank_in_label",
-                  strategy: str = "auto", salts: int | None = None) -> DataFrame:
+                  method: str = "dense_rank", rank_name: str = "rank_in_label") -> DataFrame:
     """Rank rows inside each label and keep rank <= k.
 
     ``order``: sort keys as names (ascending), ``(name, "desc" | "asc")`` pairs, or Columns.
-    ``dense_rank`` / ``rank`` keep every tie, so a label may return more than k rows;
-    ``row_number`` needs ``order`` to end in a unique column to be deterministic.
-
-    Strategies (same result; ``"auto"`` is ``"salted"`` for ``dense_rank`` / ``rank`` with named
-    keys, else ``"window"``):
-
-    * ``"window"``: one window; the filter on the rank lets Catalyst insert ``WindowGroupLimit``
-      before the shuffle, so each task ships only its local top ranks per label. Its weak spot is
-      a coarse key: ranks keep every tie, so a hot label whose rows tie ships all of them to one task.
-    * ``"salted"``: the same window per (label, input partition) first - ``WindowGroupLimit``
-      keeps each task's local top k per label, and even a tied hot label is spread over as many
-      groups as there are input partitions. Every row whose key is in its label's global top k
-      survives this step. The surviving rows are written once (Parquet, shared folder); each
-      label's global top k distinct keys (with tie counts, for ``rank``) come from their distinct
-      keys, and the rows are kept by a size-checked broadcast join. No label ever gathers in one task, and the common
-      case ships only k rows per label per task.
-    * ``"distinct"``: the global top k distinct keys from a tie-collapsed table of all rows, then
-      the broadcast join; one narrow shuffle of every per-task distinct (label, key).
+
+    ``dense_rank`` / ``rank`` keep every tie, so a label may return more than k rows; they need named
+    keys. The distinct keys of each label (with their number of rows, for ``rank``) come from one
+    aggregation, pre-aggregated in the scan's tasks, so rows that tie in a hot label cost one row per
+    task; ``WindowGroupLimit`` cuts them to the top k, and an equi-join keeps the rows with such a
+    key. A hot tied key is a skewed join key, which adaptive execution splits.
+
+    ``row_number`` is one window and needs ``order`` to end in a unique column: then no two rows tie
+    and ``WindowGroupLimit`` leaves at most k rows per label and task before the shuffle.
     """
     parts = _key_parts(order)
     cols = _sort_cols(parts) if parts is not None else list(order)
-    if strategy == "auto":
-        strategy = "salted" if parts is not None and method in ("dense_rank", "rank") else "window"
-    if strategy == "window":
+    if method == "row_number":
         w = Window.partitionBy(label).orderBy(*cols)
-        return (df.withColumn(rank_name, _RANKERS[method]().over(w))
-                .filter(F.col(rank_name) <= F.lit(k)))
+        return df.withColumn(rank_name, F.row_number().over(w)).filter(F.col(rank_name) <= F.lit(k))
     if parts is None or method not in ("dense_rank", "rank"):
-        raise ValueError(f"the {strategy} strategy needs named sort keys and dense_rank or rank")
+        raise ValueError("dense_rank and rank need named sort keys")
     names = [n for n, _ in parts]
-    if strategy == "distinct":
-        keys = df.groupBy(label, *names).agg(F.count(F.lit(1)).alias("_ties"))
-        return join_by_size(df, _top_keys(keys, label, names, cols, k, method, rank_name), [label, *names])
-    if strategy != "salted":
-        raise ValueError(f"unknown strategy {strategy}")
-    n_salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(n_salts)))
-    local = Window.partitionBy(label, "_salt").orderBy(*cols)
-    cand = materialize(salted.withColumn("_ldr", F.dense_rank().over(local)).filter(F.col("_ldr") <= F.lit(k))
-                       .drop("_salt", "_ldr"), "rank-candidates")
-    keys = cand.groupBy(label, *names).agg(F.count(F.lit(1)).alias("_ties"))
-    return join_by_size(cand, _top_keys(keys, label, names, cols, k, method, rank_name), [label, *names])
+    keys = df.groupBy(label, *names).agg(F.count(F.lit(1)).alias("_ties"))
+    top = _top_keys(keys, label, names, cols, k, method, rank_name)
+    on = [label, *names]
+    top = top.select(*[F.col(c).alias(f"__r_{c}") for c in on], rank_name)
+    same = reduce(and_, [df[c].eqNullSafe(top[f"__r_{c}"]) for c in on])
+    return df.join(top, same).drop(*[f"__r_{c}" for c in on])
 
 
 def running_count(df: DataFrame, key: str, ts: str, tiebreak: str, out: str = "running_count",
-                  n_partitions: int | None = None, layout: DataFrame | None = None) -> DataFrame:
+                  n_partitions: int | None = None) -> DataFrame:
     """Per key, the number of rows up to and including this one in (ts, tiebreak) order.
 
     Same result as ``count(*) OVER (PARTITION BY key ORDER BY ts, tiebreak ROWS UNBOUNDED
     PRECEDING)``, but no task ever holds a whole key: rows are range-partitioned on
-    (key, ts, tiebreak); a key's rows are contiguous inside each partition, so the local count is
-    a position difference, and the count carried in from earlier partitions comes from a small
-    (partition, key) table. ``layout``: a :func:`ranged_layout` of ``df`` on (key, ts, tiebreak)
-    already built for another operator over the same order (shared, not rebuilt).
+    (key, ts, tiebreak), and while a sorted partition is written the position inside its key is
+    counted. Only the first key of a partition can have rows in earlier ones, so what is carried in is
+    one row per partition (broadcast: bounded by the partition count).
     """
-    laid = layout if layout is not None else ranged_layout(df, [key, ts, tiebreak], n_partitions)
-    stats = laid.groupBy(PID, key).agg(F.count(F.lit(1)).alias("_c"), F.min(POS).alias("_first"))
-    w = Window.partitionBy(key).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select(PID, key, "_first",
-                         F.coalesce(F.sum("_c").over(w), F.lit(0)).cast("long").alias("_prior"))
-    joined = join_by_size(laid, stats, [PID, key])
-    return (joined.withColumn(out, F.col("_prior") + F.col(POS) - F.col("_first") + F.lit(1))
-            .drop(PID, POS, "_first", "_prior"))
+    laid = ranged_layout(df, [key, ts, tiebreak], n_partitions, run_of=key)
+    edges = laid.groupBy(PID).agg(F.min_by(F.struct(key), POS).alias("_head"), F.max_by(F.struct(key), POS).alias("_tail"),
+                                  F.max_by(RUN, POS).alias("_n"))
+    before = edges.select(F.col(PID).alias("_p"), F.col("_tail").alias("_t"), "_n")
+    carried = (edges.select(PID, "_head").join(before, F.col("_head").eqNullSafe(F.col("_t")) & (F.col("_p") < F.col(PID)))
+               .groupBy(PID, "_head").agg(F.sum("_n").alias("_carried")))
+    joined = laid.join(F.broadcast(carried), PID, "left")
+    first = F.struct(key).eqNullSafe(F.col("_head"))
+    return (joined.withColumn(out, (F.col(RUN) + F.when(first, F.col("_carried")).otherwise(0)).cast("long"))
+            .drop(PID, POS, RUN, "_head", "_carried"))
 
 
 def global_sequence(df: DataFrame, order: list[Column | str], out: str = "seq",
@@ -130,11 +111,11 @@ def global_sequence(df: DataFrame, order: list[Column | str], out: str = "seq",
             .drop(PID, POS, "_offset"))
 
 
-def sorted_ranges(df: DataFrame, key: str, n: int, unique: str | None = None) -> DataFrame:
+def sorted_ranges(df: DataFrame, key: str, n: int, unique: str) -> DataFrame:
     """Total-order sort of a big table into ``n`` range partitions, with proof rows
-    (partition, n_rows, min_key, max_key); the key ranges ascend and do not overlap."""
-    order = [key] + ([unique] if unique else [])
-    laid = ranged_layout(df, order, n)
+    (partition, n_rows, min_key, max_key); the key ranges ascend. ``unique`` breaks ties, so the
+    rows of one hot key spread over several ranges (which then share that key at their ends)."""
+    laid = ranged_layout(df, [key, unique], n)
     return (laid.groupBy(F.col(PID).alias("partition"))
             .agg(F.count(F.lit(1)).alias("n_rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key")))
 

@@ -6,17 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import WORD_SPLIT_REGEX
-from ..plans.sizing import ensure_parallelism
 
 
 def explode_words(df: DataFrame, col: str, out: str = "word") -> DataFrame:
     """One row per whitespace token of ``col`` (Python ``str.split()`` tokens, whole text).
 
     Split, explode, then drop the empty edge tokens with a plain filter (stays in whole-stage
-    codegen, unlike an array ``filter`` lambda).
+    codegen, unlike an array ``filter`` lambda). The text itself is never shuffled: the tasks are
+    the splits of the scan, so texts landed in small row groups spread by themselves.
     """
-    text = ensure_parallelism(df.select(col))
-    return (text.select(F.explode(F.split(F.col(col), WORD_SPLIT_REGEX)).alias(out))
+    return (df.select(F.explode(F.split(F.col(col), WORD_SPLIT_REGEX)).alias(out))
             .filter(F.col(out) != F.lit("")))
 
 

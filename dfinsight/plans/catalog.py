@@ -97,12 +97,12 @@ SELECT genre, title, rating_score, rating_count, rank_in_genre FROM (
 ) r WHERE rank_in_genre <= 2"""))
 def q_rank_variants(spark, sf):
     """``rank`` variant (ties share a rank and leave gaps). The key is the score alone (about
-    100 values), so ties are massive at scale: the distinct-key strategy collapses them."""
+    100 values), so ties are massive at scale: the aggregation of distinct keys collapses them."""
     from ..functions.columns import explode_labels
     from ..operators.ranking import top_per_label
     base = movies.analysis_base(titles(spark, sf)).select("genres", "title", "rating_score", "rating_count")
     ex = explode_labels(base, "genres", "genre")
-    return top_per_label(ex, "genre", [("rating_score", "desc")], 2, "rank", "rank_in_genre", strategy="distinct") \
+    return top_per_label(ex, "genre", [("rating_score", "desc")], 2, "rank", "rank_in_genre") \
         .select("genre", "title", "rating_score", "rating_count", "rank_in_genre")
 
 

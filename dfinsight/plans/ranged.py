@@ -21,24 +21,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import importable
 from .sizing import materialize
 
 PID = "_pid"
 POS = "_pos"
+RUN = "_run"
 
 
-def ranged_layout(df: DataFrame, order: list[Column | str], n: int | None = None,
-                  store: str = "parquet") -> DataFrame:
+def ranged_layout(df: DataFrame, order: list[Column | str], n: int | None = None, run_of: str | None = None) -> DataFrame:
     """Range-partition on ``order`` (which must end in a unique key), sort, number, materialise.
 
-    ``store="parquet"`` writes the numbered rows under the session's shared checkpoint folder and
-    reads them back (columnar, pruned reads); ``store="checkpoint"`` uses a reliable RDD
-    checkpoint instead. Either way the sampled range bounds are pinned: every later read sees the
-    same positions, and a lost executor re-reads files rather than re-sampling.
+    The numbered rows are written under the session's shared checkpoint folder and read back
+    (columnar, pruned reads). That pins the sampled range bounds: every later read sees the same
+    positions, and a lost executor re-reads files rather than re-sampling. The job runs when this is
+    called. ``run_of`` adds ``_run``: the 1-based position among the partition's rows of that column's
+    value, which must lead ``order``.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
@@ -46,11 +46,54 @@ def ranged_layout(df: DataFrame, order: list[Column | str], n: int | None = None
     # monotonically_increasing_id = (partition index << 33) + row index inside the partition.
     ranged = ranged.withColumn(PID, pid).withColumn(
         POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-    if store == "checkpoint":
-        return ranged.checkpoint(eager=True)
+    if run_of is not None:
+        ranged = _with_runs(ranged, run_of)
     return materialize(ranged, "layout")
 
 
+def changes(column) -> "np.ndarray":
+    """Arrow column -> where its value differs from the one before (True for the first); NULL equals NULL."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if not len(column):
+        return np.zeros(0, bool)
+    a, b = column.slice(1), column.slice(0, len(column) - 1)
+    differs = pc.fill_null(pc.not_equal(a, b), pa.scalar(True))
+    both_null = pc.and_(pc.is_null(a), pc.is_null(b))
+    rest = np.logical_and(differs.to_numpy(zero_copy_only=False), ~both_null.to_numpy(zero_copy_only=False))
+    return np.concatenate([[True], rest])
+
+
+def _with_runs(ranged: DataFrame, key: str) -> DataFrame:
+    """Adds the position inside the run of ``key`` to sorted partitions: one Arrow batch at a time, with
+    the last key and its count so far."""
+    at = ranged.columns.index(key)
+
+    def number(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        last, count = None, 0  # one-row column with the last key, rows of it so far
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = b.column(at)
+            new = changes(x)
+            if last is not None:
+                new[0] = changes(pa.concat_arrays([last, x.slice(0, 1)]))[1]
+            pos = np.arange(b.num_rows)
+            starts = np.maximum.accumulate(np.where(new, pos, -1))
+            run = np.where(starts >= 0, pos - starts + 1, pos + count + 1)
+            last, count = x.slice(b.num_rows - 1, 1), int(run[-1])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(run.astype(np.int64))], names=[*b.schema.names, RUN])
+
+    importable(ranged.sparkSession)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema.fields), f"{RUN} long"])
+    return ranged.mapInArrow(number, schema)
+
+
 def partition_offsets(laid: DataFrame) -> DataFrame:
     """Rows before each partition and in it: (``_pid``, ``_offset``, ``_n``). One row per
     partition, so the unpartitioned window and the later broadcast are bounded by the partition

@@ -1,54 +1,11 @@
-"""Join helpers that broadcast only a side whose size has been measured."""
+"""Tables written once to the shared folder."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def max_broadcast_rows(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get("dfinsight.broadcast.maxRows", None)
-    return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
-
-
-def join_by_size(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-                 max_rows: int | None = None) -> DataFrame:
-    """Equi-join (NULL-safe on every key) that broadcasts ``small`` only after counting it.
-
-    ``small`` is written once to the shared folder (so it is computed once, holds no executor
-    memory, and survives executor loss) and counted; at most ``max_rows`` rows are broadcast,
-    otherwise the join stays a shuffled sort-merge join (AQE may still convert it at runtime).
-    """
-    small = materialize(small, "small-side")
-    n = small.count()
-    limit = max_rows if max_rows is not None else max_broadcast_rows(big)
-    renamed = small.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in small.columns])
-    side = F.broadcast(renamed) if n <= limit else renamed
-    cond = reduce(and_, [big[c].eqNullSafe(side[f"__r_{c}"]) for c in on])
-    return big.join(side, cond, how).drop(*[f"__r_{c}" for c in on])
-
-
-def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Spread an under-partitioned input before CPU-heavy per-row work (e.g. tokenising text).
-
-    Applies when the scan yields fewer than ``factor`` x the cluster's default parallelism
-    partitions (a planning fact, no job runs); then rows are spread round-robin over that many
-    partitions. Splits can be empty (a split only reads the row groups that start in it), hence the
-    margin. A large input already has many splits and is left as it is.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the session's shared checkpoint folder and read it back.

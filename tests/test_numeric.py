@@ -49,19 +49,22 @@ def test_integrate_matches_pandas_with_hot_key(spark):
             assert abs(got[k] - want[k]) <= 1e-6 * max(1.0, abs(want[k]))
 
 
-def test_running_count_and_integral_share_one_layout(spark):
-    from dfinsight.operators.ranking import running_count
-    from dfinsight.plans.ranged import ranged_layout
-    ev = spark.read.parquet(f"{SF01}/events.parquet").select("event_id", "user_id", "ts", "value")
-    laid = ranged_layout(ev, ["user_id", "ts", "event_id"])
-    shared = running_count(ev, "user_id", "ts", "event_id", layout=laid)
-    alone = running_count(ev, "user_id", "ts", "event_id")
-    assert sorted(map(tuple, shared.select("event_id", "running_count").collect())) == \
-        sorted(map(tuple, alone.select("event_id", "running_count").collect()))
-    a = {r.user_id: r.integral for r in integrate(ev, "user_id", "ts", "value", "event_id", layout=laid).collect()}
-    b = {r.user_id: r.integral for r in integrate(ev, "user_id", "ts", "value", "event_id").collect()}
-    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 for k in a)
-
+def test_integral_across_partitions_batches_and_nulls(spark):
+    rows = [("hot" if i % 3 else f"k{i % 200}", i * 1000, None if i % 11 == 0 else float(i % 7), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, t long, v double, id long").withColumn("t", F.timestamp_micros("t"))
+    want, last = {}, {}
+    for k, t, v, _ in sorted(rows, key=lambda r: r[1]):
+        n, area = want.get(k, (0, 0.0))
+        p = last.get(k)
+        want[k] = (n + 1, area + ((t - p[0]) / 1e6 * (v + p[1]) / 2 if p and v is not None and p[1] is not None else 0.0))
+        last[k] = (t, v)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        for n in (1, 7, 50):
+            got = {r.k: (r.n_points, r.integral) for r in integrate(df, "k", "t", "v", "id", n_partitions=n).collect()}
+            assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-6 for k in want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 def test_size_shuffles(spark):
     from dfinsight.session import size_shuffles

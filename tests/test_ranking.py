@@ -45,18 +45,12 @@ def test_sort_in_ranges_is_globally_sorted(spark):
     assert flat == sorted(flat) and len(flat) == o.count()
 
 
-def test_join_by_size_broadcasts_only_under_the_limit(spark):
-    from dfinsight.plans.sizing import join_by_size
-    from tests.conftest import plan_of
-    big = spark.range(1000).withColumn("k", F.col("id") % 10)
-    small = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        under = join_by_size(big, small, ["k"], max_rows=100)
-        over = join_by_size(big, small, ["k"], max_rows=5)
-        assert "BroadcastHashJoin" in plan_of(under) and under.count() == 1000
-        assert over.count() == 1000
-        over_plan = over._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in over_plan or "ShuffledHashJoin" in over_plan
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_running_count_with_more_keys_than_partitions_and_a_hot_key(spark):
+    rows = [(None if i % 50 == 0 else ("hot" if i % 3 == 0 else f"k{i % 997}"), i // 2, i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, t long, id long").repartition(6)
+    seen, want = {}, {}
+    for k, _, i in sorted(rows, key=lambda r: (r[1], r[2])):
+        want[i] = seen[k] = seen.get(k, 0) + 1
+    for n in (1, 5, 40):
+        got = {r.id: r.running_count for r in running_count(df, "k", "t", "id", n_partitions=n).collect()}
+        assert got == want

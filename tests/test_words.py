@@ -1,21 +1,26 @@
+import pytest
+from pyspark.errors import AnalysisException
+
 from dfinsight.operators.words import word_count
 from dfinsight.sources.io import lines_from, read_lines
 from tests.conftest import plan_of
 
-# Fixed sample: the reference's six fallback lines.
-SAMPLE = ["hello spark", "hello world", "spark is fast", "hello k8s", "spark on k8s", "world hello"]
+SAMPLE = ["red fish blue fish", "one fish", "two red birds", "  blue\tbirds ", ""]
 
 
 def test_word_count_sample(spark):
     got = {r.word: r.n for r in word_count(lines_from(spark, SAMPLE), "value").collect()}
-    assert got == {"hello": 4, "spark": 3, "world": 2, "k8s": 2, "is": 1, "fast": 1, "on": 1}
+    assert got == {"fish": 3, "red": 2, "blue": 2, "birds": 2, "one": 1, "two": 1}
     top = word_count(lines_from(spark, SAMPLE), "value", k=3).collect()
-    assert [(r.word, r.n) for r in top] == [("hello", 4), ("spark", 3), ("k8s", 2)]
+    assert [(r.word, r.n) for r in top] == [("fish", 3), ("birds", 2), ("blue", 2)]
 
 
 def test_read_lines_fallback_is_eager(spark):
-    df = read_lines(spark, "/nonexistent/path/sample.txt", fallback=SAMPLE)
-    assert df.count() == 6
+    with pytest.warns(UserWarning, match="does not exist"):
+        df = read_lines(spark, "/nonexistent/path/sample.txt", fallback=SAMPLE)
+    assert df.count() == len(SAMPLE)
+    with pytest.raises(AnalysisException):
+        read_lines(spark, "/nonexistent/path/sample.txt")
 
 
 def test_word_count_plan_stays_in_jvm(spark):
@@ -23,10 +28,6 @@ def test_word_count_plan_stays_in_jvm(spark):
     assert "PythonUDF" not in plan and "TakeOrderedAndProject" in plan and "HashAggregate" in plan
 
 
-def test_ensure_parallelism_only_for_under_split_input(spark):
-    from dfinsight.plans.sizing import ensure_parallelism
-    par = spark.sparkContext.defaultParallelism
-    few = spark.range(100).coalesce(1)
-    assert ensure_parallelism(few).rdd.getNumPartitions() == 2 * par
-    many = spark.range(100).repartition(4 * par)
-    assert ensure_parallelism(many) is many
+def test_word_count_shuffles_only_counts(spark):
+    plan = plan_of(word_count(spark.range(100).selectExpr("concat('w', id % 7, ' x') AS value"), "value"))
+    assert plan.count("Exchange hashpartitioning") == 1 and "RoundRobin" not in plan
