@@ -16,25 +16,14 @@ from pyspark.sql import functions as F
 from ..functions.columns import standardise
 from ..plans.ranged import PID, POS, partition_offsets, ranged_layout
 
-# The shuffle key is an arithmetic hash (reproducible in SQL): two multiplicative
-# congruential rounds modulo the prime 2^31 - 1, the epoch and seed salted in between.
-HASH_PRIME = 2147483647
-HASH_MULT = 1588635695
-HASH_MULT2 = 950706376
-HASH_EPOCH = 69621
 BATCH_SIZE = 64
 N_CLASSES = 10
 
 
 def shuffle_key(id_col: str, epoch: int, seed: int = 0):
-    """Per-epoch shuffle key: pmod(pmod(pmod(id, p) * a + salt, p) * b, p), salt from epoch and seed.
-
-    Every product stays below 2^62, so the arithmetic never overflows a bigint.
-    """
-    salt = (epoch * HASH_EPOCH + seed) % HASH_PRIME
-    p = F.lit(HASH_PRIME)
-    first = F.pmod(F.pmod(F.col(id_col), p) * F.lit(HASH_MULT) + F.lit(salt), p)
-    return F.pmod(first * F.lit(HASH_MULT2), p)
+    """Per-epoch shuffle key: the MD5 text of ``seed-epoch-id`` (128 bits, the same in SQL), so the orders
+    of two epochs have nothing in common and ids of any size get keys of their own."""
+    return F.md5(F.concat_ws("-", F.lit(str(seed)), F.lit(str(epoch)), F.col(id_col).cast("string")).cast("binary"))
 
 
 def epoch_shards(df: DataFrame, id_col: str, world_size: int = 2, epoch: int = 0, seed: int = 0,
@@ -76,14 +65,18 @@ def standardised(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 def fixed_linear_scores(df: DataFrame, features: str, label: str, id_col: str,
                         batch_size: int = BATCH_SIZE, n_classes: int = N_CLASSES) -> DataFrame:
-    """Score rows with a fixed linear model (logits = the first ``n_classes`` features):
-    prediction = arg max, loss = log-sum-exp(logits) - logit[label], batch = id div batch_size."""
-    logits = F.transform(F.slice(F.col(features), 1, n_classes), lambda x: x.cast("double"))
-    lse = F.log(F.aggregate(F.transform(logits, lambda x: F.exp(x)), F.lit(0.0), lambda a, x: a + x))
-    return df.select(
+    """Score rows with a fixed linear model over all features: the logit of class c is the sum of the
+    features whose 0-based index is c modulo ``n_classes``; prediction = arg max (the first of equals),
+    loss = log-sum-exp(logits) - logit[label], batch = id div batch_size."""
+    part = lambda c: F.filter(F.col(features), lambda x, i: F.pmod(i, F.lit(n_classes)) == c)
+    total = lambda c: F.aggregate(part(c), F.lit(0.0), lambda a, x: a + x.cast("double"))
+    rows = df.withColumn("_z", F.transform(F.sequence(F.lit(0), F.lit(n_classes - 1)), total))
+    z = F.col("_z")
+    lse = F.log(F.aggregate(F.transform(z, lambda x: F.exp(x)), F.lit(0.0), lambda a, x: a + x))
+    return rows.select(
         id_col, label,
-        (F.array_position(logits, F.array_max(logits)) - 1).cast("int").alias("prediction"),
-        (lse - F.element_at(logits, F.col(label) + 1)).alias("loss"),
+        (F.array_position(z, F.array_max(z)) - 1).cast("int").alias("prediction"),
+        (lse - F.element_at(z, F.col(label) + 1)).alias("loss"),
         F.floor(F.col(id_col) / F.lit(batch_size)).cast("long").alias("batch"))
 
 
@@ -103,24 +96,25 @@ def classification_metrics(pred: DataFrame, label: str = "label", prediction: st
         "accuracy_pct", F.try_divide(F.col("correct") * F.lit(100.0), F.col("n")))
 
 
-def train_classifier(df: DataFrame, features: str, label: str, max_iter: int = 50, reg: float = 0.0):
+def train_classifier(df: DataFrame, features: str, label: str, max_iter: int = 300, reg: float = 0.01, tol: float = 1e-6):
     """L2: multinomial logistic regression on an array<float> column (converted in the JVM).
 
-    Each optimiser iteration is one pass over the data, so the converted (vector, label) rows are
-    persisted (memory, spilling to disk) for the fit and released after it.
+    Each optimiser iteration is one pass over the blocks that Spark ML caches for the fit. It runs to
+    the tolerance ``tol``; :func:`training_summary` tells whether it got there within ``max_iter``.
     """
-    from pyspark import StorageLevel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
-    data = (df.select(array_to_vector(F.col(features)).alias("_features"), F.col(label).cast("double").alias(label))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        lr = LogisticRegression(featuresCol="_features", labelCol=label, family="multinomial",
-                                maxIter=max_iter, regParam=reg)
-        return lr.fit(data)
-    finally:
-        data.unpersist()
+    data = df.select(array_to_vector(F.col(features)).alias("_features"), F.col(label).cast("double").alias(label))
+    lr = LogisticRegression(featuresCol="_features", labelCol=label, family="multinomial", maxIter=max_iter, regParam=reg, tol=tol)
+    return lr.fit(data)
+
+
+def training_summary(model) -> dict:
+    """Whether the fit reached its tolerance, whether the objective never rose, and the iterations."""
+    history = [float(v) for v in model.summary.objectiveHistory]
+    return {"converged": model.summary.totalIterations < model.getMaxIter(), "iterations": int(model.summary.totalIterations),
+            "never_rising": all(b <= a + 1e-9 for a, b in zip(history, history[1:]))}
 
 
 def predict(model, df: DataFrame, features: str, label: str, id_col: str,
@@ -136,16 +130,3 @@ def predict(model, df: DataFrame, features: str, label: str, id_col: str,
                       F.col("prediction").cast("int").alias("prediction"),
                       (-F.log(F.greatest(p, F.lit(1e-300)))).alias("loss"),
                       F.floor(F.col(id_col) / F.lit(batch_size)).cast("long").alias("batch"))
-
-
-def training_history(model) -> DataFrame:
-    """L2 training log: (iteration, objective) of a fitted :func:`train_classifier` model.
-
-    The history is kept by Spark ML on the driver and has one value per iteration (bounded by
-    ``max_iter``), so it becomes a small DataFrame directly.
-    """
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    hist = list(model.summary.objectiveHistory)
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, objective double")

@@ -97,13 +97,9 @@ def q_amdahl_curve(spark, sf):
 
 
 # ----------------------------------------------------------------------------- learning
-P, A, A2, B = learning.HASH_PRIME, learning.HASH_MULT, learning.HASH_MULT2, learning.HASH_EPOCH
-
-
 def _shards_sql(world: int, epoch: int, seed: int = 0) -> str:
-    salt = (epoch * B + seed) % P
     return f"""
-WITH h AS (SELECT vec_id, (((((vec_id % {P}) + {P}) % {P}) * {A} + {salt}) % {P}) * {A2} % {P} AS h FROM embeddings),
+WITH h AS (SELECT vec_id, md5(concat('{seed}-{epoch}-', CAST(vec_id AS VARCHAR))) AS h FROM embeddings),
 s AS (SELECT vec_id, row_number() OVER (ORDER BY h, vec_id) - 1 AS p FROM h),
 c AS (SELECT count(*) AS n, ((count(*) + {world} - 1) // {world}) * {world} AS total FROM embeddings),
 u AS (SELECT vec_id, p AS position, false AS is_padding FROM s
@@ -128,7 +124,8 @@ def q_standardise(spark, sf):
 
 
 _SCORES_SQL = """
-WITH l AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE)) AS z FROM embeddings),
+WITH l AS (SELECT vec_id, label, list_transform(range(10), lambda c: list_sum(list_transform(
+        list_filter(range(len(embedding)), lambda i: i % 10 = c), lambda i: CAST(embedding[i + 1] AS DOUBLE)))) AS z FROM embeddings),
 s AS (SELECT vec_id, label, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS prediction,
         ln(list_sum(list_transform(z, lambda x: exp(x)))) - z[label + 1] AS loss,
         CAST(floor(vec_id / 64) AS BIGINT) AS batch FROM l),
@@ -146,12 +143,19 @@ def q_classifier_metrics(spark, sf):
                     round_to("mean_loss", 6).alias("mean_loss"))
 
 
-@query("classifier_train_embeddings", None)
+@query("classifier_train_embeddings", """
+SELECT count(*) AS n, true AS converged, true AS never_rising, true AS above_majority, true AS below_chance_loss FROM embeddings""")
 def q_classifier_train(spark, sf):
-    """L2 + L3: fit the multinomial model data-parallel, score it; iterative, so rows-only."""
+    """L2 + L3: fit the multinomial model to its tolerance and check it: it converged, the objective never
+    rose, accuracy is above the largest class's share and the mean loss below that of guessing, ln(10)."""
     emb = table(spark, sf, "embeddings")
-    model = learning.train_classifier(emb, "embedding", "label", max_iter=30)
-    return learning.classification_metrics(learning.predict(model, emb, "embedding", "label", "vec_id"))
+    model = learning.train_classifier(emb, "embedding", "label")
+    fitted = learning.training_summary(model)
+    scored = learning.predict(model, emb, "embedding", "label", "vec_id")
+    share = emb.groupBy("label").agg(F.count("*").alias("c")).agg((F.max("c") * 100.0 / F.sum("c")).alias("majority"))
+    return learning.classification_metrics(scored).join(F.broadcast(share)).select(
+        "n", F.lit(fitted["converged"]).alias("converged"), F.lit(fitted["never_rising"]).alias("never_rising"),
+        (F.col("accuracy_pct") > F.col("majority")).alias("above_majority"), (F.col("mean_loss") < F.log(F.lit(10.0))).alias("below_chance_loss"))
 
 
 # ----------------------------------------------------------------------------- numeric
@@ -417,13 +421,11 @@ SELECT user_id, count(*) AS n_points, {R('coalesce(sum(area), 0.0)', 2)} AS inte
        max(CASE WHEN rn = 10 THEN ts END) AS tenth_event_ts
 FROM r GROUP BY user_id""")
 def q_user_activity(spark, sf):
-    """W4 + M2 over one shared range layout: per user, the event count, the integral of value over
+    """W4 + M2: per user, the event count, the integral of value over
     time, and when the running count reached 10 (NULL for fewer events)."""
-    from ..plans.ranged import ranged_layout
     ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    laid = ranged_layout(ev, ["user_id", "ts", "event_id"])
-    counts = ranking.running_count(ev, "user_id", "ts", "event_id", layout=laid)
+    counts = ranking.running_count(ev.drop("value"), "user_id", "ts", "event_id")
     tenth = counts.filter(F.col("running_count") == F.lit(10)).select("user_id", F.col("ts").alias("tenth_event_ts"))
-    integ = numeric.integrate(ev, "user_id", "ts", "value", "event_id", layout=laid)
+    integ = numeric.integrate(ev, "user_id", "ts", "value", "event_id")
     return (integ.join(tenth, "user_id", "left")
             .select("user_id", "n_points", round_to("integral", 2).alias("integral"), "tenth_event_ts"))

@@ -5,11 +5,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from dfinsight.plans import catalog
 from dfinsight.plans.views import TABLES
 from tests.conftest import SF001
 
-# Queries without a SQL twin: sampled range bounds, metadata, an iterative fit.
-ROWS_ONLY = {"sorted_ranges_orders", "classifier_train_embeddings"}
+# Queries without a SQL twin: sampled range bounds.
+ROWS_ONLY = {"sorted_ranges_orders"}
 
 
 def test_entry_smoke(spark):
@@ -19,7 +20,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == ROWS_ONLY
+    assert set(catalog.queries()) <= set(entry.queries()) and set(catalog.oracle_sql()) <= set(entry.oracle_sql())
 
 
 def _norm(v):
@@ -38,10 +40,10 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_oracle_sf0001(spark, duck, name):
-    df = entry.queries()[name](spark, SF001)
-    res = duck.sql(entry.oracle_sql()[name])
+    df = catalog.queries()[name](spark, SF001)
+    res = duck.sql(catalog.oracle_sql()[name])
     assert sorted(df.columns) == sorted(res.columns)
     order = sorted(df.columns)
     got = sorted((tuple(_norm(r[c]) for c in order) for r in df.collect()), key=repr)
