@@ -57,19 +57,15 @@ def label_counts(df: DataFrame, col: str, sep: str = "/", k: int | None = None,
     With ``k`` it is a top-k (``TakeOrderedAndProject``) with the label as tie-break.
     """
     counted = (explode_labels(df.select(col), col, out, sep, trim, drop_empty)
-               .groupBy(out).agg(F.count(F.lit(1)).alias("n")))
-    if k is None:
-        return counted
-    return counted.orderBy(F.col("n").desc(), F.col(out).asc_nulls_first()).limit(k)
+               .groupBy(out).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col(out).asc_nulls_first()))
+    return counted if k is None else counted.limit(k)
 
 
 def bucket_counts(df: DataFrame, col: str, width: int | float = 10, out: str = "bucket_start",
                   k: int | None = None) -> DataFrame:
     """Rows per bucket of width ``width`` (e.g. decade), ascending; NULL values form a NULL bucket."""
-    res = df.groupBy(bucket(col, width).alias(out)).agg(F.count(F.lit(1)).alias("n"))
-    if k is None:
-        return res
-    return res.orderBy(F.col(out).asc_nulls_first()).limit(k)
+    res = df.groupBy(bucket(col, width).alias(out)).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col(out).asc_nulls_first())
+    return res if k is None else res.limit(k)
 
 
 def profile_table(df: DataFrame, numeric: list[str] | None = None,

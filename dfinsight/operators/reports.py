@@ -69,7 +69,7 @@ def trend(df: DataFrame, bucket_col: Column, bucket_name: str, count_name: str =
     if delta:
         w = Window.orderBy(F.col(bucket_name).asc_nulls_first())
         res = res.withColumn(delta, F.col(count_name) - F.lag(count_name).over(w))
-    return res
+    return res.orderBy(F.col(bucket_name).asc_nulls_first())
 
 
 _DATE_UNITS = {"year", "quarter", "month", "week"}
@@ -100,7 +100,10 @@ def time_bucket(ts: ColumnOrName, unit: str) -> Column:
 def trend_by_time(df: DataFrame, ts: str, unit: str = "year", count_name: str = "n",
                   means: dict[str, tuple[str, int | None]] | None = None,
                   delta: str | None = None) -> DataFrame:
-    """D9 (+W3): trend by calendar unit on a real timestamp column; output column ``period``."""
+    """D9 (+W3): trend by calendar unit on a real timestamp column; output column ``period``, ascending.
+    ``delta`` only for units of a day and more, whose number of buckets the calendar bounds."""
+    if delta and unit in _MICROS:
+        raise ValueError(f"delta needs a bounded number of buckets, not one per {unit}")
     return trend(df, time_bucket(ts, unit), "period", count_name, means, delta)
 
 

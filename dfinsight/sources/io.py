@@ -6,6 +6,8 @@ work when the cluster has the connector; nothing here reads a file on the driver
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,13 +50,15 @@ def lines_from(spark: SparkSession, lines: list[str]) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str, fallback: list[str] | None = None) -> DataFrame:
-    """SRC3: one row per line (column ``value``). The path is resolved at once, so a missing
-    path falls back to ``fallback`` here instead of failing later inside an action."""
+    """SRC3: one row per line (column ``value``). The path is resolved at once. Only where ``fallback``
+    is given and the path does not exist are those lines taken, with a warning; any other error is
+    raised, and so is a missing path without a fallback."""
     try:
         return spark.read.text(path)
-    except AnalysisException:
-        if fallback is None:
+    except AnalysisException as e:
+        if fallback is None or e.getCondition() != "PATH_NOT_FOUND":
             raise
+        warnings.warn(f"{path} does not exist; {len(fallback)} fallback lines are read instead", stacklevel=2)
         return lines_from(spark, fallback)
 
 

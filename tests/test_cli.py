@@ -1,13 +1,19 @@
+import pytest
+from pyspark.errors import AnalysisException
+
 from dfinsight.__main__ import main
 
 
-def test_cli_list_and_wordcount_fallback(spark, capsys):
+def test_cli_list_and_wordcount(spark, capsys, tmp_path):
     assert main(["list"]) == 0
     listed = capsys.readouterr().out.splitlines()
     assert "country_report\toracle" in listed and "sorted_ranges_orders\trows-only" in listed
-    assert main(["wordcount", "/nonexistent/texts/"]) == 0
+    (tmp_path / "lines.txt").write_text("a b a\na\n", encoding="utf-8")
+    assert main(["wordcount", str(tmp_path / "lines.txt")]) == 0
     out = capsys.readouterr().out
-    assert "hello" in out and "|4  |" in out
+    assert "|a   |3  |" in out
+    with pytest.raises(AnalysisException):
+        main(["wordcount", "/nonexistent/texts/"])
 
 
 def test_cli_run_writes_parquet(spark, tmp_path):

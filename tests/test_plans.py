@@ -2,14 +2,15 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from dfinsight.plans import catalog as entry
 from dfinsight.operators.profile import numeric_summary
 from tests.conftest import SF001, plan_of
 
 # Queries whose builders run a stream or write files first; their plans are checked in test_streams.
 SIDE_EFFECTS = {"stream_counts_events", "stream_latest_events", "stream_dedupe_events", "metric_series_day",
                 "csv_roundtrip_titles", "word_count_lines", "classifier_train_embeddings"}
-ARROW_BATCHED = {"gram_matrix"}  # MapInArrow: per-task X^T X
+# MapInArrow: per-task X^T X; sorted partitions integrated as they stream by
+ARROW_BATCHED = {"gram_matrix", "integral_user", "user_activity_events"}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
@@ -75,12 +76,11 @@ def test_no_cross_join(spark, name):
     assert not names & {"CartesianProduct", "BroadcastNestedLoopJoin"}
 
 
-# Every broadcast is of a table with a proven or measured bound: per-range-partition offsets
-# (global_sequence, epoch_shards), a counted stats / top-key table (running_count, the salted and distinct
-# rank strategy), or a side Catalyst sized from file statistics under the broadcast threshold
-# (matmul's part table at this scale).
-BOUNDED_BROADCASTS = {"rank_variants_genre": 1, "top_per_genre": 1, "running_count_user": 1,
-                      "user_activity_events": 1, "global_sequence_events": 1,
+# Every broadcast is of a table with a proven bound: one row per range partition (global_sequence,
+# epoch_shards, running_count), or a side Catalyst sized from file statistics under the broadcast
+# threshold (at this scale: matmul's part table, the top keys of a label, carried counts).
+BOUNDED_BROADCASTS = {"rank_variants_genre": 1, "top_per_genre": 1, "running_count_user": 2,
+                      "user_activity_events": 2, "global_sequence_events": 1,
                       "epoch_shards_embeddings": 2, "matmul_order_size": 1}
 
 

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from dfinsight.operators.ranking import top_per_label
@@ -23,9 +24,9 @@ def test_top_k_plan_is_take_ordered(spark):
 
 def test_dense_rank_keeps_ties_beyond_k(spark):
     df = spark.createDataFrame([("g", s) for s in [9.0, 9.0, 8.0, 7.0, 7.0, 6.0]], "g string, s double")
-    out = top_per_label(df, "g", [F.col("s").desc()], 3).collect()
+    out = top_per_label(df, "g", [("s", "desc")], 3).collect()
     assert len(out) == 5
-    plan = plan_of(top_per_label(df, "g", [F.col("s").desc()], 3))
+    plan = plan_of(top_per_label(df, "g", [("s", "desc")], 3))
     assert "WindowGroupLimit" in plan
 
 
@@ -99,30 +100,46 @@ def test_region_overlap_repeated_and_unique_ids(spark):
     assert "Exchange" not in plan_of(fast)
 
 
-def test_top_per_label_strategies_agree_with_hot_tied_label(spark):
+def _plain_ranks(rows, keys, k, method):
+    """(label, key tuple, row) -> rows with rank <= k; NULL sorts last in descending order."""
+    out = []
+    for label in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == label]
+        order = sorted({r[1] for r in mine}, key=lambda v: tuple((x is None, -(x or 0)) for x in v))
+        for r in mine:
+            at = order.index(r[1])
+            rank = at + 1 if method == "dense_rank" else 1 + sum(x[1] in order[:at] for x in mine)
+            if rank <= k:
+                out.append((label or "", r[2], rank))
+    return sorted(out)
+
+
+def test_top_per_label_with_hot_tied_label(spark):
     rows_ = [("hot", 5.0, i) for i in range(300)] + [("hot", 9.0, 1), ("hot", 7.0, 2), ("hot", None, 3)] + \
             [("a", float(i % 4), i) for i in range(20)] + [(None, 1.0, 0), (None, 1.0, 1)]
-    df = spark.createDataFrame(rows_, "g string, s double, id long")
-    df = df.repartition(5)
-    key = lambda r: (r.g or "", r.id, r.r)
+    df = spark.createDataFrame(rows_, "g string, s double, id long").repartition(5)
     for method, k in (("dense_rank", 3), ("rank", 3), ("rank", 2), ("dense_rank", 1), ("rank", 310)):
-        win = sorted(map(key, top_per_label(df, "g", [F.col("s").desc()], k, method, "r", strategy="window").collect()))
-        for strategy in ("distinct", "salted"):
-            got = top_per_label(df, "g", [("s", "desc")], k, method, "r", strategy=strategy, salts=3)
-            assert sorted(map(key, got.collect())) == win, (method, k, strategy)
-    assert "WindowGroupLimit" in plan_of(top_per_label(df, "g", [F.col("s").desc()], 3))  # Column keys: window
-    plan = plan_of(top_per_label(df, "g", [("s", "desc")], 3))  # named keys: salted
-    assert "BroadcastHashJoin" in plan
-
-
-def test_ranking_strategies_agree_on_titles(spark):
-    from dfinsight.functions.columns import explode_labels
-    base = movies.analysis_base(titles(spark, SF01)).select("genres", "title", "rating_score", "rating_count")
-    ex = explode_labels(base, "genres", "genre").repartition(7)
-    key = lambda r: (r.genre, r.title, r.r)
-    for method, order in (("dense_rank", [("rating_score", "desc"), ("rating_count", "desc")]),
-                          ("rank", [("rating_score", "desc")])):
-        want = sorted(map(key, top_per_label(ex, "genre", order, 3, method, "r", strategy="window").collect()))
-        for strategy in ("distinct", "salted"):
-            got = sorted(map(key, top_per_label(ex, "genre", order, 3, method, "r", strategy=strategy).collect()))
-            assert got == want, (method, strategy)
+        got = sorted((r.g or "", r.id, r.r) for r in top_per_label(df, "g", [("s", "desc")], k, method, "r").collect())
+        assert got == _plain_ranks([(g, (s,), i) for g, s, i in rows_], 1, k, method), (method, k)
+    with pytest.raises(ValueError):
+        top_per_label(df, "g", [F.col("s").desc()], 3)
+    assert "WindowGroupLimit" in plan_of(top_per_label(df, "g", [("s", "desc")], 3))
+
+
+def test_reports_come_in_their_order(spark):
+    base = movies.analysis_base(titles(spark, SF01)).repartition(7)
+    decades = [r.decade for r in movies.decade_trend(base).collect()]
+    assert decades == sorted(decades) and len(decades) > 5
+    ranked = [(r.genre, r.rank_in_genre) for r in movies.top_per_genre(base).collect()]
+    assert ranked == sorted(ranked, key=lambda x: (x[0] is not None, x[0] or "", x[1]))
+
+
+def test_dirty_text_does_not_stop_the_analysis(spark):
+    rows_ = [(1, "a", "1990", "8.9", "200000", "US", "x", "1"), (2, "b", "199x", "9", "1", "US", "x", "1"), (3, "c", "2000", "abc", "5", "US", "x", "1"),
+             (4, "d", "2001", "9.1", "many", "US/CN", "y", "x"), (5, "e", "2002", None, "7", "CN", "y", "2")]
+    raw = spark.createDataFrame(rows_, "movie_id long, title string, year string, rating_score string, rating_count string, countries string, genres string, collect_count string")
+    base = movies.analysis_base(raw)
+    assert sorted(r.movie_id for r in base.collect()) == [1, 4]
+    assert [(r.country, r.movie_count) for r in movies.country_report(base, min_count=1).collect()] == [("US", 2), ("CN", 1)]
+    assert [r.title for r in movies.two_region_high(base).collect()] == ["a"]
+    assert len(movies.decade_trend(base).collect()) == 2
