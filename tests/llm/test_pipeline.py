@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import hashlib
 
-import corpus_pipeline
+import duckdb
+import pytest
+
 import __spark_entry__ as entry
-from dfinsight.llm import blob_ledger, lang_id, ngram_join, source_mix
+import corpus_pipeline
+from dfinsight.llm import blob_ledger, lang_id, ngram_join, queries, source_mix
 from pyspark.sql import functions as F
 
 from .test_operators import encoding, plain_targets
@@ -52,3 +55,13 @@ def test_every_operator_is_registered():
     names = entry.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_matches_its_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    df = queries.queries()[name](spark, SF)
+    order = sorted(df.columns)
+    want = con.execute(f"SELECT {', '.join(order)} FROM ({queries.oracle_sql()[name]})").fetchall()
+    assert sorted(map(tuple, df.select(order).collect())) == sorted(want)
