@@ -23,12 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .base import free_name, map_arrow, pieces, table, without
+from .base import free_name, map_arrow, pieces, stored, table, without
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-MAX_DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS, ORDER = 3000, 80_000, 40_000, 4
-FLOOR, CACHE = -6.0, 300_000
+MAX_DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS, ORDER = 3000, 120_000, 50_000, 4
+FLOOR, CACHE = -6.0, 500_000
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -76,9 +76,9 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
     share = F.create_map([x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1.0, max_docs_per_lang / n) * (1 << 30))))])
     sample = rows.filter(F.pmod(F.xxhash64(F.coalesce(F.col("k").cast("string"), F.lit("")), F.lit(10)), F.lit(1 << 30)) < share[F.col("l")])
     langs = sorted(counts)
-    found = (map_arrow(sample.select("t", "l"), _count_grams, "lang string, n int, gram string, c long").groupBy("n", "gram")
-             .agg(F.sum("c").alias("total"), *[F.sum(F.when(F.col("lang") == x, F.col("c")).otherwise(0)).alias(f"c{i}") for i, x in enumerate(langs)])
-             .filter("total > 1"))
+    found = stored(map_arrow(sample.select("t", "l"), _count_grams, "lang string, n int, gram string, c long").groupBy("n", "gram")
+                   .agg(F.sum("c").alias("total"), *[F.sum(F.when(F.col("lang") == x, F.col("c")).otherwise(0)).alias(f"c{i}") for i, x in enumerate(langs)])
+                   .filter("total > 1"), "grams")
     grams: list[list[str]] = [[] for _ in range(ORDER + 1)]
     counted: list[np.ndarray] = [np.zeros((0, len(langs)))] * (ORDER + 1)
     for part, most in (("n = 0", max_words), ("n > 0", max_grams)):
