@@ -36,16 +36,23 @@ def bare(text: Column) -> Column:
     return F.translate(text, WHITE, "")
 
 
-def line_passes(line: Column) -> Column:
-    """The rules of one line that has a word; n is its number of words."""
-    n = F.regexp_count(line, F.lit(WORD))
-    symbols = F.length(line) - F.length(F.translate(line, SYMBOLS + "!", ""))
-    letters = F.translate(bare(line), "0123456789.,;:!?'\"()-", "")
-    punctuation = (n < 5) | line.rlike(SENTENCE)
-    crowded = (symbols >= 5) & (symbols * 2 >= n)
+def line_facts(line: Column) -> Column:
+    """What the rules ask about a line, each counted once: n words, symbols, separators, letters (the line
+    without white space, digits and common punctuation)."""
+    return F.struct(line.alias("line"), F.regexp_count(line, F.lit(WORD)).alias("n"),
+                    (F.length(line) - F.length(F.translate(line, SYMBOLS + "!", ""))).alias("symbols"),
+                    F.regexp_count(line, F.lit(SEPARATORS)).alias("separators"),
+                    F.translate(line, WHITE + "0123456789.,;:!?'\"()-", "").alias("letters"))
+
+
+def passes(f: Column) -> Column:
+    """The rules of one line that has a word."""
+    n, letters = f["n"], f["letters"]
+    punctuation = (n < 5) | f["line"].rlike(SENTENCE)
+    crowded = (f["symbols"] >= 5) & (f["symbols"] * 2 >= n)
     shouted = (n >= 5) & (F.length(letters) >= 10) & (letters == F.upper(letters)) & (letters != F.lower(letters))
-    navigation = (F.regexp_count(line, F.lit(SEPARATORS)) >= 3) & (F.regexp_count(line, F.lit(SEPARATORS)) * 4 >= n)
-    boilerplate = (n <= BOILERPLATE_WORDS) & line.rlike(BOILERPLATE)
+    navigation = (f["separators"] >= 3) & (f["separators"] * 4 >= n)
+    boilerplate = (n <= BOILERPLATE_WORDS) & f["line"].rlike(BOILERPLATE)
     return punctuation & ~crowded & ~shouted & ~navigation & ~boilerplate
 
 
@@ -72,9 +79,10 @@ def clean_lines(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST)
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     df = docs.select(keep.alias("_d"), t.alias("_t"))
     df = df.withColumn("_words", F.regexp_extract_all("_t", F.lit(WORD), F.lit(0)))
-    df = df.withColumn("_lines", F.split("_t", "\n", -1)).withColumn("_full", F.filter("_lines", lambda x: bare(x) != ""))
+    df = df.withColumn("_facts", F.transform(F.split("_t", "\n", -1), line_facts))
+    df = df.withColumn("_full", F.filter("_facts", lambda f: f["n"] > 0)["line"])
     df = repeated_words(df, "_words", "_repeat")
-    df = df.withColumn("_kept", F.filter("_lines", lambda x: (bare(x) == "") | line_passes(x)))
+    df = df.withColumn("_kept", F.filter("_facts", lambda f: (f["n"] == 0) | passes(f))["line"])
     df = df.withColumn("_chars", F.length(bare(F.col("_t"))).cast("long")).withColumn("_clean", F.array_join("_kept", "\n"))
     base = (F.size("_words") < MIN_WORDS) | (100 * F.col("_repeat") > REPEAT_PERCENT * F.size("_words"))
     lost = F.col("_chars") - F.length(bare(F.col("_clean")))
@@ -82,7 +90,7 @@ def clean_lines(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST)
                      (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
                      (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
                      F.col("_repeat").alias("n_repeat_words"), F.col("_clean").alias("clean_text"),
-                     F.size("_full").cast("long").alias("n_lines"), (F.size("_lines") - F.size("_kept")).cast("long").alias("n_lines_removed"),
+                     F.size("_full").cast("long").alias("n_lines"), (F.size("_facts") - F.size("_kept")).cast("long").alias("n_lines_removed"),
                      base.alias("base_failed"), (~base & (lost <= max_lost * F.col("_chars"))).alias("kept"))
 
 

@@ -172,7 +172,7 @@ def test_lines_judged(spark):
     cases = {good: True, "Home | About | Contact | News | Jobs": False, "All rights reserved.": False, "RED BLUE GREEN BLACK AND WHITE NOW.": False,
              "no end in sight here at all": False, "Short line": True, "what### a$$$ mess%%% of&&& symbols***.": False}
     df = spark.createDataFrame([(i, x) for i, x in enumerate(cases)], "i int, line string")
-    assert {r.line: r.ok for r in df.withColumn("ok", line_quality.line_passes(F.col("line"))).collect()} == cases
+    assert {r.line: r.ok for r in df.withColumn("ok", line_quality.passes(line_quality.line_facts(F.col("line")))).collect()} == cases
     rows = line_quality.clean_lines(spark.createDataFrame([(1, good + "\nAnother one follows here with quite different words.\nAll rights reserved."), (2, good + "\n" + "\n".join(["Home | About | Contact | News | Jobs | Team | Press"] * 3))], "doc_id long, text string")).orderBy("doc_id").collect()
     assert rows[0].kept and rows[0].n_lines_removed == 1 and "rights" not in rows[0].clean_text and not rows[1].kept
 
