@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..functions.columns import round_to
-from ..operators import learning, numeric, ranking, scaling
+from ..functions.columns import ntz_to_instant, round_to
+from ..operators import learning, numeric, profile, ranking, scaling
 from ..session import scratch_path
 from ..sources import io
 from ..streaming import streams
@@ -182,23 +184,27 @@ def q_integral(spark, sf):
 
 
 # ----------------------------------------------------------------------------- streams
-def _events_stream(spark, sf, max_files=None):
-    return streams.file_stream(spark, sf, "events.parquet", max_files_per_trigger=max_files)
+def _events_stream(spark, sf):
+    return streams.file_stream(spark, sf, "events.parquet")
+
+
+def _base(spark, name):
+    """A folder of its own for every run of a registered query, where stream state belongs."""
+    return streams.stream_base(spark, f"{name}-{uuid.uuid4().hex}")
 
 
 @query("stream_counts_events", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def q_stream_counts(spark, sf):
-    _, cur = streams.run_updates(streams.stream_counts(_events_stream(spark, sf), "event_type"),
-                                 ["event_type"], "stream_counts")
-    return cur
+    return streams.run_updates(streams.stream_counts(_events_stream(spark, sf), "event_type"), ["event_type"],
+                               _base(spark, "stream_counts"))
 
 
 @query("stream_latest_events", """
 SELECT user_id, ts, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def q_stream_latest(spark, sf):
-    agg = streams.latest_values(_events_stream(spark, sf), "user_id", "ts", "event_id", ["value"])
-    _, cur = streams.run_updates(agg, ["user_id"], "stream_latest")
+    cur = streams.stream_latest(_events_stream(spark, sf), "user_id", "ts", "event_id", ["value"],
+                                _base(spark, "stream_latest"))
     return cur.select("user_id", "ts", "event_id", "value")
 
 
@@ -208,7 +214,7 @@ def q_stream_dedupe(spark, sf):
     one = streams.with_event_time(_events_stream(spark, sf), "ts")
     two = streams.with_event_time(_events_stream(spark, sf), "ts")
     deduped = streams.stream_dedupe(one.unionByName(two), "event_id", "event_time", "1 hour")
-    _, rows = streams.run_append(deduped.drop("event_time"), "stream_dedupe")
+    rows = streams.run_append(deduped.drop("event_time"), _base(spark, "stream_dedupe"))
     return rows.select("event_id", "ts", "user_id", "event_type", "value")
 
 
@@ -218,11 +224,87 @@ FROM events GROUP BY ALL""")
 def q_metric_series(spark, sf):
     ev = streams.with_event_time(_events_stream(spark, sf), "ts")
     agg = streams.metric_series(ev, "event_time", "event_type", "value", "1 day", delay="1 day")
-    _, cur = streams.run_updates(agg, ["w", "event_type"], "metric_series")
+    cur = streams.run_updates(agg, ["w", "event_type"], _base(spark, "metric_series"))
     return streams.flatten_window(cur).select("event_type", "window_start", "n",
                                               round_to("avg_value", 6).alias("avg_value"))
 
 
+def _arrivals(spark, sf, name, run, again=False):
+    """Let ``events`` arrive in three deliveries of several files each and call ``run(stream, span)`` after
+    each. Every call is a new streaming query over the same folders, so the second and the third are
+    restarts that carry state on; each drains its delivery in two or more micro-batches. A delivery is a
+    third of the time span (``span``: its length, all of it, for watermarks); ``again`` brings the third
+    before once more (late and repeated rows). Returns what the last call returned."""
+    ev, folder = table(spark, sf, "events"), f"{scratch_path(spark, name)}/in"
+    second = F.unix_seconds(ntz_to_instant("ts"))
+    lo, hi = (x or 0 for x in ev.agg(F.min(second), F.max(second)).first())
+    third = F.coalesce(F.floor((second - lo) * 3 / (hi - lo + 1)), F.lit(0))
+    files, out = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4), None
+    for n in range(3):
+        ev.filter(third.isin(n, n - 1) if again else third == n).repartition(files).write.mode("append").parquet(folder)
+        out = run(streams.file_stream(spark, folder, schema=ev.schema, max_files_per_trigger=max(1, files // 2)),
+                  f"{hi - lo + 1} seconds")
+    return out
+
+
+@query("stream_counts_restarted", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def q_counts_restarted(spark, sf):
+    """T1 with evidence: several files, at least six micro-batches, two restarts, compaction every third batch."""
+    base = _base(spark, "stream_counts_restarted")
+    return _arrivals(spark, sf, "counts_in", lambda s, _: streams.run_updates(
+        streams.stream_counts(s, "event_type"), ["event_type"], base, compact_every=3))
+
+
+@query("stream_latest_restarted", """
+SELECT user_id, ts, event_id, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def q_latest_restarted(spark, sf):
+    """T2 over restarts; every delivery also brings the one before again, which must not win."""
+    base = _base(spark, "stream_latest_restarted")
+    cur = _arrivals(spark, sf, "latest_in", lambda s, _: streams.stream_latest(
+        s, "user_id", "ts", "event_id", ["value"], base), again=True)
+    return cur.select("user_id", "ts", "event_id", "value")
+
+
+@query("stream_dedupe_batches", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def q_dedupe_batches(spark, sf):
+    """T3 with copies in different micro-batches and across restarts: two of the three deliveries bring
+    every row of the one before again. The delay spans the deliveries, so one copy of each survives."""
+    base = _base(spark, "stream_dedupe_batches")
+
+    def run(s, span):
+        once = streams.stream_dedupe(streams.with_event_time(s, "ts"), "event_id", "event_time", span)
+        return streams.run_append(once.drop("event_time"), base)
+
+    return _arrivals(spark, sf, "dedupe_in", run, again=True).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@query("metric_series_restarted", f"""
+SELECT event_type, date_trunc('day', ts) AS window_start, count(*) AS n, {R('avg(value)', 6)} AS avg_value
+FROM events GROUP BY ALL""")
+def q_series_restarted(spark, sf):
+    """T4 over restarts: a window whose rows lie in two deliveries goes on from its state."""
+    base = _base(spark, "metric_series_restarted")
+
+    def run(s, span):
+        agg = streams.metric_series(streams.with_event_time(s, "ts"), "event_time", "event_type", "value", "1 day", delay=span)
+        return streams.run_updates(agg, ["w", "event_type"], base, compact_every=4)
+
+    cur = _arrivals(spark, sf, "series_in", run)
+    return streams.flatten_window(cur).select("event_type", "window_start", "n", round_to("avg_value", 6).alias("avg_value"))
+
+
+@query("metric_latest_stream", f"""
+SELECT event_type, arg_max(value, (ts, event_id)) AS latest, {R('avg(value)', 6)} AS mean,
+       max(value) AS max, count(*) AS n FROM events GROUP BY event_type""")
+def q_metric_latest_stream(spark, sf):
+    """T5 in its streaming form, over restarts."""
+    base = _base(spark, "metric_latest_stream")
+    cur = _arrivals(spark, sf, "metric_in", lambda s, _: streams.run_updates(
+        streams.metric_latest(s, "event_type", "ts", "event_id", "value"), ["event_type"], base))
+    return cur.select("event_type", "latest", round_to("mean", 6).alias("mean"), "max", "n")
+
+
 @query("metric_series_hour_batch", f"""
 SELECT user_id % 10 AS node, date_trunc('hour', ts) AS window_start, count(*) AS n, {R('avg(value)', 6)} AS avg_value
 FROM events GROUP BY ALL""")
@@ -243,13 +325,21 @@ def q_metric_latest(spark, sf):
 
 # ----------------------------------------------------------------------------- sources and sinks
 @query("schema_report_orders", """
-SELECT CAST(ordinal_position AS INTEGER) AS position, column_name,
-       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type,
-       is_nullable = 'YES' AS nullable
-FROM information_schema.columns WHERE table_name = 'orders'""")
+SELECT CAST(c.ordinal_position AS INTEGER) AS position, c.column_name,
+       CASE c.data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(c.data_type) END AS data_type,
+       c.is_nullable = 'YES' AS nullable, n.n_rows, n.n_missing
+FROM information_schema.columns c JOIN (
+  SELECT * FROM (SELECT count(*) AS n_rows FROM orders), (UNPIVOT (
+    SELECT CAST(count_if(COLUMNS(*) IS NULL OR CAST(COLUMNS(*) AS VARCHAR) IN ('', 'null')) AS BIGINT) FROM orders)
+    ON COLUMNS(*) INTO NAME column_name VALUE n_missing)) n
+  ON c.column_name = n.column_name WHERE c.table_name = 'orders'""")
 def q_schema_report(spark, sf):
-    return io.schema_report(table(spark, sf, "orders"))
+    """SNK1 with the one-scan profile: what the table declares next to what its rows hold."""
+    orders = table(spark, sf, "orders")
+    return io.schema_report(orders).join(
+        profile.profile_table(orders).select("column_name", "n_rows", "n_missing"), "column_name") \
+        .select("position", "column_name", "data_type", "nullable", "n_rows", "n_missing")
 
 
 @query("preview_orders", """

@@ -6,7 +6,9 @@ the checkpoint folder under the session's shared ``spark.checkpoint.dir``.
 
 Sinks: aggregations run in ``update`` mode; each micro-batch's changed rows are written with their
 batch id (overwrite per batch id, so a retried batch is idempotent), and the current table is the
-latest row per key. Append-only results (dedupe) use the parquet file sink.
+latest row per key over finished batches. Every n-th batch the log is compacted and old batches go.
+Append-only results (dedupe) use the parquet file sink. The folder of a stream is always named by the
+caller, because the state in it must be found again by the next process.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import instant_to_ntz, ntz_to_instant
-from ..session import scratch_path
+from ..session import checkpoint_dir
 
 
 # ----------------------------------------------------------------------------- sources
@@ -43,77 +45,109 @@ def with_event_time(stream: DataFrame, ts: str, out: str = "event_time") -> Data
 
 
 # ----------------------------------------------------------------------------- sinks
-def start_updates(agg: DataFrame, base: str, trigger: dict | None = None):
+def stream_base(spark: SparkSession, name: str) -> str:
+    """``<shared folder>/dfinsight-streams/<name>``: the same for every process with the same
+    ``spark.checkpoint.dir``, and outside the scratch prefix that ``clean_scratch`` removes."""
+    root = (spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+            or checkpoint_dir(spark))
+    return f"{root.rstrip('/')}/dfinsight-streams/{name}"
+
+
+def start_updates(agg: DataFrame, base: str, trigger: dict | None = None, keys: list[str] | None = None,
+                  compact_every: int | None = None):
     """Start an aggregating stream in update mode writing its change log under ``base``; return
     the ``StreamingQuery``. ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
-    ``{"processingTime": "1 minute"}`` for a long-running counter); default: drain what is there."""
+    ``{"processingTime": "1 minute"}`` for a long-running counter); default: drain what is there.
+
+    ``base`` holds the state and the counts: give the same folder to resume, and keep it out of the
+    scratch prefix (:func:`stream_base` is such a place). With ``keys`` and ``compact_every`` every
+    n-th batch is followed by :func:`compact_updates`, which also removes old batches, so the folder
+    does not grow with the life of the stream."""
+    if f"{checkpoint_dir(agg.sparkSession).rstrip('/')}/dfinsight/" in f"{base}/":
+        raise ValueError("a stream's folder must not lie under the scratch prefix; see stream_base")
+    if compact_every and not keys:
+        raise ValueError("compact_every needs the keys of the table")
     log = f"{base}/log"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_updates(batch.sparkSession, base, keys)
 
     writer = (agg.writeStream.outputMode("update").foreachBatch(write)
               .option("checkpointLocation", f"{base}/checkpoint"))
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _numbered_dirs(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers N of the ``prefix=N`` sub-folders of ``path`` (a listing on the driver, no job)."""
+def _file_system(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _complete(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers N of the finished ``prefix=N`` sub-folders of ``path`` (those with the writer's _SUCCESS
+    mark; a listing on the driver, no job). A folder that is still being written is left out."""
+    fs, jpath = _file_system(spark, path)
     if not fs.exists(jpath):
         return []
     names = [st.getPath().getName() for st in fs.listStatus(jpath)]
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(prefix + "="))
+    done = [n for n in names if n.startswith(prefix + "=") and fs.exists(_file_system(spark, f"{path}/{n}/_SUCCESS")[1])]
+    return sorted(int(n.split("=", 1)[1]) for n in done)
+
+
+def _changes(spark: SparkSession, base: str, upto: int | None = None, before: int | None = None) -> DataFrame | None:
+    """The newest snapshot (older than ``before``, if given) and the finished batches after it, up to
+    ``upto``; None when there is neither."""
+    snaps = [n for n in _complete(spark, f"{base}/snapshot", "upto") if before is None or n < before]
+    since = snaps[-1] if snaps else -1
+    batches = [n for n in _complete(spark, f"{base}/log", "batch") if n > since and (upto is None or n <= upto)]
+    found = [spark.read.parquet(f"{base}/snapshot/upto={since}")] if snaps else []
+    if batches:
+        found.append(spark.read.option("basePath", f"{base}/log").parquet(*[f"{base}/log/batch={n}" for n in batches]))
+    return None if not found else found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
 def current_table(spark: SparkSession, base: str, keys: list[str], schema=None) -> DataFrame:
     """The current result of a stream started with :func:`start_updates` (latest row per key):
-    the newest snapshot written by :func:`compact_updates` plus the log batches after it.
+    the newest snapshot written by :func:`compact_updates` plus the finished log batches after it.
     Before any batch is logged: an empty table of ``schema`` (the aggregate's schema)."""
-    if not _numbered_dirs(spark, f"{base}/log", "batch") and schema is not None:
+    log = _changes(spark, base)
+    if log is None:
+        if schema is None:
+            raise ValueError(f"no finished batch under {base}, and no schema for an empty table")
         return spark.createDataFrame([], schema)
-    log = spark.read.parquet(f"{base}/log")
-    snaps = _numbered_dirs(spark, f"{base}/snapshot", "upto")
-    if snaps:
-        upto = snaps[-1]
-        snap = spark.read.parquet(f"{base}/snapshot/upto={upto}")
-        log = snap.unionByName(log.filter(F.col("batch") > F.lit(upto)))  # pruned to later batches
     return latest_per_key(log, keys)
 
 
 def compact_updates(spark: SparkSession, base: str, keys: list[str]) -> int | None:
-    """Write the current table as a snapshot at the newest logged batch; later reads skip every
-    batch up to it. Returns that batch id (None when nothing is logged yet)."""
-    batches = _numbered_dirs(spark, f"{base}/log", "batch")
+    """Write the current table as a snapshot at the newest finished batch; later reads skip every
+    batch up to it. Batches and snapshots that the snapshot before it already covered are removed; one
+    generation stays for readers that listed the folder just before, and for a retry. Returns that
+    batch id (None when nothing is logged yet)."""
+    batches = _complete(spark, f"{base}/log", "batch")
     if not batches:
         return None
     upto = batches[-1]
-    cur = latest_per_key(_log_up_to(spark, base, upto), keys)
-    cur.withColumn("batch", F.lit(upto)).write.mode("overwrite").parquet(f"{base}/snapshot/upto={upto}")
+    now = latest_per_key(_changes(spark, base, upto, before=upto), keys)
+    now.withColumn("batch", F.lit(upto)).write.mode("overwrite").parquet(f"{base}/snapshot/upto={upto}")
+    older = [n for n in _complete(spark, f"{base}/snapshot", "upto") if n < upto]
+    if older:
+        gone = [f"{base}/log/batch={n}" for n in batches if n <= older[-1]] + [f"{base}/snapshot/upto={n}" for n in older[:-1]]
+        for path in gone:
+            fs, jpath = _file_system(spark, path)
+            fs.delete(jpath, True)
     return upto
 
 
-def _log_up_to(spark: SparkSession, base: str, upto: int) -> DataFrame:
-    log = spark.read.parquet(f"{base}/log").filter(F.col("batch") <= F.lit(upto))
-    snaps = [s for s in _numbered_dirs(spark, f"{base}/snapshot", "upto") if s <= upto]
-    if not snaps:
-        return log
-    snap = spark.read.parquet(f"{base}/snapshot/upto={snaps[-1]}")
-    return snap.unionByName(log.filter(F.col("batch") > F.lit(snaps[-1])))
-
-
-def run_updates(agg: DataFrame, keys: list[str], name: str, base: str | None = None) -> tuple[str, DataFrame]:
-    """Run an aggregating stream in update mode until the input is drained; return
-    (folder, current table). Re-running with the same ``base`` resumes from its checkpoint."""
-    spark = agg.sparkSession
-    base = base or scratch_path(spark, name)
-    handle = start_updates(agg, base)
+def run_updates(agg: DataFrame, keys: list[str], base: str, compact_every: int | None = None) -> DataFrame:
+    """Run an aggregating stream in update mode until the input is drained; return the current table.
+    Running again with the same ``base`` resumes from its checkpoint."""
+    handle = start_updates(agg, base, keys=keys, compact_every=compact_every)
     try:
         handle.awaitTermination()
     finally:
         handle.stop()
-    return base, current_table(spark, base, keys, schema=agg.schema)
+    return current_table(agg.sparkSession, base, keys, schema=agg.schema)
 
 
 def latest_per_key(log: DataFrame, keys: list[str]) -> DataFrame:
@@ -123,10 +157,9 @@ def latest_per_key(log: DataFrame, keys: list[str]) -> DataFrame:
     return latest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
 
 
-def run_append(stream: DataFrame, name: str, base: str | None = None) -> tuple[str, DataFrame]:
-    """Run an append-mode stream into a parquet file sink until drained; return (folder, rows)."""
-    spark = stream.sparkSession
-    base = base or scratch_path(spark, name)
+def run_append(stream: DataFrame, base: str) -> DataFrame:
+    """Run an append-mode stream into a parquet file sink until drained; return the rows written so far.
+    Running again with the same ``base`` resumes from its checkpoint."""
     handle = (stream.writeStream.outputMode("append").format("parquet")
               .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
               .trigger(availableNow=True).start())
@@ -134,7 +167,7 @@ def run_append(stream: DataFrame, name: str, base: str | None = None) -> tuple[s
         handle.awaitTermination()
     finally:
         handle.stop()
-    return base, spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{base}/out")
 
 
 # ----------------------------------------------------------------------------- operators
@@ -177,8 +210,6 @@ def metric_latest(df: DataFrame, key: str, ts: str, tiebreak: str, value: str) -
         F.avg(value).alias("mean"), F.max(value).alias("max"), F.count(F.lit(1)).alias("n"))
 
 
-def stream_latest(stream: DataFrame, key: str, ts: str, tiebreak: str, values: list[str],
-                  base: str | None = None) -> DataFrame:
+def stream_latest(stream: DataFrame, key: str, ts: str, tiebreak: str, values: list[str], base: str) -> DataFrame:
     """Run the latest-value aggregation over a stream until drained; the current table."""
-    _, current = run_updates(latest_values(stream, key, ts, tiebreak, values), [key], "stream_latest", base=base)
-    return current
+    return run_updates(latest_values(stream, key, ts, tiebreak, values), [key], base)
