@@ -12,8 +12,8 @@ from ..session import scratch_path
 from ..sources import io
 from ..streaming import streams
 from . import movies
-from .catalog import R, query, with_base, with_titles
-from .views import MESSY_EVENTS_SQL, TASK_LOG_SQL, messy_events, table, task_log, titles
+from .catalog import R, RL, query, with_base, with_titles
+from .views import LONG_TAIL_SQL, MESSY_EVENTS_SQL, TASK_LOG_SQL, long_tail, messy_events, table, task_log, titles
 
 # ----------------------------------------------------------------------------- windows / sequences
 
@@ -155,7 +155,9 @@ def q_classifier_train(spark, sf):
     fitted = learning.training_summary(model)
     scored = learning.predict(model, emb, "embedding", "label", "vec_id")
     share = emb.groupBy("label").agg(F.count("*").alias("c")).agg((F.max("c") * 100.0 / F.sum("c")).alias("majority"))
-    return learning.classification_metrics(scored).join(F.broadcast(share)).select(
+    facts = learning.classification_metrics(scored).unionByName(share, allowMissingColumns=True) \
+        .agg(*(F.max(c).alias(c) for c in ("n", "accuracy_pct", "mean_loss", "majority")))  # two rows of facts into one
+    return facts.select(
         "n", F.lit(fitted["converged"]).alias("converged"), F.lit(fitted["never_rising"]).alias("never_rising"),
         (F.col("accuracy_pct") > F.col("majority")).alias("above_majority"), (F.col("mean_loss") < F.log(F.lit(10.0))).alias("below_chance_loss"))
 
@@ -470,6 +472,90 @@ def q_country_trimmed(spark, sf):
                       round_to("avg_rating_count", 4).alias("avg_rating_count"))
 
 
+# ----------------------------------------------------------------------------- flagship on many skewed labels
+def _long_tail_sql(spread):
+    return f"""
+WITH titles AS ({LONG_TAIL_SQL.format(spread=spread)})
+SELECT country, count(*) AS movie_count, {R('avg(rating_score)', 2)} AS avg_rating,
+       {RL('avg(rating_count)')} AS avg_rating_count
+FROM (SELECT unnest(string_split(countries, '/')) AS country, rating_score, rating_count FROM titles WHERE rating_score >= 1.0) x
+GROUP BY country HAVING count(*) >= 5
+ORDER BY movie_count DESC, country ASC NULLS FIRST LIMIT 15"""
+
+
+@query("country_report_top_cuts", _long_tail_sql(3.0))
+def q_country_top_cuts(spark, sf):
+    """X3 on over 20 skewed labels: more than 15 pass the minimum, so the top 15 cuts."""
+    return movies.country_report(movies.analysis_base(long_tail(spark, sf, 3.0)))
+
+
+@query("country_report_having_cuts", _long_tail_sql(1.2))
+def q_country_having_cuts(spark, sf):
+    """X3 on fewer than 15 labels, the last of them rarer than the minimum, so HAVING cuts."""
+    return movies.country_report(movies.analysis_base(long_tail(spark, sf, 1.2)))
+
+
+# ----------------------------------------------------------------------------- operators in their other forms
+@query("csv_with_bom_titles", with_titles("""
+SELECT movie_id, title, year AS release_year, directors FROM titles"""))
+def q_csv_with_bom(spark, sf):
+    """SRC2 + P2: a CSV whose header starts with a byte order mark and whose names are found in the file."""
+    base = scratch_path(spark, "csv_bom")
+    t = titles(spark, sf).select("movie_id", "title", "year", "directors")
+    io.land_csv(t.withColumnRenamed("movie_id", f"{io.BOM}movie_id"), f"{base}/csv")
+    back = io.read_csv(spark, f"{base}/csv", null_value=io.CSV_NULL).withColumnRenamed("year", "release_year")
+    return back.withColumn("movie_id", F.col("movie_id").cast("bigint"))
+
+
+@query("registered_view_titles", with_titles("""
+SELECT directors, count(*) AS n FROM titles GROUP BY directors"""))
+def q_registered_view(spark, sf):
+    """SNK3: the table under a view name of its own, asked in SQL."""
+    name = f"titles_{uuid.uuid4().hex}"
+    io.register(titles(spark, sf), name)
+    return spark.sql(f"SELECT directors, count(*) AS n FROM {name} GROUP BY directors")
+
+
+_ONE_LABEL = "SELECT movie_id, unnest(string_split(countries, '/')) AS countries FROM base"
+
+
+@query("region_overlap_repeated", with_base(f"""
+SELECT movie_id, CASE WHEN bool_or(countries = 'US') AND bool_or(countries = 'CN') THEN 'both'
+                      WHEN bool_or(countries = 'US') THEN 'a_only' ELSE 'b_only' END AS side
+FROM ({_ONE_LABEL}) x GROUP BY movie_id HAVING bool_or(countries = 'US') OR bool_or(countries = 'CN')"""))
+def q_overlap_repeated(spark, sf):
+    """J1 where an id has one row per label: the side is only known after the rows of an id met."""
+    from ..functions.columns import explode_labels
+    from ..operators.overlap import region_overlap
+    rows = explode_labels(movies.analysis_base(titles(spark, sf)).select("movie_id", "countries"), "countries", "label")
+    return region_overlap(rows.select("movie_id", F.col("label").alias("countries")), "movie_id", "countries", "US", "CN")
+
+
+@query("profile_report_titles", with_titles("""
+, typed AS (SELECT try_cast(year AS DOUBLE) AS y, rating_score AS s, genres FROM titles),
+clean AS (SELECT * FROM typed WHERE y >= 1900 AND s >= 1.0)
+SELECT part, label, n FROM (
+  SELECT 'rows_before' AS part, '' AS label, count(*) AS n FROM titles
+  UNION ALL SELECT 'rows_after', '', count(*) FROM clean
+  UNION ALL SELECT 'missing', column_name, n FROM (UNPIVOT (
+    SELECT CAST(count_if(COLUMNS(*) IS NULL OR CAST(COLUMNS(*) AS VARCHAR) IN ('', 'null')) AS BIGINT) FROM titles)
+    ON COLUMNS(*) INTO NAME column_name VALUE n)
+  UNION ALL SELECT 'numeric', c, n FROM (SELECT unnest(['year', 'rating_score', 'rating_count', 'collect_count']) AS c), (SELECT count(*) AS n FROM clean)
+  UNION ALL SELECT * FROM (SELECT 'genres_top', g, count(*) FROM (SELECT unnest(string_split(genres, '/')) AS g FROM clean) GROUP BY g ORDER BY 3 DESC, g LIMIT 10)
+  UNION ALL SELECT 'decades', CAST(CAST(floor(y / 10) * 10 AS INTEGER) AS VARCHAR), count(*) FROM clean GROUP BY 2) r"""))
+def q_profile_report(spark, sf):
+    """X8 as one report: every counting part of the movie table's profile as (part, label, n) rows."""
+    parts = movies.profile_report(titles(spark, sf))
+    columns = {"rows_before": (F.lit(""), "n_rows"), "rows_after": (F.lit(""), "n_rows"), "missing": (F.col("column_name"), "n_missing"),
+               "numeric": (F.col("column_name"), "n"), "genres_top": (F.col("genre"), "n"),
+               "decades": (F.col("decade").cast("int").cast("string"), "n")}
+    out = None
+    for part, (label, n) in columns.items():
+        rows = parts[part].select(F.lit(part).alias("part"), label.alias("label"), F.col(n).alias("n"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ----------------------------------------------------------------------------- cleaning on the messy events view
 _MESSY = f"WITH messy AS ({MESSY_EVENTS_SQL})"
 

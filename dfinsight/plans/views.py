@@ -35,6 +35,16 @@ SELECT o_orderkey AS movie_id,
 FROM orders
 """
 
+# The movie table with a geometric spread of labels: label r<j> is about exp(-1 / spread) times as
+# frequent as the one before, so the first holds a third or more of the rows and the last a few.
+LONG_TAIL_SQL = """
+SELECT o_orderkey AS movie_id, CAST(1950 + o_orderkey % 70 AS STRING) AS year,
+  CAST(10 + (o_orderkey * 37) % 91 AS DOUBLE) / 10 AS rating_score, (o_orderkey * 7919) % 200003 AS rating_count,
+  concat('r', CAST(CAST(floor(-ln((((o_orderkey * 7919) % 1000003) + 1) / 1000004.0) * {spread}) AS INT) AS STRING),
+         CASE WHEN o_orderkey % 5 = 0 THEN '/extra' ELSE '' END) AS countries
+FROM orders
+"""
+
 # `events` with missing values in the three spellings (NULL, '' and 'null').
 MESSY_EVENTS_SQL = """
 SELECT event_id, ts, user_id,
@@ -82,6 +92,10 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, TITLES_SQL, ("orders",))
 
 
+def long_tail(spark: SparkSession, sf_dir: str, spread: float) -> DataFrame:
+    return view(spark, sf_dir, LONG_TAIL_SQL.format(spread=spread), ("orders",))
+
+
 def messy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, MESSY_EVENTS_SQL, ("events",))
 

@@ -6,9 +6,10 @@ from dfinsight.plans import catalog as entry
 from dfinsight.operators.profile import numeric_summary
 from tests.conftest import SF001, plan_of
 
-# Queries whose builders run a stream or write files first; their plans are checked in test_streams.
+# Queries whose builders run a stream or write files first; the plans they run are checked in test_executed_plans.
 SIDE_EFFECTS = {"stream_counts_events", "stream_latest_events", "stream_dedupe_events", "metric_series_day",
-                "csv_roundtrip_titles", "word_count_lines", "classifier_train_embeddings"}
+                "stream_counts_restarted", "stream_latest_restarted", "stream_dedupe_batches", "metric_series_restarted",
+                "metric_latest_stream", "csv_with_bom_titles", "csv_roundtrip_titles", "word_count_lines", "classifier_train_embeddings"}
 # MapInArrow: per-task X^T X; sorted partitions integrated as they stream by
 ARROW_BATCHED = {"gram_matrix", "integral_user", "user_activity_events"}
 
