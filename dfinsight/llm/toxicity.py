@@ -14,7 +14,8 @@ weights. The sampled label rows are the only broadcast of rows, and that bound h
 fit runs in one task over the sampled documents' sparse counts. Scoring is one map: no shuffle.
 
 Defined cases: null or wordless text scores grade 0 and the severity of an empty vector; labels that
-are null are not used; a document labelled twice counts twice; no toxic labels or no labels at all
+are null are not used; labels and rows that repeat count once in the sample, a document labelled both
+ways once in each class; no toxic labels or no labels at all
 give severity 0 for every document; extra columns are ignored; repeated rows repeat.
 """
 
@@ -163,12 +164,12 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> DataFrame:
     """(text, grade): at most about ``max_per_class`` labelled documents of each class; grade 0 or -1."""
-    rows = labels.filter("toxic is not null and doc_id is not null").select("doc_id", (F.col("toxic") > 0).cast("int").alias("t"))
+    rows = labels.filter("toxic is not null and doc_id is not null").select("doc_id", (F.col("toxic") > 0).cast("int").alias("t")).distinct()
     n = {r.t: r.n for r in rows.groupBy("t").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("t") == 1, F.lit(min(1.0, max_per_class / max(1, n.get(1, 0))))).otherwise(F.lit(min(1.0, max_per_class / max(1, n.get(0, 0)))))
     few = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) < share * (1 << 30))
-    joined = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", (-F.col("t")).alias("grade"))
-    return stored(joined, "labelled")
+    joined = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id", "text", "t"])
+    return stored(joined.select("text", (-F.col("t")).alias("grade")), "labelled")
 
 
 def q_toxicity(spark, sf_dir):

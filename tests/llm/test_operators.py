@@ -104,6 +104,13 @@ def test_toxicity_on_held_out_documents(spark):
     assert none.filter("severity <> 0 or grade <> 0 or toxic").count() == 0
 
 
+def test_repeated_labels_and_rows_do_not_grow_the_sample(spark):
+    docs = spark.createDataFrame([(1, "same text")] * 50 + [(2, "vile text"), (2, "another"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0)] * 40 + [(2, 1)] * 3 + [(2, 0), (3, 0), (3, 0)], "doc_id long, toxic int")
+    got = sorted((r.text or "", r.grade) for r in toxicity.labelled_sample(docs, labels).collect())
+    assert got == [("", 0), ("another", -1), ("another", 0), ("same text", 0), ("vile text", -1), ("vile text", 0)]
+
+
 def test_ordinal_thresholds_ascend():
     rnd = np.random.default_rng(0)
     x = rnd.random(600)
