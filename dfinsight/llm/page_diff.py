@@ -2,12 +2,13 @@
 
 Pages are ordered by host, URL path and id. A page's nearest page is the neighbour in that order that is
 on the same host and shares the longer run of leading path segments (the earlier one on a tie). Both
-pages are cut into text lines, one per block of the markup; the lines are aligned by a longest common
-subsequence and the shared ones are deleted as template text. Markup decides what it can by itself:
-scripts, styles, menus, headers, footers, sidebars, forms, adverts, notices and comments are dropped
-unseen, and lines inside a marked article or main element are never template, so a page served twice
-keeps its article. Pages without such an element are cleaned by differencing alone, but a neighbour that
-shares four fifths or more of the page's text is a copy, not a template, and deletes nothing.
+pages are cut into text lines, one per block of the markup, menus, headers and footers included (only
+scripts, styles and the like hold no lines); all lines are aligned by a longest common subsequence and the
+shared ones are template text. Markup follows as the check. It drops the menus, headers, footers, sidebars,
+forms, adverts, notices and comments that the neighbour does not share, and it protects the article: lines
+of an article element are never template. A page's lines inside article and main (where it has neither, all
+lines that markup does not drop) also tell copies: if none of them differs from the neighbour's, the
+neighbour is a copy and they stay; if some do, the shared ones go, however much of the text they are.
 
 The order is cut into ranges at sampled keys, so a host with a third of all pages spreads over many
 ranges; the pages at the two ends of a range are sent to the next range too, so the result does not
@@ -37,11 +38,12 @@ BLOCK = frozenset("""address article aside blockquote body button caption center
 footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th
 thead tr ul""".split())
 JUNK = frozenset("nav footer aside form button select menu dialog head".split())
-CORE = frozenset(("article", "main"))
+#: What markup says of a line, in the order of trust: dropped, nothing, inside main, inside an article.
+DROPPED, LOOSE, IN_MAIN, IN_ARTICLE = range(4)
+CORE = {"main": IN_MAIN, "article": IN_ARTICLE}
 JUNK_NAMES = frozenset("""ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer
 footer header masthead menu modal nav navbar navigation newsletter notice notices popup promo promotion related share sharing sidebar social
 sponsor sponsored subscribe widget complementary contentinfo search""".split())
-MIRROR = 0.8
 
 
 def is_junk(name: str, attributes: str, inside_core: bool) -> bool:
@@ -53,30 +55,34 @@ def is_junk(name: str, attributes: str, inside_core: bool) -> bool:
     return bool(words & (JUNK_NAMES - {"header"} if inside_core else JUNK_NAMES))
 
 
-def page_lines(html: str | None) -> list[tuple[str, bool]]:
-    """(text, inside article or main) of the blocks of a page that markup does not rule out."""
+def marked_lines(html: str | None) -> list[tuple[str, int]]:
+    """(text, what markup says of it) of every block of a page. Dropped text inside a block is a line of its own."""
     html = html or ""
-    out: list[tuple[str, bool]] = []
+    out: list[tuple[str, int]] = []
     held: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, junk from here on, core from here on
+    dropped: list[str] = []
+    stack: list[tuple[str, bool, int]] = []  # name, junk from here on, mark from here on
     at = 0
 
+    def now() -> list[str]:
+        return dropped if stack and stack[-1][1] else held
+
     def flush():
-        if held:
-            if text := " ".join(unescape("".join(held)).split()):
-                out.append((text, bool(stack and stack[-1][2])))
-            held.clear()
+        for some, mark in ((held, stack[-1][2] if stack else LOOSE), (dropped, DROPPED)):
+            if some:
+                if text := " ".join(unescape("".join(some)).split()):
+                    out.append((text, mark))
+                some.clear()
 
     for m in iter(lambda: TOKEN.search(html, at), None):
-        junk = bool(stack and stack[-1][1])
-        if not junk and m.start() > at:
-            held.append(html[at:m.start()])
+        if m.start() > at:
+            now().append(html[at:m.start()])
         at = m.end()
         name = (m[2] or "").lower()
         if not name:
             continue
         if name == "br":
-            held.append(" ")
+            now().append(" ")
             continue
         if m[1]:
             if name in BLOCK:
@@ -90,7 +96,7 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
         if name in RAW:
             close = re.compile(f"</{re.escape(name)}\\b[^>]*>?", re.I).search(html, at)
             at = close.end() if close else len(html)
-            held.append(" ")
+            now().append(" ")
             continue
         if name in BLOCK:
             flush()
@@ -98,14 +104,19 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
             if stack and stack[-1][0] == name and name in ("p", "li", "dt", "dd", "option", "tr", "td", "th"):
                 stack.pop()
         if name not in VOID and not m[3].endswith("/"):
-            core = bool(stack and stack[-1][2]) or name in CORE
-            stack.append((name, bool(stack and stack[-1][1]) or is_junk(name, m[3], core), core))
-    if at < len(html) and not (stack and stack[-1][1]):
-        held.append(html[at:])
+            mark = max(stack[-1][2] if stack else LOOSE, CORE.get(name, LOOSE))
+            stack.append((name, bool(stack and stack[-1][1]) or is_junk(name, m[3], mark > LOOSE), mark))
+    if at < len(html):
+        now().append(html[at:])
     flush()
     return out
 
 
+def page_lines(html: str | None) -> list[tuple[str, int]]:
+    """The lines of a page that markup does not drop."""
+    return [x for x in marked_lines(html) if x[1] != DROPPED]
+
+
 def common_lines(a: list[str], b: list[str]) -> list[int]:
     """Positions in ``a`` of a longest common subsequence with ``b``: the longest increasing run over the
     places where their lines match."""
@@ -130,16 +141,18 @@ def common_lines(a: list[str], b: list[str]) -> list[int]:
     return out[::-1]
 
 
-def without_template(lines: list[tuple[str, bool]], other: list[tuple[str, bool]] | None) -> list[str]:
-    """The lines of a page that are not shared with its nearest page."""
-    texts = [t for t, _ in lines]
-    if not other:
-        return texts
-    loose = [i for i, (_, core) in enumerate(lines) if not core]
-    shared = {loose[i] for i in common_lines([texts[i] for i in loose], [t for t, core in other if not core])} if loose else set()
-    if not any(core for _, core in lines) and sum(len(texts[i]) for i in shared) >= MIRROR * sum(map(len, texts)):
-        return texts
-    return [t for i, t in enumerate(texts) if i not in shared]
+def template_lines(lines: list[tuple[str, int]], other: list[tuple[str, int]]) -> set[int]:
+    """Positions of the lines of a page that are template text, told by its nearest page."""
+    shared = set(common_lines([t for t, _ in lines], [t for t, _ in other]))
+    least = max(LOOSE, min(IN_MAIN, max((m for _, m in lines), default=DROPPED)))
+    body = {i for i, (_, m) in enumerate(lines) if m >= least}
+    return shared - (body if body <= shared else {i for i in body if lines[i][1] == IN_ARTICLE})
+
+
+def without_template(lines: list[tuple[str, int]], other: list[tuple[str, int]] | None) -> list[str]:
+    """The lines of a page that neither its nearest page nor its markup tells to be template text."""
+    template = template_lines(lines, other) if other else ()
+    return [t for i, (t, m) in enumerate(lines) if m != DROPPED and i not in template]
 
 
 def url_key(url: Column, page_id: Column) -> Column:
@@ -163,7 +176,7 @@ def nearness(a: str, b: str) -> int:
     return n
 
 
-ROW = "bucket int, key string, own boolean, page_id {kind}, url string, lines array<string>, core array<boolean>"
+ROW = "bucket int, key string, own boolean, page_id {kind}, url string, lines array<string>, marks array<tinyint>"
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -179,20 +192,20 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
     def cut(batches):
         for b in pieces(batches, 512):
-            take, bucket, own, lines, core = [], [], [], [], []
+            take, bucket, own, lines, marks = [], [], [], [], []
             for i, (k, h) in enumerate(zip(b.column(3).to_pylist(), b.column(2).to_pylist())):
                 p = min(bisect_left(highs, k), len(highs) - 1)
-                found = page_lines(h)
+                found = marked_lines(h)
                 for to in (p, *([p - 1] if k <= lows[p] and p else []), *([p + 1] if k >= highs[p] and p + 1 < len(highs) else [])):
                     take.append(i)
                     bucket.append(to)
                     own.append(to == p)
                     lines.append([t for t, _ in found])
-                    core.append([c for _, c in found])
+                    marks.append([c for _, c in found])
             idx = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), b.column(3).take(idx), pa.array(own, pa.bool_()), b.column(0).take(idx), b.column(1).take(idx),
-                                              pa.array(lines, pa.list_(pa.string())), pa.array(core, pa.list_(pa.bool_()))],
-                                             names=["bucket", "key", "own", "page_id", "url", "lines", "core"])
+                                              pa.array(lines, pa.list_(pa.string())), pa.array(marks, pa.list_(pa.int8()))],
+                                             names=["bucket", "key", "own", "page_id", "url", "lines", "marks"])
 
     def difference(batches):
         before = now = None  # (bucket, key, own, page_id, url, lines)
@@ -213,8 +226,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         for b in pieces(batches, 512):
             id_type, done = b.schema.field("page_id").type, []
             cols = [c.to_pylist() for c in b.columns]
-            for bucket, k, own, pid, u, lines, core in zip(*cols):
-                after = (bucket, k, own, pid, u, list(zip(lines, core)))
+            for bucket, k, own, pid, u, lines, marks in zip(*cols):
+                after = (bucket, k, own, pid, u, list(zip(lines, marks)))
                 if now and now[2]:
                     done.append(result(after))
                 before, now = now, after

@@ -210,6 +210,23 @@ def test_page_differencing(spark, empty):
     assert page_diff.extract(df.filter("false")).count() == 0
 
 
+def test_page_template_inside_main_and_beside_short_texts(spark):
+    def wrapped(i, own): return (f"<body><main><div>Site notice</div><nav>Home</nav><article><h1>Title {i}</h1><p>Quoted by both</p><p>{own}</p></article>"
+                                 "<div>More stories for you</div></main><div>Call us</div></body>")
+    def in_main(own): return f"<main><div>Site notice</div><p>{own}</p><div>More stories for you</div></main><div>Call us</div>"
+    def bare(own): return f"<div>{'All about this site and its makers. ' * 9}</div><p>{own}</p><div>Call us</div>"
+    html = {"http://w/a": wrapped(1, "First"), "http://w/b": wrapped(2, "Second"), "http://m/a": in_main("First"), "http://m/b": in_main("Second"),
+            "http://b/a": bare("First"), "http://b/b": bare("Second"), "http://c/a": in_main("Same"), "http://c/b": in_main("Same"),
+            "http://d/a": wrapped(1, "Same"), "http://d/b": wrapped(1, "Same"), "http://e/a": bare("Same"), "http://e/b": bare("Same")}
+    got = {r.url: r.text.split("\n") for r in page_diff.extract(spark.createDataFrame([(i, *x) for i, x in enumerate(html.items())], "page_id long, url string, html string")).collect()}
+    assert got["http://w/a"] == ["Title 1", "Quoted by both", "First"] and got["http://w/b"] == ["Title 2", "Quoted by both", "Second"]
+    assert got["http://m/a"] == got["http://b/a"] == ["First"] and got["http://m/b"] == got["http://b/b"] == ["Second"]
+    assert got["http://c/a"] == got["http://c/b"] == ["Site notice", "Same", "More stories for you"]
+    assert got["http://d/a"] == got["http://d/b"] == ["Site notice", "Title 1", "Quoted by both", "Same", "More stories for you"]
+    assert got["http://e/a"] == got["http://e/b"] and len(got["http://e/a"]) == 3
+    assert [t for t, m in page_diff.marked_lines("<p>Text <span class=ad>Buy</span>goes on</p><nav>Home</nav>")] == ["Text goes on", "Buy", "Home"]
+
+
 def test_common_lines_is_longest():
     rnd = random.Random(2)
     for _ in range(300):
