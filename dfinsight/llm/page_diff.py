@@ -14,6 +14,9 @@ The order is cut into ranges at sampled keys, so a host with a third of all page
 ranges; the pages at the two ends of a range are sent to the next range too, so the result does not
 depend on the cuts. Page texts are shuffled once. What reaches the driver are two keys per range.
 
+End tags that HTML lets a page omit (head, p, li, dt, dd, option, rows and cells) are inferred, so what a
+dropped element drops ends where the element does; svg and math closed by a slash are empty.
+
 Defined cases: null or empty html gives an empty text; a null or odd URL has an empty host and path;
 repeated rows are neighbours like any others; a page alone on its host is cleaned by markup alone; very
 long pages are taken whole; extra columns are ignored; an empty table gives an empty result.
@@ -32,11 +35,36 @@ from .base import map_arrow, pieces, table
 
 TOKEN = re.compile(r"<!--(?:.*?-->|.*)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>?|<[!?][^>]*>?", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-RAW = frozenset("script style noscript template iframe object svg math textarea title".split())
+RAW = frozenset("script style noscript template iframe noframes object svg math textarea title".split())
+#: Of these a slash closes only the two that are not HTML; one at the end of an unquoted value is part of it.
+FOREIGN = frozenset(("svg", "math"))
+UNQUOTED_END = re.compile(r"=\s*[^\s\"'=]+$")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th
 thead tr ul""".split())
+#: What may stand in head; any other element, or text, ends a head that is still open.
+IN_HEAD = frozenset("base link meta noframes noscript script style template title".split())
+
+
+def _ends() -> dict[str, list[tuple[frozenset, frozenset]]]:
+    """Omitted end tags: an opening tag ends the open elements named first, out to the nearest one named second."""
+    paragraph = (frozenset("p".split()), frozenset("button caption html table td th marquee".split()))
+    item = lambda own: (frozenset(own.split()), BLOCK - frozenset(f"address div p {own}".split()))
+    rows = "caption colgroup tr td th"
+    out = {name: [paragraph] for name in """address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure
+footer form h1 h2 h3 h4 h5 h6 header hgroup hr li listing main menu nav ol p pre search section summary table ul""".split()}
+    for names, own in (("li", "li"), ("dt dd", "dt dd")):
+        for name in names.split():
+            out[name] = [item(own), paragraph]
+    for names, ended, within in (("option", "option", "select datalist"), ("optgroup", "option optgroup", "select"), ("td th", "td th", "tr table"),
+                                 ("tr", rows, "table thead tbody tfoot"), ("thead tbody tfoot", rows + " thead tbody tfoot", "table")):
+        for name in names.split():
+            out[name] = [(frozenset(ended.split()), frozenset(within.split()))]
+    return out
+
+
+ENDS = _ends()
 JUNK = frozenset("nav footer aside form button select menu dialog head".split())
 #: What markup says of a line, in the order of trust: dropped, nothing, inside main, inside an article.
 DROPPED, LOOSE, IN_MAIN, IN_ARTICLE = range(4)
@@ -64,8 +92,10 @@ def marked_lines(html: str | None) -> list[tuple[str, int]]:
     stack: list[tuple[str, bool, int]] = []  # name, junk from here on, mark from here on
     at = 0
 
-    def now() -> list[str]:
-        return dropped if stack and stack[-1][1] else held
+    def hold(text: str):
+        if stack and stack[-1][0] == "head" and text.strip():
+            stack.pop()
+        (dropped if stack and stack[-1][1] else held).append(text)
 
     def flush():
         for some, mark in ((held, stack[-1][2] if stack else LOOSE), (dropped, DROPPED)):
@@ -76,13 +106,13 @@ def marked_lines(html: str | None) -> list[tuple[str, int]]:
 
     for m in iter(lambda: TOKEN.search(html, at), None):
         if m.start() > at:
-            now().append(html[at:m.start()])
+            hold(html[at:m.start()])
         at = m.end()
         name = (m[2] or "").lower()
         if not name:
             continue
         if name == "br":
-            now().append(" ")
+            hold(" ")
             continue
         if m[1]:
             if name in BLOCK:
@@ -93,21 +123,32 @@ def marked_lines(html: str | None) -> list[tuple[str, int]]:
                     flush()
                 del stack[depth:]
             continue
+        if stack and stack[-1][0] == "head" and name not in IN_HEAD:
+            stack.pop()
         if name in RAW:
+            if name in FOREIGN and m[3].endswith("/") and not UNQUOTED_END.search(m[3]):
+                hold(" ")
+                continue
             close = re.compile(f"</{re.escape(name)}\\b[^>]*>?", re.I).search(html, at)
             at = close.end() if close else len(html)
-            now().append(" ")
+            hold(" ")
             continue
-        if name in BLOCK:
+        if name in BLOCK or name in ENDS:
             flush()
-            # an open paragraph or list item ends where the next block of its kind begins
-            if stack and stack[-1][0] == name and name in ("p", "li", "dt", "dd", "option", "tr", "td", "th"):
-                stack.pop()
+        for ended, within in ENDS.get(name, ()):
+            first = None
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] in ended:
+                    first = i
+                elif stack[i][0] in within:
+                    break
+            if first is not None:
+                del stack[first:]
         if name not in VOID and not m[3].endswith("/"):
             mark = max(stack[-1][2] if stack else LOOSE, CORE.get(name, LOOSE))
             stack.append((name, bool(stack and stack[-1][1]) or is_junk(name, m[3], mark > LOOSE), mark))
     if at < len(html):
-        now().append(html[at:])
+        hold(html[at:])
     flush()
     return out
 

@@ -195,6 +195,65 @@ def test_page_markup():
     assert [t for t, _ in page_diff.page_lines("plain &lt;text&gt; <b>bold")] == ["plain <text> bold"]
 
 
+def test_page_omitted_end_tags():
+    cases = {
+        "<html><head><meta charset=utf-8><title>t</title><body><article><p>Own</article>": ["Own"],
+        "<head><style>p{}</style><article>Own</article>": ["Own"], "<head><title>t</title>Own <b>text": ["Own text"],
+        "<p class=ad>Buy<article>Own</article>": ["Own"], "<p class=notice>Note <b>well<article><h1>Own</h1><p>text</article>": ["Own", "text"],
+        "<p class=ad>Buy<span>now<div>Own</div>": ["Own"], "<p class=ad>Buy<hr>Own": ["Own"],
+        "<ul><li class=ad>Buy<li><div>Own<li>text</ul>end": ["Own", "text", "end"], "<li class=ad>Buy<ul><li>in it</ul>still<li>Own": ["Own"],
+        "<dl><dt class=ad>Buy<dd>Own<dt>text</dl>": ["Own", "text"],
+        "<table><tr class=ad><td>Buy<tr><td>Own<td class=ad>Buy<th>text</table>": ["Own", "text"],
+        "<table><thead class=ad><tr><td>Buy<tbody><tr><td>Own</table>": ["Own"],
+        "<table><tr><td class=ad>Buy<table><tr><td>in it</table>still<tr><td>Own</table>": ["Own"],
+        "<p class=ad>Buy<button>press<div>in it</div></button>still<p>Own": ["Own"],
+        "<article>Own <svg class=x width='1'/>text<p>more</article>": ["Own text", "more"], "Own <math/>text <svg><path/></svg>more": ["Own text more"],
+        "Own <svg><g/>lost</svg>text": ["Own text"], "Own <svg width=1/>lost</svg>text": ["Own text"], "Own <script/>lost</script>text": ["Own text"],
+        "<div class=ad>Buy<article>in it</article>still</div>Own": ["Own"]}
+    for html, want in cases.items():
+        assert [t for t, _ in page_diff.page_lines(html)] == want, html
+
+
+def test_page_omitted_end_tags_against_whole_pages():
+    """Random pages, written with and without the end tags that may be omitted; the lines wanted are known from the making."""
+    rnd, n = random.Random(5), 0
+
+    def text(junk):
+        nonlocal n
+        n += 1
+        if not junk:
+            want.append(f"w{n}")
+        return f"w{n}"
+
+    def end(name): return f"</{name}>" if rnd.random() < 0.5 else ""
+    def attr(junk): return rnd.choice((" class=ad", ' class="notice x"', " id='promo'")) if junk else rnd.choice(("", " class=x"))
+
+    def block(depth, junk):
+        kind, own = rnd.choice(("p", "p", "svg", "div", "ul", "dl", "table") if depth else ("p", "svg")), rnd.random() < 0.3
+        if kind == "svg":
+            return rnd.choice(("<svg a='b'/>", "<math />", "<svg><path/></svg>"))
+        if kind == "p":
+            return f"<p{attr(own)}>" + rnd.choice(("", "<b>", "<span>")) + text(junk or own) + end("p")
+        if kind == "div":
+            return f"<div{attr(own)}>" + "".join(block(depth - 1, junk or own) for _ in range(3)) + "</div>"
+        item = {"ul": ["li"], "dl": ["dt", "dd"], "table": ["td", "th"]}[kind]
+        out = []
+        for _ in range(rnd.randint(1, 4)):
+            row, cells = rnd.random() < 0.2, []
+            for name in [rnd.choice(item) for _ in range(2 if kind == "table" else 1)]:
+                cell = rnd.random() < 0.3
+                hidden = junk or cell or row and kind == "table"
+                cells.append(f"<{name}{attr(cell)}>" + text(hidden) + "".join(block(depth - 1, hidden) for _ in range(rnd.randint(0, 2))) + end(name))
+            out.append(f"<tr{attr(row)}>" + "".join(cells) + end("tr") if kind == "table" else cells[0])
+        return f"<{kind}>" + "".join(out) + f"</{kind}>"
+
+    for _ in range(400):
+        want: list[str] = []
+        body = "".join(block(2, False) for _ in range(4)) + "<article>" + "".join(block(2, False) for _ in range(3)) + "</article>" + block(1, False)
+        html = "<html><head><meta charset=utf-8><title>t</title>" + end("head") + rnd.choice(("<body>", "<div>")) + body
+        assert [t for t, _ in page_diff.page_lines(html)] == want, html
+
+
 def test_page_differencing(spark, empty):
     def page(i, own): return f"<body><div>Site name</div><div>Top story of the day</div><p>{own}</p><p>More of {own}</p><div>Call us now</div></body>"
     rows = [(i, f"http://h{i % 2}/a/{i // 2:02d}", page(i, f"text number {i}"), "x") for i in range(40)]
