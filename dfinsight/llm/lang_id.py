@@ -3,7 +3,10 @@
 A word known from training votes with its per-language log frequency. An unknown word is cut into
 character n-grams (padded at both ends); the longest order with a known n-gram votes, so the score
 falls back from long n-grams to short ones. The votes of a word are normalised over the languages
-(a log posterior, floored), so known and unknown words are on one scale.
+(a log posterior, floored), so known and unknown words are on one scale. A run of more than 64 letters, as
+in scripts written without spaces, is cut into slices of 64 letters that overlap by three; each slice
+votes like a word, so every letter and every n-gram of the run counts. In training the n-grams of such a
+run are counted over the whole run, and its slices are its words.
 
 The model is fitted on at most about ``max_docs_per_lang`` documents of each language, chosen by a
 hash; its tables hold at most ``max_words`` words and ``max_grams`` n-grams, so its size is bounded
@@ -29,22 +32,40 @@ UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 MAX_DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS, ORDER = 3000, 120_000, 50_000, 4
 FLOOR, CACHE = -6.0, 500_000
+#: Letters of a slice; the mark of a cut, where a slice has no padding; letters of long runs a task holds before it counts them.
+SLICE, CUT, HELD_LETTERS = 64, "\x04", 500_000
 
 
 def grams_of(word: str, n: int) -> list[str]:
-    """Character n-grams of a padded word; order 1 leaves the padding out."""
-    padded = word if n == 1 else f"\x02{word[:64]}\x03"
+    """Character n-grams of a padded word or slice, none across a cut; order 1 leaves the padding out."""
+    own = word.strip(CUT)
+    padded = own if n == 1 else ("" if word[0] == CUT else "\x02") + own + ("" if word[-1] == CUT else "\x03")
     return [padded[i:i + n] for i in range(len(padded) - n + 1)]
 
 
+def slices(words) -> list[str]:
+    """The words, those longer than a slice cut into slices that together hold every n-gram."""
+    out = []
+    for w in words:
+        if len(w) <= SLICE:
+            out.append(w)
+            continue
+        for at in range(0, len(w) - ORDER + 1, SLICE - ORDER + 1):
+            end = at + SLICE
+            out.append((CUT if at else "") + w[at:end] + (CUT if end < len(w) else ""))
+    return out
+
+
 def _count_grams(batches):
     """Per task: (lang, order, gram, count), order 0 for whole words; n-grams of distinct words weigh
     as often as the word occurs."""
     def out(words: dict[str, Counter]):
         rows: tuple[list, list, list, list] = ([], [], [], [])
         for lang, count in words.items():
-            per = [count] + [Counter() for _ in range(ORDER)]
+            per = [Counter() for _ in range(ORDER + 1)]
             for w, c in count.items():
+                for x in slices((w,)):
+                    per[0][x] += c
                 for n in range(1, ORDER + 1):
                     for g in grams_of(w, n):
                         per[n][g] += c
@@ -56,12 +77,15 @@ def _count_grams(batches):
                                           names=["lang", "n", "gram", "c"])
 
     held: dict[str, Counter] = {}
+    letters = 0
     for batch in pieces(batches):
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            held.setdefault(lang, Counter()).update(w[:64] for w in LETTERS.findall((text or "").lower()))
-            if sum(map(len, held.values())) > 60_000:
+            words = LETTERS.findall((text or "").lower())
+            held.setdefault(lang, Counter()).update(words)
+            letters += sum(n for n in map(len, words) if n > SLICE)
+            if sum(map(len, held.values())) > 60_000 or letters > HELD_LETTERS:
                 yield out(held)
-                held = {}
+                held, letters = {}, 0
     if held:
         yield out(held)
 
@@ -106,7 +130,6 @@ class Scorer:
         self.rows = np.zeros((1024, max(1, len(self.langs))), np.float32)
 
     def votes_of(self, word: str) -> np.ndarray:
-        word = word[:64]
         if (i := self.tables[0].get(word)) is not None:
             return self.votes[0][i]
         for n in range(ORDER, 0, -1):
@@ -128,6 +151,8 @@ class Scorer:
         words = LETTERS.findall(text.lower()) if text else []
         if not words or not self.langs:
             return UNDETERMINED, 0.0
+        if max(map(len, words)) > SLICE:
+            words = slices(words)
         if len(self.seen) > CACHE:
             self.seen = {}
         total = np.zeros(len(self.langs))

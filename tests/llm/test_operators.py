@@ -10,6 +10,7 @@ import random
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -431,6 +432,37 @@ def test_language(spark, docs, empty):
     assert nothing.filter("lang_pred <> 'und' or score <> 0").count() == 0 and lang_id.predict(empty, model).count() == 0
 
 
+def test_long_runs_are_read_whole(spark):
+    rnd = random.Random(7)
+    run = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    for n in (1, 63, 64, 65, 66, 67, 125, 126, 127, 1000):
+        word = run("abcdefg", n)
+        for order in range(1, lang_id.ORDER + 1):
+            padded = word if order == 1 else f"\x02{word}\x03"
+            want = {padded[i:i + order] for i in range(len(padded) - order + 1)}
+            assert {g for x in lang_id.slices([word]) for g in lang_id.grams_of(x, order)} == want
+        assert all(len(x.strip(lang_id.CUT)) <= 64 for x in lang_id.slices([word]))
+    texts = [run("abcdefg", n) for n in (5, 64, 65, 300)] * 2 + ["one two"]
+    counted = [b.to_pydict() for b in lang_id._count_grams([pa.RecordBatch.from_pydict({"t": texts, "l": ["x"] * len(texts)})])]
+    got = {(n, g): c for b in counted for n, g, c in zip(b["n"], b["gram"], b["c"]) if n}
+    want: dict = {}
+    for word in " ".join(texts).split():
+        for order in range(1, lang_id.ORDER + 1):
+            padded = word if order == 1 else f"\x02{word}\x03"
+            for i in range(len(padded) - order + 1):
+                want[order, padded[i:i + order]] = want.get((order, padded[i:i + order]), 0) + 1
+    assert got == want
+    # training runs that differ after their 64th letter only, and test runs that begin like the other language
+    head = run("uvw", 64)
+    rows = [(i, head + run(("abcd", "bcde")[i % 2], 400), ("xx", "yy")[i % 2]) for i in range(40)]
+    model = lang_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    scorer = lang_id.Scorer(model)
+    for i in range(20):
+        own, other = (("abcd", "bcde"), ("bcde", "abcd"))[i % 2]
+        lang, score = scorer.predict(run(other, 64) + run(own, 600))
+        assert lang == ("xx", "yy")[i % 2] and score > 0.9
+
+
 # ------------------------------------------------------------------ shared
 def test_connected_components(spark):
     rnd = random.Random(6)
