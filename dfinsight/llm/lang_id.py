@@ -10,7 +10,9 @@ run are counted over the whole run, and its slices are its words.
 
 The model is fitted on at most about ``max_docs_per_lang`` documents of each language, chosen by a
 hash; its tables hold at most ``max_words`` words and ``max_grams`` n-grams, so its size is bounded
-and it is broadcast. Every document is then scored in one map over the table: no shuffle.
+and it is broadcast. Every language has the same share of a table for its own most frequent entries; what
+the shares leave free goes to the most frequent ones of all. Only the ``MAX_LANGS`` labels with the most
+documents are fitted and can be predicted (there is a column of counts for each). Every document is then scored in one map over the table: no shuffle.
 
 Defined cases: null text or a text without letters gives ``und`` with score 0; no training rows at
 all give ``und`` for every document; ties go to the language first in code point order; a null id
@@ -24,13 +26,14 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .base import free_name, map_arrow, pieces, stored, table, without
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-MAX_DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS, ORDER = 3000, 120_000, 50_000, 4
+MAX_DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS, ORDER = 3000, 120_000, 60_000, 4
+MAX_LANGS = 1000
 FLOOR, CACHE = -6.0, 500_000
 #: Letters of a slice; the mark of a cut, where a slice has no padding; letters of long runs a task holds before it counts them.
 SLICE, CUT, HELD_LETTERS = 64, "\x04", 500_000
@@ -94,7 +97,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
         max_docs_per_lang: int = MAX_DOCS_PER_LANG, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> dict:
     """Fit on rows with a label. Returns the bounded model (languages, grams, normalised votes)."""
     rows = labelled.filter(F.col(label).isNotNull()).select(F.col(text).alias("t"), F.col(label).alias("l"), F.col(key).alias("k"))
-    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(1000).collect()}
+    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(MAX_LANGS).collect()}
     if not counts:
         return {"langs": [], "grams": [[] for _ in range(ORDER + 1)], "votes": []}
     share = F.create_map([x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1.0, max_docs_per_lang / n) * (1 << 30))))])
@@ -106,7 +109,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
     grams: list[list[str]] = [[] for _ in range(ORDER + 1)]
     counted: list[np.ndarray] = [np.zeros((0, len(langs)))] * (ORDER + 1)
     for part, most in (("n = 0", max_words), ("n > 0", max_grams)):
-        rows = found.filter(part).orderBy(F.desc("total"), "n", "gram").limit(most).toArrow()
+        rows = _shared_out(found.filter(part), len(langs), most).toArrow()
         order, texts = rows["n"].to_numpy(), rows["gram"].to_pylist()
         each = np.stack([rows[f"c{i}"].to_numpy() for i in range(len(langs))], 1).astype(np.float64)
         for n in np.unique(order):
@@ -120,6 +123,15 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
     return {"langs": langs, "grams": grams, "votes": votes}
 
 
+def _shared_out(found: DataFrame, n_langs: int, most: int) -> DataFrame:
+    """At most ``most`` entries: the most frequent of each language up to its share, then those of all."""
+    counts = F.posexplode(F.array(*[F.col(f"c{i}") for i in range(n_langs)])).alias("lang", "c")
+    first = W.partitionBy("lang").orderBy(F.desc("c"), "n", "gram")
+    own = (found.select("n", "gram", counts).filter("c > 0").withColumn("place", F.row_number().over(first))
+           .filter(F.col("place") <= most // n_langs).select("n", "gram").distinct().withColumn("own", F.lit(True)))
+    return found.join(own, ["n", "gram"], "left").orderBy(F.col("own").desc_nulls_last(), F.desc("total"), "n", "gram").limit(most)
+
+
 class Scorer:
     """Scores texts with a model; remembers the votes of the words it has met, up to a bound."""
 

@@ -432,6 +432,25 @@ def test_language(spark, docs, empty):
     assert nothing.filter("lang_pred <> 'und' or score <> 0").count() == 0 and lang_id.predict(empty, model).count() == 0
 
 
+def test_small_languages_keep_their_share_of_the_model(spark):
+    rnd = random.Random(8)
+    large, small = ([f"{x}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)] for x in ("lo", "si"))
+    rows = [("large", " ".join(rnd.choices(large, k=100))) for _ in range(60)] + [("small", " ".join(rnd.choices(small[:30], k=20))) for _ in range(9)]
+    df = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    count = {x: {} for x in ("large", "small")}
+    for lang, t in rows:
+        for w in t.split():
+            count[lang][w] = count[lang].get(w, 0) + 1
+    best = lambda some: sorted(some, key=lambda w: (-some[w], w))
+    model = lang_id.fit(df, max_words=40, max_grams=60)
+    assert set(model["grams"][0]) == {*best(count["large"])[:20], *best(count["small"])[:20]}
+    assert 30 <= sum(map(len, model["grams"][1:])) <= 60 and any(g[:2] == "si" for n in (2, 3, 4) for g in model["grams"][n])
+    # a share that a language cannot fill goes to the others
+    free = lang_id.fit(df, max_words=150)["grams"][0]
+    assert len(free) == 150 and {w for w, c in count["small"].items() if c > 1} <= set(free)
+    assert {r.lang_pred for r in lang_id.predict(df.filter("lang = 'small'"), model).collect()} == {"small"}
+
+
 def test_long_runs_are_read_whole(spark):
     rnd = random.Random(7)
     run = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
