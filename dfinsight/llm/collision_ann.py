@@ -47,10 +47,12 @@ class CollisionIndex:
         at = query @ self.axes
         own = self.ids == query_id
         left = n - int(own.sum())
+        if not left:
+            return self.ids[:0], np.zeros(0)
         middle = np.array([np.searchsorted(v, a) for v, a in zip(self.values, at)])
         lo, hi = middle.copy(), middle.copy()
         # first radius: the window that holds about one vector in fifty on the middle line
-        step = min(n - 1, max(k, n // 50))
+        step = max(1, min(n - 1, max(k, n // 50)))
         reach = [np.sort(np.abs(v[max(0, m - step):m + step] - a))[min(step, 2 * step, len(v[max(0, m - step):m + step])) - 1] for v, m, a in zip(self.values, middle, at)]
         radius = max(2 * float(np.median(reach)) / WIDTH, 1e-12)
         counts = np.zeros(n, np.int32)

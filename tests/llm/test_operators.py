@@ -153,6 +153,23 @@ def test_neighbours(spark, monkeypatch):
     assert collision_ann.nearest(df.filter("false"), df.filter("false")).count() == 0
 
 
+def test_neighbours_of_lone_vectors(spark, monkeypatch):
+    one = collision_ann.CollisionIndex(np.array([7]), np.array([[1.0, 2.0]]))
+    assert [len(x) for x in one.search(7, np.array([1.0, 2.0]), 10)] == [0, 0]
+    for v in ([1.0, 2.0], [1.0, 5.0], [-40.0, 0.5]):
+        ids, d = one.search(8, np.array(v), 10)
+        assert ids.tolist() == [7] and d.tolist() == [float(np.hypot(v[0] - 1, v[1] - 2))]
+    same = collision_ann.CollisionIndex(np.array([7, 7]), np.array([[1.0, 2.0], [3.0, 4.0]]))
+    assert len(same.search(7, np.array([1.0, 2.0]), 10)[0]) == 0
+    rows = [(100, [1.0, 2.0, 3.0]), (200, [1.0, 2.0]), (201, [1.0, 5.0]), (300, [4.0]), (5, [1.0, 1.0, 1.0, 1.0])]
+    for most in (collision_ann.BLOCK_VALUES, 2):  # the second: every block holds one vector or none
+        monkeypatch.setattr(collision_ann, "BLOCK_VALUES", most)
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        assert [tuple(r) for r in collision_ann.nearest(df, df.filter("vec_id % 100 = 0")).collect()] == [(200, 1, 201, 3.0)]
+    lone = df.filter("vec_id = 100")
+    assert collision_ann.nearest(lone, lone).count() == 0
+
+
 # ------------------------------------------------------------------ 4 line quality
 def plain_quality(text):
     words, lines = (text or "").encode().split(), (text or "").split("\n")
