@@ -38,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .base import BITMAP_BITS, WHITE, connected_components, id_bitmap, map_arrow, pieces, stored, table
+from .base import BITMAP_BITS, WHITE, connected_components, free_name, id_bitmap, map_arrow, pieces, stored, table
 
 WORDS, PERCENT, LIST, BLOCK, STREAM, SALT_ROWS = 5, 80, 32, 512, 1024, 256
 #: U: the tokens below this bound, a quarter of the (signed, uniform) token space.
@@ -98,8 +98,8 @@ def _sets(batches):
                 counts.append(0)
         flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(u, pa.int64()), lists],
-                                         names=["doc_id", "n", "sig", "u", "tokens"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(u, pa.int64()), lists],
+                                         names=["doc_id", "text_hash", "n", "sig", "u", "tokens"])
 
 
 MATCH = "hub boolean, a long, b long, na long, nb long, inside int"
@@ -264,11 +264,10 @@ def _streamed(rows: DataFrame, fn, columns: list[str]) -> DataFrame:
     return map_arrow(rows.select(*columns).repartition(parts, "hub", "salt").sortWithinPartitions("hub", "salt", "role"), fn, "a long, b long")
 
 
-def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
-    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For ``docs`` (doc_id, text): the sets of all rows, and (doc_id, text_hash, n, comp) of every row with words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = stored(map_arrow(docs, _sets, f"doc_id {kind}, n long, sig long, u long, tokens array<long>"), "sets")
+    sets = stored(map_arrow(docs.withColumn("text_hash", F.xxhash64("text")), _sets, f"doc_id {kind}, text_hash long, n long, sig long, u long, tokens array<long>"), "sets")
     classes = sets.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("u").alias("u"))
     reps = classes.select("sig", "doc_id")
 
@@ -298,8 +297,14 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
     comps = stored(connected_components(links), "comps")
     links = links.union(_left_in_groups(docs, reps, groups, comps))
     comps = connected_components(links).select(F.col("node").alias("sig"), "comp")
-    placed = stored(sets.filter("n > 0").select("doc_id", "n", "sig").join(comps, "sig", "left")
-                    .select("doc_id", "n", F.coalesce("comp", "sig").alias("comp")), "placed")
+    placed = stored(sets.filter("n > 0").select("doc_id", "text_hash", "n", "sig").join(comps, "sig", "left")
+                    .select("doc_id", "text_hash", "n", F.coalesce("comp", "sig").alias("comp")), "placed")
+    return sets, placed
+
+
+def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
+    sets, placed = _placed(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
     ids = placed.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return (placed.join(ids, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
             .unionByName(sets.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))))
@@ -333,13 +338,16 @@ def q_ngram_join(spark, sf_dir):
 
 
 def stage_ngram_join(spark, docs, sf_dir):
-    """Pipeline stage: of each group of linked documents the one with the smallest id stays, once.
-    Documents without words, and those without an id, are linked with nothing and stay."""
-    found = similarity_components(docs)
-    stays = found.filter("n_shingles > 0 and doc_id = component_id").select("doc_id").distinct()
-    free = F.col("doc_id").isNull() | (F.translate(F.coalesce("text", F.lit("")), WHITE, "") == "")
-    one = docs.filter(~free).join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return one.select(*docs.columns).unionByName(docs.filter(free))
+    """Pipeline stage: of each group of linked documents one row stays, that with the smallest id (rows
+    without an id last; of several texts under that id, the one with the smallest hash). Documents without
+    words are linked with nothing and stay."""
+    _, placed = _placed(docs.select("doc_id", "text"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    id_, hash_ = free_name(docs, "first_id"), free_name(docs, "first_hash")
+    stays = placed.groupBy("comp").agg(first).select(F.col("first.doc_id").alias(id_), F.col("first.text_hash").alias(hash_))
+    free = F.translate(F.coalesce("text", F.lit("")), WHITE, "") == ""
+    one = docs.filter(~free).join(stays, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_)), "left_semi")
+    return one.dropDuplicates(["doc_id", "text"]).select(*docs.columns).unionByName(docs.filter(free))
 
 
 def brute_force(rows: list[tuple]) -> dict:

@@ -382,6 +382,28 @@ def test_one_of_each_group_stays(spark, docs):
     assert ids == [0, 1, 2, 3, 4, 5, 8, 10, 11, 13, 14, 15, 16, 17] and sum(r.doc_id is None for r in got) == 1
 
 
+def test_one_row_of_each_group_stays_without_ids_and_under_shared_ids(spark):
+    near = sentence(21) + " end"
+    rows = [(None, sentence(20)), (None, sentence(20)), (None, sentence(21)), (1, near),  # copies without an id; a near copy of a row with one
+            (2, sentence(22)), (2, sentence(22) + " end"), (2, sentence(23)), (0, sentence(23)),  # near copies under one id; a copy kept elsewhere
+            (None, "a b"), (5, "a b"), (5, "A B"), (None, ""), (None, None), (6, " "), (6, " "), (7, "id taken"), (7, sentence(24))]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, id string, h string").repartition(3)
+    got = [(r.doc_id, r.text) for r in ngram_join.stage_ngram_join(spark, df, "").collect()]
+    groups: dict = {}
+    for i, (n, _) in ngram_join.brute_force(rows).items():
+        groups.setdefault(i if not n else next(j for j in range(i + 1) if rows[j][1] and linked_texts(rows[j][1], rows[i][1])), []).append(rows[i])
+    assert len(got) == len(groups) and got.count((None, "")) == got.count((None, None)) == 1 and got.count((6, " ")) == 2
+    for members in groups.values():
+        kept = [r for r in got if r in members and (r[1] or "").strip()]
+        if kept:
+            assert len(kept) == 1 and kept[0][0] == min((i for i, _ in members if i is not None), default=None)
+
+
+def linked_texts(a, b):
+    x, y = set(ngram_join.shingles(a).tolist()), set(ngram_join.shingles(b).tolist())
+    return bool(x) and ngram_join.linked(len(x & y), len(x), len(y))
+
+
 # ------------------------------------------------------------------ 8 byte pairs
 def test_byte_pairs_are_exact(docs, empty):
     enc = encoding()
