@@ -98,9 +98,18 @@ def digest(found: DataFrame) -> DataFrame:
                         span_text(F.col("findings")).alias("spans"))
 
 
-def q_blob_ledger(spark, sf_dir):
+def ledger_path(spark, name: str | None) -> str:
+    """The ledger called ``name``: a folder beside those of the streams that later runs find again.
+    Without a name, a new scratch folder: an empty ledger."""
+    from ..streaming.streams import stream_base
+
+    return stream_base(spark, f"ledger-{name}") if name else scratch_path(spark, "ledger")
+
+
+def q_blob_ledger(spark, sf_dir, ledger: str | None = None):
+    """Digest of the findings of ``documents``; with the name of a ledger only blobs new to it are scanned."""
     docs = table(spark, sf_dir, "documents")
-    return digest(with_findings(docs, scan_history(docs, scratch_path(spark, "ledger")), ["doc_id"]))
+    return digest(with_findings(docs, scan_history(docs, ledger_path(spark, ledger)), ["doc_id"]))
 
 
 MARK = "[secret]"
@@ -121,10 +130,10 @@ def redact(text: str, findings: list) -> str:
     return "".join([*out, text[at:]])
 
 
-def stage_blob_ledger(spark, docs, sf_dir):
+def stage_blob_ledger(spark, docs, sf_dir, ledger: str | None = None):
     """Pipeline stage: no document goes; every secret found in a text is replaced by ``[secret]`` and
-    n_chars counts the new text."""
-    found = with_findings(docs, scan_history(docs, scratch_path(spark, "ledger")), [*docs.columns])
+    n_chars counts the new text. With the name of a ledger only blobs new to it are scanned."""
+    found = with_findings(docs, scan_history(docs, ledger_path(spark, ledger)), [*docs.columns])
     at, n_at = docs.columns.index("text"), docs.columns.index("n_chars")
 
     def run(batches):

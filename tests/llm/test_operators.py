@@ -336,6 +336,18 @@ def test_secrets(docs, empty, spark, tmp_path):
     assert blob_ledger.scan_history(empty, f"{tmp_path}/none").count() == 0
 
 
+def test_named_ledger_is_found_again(spark, monkeypatch):
+    name, scanned = f"test-{random.random()}", []
+    monkeypatch.setattr(blob_ledger, "table", lambda spark, sf_dir, _: spark.createDataFrame([(i, f"password = hunter{i:04d}") for i in range(sf_dir)], "doc_id long, text string"))
+    for n in (5, 5, 8):
+        got = blob_ledger.q_blob_ledger(spark, n, ledger=name).collect()
+        assert len(got) == n and all(r.n_assign == 1 for r in got)
+        scanned.append(spark.read.parquet(blob_ledger.ledger_path(spark, name)).count())
+    assert scanned == [5, 5, 8]
+    assert "/dfinsight/" not in blob_ledger.ledger_path(spark, name)
+    assert blob_ledger.ledger_path(spark, None) != blob_ledger.ledger_path(spark, None)
+
+
 def test_redaction(docs):
     out = {r.doc_id: r for r in blob_ledger.stage_blob_ledger(docs.sparkSession, docs, "").collect()}
     assert out[15].text == "[secret] [secret] [secret]" and out[15].n_chars == len(out[15].text) and out[0].text is None
