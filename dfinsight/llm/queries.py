@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (blob_ledger, bpe, collision_ann, fill_middle, lang_id, line_quality, ngram_join, page_diff, source_mix,
-               token_counts, toxicity)
+from . import (blob_ledger, bpe, collision_ann, fill_middle, host_reputation, lang_id, line_quality, ngram_join, page_diff,
+               source_mix, token_counts, toxicity)
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op8_bpe": bpe.q_bpe,
         "op9_source_mix": source_mix.q_source_mix,
         "op10_lang_id": lang_id.q_lang_id,
+        "op12_host_reputation": host_reputation.q_host_reputation,
         "op13_fill_middle": fill_middle.q_fill_middle,
     }
 
@@ -26,5 +27,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_line_quality": line_quality.ORACLE,
         "op9_source_mix": source_mix.ORACLE,
+        "op12_host_reputation": host_reputation.ORACLE,
         "op13_fill_middle": fill_middle.ORACLE,
     }
