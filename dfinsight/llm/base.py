@@ -61,6 +61,15 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, how: str = "inner", salts: int = 64) -> DataFrame:
+    """``rows`` with the columns of ``facts`` (one row a key). A key's rows are dealt to ``salts`` tasks; each salt of a
+    key is in the small join once, however many rows it has."""
+    salt = free_name(rows, "salt")
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    each = salted.select(key, salt).distinct().join(facts, key, how)
+    return salted.join(each, [key, salt]).drop(salt)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -11,7 +11,7 @@ are allowed until shown otherwise.
 
 Pages are reduced to (host, path, rule) in the scan. Counting is pre-aggregated. Facts go back to their rows through
 distinct (key, salt) pairs, so a host with a third of all pages, a domain with a third of all hosts or a
-suffix with half of all domains spreads over ``SALTS`` tasks. Only one strength a level and the totals reach the driver.
+suffix with half of all domains spreads over 64 tasks. Only one strength a level and the totals reach the driver.
 
 Registered domain and suffix: the host without user, port and closing dot; its last label is the suffix,
 or its last two where the last has two letters and the one before is a usual second level (``SECOND_LEVEL``); one label
@@ -31,13 +31,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .base import map_arrow, stored, table
+from .base import map_arrow, spread_join, stored, table
 
 # Fixed values: (verdict, host, path) of the rules.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 # Labels that stand before a country's own suffix.
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gov", "net", "or", "org")
-TOLERATED, DOUBT, SALTS = 0.5, 0.05, 64
+TOLERATED, DOUBT = 0.5, 0.05
 #: Strength of a prior: the least and most that is believed, and the one taken where nothing can be fitted.
 WEAKEST, STRONGEST, UNFITTED = 0.5, 10_000.0, 2.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,14 +78,6 @@ def domain_and_suffix(host: Column) -> tuple[Column, Column]:
     return (F.when(numeric, host).when(two, part(3)).otherwise(part(2)), F.when(numeric, F.lit("ip")).when(two, part(2)).otherwise(part(1)))
 
 
-def with_facts(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
-    """``rows`` with the columns of ``facts`` (one row a key). A key's rows are dealt to ``SALTS`` tasks; a salt of a
-    key is in the small join once, however many rows it has."""
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    each = salted.select(key, "salt").distinct().join(facts, key)
-    return salted.join(each, [key, "salt"]).drop("salt")
-
-
 def strength(nodes: DataFrame) -> float:
     """Prior strength of a level from (n, k, m): how much more than binomial counts scatter around the parents' means."""
     n, k, m = F.col("n"), F.col("k"), F.col("m")
@@ -140,9 +132,9 @@ def reputations(hosts: DataFrame, tolerated: float = TOLERATED) -> DataFrame:
     domains = stored(hosts.groupBy("suffix", "domain").agg(*counts), "domains")
     suffixes = domains.groupBy("suffix").agg(*counts).withColumn("m", F.lit(overall))
     suffixes = suffixes.select("suffix", mean(strength(suffixes)).alias("m"))
-    domains = stored(with_facts(domains, suffixes, "suffix"), "domain-priors")
+    domains = stored(spread_join(domains, suffixes, "suffix"), "domain-priors")
     domains = domains.select("domain", mean(strength(domains)).alias("m"))
-    hosts = stored(with_facts(hosts, domains, "domain"), "host-priors")
+    hosts = stored(spread_join(hosts, domains, "domain"), "host-priors")
     s = strength(hosts)
     posterior = hosts.select("host", "n", "k", (s * F.col("m") + F.col("k")).alias("a"), (s * (1 - F.col("m")) + F.col("n") - F.col("k")).alias("b"))
 
@@ -166,7 +158,7 @@ def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str =
     hosts = stored(host_outcomes(rows.select("id", "host"), labels.select("id", "bad")), "host-outcomes")
     found = stored(reputations(hosts, tolerated), "reputations")
     own = F.when(F.col("below") < doubt, "block").otherwise("allow")
-    return with_facts(rows, found, "host").select(
+    return spread_join(rows, found, "host").select(
         F.col("id").alias(key), "host", "path", "rule", F.coalesce("by_rule", own).alias("verdict"), F.col("n").alias("n_labelled"),
         F.col("k").alias("n_bad"), (F.col("a") / (F.col("a") + F.col("b"))).alias("bad_rate"), "below")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (blob_ledger, bpe, collision_ann, fill_middle, host_reputation, lang_id, line_quality, ngram_join, page_diff,
-               source_mix, token_counts, toxicity)
+               source_mix, spelling_variants, token_counts, toxicity)
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op8_bpe": bpe.q_bpe,
         "op9_source_mix": source_mix.q_source_mix,
         "op10_lang_id": lang_id.q_lang_id,
+        "op11_spelling_variants": spelling_variants.q_spelling_variants,
         "op12_host_reputation": host_reputation.q_host_reputation,
         "op13_fill_middle": fill_middle.q_fill_middle,
     }
