@@ -10,11 +10,15 @@ from ..functions.columns import ntz_to_instant, round_to
 from ..operators import learning, numeric, profile, ranking, scaling
 from ..session import scratch_path
 from ..sources import io
+from ..sources.split_csv import read_csv_split
 from ..streaming import streams
 from . import movies
 from .catalog import R, RL, query, with_base, with_titles
 from .views import LONG_TAIL_SQL, MESSY_EVENTS_SQL, TASK_LOG_SQL, long_tail, messy_events, table, task_log, titles
 
+#: Block of a split CSV file in the queries, so that a file of a few megabytes is several.
+CSV_BLOCK = 1 << 20
+
 # ----------------------------------------------------------------------------- windows / sequences
 
 
@@ -363,6 +367,25 @@ def q_csv_roundtrip(spark, sf):
     return spark.read.parquet(f"{base}/parquet")
 
 
+@query("csv_split_titles", with_titles("SELECT * FROM titles"))
+def q_csv_split_titles(spark, sf):
+    """SRC1 + SRC6 over one file in many tasks: the titles view as a single CSV file, read in blocks, landed as parquet."""
+    t = titles(spark, sf)
+    base = scratch_path(spark, "csv_split")
+    io.land_csv(t.coalesce(1), f"{base}/csv")
+    io.land_parquet(read_csv_split(spark, f"{base}/csv", t.schema, null_value=io.CSV_NULL, block_bytes=CSV_BLOCK), f"{base}/parquet")
+    return spark.read.parquet(f"{base}/parquet")
+
+
+@query("csv_split_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_csv_split_documents(spark, sf):
+    """SRC1 where most records span lines: the documents as CSV, with the newlines, quotes and commas of their texts."""
+    t = table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    base = scratch_path(spark, "csv_split")
+    io.land_csv(t, f"{base}/csv")
+    return read_csv_split(spark, f"{base}/csv", t.schema, null_value=io.CSV_NULL, block_bytes=CSV_BLOCK)
+
+
 @query("word_count_lines", """
 SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text, '[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+')) AS word
   FROM (SELECT unnest(string_split(text, chr(10))) AS text FROM benchmark) l) x WHERE word <> '' GROUP BY word""")

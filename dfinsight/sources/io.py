@@ -26,7 +26,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     """SRC1: CSV with header, quote and escape ``"``, quoted newlines (``multiLine``).
 
     With ``schema`` there is no inference pass; without one, types are inferred (one extra scan).
-    A multi-line file cannot be split, so land large inputs once with :func:`land_parquet`.
+    A multi-line file is one task here; :func:`~dfinsight.sources.split_csv.read_csv_split` spreads it.
     """
     reader = (spark.read.option("header", str(header).lower()).option("encoding", encoding)
               .option("quote", '"').option("escape", '"').option("multiLine", str(multiline).lower()))
@@ -75,6 +75,7 @@ def land_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None
 def land_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL) -> str:
     """Write CSV readable by :func:`read_csv` (header, ``"`` quote/escape, explicit NULL marker)."""
     (df.write.mode(mode).option("header", "true").option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .option("nullValue", null_value).option("emptyValue", '""').csv(path))
     return path
 
