@@ -202,7 +202,7 @@ def near_words(words: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
     """(word, n_near, best_n, best): the number of near words of each word that has any, and the one of largest count.
     ``words``: (word, n), distinct."""
     parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    live, small, split = words.select("word", "n", F.lit("").alias("prefix")), [], []
+    live, small, split = words.select("word", "n", F.substr("word", F.lit(1), F.lit(0)).alias("prefix")), [], []
     while True:
         groups = stored(live.groupBy("prefix").agg(F.count("*").alias("members"), F.sum(F.length("word")).alias("chars"), F.min("word").alias("lo"), F.max("word").alias("hi"))
                         .filter("members > 1").select("prefix", (F.col("chars") > max_chars).alias("large"), _common_prefix(F.col("lo"), F.col("hi")).alias("cut")), "groups")
