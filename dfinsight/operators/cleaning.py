@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import ColumnOrName, col_, is_missing, name_col, safe_cast
@@ -94,13 +95,8 @@ class Step:
     keep: Column
 
 
-def cleaning_audit(df: DataFrame, steps: list[Step]) -> DataFrame:
-    """A10 (+ C8, D1): rows in, removed by the rule, removed because the predicate was NULL, rows out.
-
-    Steps run in sequence, so each counter only sees rows that passed every earlier step. All
-    counters come from one aggregation pass; the wide row is unpivoted to one row per step.
-    Output: (step_no int, step string, n_in, n_rule, n_null, n_out) with n_in = n_rule + n_null + n_out.
-    """
+def _counters(steps: list[Step]) -> list[Column]:
+    """The four counters of every step, as aggregates over one row set."""
     aggs = []
     passed = F.lit(True)
     for i, step in enumerate(steps):
@@ -111,7 +107,10 @@ def cleaning_audit(df: DataFrame, steps: list[Step]) -> DataFrame:
             F.count_if(passed & (step.keep == F.lit(True))).alias(f"out_{i}"),
         ]
         passed = passed & F.coalesce(step.keep, F.lit(False))
-    wide = df.agg(*aggs)
+    return aggs
+
+
+def _one_row_per_step(wide: DataFrame, steps: list[Step]) -> DataFrame:
     stack = ", ".join(
         f"{i + 1}, '{s.name.replace(chr(39), chr(39) * 2)}', in_{i}, rule_{i}, null_{i}, out_{i}"
         for i, s in enumerate(steps)
@@ -121,6 +120,33 @@ def cleaning_audit(df: DataFrame, steps: list[Step]) -> DataFrame:
     ).withColumn("step_no", F.col("step_no").cast("int"))
 
 
+def cleaning_audit(df: DataFrame, steps: list[Step]) -> DataFrame:
+    """A10 (+ C8, D1): rows in, removed by the rule, removed because the predicate was NULL, rows out.
+
+    Steps run in sequence, so each counter only sees rows that passed every earlier step. All
+    counters come from one aggregation pass; the wide row is unpivoted to one row per step.
+    Output: (step_no int, step string, n_in, n_rule, n_null, n_out) with n_in = n_rule + n_null + n_out.
+    """
+    return _one_row_per_step(df.agg(*_counters(steps)), steps)
+
+
+def land_audited(df: DataFrame, steps: list[Step], write: Callable[[DataFrame], object], finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """A10 while the clean table is written: the rows of :func:`cleaning_audit`, counted by the job that lands the rows
+    surviving ``steps`` (``Dataset.observe``), so the input is read once for both.
+
+    ``write`` lands the clean table and must run exactly one job over it (e.g. ``lambda t: land_parquet(t, path)``);
+    ``finish`` is applied to the surviving rows first (fills and projections). Counters are merged once per finished task of
+    the writing stage, so a task that is run again is not counted twice, provided the input comes to that stage
+    without a shuffle (scan, cleaning and write are then one stage). Only the counters reach the driver.
+    """
+    observed = Observation("cleaning")
+    kept = apply_steps(df.observe(observed, *_counters(steps)), steps)
+    write(finish(kept) if finish else kept)
+    counted = observed.get  # waits for the write
+    schema = ", ".join(f"{k} long" for k in counted)
+    return _one_row_per_step(df.sparkSession.createDataFrame([tuple(int(v or 0) for v in counted.values())], schema), steps)
+
+
 def apply_steps(df: DataFrame, steps: list[Step]) -> DataFrame:
     """The rows that survive every step (NULL predicates drop the row, as a filter does)."""
     return df.filter(reduce(and_, [F.coalesce(s.keep, F.lit(False)) for s in steps]))

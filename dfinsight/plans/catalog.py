@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round_to
 from ..operators import profile, reports, words
 from ..operators.overlap import region_overlap
+from ..session import scratch_path
 from . import movies
 from .views import MESSY_EVENTS_SQL, TITLES_SQL, messy_events, table, titles
 
@@ -143,7 +144,7 @@ def q_region_overlap(spark, sf):
 
 
 # ----------------------------------------------------------------------------- cleaning
-@query("cleaning_audit_titles", with_titles("""
+AUDIT_SQL = with_titles("""
 , typed AS (SELECT try_cast(year AS FLOAT) AS y, CAST(rating_score AS FLOAT) AS s FROM titles)
 SELECT 1 AS step_no, 'year present' AS step, count(*) AS n_in, CAST(count_if(y IS NULL) AS BIGINT) AS n_rule,
        CAST(0 AS BIGINT) AS n_null, CAST(count_if(y IS NOT NULL) AS BIGINT) AS n_out FROM typed
@@ -153,7 +154,10 @@ SELECT 2, 'rating_score >= 1', count(*), CAST(count_if(s < 1 OR isnan(s)) AS BIG
 UNION ALL
 SELECT 3, 'year >= 1900', count(*), CAST(count_if(y < 1900 OR isnan(y)) AS BIGINT), CAST(count_if(y IS NULL) AS BIGINT),
        CAST(count_if(y >= 1900 AND NOT isnan(y)) AS BIGINT) FROM typed
-WHERE y IS NOT NULL AND s >= 1 AND NOT isnan(s)"""))
+WHERE y IS NOT NULL AND s >= 1 AND NOT isnan(s)""")
+
+
+@query("cleaning_audit_titles", AUDIT_SQL)
 def q_cleaning_audit(spark, sf):
     return movies.clean_audit(titles(spark, sf))
 
@@ -171,6 +175,20 @@ def q_clean_titles(spark, sf):
     return movies.clean_movies(titles(spark, sf))
 
 
+@query("landed_audit_titles", AUDIT_SQL)
+def q_landed_audit(spark, sf):
+    """A10 + X1: the audit counted by the job that lands the clean table."""
+    return movies.land_clean_movies(titles(spark, sf), f"{scratch_path(spark, 'landed_clean')}/parquet")
+
+
+@query("landed_clean_titles", CLEAN_SQL)
+def q_landed_clean(spark, sf):
+    """A10 + X1: the clean table as the audited job landed it."""
+    path = f"{scratch_path(spark, 'landed_clean')}/parquet"
+    movies.land_clean_movies(titles(spark, sf), path)
+    return spark.read.parquet(path)
+
+
 @query("missing_profile_titles", with_titles(" UNION ALL ".join(
     f"""SELECT {i + 1} AS position, '{c}' AS column_name, CAST(count_if({c} IS NULL OR CAST({c} AS VARCHAR) IN ('', 'null')) AS BIGINT) AS n_missing,
   CAST(CAST(count_if({c} IS NULL OR CAST({c} AS VARCHAR) IN ('', 'null')) AS BIGINT) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS pct_missing FROM titles"""

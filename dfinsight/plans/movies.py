@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.columns import explode_labels, retype, safe_cast
-from ..operators.cleaning import Rule, Step, any_rule, apply_steps, cleaning_audit, fill_missing, present, range_predicate
+from ..operators.cleaning import (Rule, Step, any_rule, apply_steps, cleaning_audit, fill_missing, land_audited, present,
+                                  range_predicate)
 from ..operators.profile import bucket_counts, label_counts, missing_profile, numeric_summary, profile_table, row_count
 from ..operators.ranking import top_per_label
 from ..operators.reports import group_report, top_k, trend
-from ..sources.io import preview, schema_report
+from ..sources.io import land_parquet, preview, schema_report
 
 # Fixed values of the reference's cleaning and analysis scripts.
 SUMMARY_DEFAULT = "暂无简介"  # fill text for a missing summary ("no summary yet")
@@ -54,6 +55,12 @@ def clean_audit(raw: DataFrame) -> DataFrame:
     return cleaning_audit(retype(raw, CLEAN_TYPES), clean_steps())
 
 
+def land_clean_movies(raw: DataFrame, path: str, summary_default: str = SUMMARY_DEFAULT) -> DataFrame:
+    """X1 + A10 in one scan: land the clean table as Parquet under ``path`` and return the audit of the same job."""
+    return land_audited(retype(raw, CLEAN_TYPES), clean_steps(), lambda clean: land_parquet(clean, path),
+                        lambda kept: fill_missing(kept, {"summary": summary_default}))
+
+
 def analysis_base(raw: DataFrame) -> DataFrame:
     """The filter every analysis query inherits. Inferred types: year, scores and counts may be text;
     text that is no number becomes NULL (and a NULL score drops the row), typed columns stay as they are."""

@@ -20,6 +20,26 @@ def test_audit_is_one_pass(spark):
     assert plan.count("FileScan parquet") == 1
 
 
+def test_audited_landing_is_one_job_with_the_same_counters(spark, tmp_path):
+    raw = titles(spark, SF01)
+    spark.sparkContext.setJobGroup("landing", "landing")
+    audit = movies.land_clean_movies(raw, str(tmp_path / "clean"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("landing")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(jobs) == 1  # cleaning, audit and landing read the input together
+    assert audit.columns == movies.clean_audit(raw).columns
+    assert sorted(audit.collect()) == sorted(movies.clean_audit(raw).collect())
+    landed, want = spark.read.parquet(str(tmp_path / "clean")), movies.clean_movies(raw)
+    assert landed.dtypes == want.dtypes and landed.count() == 11030 and landed.exceptAll(want).count() == 0
+
+
+def test_audited_landing_of_nothing(spark, tmp_path):
+    none = titles(spark, SF01).filter("false")
+    audit = movies.land_clean_movies(none, str(tmp_path / "clean")).collect()
+    assert [(r.n_in, r.n_rule, r.n_null, r.n_out) for r in audit] == [(0, 0, 0, 0)] * 3
+    assert spark.read.parquet(str(tmp_path / "clean")).count() == 0
+
+
 def test_fillna_parity_and_normalised(spark):
     df = spark.createDataFrame([(None,), ("",), ("null",), ("x",)], "s string")
     assert [r[0] for r in fill_missing(df, {"s": "-"}).collect()] == ["-", "", "null", "x"]
