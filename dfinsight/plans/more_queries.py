@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.columns import ntz_to_instant, round_to
-from ..operators import learning, numeric, profile, ranking, scaling
+from ..operators import learning, numeric, profile, ranking, scaling, sgd
 from ..session import scratch_path
 from ..sources import io
 from ..sources.split_csv import read_csv_split
@@ -166,6 +166,42 @@ def q_classifier_train(spark, sf):
         (F.col("accuracy_pct") > F.col("majority")).alias("above_majority"), (F.col("mean_loss") < F.log(F.lit(10.0))).alias("below_chance_loss"))
 
 
+# One whole-table step from zero weights has the closed form rate / n * (sum of the class - sum of all / classes).
+_SGD_RATE = 0.5
+
+
+@query("sgd_first_steps_embeddings", f"""
+WITH n AS (SELECT count(*) AS n FROM embeddings),
+     cells AS (SELECT vec_id, label, unnest(range(len(embedding))) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
+               UNION ALL SELECT vec_id, label, -1, 1.0 FROM embeddings),
+     total AS (SELECT d, sum(x) AS t FROM cells GROUP BY d), own AS (SELECT d, label, sum(x) AS s FROM cells GROUP BY d, label),
+     w AS (SELECT total.d, c.c, {_SGD_RATE} / n * (coalesce(s, 0) - t / 10.0) AS w
+           FROM total CROSS JOIN range(10) c(c) CROSS JOIN n LEFT JOIN own ON own.d = total.d AND own.label = c.c),
+     z AS (SELECT vec_id, label, c, sum(x * w) AS z FROM cells JOIN w USING (d) GROUP BY vec_id, label, c),
+     l AS (SELECT vec_id, ln(sum(exp(z))) - max(z) FILTER (c = label) AS loss FROM z GROUP BY vec_id)
+SELECT 0 AS epoch, n AS n_rows, CAST(1 AS BIGINT) AS n_steps, {R('ln(10.0)', 6)} AS mean_loss FROM n
+UNION ALL SELECT 1, (SELECT n FROM n), CAST(1 AS BIGINT), {R('avg(loss)', 6)} FROM l""")
+def q_sgd_first_steps(spark, sf):
+    """L2 by synchronous SGD over two ranks, one step an epoch: the losses before and after the first step."""
+    emb = table(spark, sf, "embeddings")
+    model = sgd.train_sgd(emb, "embedding", "label", "vec_id", ranks=2, epochs=2, batch=1 << 40, rate=_SGD_RATE)
+    return model.epochs(spark).select("epoch", "n_rows", "n_steps", round_to("mean_loss", 6).alias("mean_loss"))
+
+
+@query("sgd_ranks_embeddings", """
+SELECT CAST(e AS INTEGER) AS epoch, n AS n_rows, CAST(ceil(n / 256.0) AS BIGINT) AS n_steps, CASE WHEN e > 0 THEN true END AS falls, true AS one_rank_agrees
+FROM (SELECT count(*) AS n FROM embeddings) t, range(2) r(e)""")
+def q_sgd_ranks(spark, sf):
+    """L1 + L2: two epochs over three ranks; the loss falls from an epoch to the next, and one rank ends with the same losses."""
+    emb = table(spark, sf, "embeddings")
+    three, one = (sgd.train_sgd(emb, "embedding", "label", "vec_id", ranks=r, epochs=2, batch=256).epochs(spark) for r in (3, 1))
+    both = three.join(one.select("epoch", F.col("mean_loss").alias("alone")), "epoch")
+    before = three.select((F.col("epoch") + 1).alias("epoch"), F.col("mean_loss").alias("before"))
+    return both.join(before, "epoch", "left").select(
+        "epoch", "n_rows", "n_steps", (F.col("mean_loss") < F.col("before")).alias("falls"),
+        (F.abs(F.col("mean_loss") - F.col("alone")) < 1e-6).alias("one_rank_agrees"))
+
+
 # ----------------------------------------------------------------------------- numeric
 _CELLS = """cells AS (SELECT vec_id, unnest(range(len(embedding))) AS i,
   CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)"""
