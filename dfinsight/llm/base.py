@@ -47,6 +47,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Deletes tables written by :func:`stored`, once every table made from them is written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            if "/dfinsight/" not in folder:
+                raise ValueError(f"{folder} is not a scratch table")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns called like the ones an operator adds: its own columns replace them."""
     taken = {n.lower() for n in names}
@@ -80,12 +91,17 @@ def sha256_hex(text: Column) -> Column:
 
 
 # ------------------------------------------------------------------ id bitmaps
-BITMAP_BITS = 1 << 23
+BITMAP_BITS, MOST_BITMAP_BITS = 1 << 23, 1 << 28
+
+
+def bitmap_bits(ids: DataFrame) -> int:
+    """Eight bits an id, rounded up to a power of two, from 1 MB up to 32 MB in all."""
+    return min(MOST_BITMAP_BITS, max(BITMAP_BITS, 1 << max(0, 8 * ids.count() - 1).bit_length()))
 
 
 def id_bitmap(ids: DataFrame, col: str, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A bitmap of ``bits`` bits (1 MB by default, whatever the input) of the hashed values of ``col``.
-    Only whole 4 KB words of the fixed-size bitmap reach the driver. With more ids than bits it fills
+    """A bitmap of ``bits`` bits (1 MB by default, 32 MB at most by :func:`bitmap_bits`) of the hashed values of ``col``.
+    Only whole 4 KB words of the bitmap reach the driver. With more ids than bits it fills
     up and prunes less, but never hides an id."""
     per = 32768  # positions in one bitmap of Spark's bitmap functions
     pos = F.pmod(F.xxhash64(F.col(col)), F.lit(bits))

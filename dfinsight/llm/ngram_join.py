@@ -38,9 +38,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .base import BITMAP_BITS, WHITE, connected_components, free_name, id_bitmap, map_arrow, pieces, stored, table
+from .base import (WHITE, bitmap_bits, connected_components, free_name, id_bitmap, map_arrow, pieces, release, spread_join,
+                   stored, table)
 
-WORDS, PERCENT, LIST, BLOCK, STREAM, SALT_ROWS = 5, 80, 32, 512, 1024, 256
+WORDS, PERCENT, LIST, BLOCK, STREAM, SALT_ROWS = 5, 80, 8, 512, 1024, 256
 #: U: the tokens below this bound, a quarter of the (signed, uniform) token space.
 QUARTER = -(1 << 62)
 #: Odd multipliers that re-order the token space, for the second and third order.
@@ -245,14 +246,15 @@ def _against_blocks(batches):
 def _with_texts(docs: DataFrame, reps: DataFrame, need: DataFrame) -> DataFrame:
     """``need`` (sig, ...) with the text of one document of each class, column ``text``."""
     wanted = stored(need.join(reps, "sig"), "wanted")
-    bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(wanted, "doc_id"))
+    size = bitmap_bits(wanted)
+    bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(wanted, "doc_id", size))
 
     def prune(batches):
         for b in batches:
             pos = b.column(0).to_numpy()
             yield b.filter(pa.array((bits.value[pos >> 3] >> (pos & 7).astype(np.uint8)) & 1 == 1))
 
-    rows = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)).alias("pos"), F.col("doc_id").alias("id"), "text")
+    rows = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(size)).alias("pos"), F.col("doc_id").alias("id"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     few = map_arrow(rows, prune, f"pos long, id {kind}, text string")
     return wanted.join(few, F.expr("doc_id <=> id")).drop("doc_id", "id", "pos")
@@ -267,14 +269,16 @@ def _streamed(rows: DataFrame, fn, columns: list[str]) -> DataFrame:
 def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For ``docs`` (doc_id, text): the sets of all rows, and (doc_id, text_hash, n, comp) of every row with words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = stored(map_arrow(docs.withColumn("text_hash", F.xxhash64("text")), _sets, f"doc_id {kind}, text_hash long, n long, sig long, u long, tokens array<long>"), "sets")
+    whole = stored(map_arrow(docs.withColumn("text_hash", F.xxhash64("text")), _sets, f"doc_id {kind}, text_hash long, n long, sig long, u long, tokens array<long>"), "sets")
+    sets = stored(whole.drop("tokens"), "set-sizes")
     classes = sets.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("u").alias("u"))
     reps = classes.select("sig", "doc_id")
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    postings = sets.select(F.explode("tokens").alias("token"), "sig", "n").repartition(parts, "token").sortWithinPartitions("token", "sig")
+    postings = whole.select(F.explode("tokens").alias("token"), "sig", "n").repartition(parts, "token").sortWithinPartitions("token", "sig")
     matches = stored(map_arrow(postings, _lists, MATCH).groupBy("hub", "a", "b").agg(
         F.min("na").alias("na"), F.min("nb").alias("nb"), F.sum("inside").alias("inside")), "matches")
+    release(whole)
 
     # tokens of a class in long lists, inside U; what a class needs there to be in a pair at all, or to be the smaller one
     in_long = matches.filter("hub").groupBy(F.col("a").alias("sig")).agg(F.sum("inside").alias("hot"))
@@ -289,6 +293,7 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .select(F.col("a").alias("hub"), F.col("b").alias("sig")))
     to_hub = groups.filter(f"sig <> hub and {PERCENT} * greatest(n, n_hub) <= 100 * least(n, n_hub)").select("hub", "sig")
     pairs = stored(close.union(to_hub).distinct(), "pairs")
+    release(matches, stats)
     salts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / SALT_ROWS).alias("k"))
     need = pairs.join(salts, "hub").select("sig", "hub", F.pmod(F.xxhash64("sig"), F.col("k")).alias("salt"), F.lit(1).alias("role"))
     own = salts.select(F.col("hub").alias("sig"), "hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("salt"), F.lit(0).alias("role"))
@@ -297,7 +302,7 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     comps = stored(connected_components(links), "comps")
     links = links.union(_left_in_groups(docs, reps, groups, comps))
     comps = connected_components(links).select(F.col("node").alias("sig"), "comp")
-    placed = stored(sets.filter("n > 0").select("doc_id", "text_hash", "n", "sig").join(comps, "sig", "left")
+    placed = stored(spread_join(sets.filter("n > 0").select("doc_id", "text_hash", "n", "sig"), comps, "sig", "left")
                     .select("doc_id", "text_hash", "n", F.coalesce("comp", "sig").alias("comp")), "placed")
     return sets, placed
 
@@ -306,7 +311,7 @@ def similarity_components(docs: DataFrame, key: str = "doc_id", text: str = "tex
     """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
     sets, placed = _placed(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
     ids = placed.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    return (placed.join(ids, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return (spread_join(placed, ids, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
             .unionByName(sets.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))))
 
 
