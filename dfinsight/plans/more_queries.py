@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.columns import ntz_to_instant, round_to
-from ..operators import learning, numeric, profile, ranking, scaling, sgd
+from ..operators import learning, numeric, profile, ranking, scaling, series, sgd
 from ..session import scratch_path
 from ..sources import io
 from ..sources.split_csv import read_csv_split
@@ -225,6 +225,51 @@ def q_integral(spark, sf):
     return out.select("user_id", "n_points", round_to("integral", 2).alias("integral"))
 
 
+_DAY = 86_400
+
+
+@query("integral_windows_user", f"""
+WITH p AS (SELECT user_id, epoch_us(ts) AS t, value AS v, lead(epoch_us(ts)) OVER w AS t2, lead(value) OVER w AS v2
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+     j AS (SELECT *, coalesce(v IS NOT NULL AND v2 IS NOT NULL AND t2 > t, false) AS joined FROM p),
+     c AS (SELECT *, unnest(generate_series(t // {_DAY}000000, CASE WHEN joined THEN greatest(t // {_DAY}000000, (t2 - 1) // {_DAY}000000)
+                                                             ELSE t // {_DAY}000000 END)) AS w FROM j),
+     e AS (SELECT *, greatest(t, w * {_DAY}000000) AS lo, least(t2, (w + 1) * {_DAY}000000) AS hi FROM c)
+SELECT user_id, w AS window_no, CAST(count_if(w = t // {_DAY}000000) AS BIGINT) AS n_points,
+       {R("sum(CASE WHEN joined THEN (hi - lo) / 1e6 * ((v + (v2 - v) * (CAST(lo - t AS DOUBLE) / (t2 - t))) + (v + (v2 - v) * (CAST(hi - t AS DOUBLE) / (t2 - t)))) / 2 ELSE 0.0 END)", 2)} AS integral
+FROM e GROUP BY user_id, w""")
+def q_integral_windows(spark, sf):
+    """M2 per day: segments cut at midnight by interpolation."""
+    out = numeric.integrate_windows(table(spark, sf, "events"), "user_id", "ts", "value", "event_id", _DAY)
+    return out.select("user_id", "window_no", "n_points", round_to("integral", 2).alias("integral"))
+
+
+@query("integral_windows_whole", f"""
+SELECT user_id, count(*) AS n_points, {R('coalesce(sum(area), 0.0)', 2)} AS integral FROM (
+  SELECT user_id, (CAST(date_diff('microsecond', lag(ts) OVER w, ts) AS DOUBLE) / 1e6)
+         * (value + lag(value) OVER w) / 2.0 AS area
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) x GROUP BY user_id""")
+def q_integral_windows_whole(spark, sf):
+    """M2: the windows of a user add up to the user's integral."""
+    out = numeric.integrate_windows(table(spark, sf, "events"), "user_id", "ts", "value", "event_id", _DAY)
+    whole = out.groupBy("user_id").agg(F.sum("n_points").alias("n_points"), F.sum("integral").alias("integral"))
+    return whole.select("user_id", "n_points", round_to("integral", 2).alias("integral"))
+
+
+@query("metric_series_filled", f"""
+WITH m AS ({MESSY_EVENTS_SQL}),
+     s AS (SELECT user_id, date_trunc('day', ts) AS d, count(*) AS n, avg(value) AS v FROM m GROUP BY ALL),
+     g AS (SELECT user_id, unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS d FROM s GROUP BY user_id)
+SELECT g.user_id, CAST(g.d AS TIMESTAMP) AS window_start, s.n, s.d IS NULL AS is_filled,
+       {R('last_value(s.v IGNORE NULLS) OVER (PARTITION BY g.user_id ORDER BY g.d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 6)} AS avg_value
+FROM g LEFT JOIN s ON g.user_id = s.user_id AND g.d = s.d""")
+def q_metric_series_filled(spark, sf):
+    """T4 on a regular axis: the daily mean of every user, days without a value showing the last known one."""
+    daily = streams.flatten_window(streams.metric_series(messy_events(spark, sf), "ts", "user_id", "value", "1 day"), ntz=False)
+    out = series.fill_gaps(daily, "user_id", "window_start", "avg_value", _DAY)
+    return out.select("user_id", "window_start", "n", "is_filled", round_to("avg_value", 6).alias("avg_value"))
+
+
 # ----------------------------------------------------------------------------- streams
 def _events_stream(spark, sf):
     return streams.file_stream(spark, sf, "events.parquet")

@@ -103,3 +103,32 @@ def partition_offsets(laid: DataFrame) -> DataFrame:
     counts = laid.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(PID, F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long").alias("_offset"), "_n")
+
+
+def with_next(laid: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """A layout with the values of the next row in the whole order, ``cols`` naming them: {column: name}.
+
+    Inside a range partition the next row is a ``lead`` (a window a partition, which the ranges keep even); the
+    last row of a partition takes the first row of the next one, one row a partition."""
+    from pyspark.sql import Window
+
+    inside = Window.partitionBy(PID).orderBy(POS)
+    firsts = laid.filter(F.col(POS) == 0).select(PID, F.struct(*cols).alias("_first"))
+    after = firsts.select(PID, F.lead("_first").over(Window.orderBy(PID)).alias("_after"))
+    rows = laid.withColumn("_lead", F.lead(F.struct(*cols)).over(inside)).join(F.broadcast(after), PID)
+    following = F.coalesce("_lead", "_after")
+    return rows.withColumns({name: following[c] for c, name in cols.items()}).drop("_lead", "_after")
+
+
+def carried_before(laid: DataFrame, key: str, value: str) -> DataFrame:
+    """(``_pid``, ``_key``, ``_value``): the last non-NULL ``value`` before each partition, with its key, one row a partition.
+
+    Only the last key of a partition can go on in the next; a value of another key says that this one has none."""
+    from pyspark.sql import Window
+
+    last = laid.groupBy(PID).agg(F.max_by(key, POS).alias("_key"))
+    own = laid.select(PID, POS, F.col(key).alias("_k"), F.col(value).alias("_v")).join(F.broadcast(last), PID).filter("_k <=> _key")
+    known = own.groupBy(PID).agg(F.any_value("_key").alias("_key"), F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col(POS))).alias("_value"))
+    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    found = F.last(F.when(F.col("_value").isNotNull(), F.struct("_key", "_value")), ignorenulls=True).over(before)
+    return known.select(PID, found.alias("_b")).select(PID, F.col("_b._key").alias("_key"), F.col("_b._value").alias("_value"))

@@ -29,7 +29,8 @@ spark.stop()
 """
 # Windows without a partition key are allowed over one row per time bucket or per range partition.
 BOUNDED_WINDOWS = {"trend_delta_orders", "trend_day_events", "global_sequence_events", "sorted_ranges_orders",
-                   "sorted_ranges_check", "epoch_shards_embeddings"}
+                   "sorted_ranges_check", "epoch_shards_embeddings", "integral_windows_user", "integral_windows_whole", "metric_series_filled",
+                   "sgd_first_steps_embeddings", "sgd_ranks_embeddings"}
 
 
 def _groups(args: str) -> list[str]:
