@@ -6,12 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import ntz_to_instant, round_to
+from ..functions.columns import instant_to_ntz, ntz_to_instant, round_to
 from ..operators import learning, numeric, profile, ranking, scaling, series, sgd
 from ..session import scratch_path
 from ..sources import io
 from ..sources.split_csv import read_csv_split
-from ..streaming import streams
+from ..streaming import streams, timed
 from . import movies
 from .catalog import R, RL, query, with_base, with_titles
 from .views import LONG_TAIL_SQL, MESSY_EVENTS_SQL, TASK_LOG_SQL, long_tail, messy_events, table, task_log, titles
@@ -342,6 +342,29 @@ def q_counts_restarted(spark, sf):
         streams.stream_counts(s, "event_type"), ["event_type"], base, compact_every=3))
 
 
+_TTL = 2 * _DAY
+
+
+@query("stream_counts_expiring", f"""
+WITH e AS (SELECT user_id, ts, epoch_ms(ts) - lag(epoch_ms(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events),
+     s AS (SELECT user_id, ts, sum(CASE WHEN gap >= {_TTL}000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM e),
+     c AS (SELECT user_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM s GROUP BY user_id, no),
+     w AS (SELECT max(epoch_ms(ts)) - ((max(epoch_ms(ts)) // 1000 - min(epoch_ms(ts)) // 1000 + 1) // 3 + 1) * 1000 AS mark FROM events)
+SELECT user_id, n, first_ts, last_ts, epoch_ms(last_ts) + {_TTL}000 > mark AS is_open FROM c, w""")
+def q_stream_counts_expiring(spark, sf):
+    """T1 with timers: counters of a user that end after two days without arrival, over three deliveries and two restarts;
+    the closed ones as the stream gave them out, the open ones read back from its state."""
+    base = _base(spark, "stream_counts_expiring")
+
+    def run(stream, span):
+        rows = streams.with_event_time(stream, "ts")  # a delivery is a third of the span, in any order
+        return streams.run_append(timed.expiring_counts(rows, "user_id", "event_time", f"{int(span.split()[0]) // 3 + 1} seconds", _TTL), base)
+
+    closed = _arrivals(spark, sf, "expiring_in", run)
+    both = closed.withColumn("is_open", F.lit(False)).union(timed.open_counts(spark, base).withColumn("is_open", F.lit(True)))
+    return both.select(F.col("key").alias("user_id"), "n", instant_to_ntz("first").alias("first_ts"), instant_to_ntz("last").alias("last_ts"), "is_open")
+
+
 @query("stream_latest_restarted", """
 SELECT user_id, ts, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
