@@ -3,9 +3,9 @@
 A vector's projections on random lines are kept in one sorted array per line. A query looks at a window
 centred on its own projection in every array; virtual rehashing widens all windows together by a ratio,
 and only the newly covered entries are counted. A vector that lies inside the windows of at least a
-threshold share of the lines is verified by its exact distance. A query is done when its k-th distance
-is at most the radius that the windows stand for, or when the windows cover everything (then the answer
-is exact). No cap is set on candidates.
+threshold share of the lines is verified by its exact distance. A query is done when the windows are so wide
+that a vector as near as its k-th would have been verified with 95 % chance, by the binomial law of the number of
+windows that hold it, or when every vector is verified (then the answer is exact). No cap is set on candidates.
 
 Vectors are dealt by a hash of their id into blocks of bounded size, queries into blocks as well; every
 pair of blocks is a group with an index of its own, and a query's answers from all blocks are merged by
@@ -20,47 +20,80 @@ smaller id; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .base import importable, table
 
-K, LINES, WIDTH, SHARE, RATIO, SEED = 10, 48, 2.719, 0.66, 1.2, 17
+K, LINES, SHARE, RATIO, MISS, SEED = 10, 96, 0.8, 1.1, 0.05, 17
 BLOCK_VALUES, QUERY_BLOCK = 1 << 20, 2048
 
 
+def sure_reach(lines: int, need: int) -> float:
+    """Half width of the windows, in distances of a vector, at which it is verified with the chance 1 - ``MISS``: on a
+    line it lies as far from the query as a normal deviate of its distance, and it must be inside ``need`` windows."""
+    def caught(reach: float) -> float:
+        p = math.erf(reach / math.sqrt(2))
+        return sum(math.comb(lines, i) * p ** i * (1 - p) ** (lines - i) for i in range(need, lines + 1))
+
+    lo, hi = 0.0, 8.0
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if caught(mid) < 1 - MISS else (lo, mid)
+    return hi
+
+
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances, also where squares leave the range of doubles."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        apart = vectors - query
+        out = np.sqrt((apart ** 2).sum(1))
+        top = np.abs(apart).max(1)
+        odd = np.flatnonzero(~(top < 1e150) | (top < 1e-150) & (top > 0))
+        if len(odd):
+            by = np.where(top[odd] < 1, top[odd], np.maximum(np.abs(vectors[odd]).max(1), np.abs(query).max()))[:, None]
+            apart = np.where(by < 1, apart[odd] / by, vectors[odd] / by - query / by)
+            out[odd] = by[:, 0] * np.sqrt((apart ** 2).sum(1))
+    return out
+
+
 class CollisionIndex:
     """Sorted projections of the vectors of one block."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, lines: int = LINES):
         self.ids, self.vectors = ids, vectors
         self.axes = np.random.default_rng(SEED).standard_normal((vectors.shape[1], lines))
-        projected = vectors @ self.axes
+        top = np.abs(vectors).max()
+        #: A power of two by which lines see the vectors, 1 unless projections could overflow or vanish.
+        self.scale = 1.0 if 1e-150 < top < 1e150 else 2.0 ** -np.clip(np.frexp(top)[1], -1000, 1000)
+        projected = (vectors * self.scale) @ self.axes
         self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32).copy()
         self.values = np.sort(projected, axis=0).T.copy()
         self.need = int(np.ceil(SHARE * lines))
+        self.reach = sure_reach(lines, self.need)
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and distances of the k nearest found, by distance, then id."""
+        """Ids and distances of the k nearest found, by distance, then id; ``verified``: how many vectors were compared."""
+        self.verified = 0
         n, lines = len(self.ids), len(self.values)
-        at = query @ self.axes
+        at = (query * self.scale) @ self.axes
         own = self.ids == query_id
         left = n - int(own.sum())
         if not left:
             return self.ids[:0], np.zeros(0)
-        middle = np.array([np.searchsorted(v, a) for v, a in zip(self.values, at)])
-        lo, hi = middle.copy(), middle.copy()
-        # first radius: the window that holds about one vector in fifty on the middle line
+        lo = np.array([np.searchsorted(v, a) for v, a in zip(self.values, at)])
+        hi = lo.copy()
+        # first window: about one vector in fifty on the middle line
         step = max(1, min(n - 1, max(k, n // 50)))
-        reach = [np.sort(np.abs(v[max(0, m - step):m + step] - a))[min(step, 2 * step, len(v[max(0, m - step):m + step])) - 1] for v, m, a in zip(self.values, middle, at)]
-        radius = max(2 * float(np.median(reach)) / WIDTH, 1e-12)
+        around = [np.sort(np.abs(v[max(0, m - step):m + step] - a)) for v, m, a in zip(self.values, lo, at)]
+        half = max(float(np.median([x[min(step, len(x)) - 1] for x in around])), 1e-300)
         counts = np.zeros(n, np.int32)
-        known = own.copy()
-        distance = np.full(n, np.inf)
-        distinct = len(np.unique(self.ids)) == n
+        waits = ~own  # not verified yet
+        ids, found = np.zeros(0, self.ids.dtype), np.zeros(0)
         while True:
-            half = WIDTH * radius / 2
             fresh = []
             for j in range(lines):
                 a = np.searchsorted(self.values[j, :lo[j]], at[j] - half, "left")
@@ -68,24 +101,22 @@ class CollisionIndex:
                 fresh += [self.order[j, a:lo[j]], self.order[j, hi[j]:b]]
                 lo[j], hi[j] = a, b
             counts += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int32)
-            new = np.flatnonzero((counts >= self.need) & ~known)
+            new = np.flatnonzero((counts >= self.need) & waits)
             if len(new):
-                known[new] = True
-                distance[new] = np.sqrt(((self.vectors[new] - query) ** 2).sum(1))
-            near = np.sort(distance)[:k] if distinct else np.sort(self._per_id(distance)[1])[:k]
-            if len(near) and (len(near) == k and near[-1] <= radius) or known.all():
-                break
-            radius *= RATIO
-        ids, d = (self.ids, distance) if distinct else self._per_id(distance)
-        d = np.where(ids == query_id, np.inf, d)
-        best = np.lexsort((ids, d))[:min(k, left)]
-        best = best[np.isfinite(d[best])]
-        return ids[best], d[best]
-
-    def _per_id(self, distance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.lexsort((distance, self.ids))
-        first = np.r_[True, self.ids[order][1:] != self.ids[order][:-1]]
-        return self.ids[order][first], distance[order][first]
+                waits[new] = False
+                ids, found = self._nearest_of(np.concatenate([ids, self.ids[new]]), np.concatenate([found, distances(self.vectors[new], query)]), k)
+            if len(ids) == k and half >= self.reach * found[-1] * self.scale or not waits.any():
+                self.verified = left - int(waits.sum())
+                return ids, found
+            half *= RATIO
+
+    @staticmethod
+    def _nearest_of(ids: np.ndarray, found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest, each id once."""
+        order = np.lexsort((found, ids))
+        first = order[np.r_[True, ids[order][1:] != ids[order][:-1]]]
+        best = first[np.lexsort((ids[first], found[first]))[:k]]
+        return ids[best], found[best]
 
 
 def usable(vec: Column) -> Column:

@@ -3,7 +3,9 @@
 A word known from training votes with its per-language log frequency. An unknown word is cut into
 character n-grams (padded at both ends); the longest order with a known n-gram votes, so the score
 falls back from long n-grams to short ones. The votes of a word are normalised over the languages
-(a log posterior, floored), so known and unknown words are on one scale. A run of more than 64 letters, as
+(a log posterior, floored), so known and unknown words are on one scale. Frequencies are smoothed towards
+the entry's frequency in all languages, and votes towards none by how often the entry occurs, so a
+language without evidence gains nothing. Words are runs of letters with their combining marks. A run of more than 64 letters, as
 in scripts written without spaces, is cut into slices of 64 letters that overlap by three; each slice
 votes like a word, so every letter and every n-gram of the run counts. In training the n-grams of such a
 run are counted over the whole run, and its slices are its words.
@@ -11,8 +13,9 @@ run are counted over the whole run, and its slices are its words.
 The model is fitted on at most about ``max_docs_per_lang`` documents of each language, chosen by a
 hash; its tables hold at most ``max_words`` words and ``max_grams`` n-grams, so its size is bounded
 and it is broadcast. Every language has the same share of a table for its own most frequent entries; what
-the shares leave free goes to the most frequent ones of all. Only the ``MAX_LANGS`` labels with the most
-documents are fitted and can be predicted (there is a column of counts for each). Every document is then scored in one map over the table: no shuffle.
+the shares leave free goes to the most frequent ones of all. Any number of labels can be learned: an entry holds votes only
+for the languages it occurs in, and a label none of whose words is in the tables is left out. Every document
+is then scored in one map over the table: no shuffle.
 
 Defined cases: null text or a text without letters gives ``und`` with score 0; no training rows at
 all give ``und`` for every document; ties go to the language first in code point order; a null id
@@ -21,20 +24,21 @@ counts as the empty text for the split; extra columns are ignored; repeated rows
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .base import free_name, map_arrow, pieces, stored, table, without
 
 UNDETERMINED = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 MAX_DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS, ORDER = 3000, 120_000, 60_000, 4
-MAX_LANGS = 1000
 FLOOR, CACHE = -6.0, 500_000
+#: Occurrences that count for the frequency in all languages, in a language's own; and for no vote at all, in an entry's.
+POOLED, UNSURE = 1000.0, 0.5
 #: Letters of a slice; the mark of a cut, where a slice has no padding; letters of long runs a task holds before it counts them.
 SLICE, CUT, HELD_LETTERS = 64, "\x04", 500_000
 
@@ -97,66 +101,91 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
         max_docs_per_lang: int = MAX_DOCS_PER_LANG, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> dict:
     """Fit on rows with a label. Returns the bounded model (languages, grams, normalised votes)."""
     rows = labelled.filter(F.col(label).isNotNull()).select(F.col(text).alias("t"), F.col(label).alias("l"), F.col(key).alias("k"))
-    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(MAX_LANGS).collect()}
+    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}  # one row a label, as the model holds
     if not counts:
-        return {"langs": [], "grams": [[] for _ in range(ORDER + 1)], "votes": []}
+        return {"langs": [], "tables": [_votes([], np.zeros(1, np.int64), [], np.zeros(0), 0)] * (ORDER + 1)}
     share = F.create_map([x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1.0, max_docs_per_lang / n) * (1 << 30))))])
     sample = rows.filter(F.pmod(F.xxhash64(F.coalesce(F.col("k").cast("string"), F.lit("")), F.lit(10)), F.lit(1 << 30)) < share[F.col("l")])
-    langs = sorted(counts)
-    found = stored(map_arrow(sample.select("t", "l"), _count_grams, "lang string, n int, gram string, c long").groupBy("n", "gram")
-                   .agg(F.sum("c").alias("total"), *[F.sum(F.when(F.col("lang") == x, F.col("c")).otherwise(0)).alias(f"c{i}") for i, x in enumerate(langs)])
-                   .filter("total > 1"), "grams")
-    grams: list[list[str]] = [[] for _ in range(ORDER + 1)]
-    counted: list[np.ndarray] = [np.zeros((0, len(langs)))] * (ORDER + 1)
-    for part, most in (("n = 0", max_words), ("n > 0", max_grams)):
-        rows = _shared_out(found.filter(part), len(langs), most).toArrow()
-        order, texts = rows["n"].to_numpy(), rows["gram"].to_pylist()
-        each = np.stack([rows[f"c{i}"].to_numpy() for i in range(len(langs))], 1).astype(np.float64)
-        for n in np.unique(order):
-            at = np.flatnonzero(order == n)
-            grams[n], counted[n] = [texts[i] for i in at], each[at]
-    votes = []
-    for m in counted:
-        logs = np.log((m + 0.1) / (m.sum(0) + 0.1 * max(1, len(m))))
-        top_ = logs.max(1, keepdims=True) if len(m) else logs
-        votes.append(np.maximum(logs - top_ - np.log(np.exp(logs - top_).sum(1, keepdims=True)), FLOOR).astype(np.float32) if len(m) else logs.astype(np.float32))
-    return {"langs": langs, "grams": grams, "votes": votes}
+    found = stored(map_arrow(sample.select("t", "l"), _count_grams, "lang string, n int, gram string, c long").groupBy("n", "gram", "lang")
+                   .agg(F.sum("c").alias("c")), "grams")
+    parts = [_shared_out(found.filter(part), len(counts), most).toArrow().combine_chunks() for part, most in (("n = 0", max_words), ("n > 0", max_grams))]
+    langs = sorted({x for p in parts for x in p["langs"].combine_chunks().flatten().unique().to_pylist()})
+    number = {x: i for i, x in enumerate(langs)}
+    tables = []
+    for n in range(ORDER + 1):
+        rows = parts[min(n, 1)]
+        rows = rows.filter(pa.array(rows["n"].to_numpy() == n))
+        own, c = (rows[x].combine_chunks() for x in ("langs", "counts"))
+        starts = np.concatenate([[0], np.cumsum(own.value_lengths().to_numpy())]).astype(np.int64)
+        tables.append(_votes(rows["gram"].to_pylist(), starts, [number[x] for x in own.flatten().to_pylist()], c.flatten().to_numpy().astype(float), len(langs)))
+    return {"langs": langs, "tables": tables}
+
+
+def _votes(grams: list[str], starts: np.ndarray, langs: list[int], counts: np.ndarray, n_langs: int) -> dict:
+    """The entries of one order: entry i votes for ``langs[starts[i]:starts[i + 1]]``, each by how much more than the
+    languages it never occurs in, which all get the same."""
+    langs, entry = np.array(langs, np.int32), np.repeat(np.arange(len(grams)), np.diff(starts))
+    total = np.bincount(entry, counts, len(grams))
+    size = np.bincount(langs, counts, n_langs)
+    rate = (counts + POOLED * total[entry] / max(1.0, counts.sum())) / (size[langs] + POOLED)
+    rate /= np.bincount(entry, rate, len(grams))[entry]
+    vote = np.maximum(np.log((rate * total[entry] + UNSURE) / (total[entry] + UNSURE)), FLOOR)
+    absent = np.maximum(np.log(UNSURE / (total + UNSURE)), FLOOR)
+    return {"grams": grams, "starts": starts, "langs": langs, "votes": (vote - absent[entry]).astype(np.float32)}
 
 
 def _shared_out(found: DataFrame, n_langs: int, most: int) -> DataFrame:
-    """At most ``most`` entries: the most frequent of each language up to its share, then those of all."""
-    counts = F.posexplode(F.array(*[F.col(f"c{i}") for i in range(n_langs)])).alias("lang", "c")
+    """(n, gram, langs, counts) of at most ``most`` entries (one a language, if that is more) that occur twice: the most
+    frequent of each language up to its share, then those of all."""
+    entries = found.groupBy("n", "gram").agg(F.sum("c").alias("total"), F.array_sort(F.collect_list(F.struct("lang", "c"))).alias("own")).filter("total > 1")
     first = W.partitionBy("lang").orderBy(F.desc("c"), "n", "gram")
-    own = (found.select("n", "gram", counts).filter("c > 0").withColumn("place", F.row_number().over(first))
-           .filter(F.col("place") <= most // n_langs).select("n", "gram").distinct().withColumn("own", F.lit(True)))
-    return found.join(own, ["n", "gram"], "left").orderBy(F.col("own").desc_nulls_last(), F.desc("total"), "n", "gram").limit(most)
+    kept = (entries.select("n", "gram", F.inline("own")).withColumn("place", F.row_number().over(first))
+            .filter(F.col("place") <= max(1, most // n_langs)).select("n", "gram").distinct().withColumn("kept", F.lit(True)))
+    best = entries.join(kept, ["n", "gram"], "left").orderBy(F.col("kept").desc_nulls_last(), F.desc("total"), "n", "gram").limit(max(most, n_langs))
+    return best.select("n", "gram", F.col("own.lang").alias("langs"), F.col("own.c").alias("counts"))
 
 
 class Scorer:
     """Scores texts with a model; remembers the votes of the words it has met, up to a bound."""
 
     def __init__(self, model: dict):
-        self.langs, self.tables = model["langs"], [dict(zip(g, range(len(g)))) for g in model["grams"]]
-        self.votes = model["votes"]
+        self.langs, self.tables = model["langs"], model["tables"]
+        self.entry = [dict(zip(t["grams"], range(len(t["grams"])))) for t in self.tables]
+        self.forget()
+
+    def forget(self) -> None:
         self.seen: dict[str, int] = {}
-        self.rows = np.zeros((1024, max(1, len(self.langs))), np.float32)
+        self.start, self.held = np.zeros(1025, np.int64), 0  # votes of the words met, one after another
+        self.lang, self.vote = np.zeros(4096, np.int32), np.zeros(4096, np.float32)
 
-    def votes_of(self, word: str) -> np.ndarray:
-        if (i := self.tables[0].get(word)) is not None:
-            return self.votes[0][i]
+    def votes_of(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """The languages a word votes for, and its votes."""
+        if (i := self.entry[0].get(word)) is not None:
+            return self._entry(0, i)
         for n in range(ORDER, 0, -1):
-            known = [i for i in map(self.tables[n].get, grams_of(word, n)) if i is not None]
+            known = [i for i in map(self.entry[n].get, grams_of(word, n)) if i is not None]
             if known:
-                return self.votes[n][known].mean(0)
-        return np.zeros(len(self.langs), np.float32)
+                langs, votes = map(np.concatenate, zip(*(self._entry(n, i) for i in known)))
+                which, where = np.unique(langs, return_inverse=True)
+                return which, np.bincount(where, votes) / len(known)
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
+
+    def _entry(self, n: int, i: int) -> tuple[np.ndarray, np.ndarray]:
+        t = self.tables[n]
+        return t["langs"][t["starts"][i]:t["starts"][i + 1]], t["votes"][t["starts"][i]:t["starts"][i + 1]]
 
     def row_of(self, word: str) -> int:
         i = self.seen.get(word)
         if i is None:
             i = self.seen[word] = len(self.seen)
-            if i >= len(self.rows):
-                self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
-            self.rows[i] = self.votes_of(word)
+            langs, votes = self.votes_of(word)
+            end = self.held + len(langs)
+            if i + 2 > len(self.start):
+                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            while end > len(self.lang):
+                self.lang, self.vote = (np.concatenate([x, np.zeros_like(x)]) for x in (self.lang, self.vote))
+            self.lang[self.held:end], self.vote[self.held:end] = langs, votes
+            self.start[i + 1] = self.held = end
         return i
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -165,20 +194,21 @@ class Scorer:
             return UNDETERMINED, 0.0
         if max(map(len, words)) > SLICE:
             words = slices(words)
-        if len(self.seen) > CACHE:
-            self.seen = {}
         total = np.zeros(len(self.langs))
         for at in range(0, len(words), 65536):
-            part = words[at:at + 65536]
-            total += self.rows_for(part).sum(0, dtype=np.float64)
+            if len(self.seen) > CACHE or self.held > 8 * CACHE:
+                self.forget()
+            total += self.total_of(words[at:at + 65536])
         p = np.exp(total - total.max())
         best = int(p.argmax())
         return self.langs[best], float(p[best] / p.sum())
 
-    def rows_for(self, words: list[str]) -> np.ndarray:
+    def total_of(self, words: list[str]) -> np.ndarray:
         get = self.seen.get
-        idx = [i if (i := get(w)) is not None else self.row_of(w) for w in words]
-        return self.rows[idx]
+        idx = np.array([i if (i := get(w)) is not None else self.row_of(w) for w in words])
+        lo, n = self.start[idx], self.start[idx + 1] - self.start[idx]
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(self.lang[at], self.vote[at], len(self.langs))
 
 
 def predict(docs: DataFrame, model: dict, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:

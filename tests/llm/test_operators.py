@@ -494,10 +494,11 @@ def test_small_languages_keep_their_share_of_the_model(spark):
             count[lang][w] = count[lang].get(w, 0) + 1
     best = lambda some: sorted(some, key=lambda w: (-some[w], w))
     model = lang_id.fit(df, max_words=40, max_grams=60)
-    assert set(model["grams"][0]) == {*best(count["large"])[:20], *best(count["small"])[:20]}
-    assert 30 <= sum(map(len, model["grams"][1:])) <= 60 and any(g[:2] == "si" for n in (2, 3, 4) for g in model["grams"][n])
+    assert set(model["tables"][0]["grams"]) == {*best(count["large"])[:20], *best(count["small"])[:20]}
+    grams = [t["grams"] for t in model["tables"]]
+    assert 30 <= sum(map(len, grams[1:])) <= 60 and any(g[:2] == "si" for n in (2, 3, 4) for g in grams[n])
     # a share that a language cannot fill goes to the others
-    free = lang_id.fit(df, max_words=150)["grams"][0]
+    free = lang_id.fit(df, max_words=150)["tables"][0]["grams"]
     assert len(free) == 150 and {w for w, c in count["small"].items() if c > 1} <= set(free)
     assert {r.lang_pred for r in lang_id.predict(df.filter("lang = 'small'"), model).collect()} == {"small"}
 
