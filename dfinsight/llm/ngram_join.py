@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 from .base import (WHITE, bitmap_bits, connected_components, free_name, id_bitmap, map_arrow, pieces, release, spread_join,
                    stored, table)
 
-WORDS, PERCENT, LIST, BLOCK, STREAM, SALT_ROWS = 5, 80, 8, 512, 1024, 256
+WORDS, PERCENT, LIST, BLOCK, STREAM, SALT_ROWS = 5, 80, 32, 512, 1024, 256
 #: U: the tokens below this bound, a quarter of the (signed, uniform) token space.
 QUARTER = -(1 << 62)
 #: Odd multipliers that re-order the token space, for the second and third order.
@@ -300,7 +300,7 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = stored(_streamed(_with_texts(docs, reps, need.union(own)), _verify, ["hub", "salt", "role", "sig", "text"]), "links")
 
     comps = stored(connected_components(links), "comps")
-    links = links.union(_left_in_groups(docs, reps, groups, comps))
+    links = stored(links.union(_left_in_groups(docs, reps, groups, comps)), "all-links")
     comps = connected_components(links).select(F.col("node").alias("sig"), "comp")
     placed = stored(spread_join(sets.filter("n > 0").select("doc_id", "text_hash", "n", "sig"), comps, "sig", "left")
                     .select("doc_id", "text_hash", "n", F.coalesce("comp", "sig").alias("comp")), "placed")
