@@ -6,7 +6,8 @@ pages are cut into text lines, one per block of the markup, menus, headers and f
 scripts, styles and the like hold no lines); all lines are aligned by a longest common subsequence and the
 shared ones are template text. Markup follows as the check. It drops the menus, headers, footers, sidebars,
 forms, adverts, notices and comments that the neighbour does not share, and it protects the article: lines
-of an article element are never template. A page's lines inside article and main (where it has neither, all
+of an article element are never template. A class, id or role drops an element only if it names junk and nothing else,
+and no form or class drops the page's only article or main. A page's lines inside article and main (where it has neither, all
 lines that markup does not drop) also tell copies: if none of them differs from the neighbour's, the
 neighbour is a copy and they stay; if some do, the shared ones go, however much of the text they are.
 
@@ -26,8 +27,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -65,40 +68,73 @@ footer form h1 h2 h3 h4 h5 h6 header hgroup hr li listing main menu nav ol p pre
 
 
 ENDS = _ends()
-JUNK = frozenset("nav footer aside form button select menu dialog head".split())
+#: Markup of the pages of one range of the URL order, so one task; more ranges than shuffle partitions where there are more.
+RANGE_BYTES = 256 << 20
+JUNK = frozenset("nav footer aside button select menu dialog head".split())
 #: What markup says of a line, in the order of trust: dropped, nothing, inside main, inside an article.
 DROPPED, LOOSE, IN_MAIN, IN_ARTICLE = range(4)
 CORE = {"main": IN_MAIN, "article": IN_ARTICLE}
+#: Why an element is dropped: not at all, a form, by its class, id or role, by its name.
+KEPT, FORM, NAMED, JUNK_ELEMENT = range(4)
+#: Marks of lines that are decided when the whole page is known: of a form, and of main or an article inside a form or
+#: inside an element that is junk by its class (a multiple of SUSPECT more than their own mark).
+FORM_LINE, SUSPECT = -1, 10
 JUNK_NAMES = frozenset("""ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer
 footer header masthead menu modal nav navbar navigation newsletter notice notices popup promo promotion related share sharing sidebar social
 sponsor sponsored subscribe widget complementary contentinfo search""".split())
+#: Words that say nothing in a class of several words.
+EMPTY_NAMES = frozenset(("global", "site"))
 
 
-def is_junk(name: str, attributes: str, inside_core: bool) -> bool:
+def is_junk_name(name: str, junk: frozenset) -> bool:
+    """A class, id or role that names junk: a junk word, or several of them joined, and no other word."""
+    words = set(re.split(r"[-_]+", name)) - {""}
+    return name in junk or bool(words & junk) and words <= junk | EMPTY_NAMES
+
+
+def junk_kind(name: str, attributes: str, inside_core: bool) -> int:
     if name in JUNK or name == "header" and not inside_core:
-        return True
-    if not attributes or name in ("html", "body", *CORE):
-        return False
-    words = {w for m in ATTRIBUTE.finditer(attributes) for w in re.split(r"[^a-z]+", (m[2] or m[3] or m[4] or "").lower())}
-    return bool(words & (JUNK_NAMES - {"header"} if inside_core else JUNK_NAMES))
+        return JUNK_ELEMENT
+    if attributes and name not in ("html", "body", *CORE):
+        junk = JUNK_NAMES - {"header"} if inside_core else JUNK_NAMES
+        if any(is_junk_name(w, junk) for m in ATTRIBUTE.finditer(attributes) for w in (m[2] or m[3] or m[4] or "").lower().split()):
+            return NAMED
+    return FORM if name == "form" else KEPT
+
+
+def _settled(lines: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """The lines with what only the whole page tells. Where no main or article stands outside, one inside a form counts,
+    and one inside an element that is junk by its class if it is most of the text. Lines of forms count if there is no
+    main or article at all and they are most of the text that is left."""
+    wrapped = not any(m in (IN_MAIN, IN_ARTICLE) for _, m in lines)
+    inside, every = (sum(len(t) for t, m in lines if m >= least) for least in (FORM_LINE + NAMED * SUSPECT, FORM_LINE))
+    counts = {FORM: wrapped, NAMED: wrapped and 2 * inside > every}
+    lines = [(t, (m % SUSPECT if counts[m // SUSPECT] else DROPPED) if m >= SUSPECT else m) for t, m in lines]
+    size = lambda mark: sum(len(t) for t, m in lines if m == mark)
+    forms = not any(m > LOOSE for _, m in lines) and size(FORM_LINE) > size(LOOSE)
+    return [(t, (LOOSE if forms else DROPPED) if m == FORM_LINE else m) for t, m in lines]
 
 
 def marked_lines(html: str | None) -> list[tuple[str, int]]:
     """(text, what markup says of it) of every block of a page. Dropped text inside a block is a line of its own."""
     html = html or ""
     out: list[tuple[str, int]] = []
-    held: list[str] = []
-    dropped: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # name, junk from here on, mark from here on
+    texts: tuple[list[str], ...] = ([], [], [])  # of this block: kept, of a form, dropped
+    stack: list[tuple[str, int, int]] = []  # name, why it is dropped, mark from here on
+    opened: Counter = Counter()  # names in the stack
     at = 0
 
+    def leave(depth: int):
+        opened.subtract(x[0] for x in stack[depth:])
+        del stack[depth:]
+
     def hold(text: str):
         if stack and stack[-1][0] == "head" and text.strip():
-            stack.pop()
-        (dropped if stack and stack[-1][1] else held).append(text)
+            leave(len(stack) - 1)
+        texts[min(stack[-1][1], 2) if stack else KEPT].append(text)
 
     def flush():
-        for some, mark in ((held, stack[-1][2] if stack else LOOSE), (dropped, DROPPED)):
+        for some, mark in zip(texts, (stack[-1][2] if stack else LOOSE, FORM_LINE, DROPPED)):
             if some:
                 if text := " ".join(unescape("".join(some)).split()):
                     out.append((text, mark))
@@ -117,14 +153,14 @@ def marked_lines(html: str | None) -> list[tuple[str, int]]:
         if m[1]:
             if name in BLOCK:
                 flush()
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None:
+            if opened[name] > 0:
+                depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name)
                 if any(stack[i][0] in BLOCK for i in range(depth, len(stack))):
                     flush()
-                del stack[depth:]
+                leave(depth)
             continue
         if stack and stack[-1][0] == "head" and name not in IN_HEAD:
-            stack.pop()
+            leave(len(stack) - 1)
         if name in RAW:
             if name in FOREIGN and m[3].endswith("/") and not UNQUOTED_END.search(m[3]):
                 hold(" ")
@@ -137,20 +173,28 @@ def marked_lines(html: str | None) -> list[tuple[str, int]]:
             flush()
         for ended, within in ENDS.get(name, ()):
             first = None
+            if not any(opened[x] > 0 for x in ended):
+                continue
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in ended:
                     first = i
                 elif stack[i][0] in within:
                     break
             if first is not None:
-                del stack[first:]
+                leave(first)
         if name not in VOID and not m[3].endswith("/"):
-            mark = max(stack[-1][2] if stack else LOOSE, CORE.get(name, LOOSE))
-            stack.append((name, bool(stack and stack[-1][1]) or is_junk(name, m[3], mark > LOOSE), mark))
+            outer, mark = stack[-1][1:] if stack else (KEPT, LOOSE)
+            core = CORE.get(name, LOOSE)
+            if core > LOOSE and outer in (FORM, NAMED):
+                outer, mark = KEPT, core + outer * SUSPECT
+            else:
+                mark = max(mark, core + mark // SUSPECT * SUSPECT)
+            stack.append((name, max(outer, junk_kind(name, m[3], mark > LOOSE)), mark))
+            opened[name] += 1
     if at < len(html):
         hold(html[at:])
     flush()
-    return out
+    return _settled(out)
 
 
 def page_lines(html: str | None) -> list[tuple[str, int]]:
@@ -158,28 +202,45 @@ def page_lines(html: str | None) -> list[tuple[str, int]]:
     return [x for x in marked_lines(html) if x[1] != DROPPED]
 
 
-def common_lines(a: list[str], b: list[str]) -> list[int]:
-    """Positions in ``a`` of a longest common subsequence with ``b``: the longest increasing run over the
-    places where their lines match."""
-    where: dict[str, list[int]] = {}
-    for j, x in enumerate(b):
-        where.setdefault(x, []).append(j)
-    tails: list[int] = []
-    ends: list[tuple] = []
+def _bit_rows(a: list, b: list) -> np.ndarray:
+    """Length of a longest common subsequence of ``b`` with each prefix of ``a``, by bit-parallel rows."""
+    places: dict = {}
     for i, x in enumerate(a):
-        for j in reversed(where.get(x, ())):
-            k = bisect_left(tails, j)
-            link = (i, ends[k - 1] if k else None)
-            if k == len(tails):
-                tails.append(j)
-                ends.append(link)
-            else:
-                tails[k], ends[k] = j, link
-    out, link = [], ends[-1] if ends else None
-    while link:
-        out.append(link[0])
-        link = link[1]
-    return out[::-1]
+        places[x] = places.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for x in b:
+        if hit := row & places.get(x, 0):
+            row = ((row + hit) | (row - hit)) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(a) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(a)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def common_lines(a: list[str], b: list[str]) -> list[int]:
+    """Positions in ``a`` of a longest common subsequence with ``b``. Equal ends are taken at once; what is left is halved,
+    each half given the part of ``a`` that serves both best (Hirschberg), with bit-parallel rows: memory is linear,
+    and time that of (lines of a) x (lines of b) / 64 word operations, also where all lines are equal."""
+    out: list[int] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, k, j, n = todo.pop()
+        while i < k and j < n and a[i] == b[j]:
+            out.append(i)
+            i, j = i + 1, j + 1
+        while i < k and j < n and a[k - 1] == b[n - 1]:
+            k, n = k - 1, n - 1
+            out.append(k)
+        if i == k or j == n:
+            continue
+        if n - j == 1:
+            if b[j] in (some := a[i:k]):
+                out.append(i + some.index(b[j]))
+            continue
+        middle = (j + n) // 2
+        before, after = _bit_rows(a[i:k], b[j:middle]), _bit_rows(a[i:k][::-1], b[middle:n][::-1])
+        cut = i + int(np.argmax(before + after[::-1]))
+        todo += [(i, cut, j, middle), (cut, k, middle, n)]
+    return sorted(out)
 
 
 def template_lines(lines: list[tuple[str, int]], other: list[tuple[str, int]]) -> set[int]:
@@ -223,7 +284,8 @@ ROW = "bucket int, key string, own boolean, page_id {kind}, url string, lines ar
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     spark = pages.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = pages.agg(F.sum(F.octet_length(F.col(html)))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")) \
         .withColumn("key", url_key(F.col("url"), F.col("page_id")))
     ends = (rows.select("key").repartitionByRange(parts, "key").groupBy(F.spark_partition_id().alias("p"))
@@ -277,7 +339,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
             yield batch_of([result(None)])
 
     cutted = map_arrow(rows.select("page_id", "url", "html", "key"), cut, ROW.format(kind=kind))
-    placed = cutted.repartition(parts, "bucket").sortWithinPartitions("bucket", "key", "page_id")
+    placed = cutted.repartitionById(parts, F.col("bucket")).sortWithinPartitions("bucket", "key", "page_id")
     return map_arrow(placed, difference, f"page_id {kind}, url string, text string, n_chars long")
 
 
