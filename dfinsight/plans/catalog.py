@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import round_to
+from ..functions.columns import explode_labels, round_to
 from ..operators import profile, reports, words
-from ..operators.overlap import region_overlap
+from ..operators.overlap import label_overlaps, region_overlap
 from ..session import scratch_path
 from . import movies
 from .views import MESSY_EVENTS_SQL, TITLES_SQL, messy_events, table, titles
@@ -143,6 +143,21 @@ def q_region_overlap(spark, sf):
                           ids_unique=True)
 
 
+@query("label_overlaps_titles", with_titles("""
+, l AS (SELECT DISTINCT movie_id, label FROM (SELECT movie_id, unnest(string_split(countries, '/')) AS label FROM titles
+                                              UNION ALL SELECT movie_id, unnest(string_split(genres, '/')) AS label FROM titles) x),
+n AS (SELECT label, count(*) AS n FROM l GROUP BY label)
+SELECT a.label AS label_a, b.label AS label_b, count(*) AS n_both, any_value(na.n) AS n_a, any_value(nb.n) AS n_b
+FROM l a JOIN l b ON a.movie_id = b.movie_id AND a.label < b.label JOIN n na ON na.label = a.label JOIN n nb ON nb.label = b.label
+GROUP BY a.label, b.label"""))
+def q_label_overlaps(spark, sf):
+    """J1 for all pairs of country and genre labels."""
+    t = titles(spark, sf)
+    rows = explode_labels(t.select("movie_id", "countries"), "countries", "label").select("movie_id", "label").union(
+        explode_labels(t.select("movie_id", "genres"), "genres", "label").select("movie_id", "label"))
+    return label_overlaps(rows, "movie_id", "label")
+
+
 # ----------------------------------------------------------------------------- cleaning
 AUDIT_SQL = with_titles("""
 , typed AS (SELECT try_cast(year AS FLOAT) AS y, CAST(rating_score AS FLOAT) AS s FROM titles)
@@ -313,6 +328,12 @@ def q_word_top(spark, sf):
     return words.word_count(table(spark, sf, "documents"), "text", k=10)
 
 
+@query("word_top_threshold", _word_sql("documents", "text") + " ORDER BY n DESC, word ASC LIMIT 10")
+def q_word_top_threshold(spark, sf):
+    """O4 by thresholds: the same ten words, with next to nothing of the vocabulary shuffled."""
+    return words.top_words(table(spark, sf, "documents"), "text", 10)[0]
+
+
 @query("word_count_all", _word_sql("documents", "text"))
 def q_word_all(spark, sf):
     return words.word_count(table(spark, sf, "documents"), "text")

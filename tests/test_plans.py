@@ -11,9 +11,10 @@ SIDE_EFFECTS = {"stream_counts_events", "stream_latest_events", "stream_dedupe_e
                 "stream_counts_restarted", "stream_latest_restarted", "stream_dedupe_batches", "metric_series_restarted",
                 "metric_latest_stream", "csv_with_bom_titles", "csv_roundtrip_titles", "word_count_lines", "classifier_train_embeddings",
                 "csv_split_titles", "csv_split_documents", "landed_audit_titles", "landed_clean_titles",
-                "sgd_first_steps_embeddings", "sgd_ranks_embeddings", "stream_counts_expiring"}
-# MapInArrow: per-task X^T X; sorted partitions integrated as they stream by
-ARROW_BATCHED = {"gram_matrix", "integral_user", "user_activity_events"}
+                "sgd_first_steps_embeddings", "sgd_ranks_embeddings", "stream_counts_expiring",
+                "word_top_threshold"}
+# MapInArrow: per-task X^T X; sorted partitions integrated as they stream by; products of bitmaps
+ARROW_BATCHED = {"gram_matrix", "integral_user", "user_activity_events", "label_overlaps_titles"}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
