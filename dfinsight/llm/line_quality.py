@@ -24,7 +24,9 @@ from .base import WHITE, WORD, table, without
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, REPEAT_PERCENT, MAX_LOST, WINDOW = 10, 20, 0.5, 5
-SENTENCE = r"[.!?…。]"
+# Characters that end a sentence, of Latin, Chinese, Arabic, Urdu, Indian, Armenian, Ethiopian, Khmer, Tibetan and Canadian writing.
+SENTENCE_ENDS = ".!?…‼⁇⁈⁉。！？．｡؟۔।॥։።፧፨។།᙮"
+SENTENCE = f"[{SENTENCE_ENDS}]"
 SEPARATORS = r"[|»›•·]"
 BOILERPLATE = (r"(?i)(all rights reserved|licen[sc]ed under|is licen[sc]ed|released under the|copyright (\(c\)|[0-9]{4})"
                r"|privacy policy|terms (of|and) (use|service|conditions)|cookie (policy|settings)|accept (all )?cookies|skip to (main )?content|powered by)")
@@ -100,7 +102,7 @@ def q_line_quality(spark, sf_dir):
                                     "n_lines", "n_lines_removed", "base_failed", "kept")
 
 
-_LINE_OK = rf"""(n < 5 OR regexp_matches(line, '[.!?\x{{2026}}\x{{3002}}]'))
+_LINE_OK = rf"""(n < 5 OR regexp_matches(line, '{SENTENCE}'))
   AND NOT (sym >= 5 AND sym * 2 >= n)
   AND NOT (n >= 5 AND length(letters) >= 10 AND letters = upper(letters) AND letters <> lower(letters))
   AND NOT (sep >= 3 AND sep * 4 >= n)
