@@ -11,7 +11,7 @@ left, so the words taken of a source equal its rounded budget.
 
 Defined cases: null text has size 0 and is taken 0 times; sources of size 0 get target 0; a null
 source is a source of its own, last in order; repeated rows are documents of their own (rows equal
-in id, size and key are interchangeable); an empty table gives an empty result; extra columns are
+in id and text are interchangeable); an empty table gives an empty result; extra columns are
 kept; every rerun gives the same rows.
 """
 
@@ -19,15 +19,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .base import free_name, table, word_count
+from .base import free_name, stored, table, word_count
 
 WEIGHTS, SHARE, MAX_EPOCHS, SEED = (3, 1, 2), 1.5, 2, "mix-1"
 #: Hex digits of the key that name a range: 4096 ranges of every source.
 RANGE_DIGITS = 3
 
 
-def random_key(doc_id: Column, seed: str = SEED) -> Column:
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+def random_key(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """Drawn from id and text, so that documents without an id, or under one, spread like all others."""
+    own = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), own).cast("binary"))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS) -> DataFrame:
@@ -55,7 +57,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     """``docs`` (all columns, but named ``d``) with size, source_size, target, taken and budget_before
     (words of the source that come before the document in the random order)."""
     rows = docs.select(F.struct("*").alias("d"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-                       random_key(F.col(key), seed).alias("key"))
+                       random_key(F.col(key), F.col(text), seed).alias("key"))
     return mixed(rows, weights, share, max_epochs)
 
 
@@ -79,13 +81,14 @@ def mixed(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: in
 
 def q_source_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    rows = docs.select(F.col("doc_id").alias("d"), "source", word_count(F.col("text")).alias("size"), random_key(F.col("doc_id")).alias("key"))
-    return mixed(rows).select(F.col("d").alias("doc_id"), "size", "source_size", "target", "taken")
+    rows = docs.select(F.col("doc_id").alias("d"), "source", word_count(F.col("text")).alias("size"),
+                       random_key(F.col("doc_id"), F.col("text")).alias("key"))
+    return mixed(stored(rows, "mix-keys")).select(F.col("d").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 ORACLE = rf"""
 WITH docs AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-                     md5(concat('{SEED}:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS key FROM documents),
+                     md5(concat('{SEED}:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', md5(coalesce(text, '')))) AS key FROM documents),
 sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),
 weighted AS (SELECT *, CAST([3, 1, 2][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS DOUBLE) AS w,
                     2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * CAST(sum(source_size) OVER () AS DOUBLE) AS total FROM sizes),
