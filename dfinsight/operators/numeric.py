@@ -60,6 +60,54 @@ def gram_matrix(df: DataFrame, vec_col: str) -> DataFrame:
     return parts.groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 
+def _tiles(df: DataFrame, tile: int, names: tuple[str, str]) -> DataFrame:
+    """The cells of a coordinate matrix by tile: (names, r, c, v), repeated coordinates added up."""
+    cells = df.filter("row is not null and col is not null and value is not null").groupBy("row", "col").agg(F.sum(F.col("value").cast("double")).alias("value"))
+    inside = lambda c: F.pmod(F.col(c), F.lit(tile)).cast("int").alias(c[0])
+    cell = F.struct(inside("row"), inside("col"), F.col("value").alias("v"))
+    whole = cells.groupBy(*[F.expr(f"({c} - pmod({c}, {tile})) div {tile}").alias(n) for c, n in zip(("row", "col"), names)]).agg(F.collect_list(cell).alias("cells"))
+    return whole.select(*names, *[F.col(f"cells.{x}").alias(x) for x in "rcv"])
+
+
+def matmul_tiled(a: DataFrame, b: DataFrame, tile: int = 128, spread: int = 4) -> DataFrame:
+    """M1 in blocks: C = A x B on coordinate tables (row, col, value: whole numbers and a number) by tiles of ``tile`` x ``tile``.
+
+    Tiles that share their part of the inner index meet in pairs. Each side's tiles are dealt to ``spread`` groups and sent once to every
+    group of the other side, so a part of the inner index that many rows and columns use is ``spread`` x ``spread`` keys, not one, and
+    a tile moves ``spread`` times, however large the matrices. A task multiplies one pair at a time: it holds an Arrow batch of
+    tiles (64 MB unless set otherwise), two dense tiles and one product; the cells of the products are added up by a
+    partial and a final sum. Cells that are exactly 0 are left out; so are rows with a NULL."""
+    importable(a.sparkSession)
+    group = lambda c: F.pmod(F.xxhash64(c), F.lit(spread)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+    left = _tiles(a, tile, ("ti", "tk")).select("ti", "tk", *[F.col(x).alias(f"a{x}") for x in "rcv"], group("ti").alias("ga"), every.alias("gb"))
+    right = _tiles(b, tile, ("tk", "tj")).select("tk", "tj", *[F.col(x).alias(f"b{x}") for x in "rcv"], group("tj").alias("gb"), every.alias("ga"))
+    pairs = left.join(right, ["tk", "ga", "gb"]).select("ti", "tj", "ar", "ac", "av", "br", "bc", "bv")
+
+    def products(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for n in range(batch.num_rows):
+                ti, tj = (batch.column(i)[n].as_py() for i in (0, 1))
+                ar, ac, av, br, bc, bv = (batch.column(i)[n].values.to_numpy(zero_copy_only=False) for i in range(2, 8))
+                right_tile = np.zeros((tile, tile))
+                right_tile[br, bc] = bv
+                if len(av) * 8 < tile * tile:  # few cells: only the rows of the other tile that they name
+                    rows, at = np.unique(ar, return_inverse=True)
+                    part = np.zeros((len(rows), tile))
+                    np.add.at(part, at, av[:, None] * right_tile[ac])
+                else:
+                    left_tile = np.zeros((tile, tile))
+                    left_tile[ar, ac] = av
+                    rows, part = np.arange(tile), left_tile @ right_tile
+                i, j = np.nonzero(part)
+                yield pa.RecordBatch.from_arrays([pa.array(ti * tile + rows[i], pa.int64()), pa.array(tj * tile + j, pa.int64()), pa.array(part[i, j])], names=["row", "col", "value"])
+
+    return pairs.mapInArrow(products, "row long, col long, value double").groupBy("row", "col").agg(F.sum("value").alias("value")).filter("value <> 0")
+
+
 def integrate(df: DataFrame, key: str, ts: str, value: str, tiebreak: str, n_partitions: int | None = None) -> DataFrame:
     """M2: per key, the trapezoid integral of ``value`` over ``ts`` (seconds), plus the point count.
 

@@ -215,6 +215,16 @@ def q_gram(spark, sf):
     return g.select("i", "j", round_to("value", 6).alias("value"))
 
 
+@query("matmul_tiled_gram", f"""WITH {_CELLS}
+SELECT a.i AS "row", b.i AS col, {R('sum(a.v * b.v)', 6)} AS value FROM cells a JOIN cells b USING (vec_id) GROUP BY a.i, b.i""")
+def q_matmul_tiled(spark, sf):
+    """M1 in blocks: the transposed vectors times the vectors, as two coordinate tables."""
+    cells = table(spark, sf, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "value"))
+    x = cells.select(F.col("vec_id").alias("row"), F.col("i").cast("long").alias("col"), "value")
+    out = numeric.matmul_tiled(x.select(F.col("col").alias("row"), F.col("row").alias("col"), "value"), x)
+    return out.select("row", "col", round_to("value", 6).alias("value"))
+
+
 @query("integral_user", f"""
 SELECT user_id, count(*) AS n_points, {R('coalesce(sum(area), 0.0)', 2)} AS integral FROM (
   SELECT user_id, (CAST(date_diff('microsecond', lag(ts) OVER w, ts) AS DOUBLE) / 1e6)

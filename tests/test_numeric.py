@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from dfinsight.operators.numeric import gram_matrix, integrate, matmul
+from dfinsight.operators.numeric import gram_matrix, integrate, matmul, matmul_tiled
 from tests.conftest import SF01
 
 
@@ -32,6 +32,29 @@ def test_matmul_matches_numpy_with_hot_inner_index(spark):
     assert np.array_equal(got, a @ b)
 
 
+def test_tiled_product_matches_numpy(spark):
+    rng = np.random.default_rng(1)
+    a = rng.integers(-3, 4, size=(70, 150)).astype(float) * (rng.random((70, 150)) < .05)
+    a[:, 17] = rng.integers(1, 5, size=70)  # a hot inner index
+    a[20:45, 30:60] = rng.normal(size=(25, 30))  # and dense tiles
+    b = rng.normal(size=(150, 41)) * (rng.random((150, 41)) < .3)
+    b[17] = 2.0
+
+    def coo(m, shift):
+        cells = [(int(i) + shift[0], int(j) + shift[1], float(m[i, j])) for i, j in zip(*np.nonzero(m))]
+        half = cells[0]  # one cell in two parts
+        cells = [(half[0], half[1], half[2] - 1.0), (half[0], half[1], 1.0), *cells[1:], (None, 1, 1.0), (1, None, 1.0), (1, 1, None)]
+        return spark.createDataFrame(cells, "row long, col long, value double").repartition(3)
+
+    for tile, spread in ((16, 3), (7, 1), (512, 2)):
+        got = np.zeros((70, 41))
+        rows = matmul_tiled(coo(a, (-20, 2**60)), coo(b, (2**60, 5)), tile, spread).collect()
+        for r in rows:
+            got[r.row + 20, r.col - 5] = r.value
+        assert np.allclose(got, a @ b) and len(rows) == len({(r.row, r.col) for r in rows})
+    assert matmul_tiled(coo(a, (0, 0)).filter("false"), coo(b, (0, 0))).count() == 0
+
+
 def test_integrate_matches_pandas_with_hot_key(spark):
     ev = spark.read.parquet(f"{SF01}/events.parquet").select("event_id", "user_id", "ts", "value")
     ev = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("user_id")))

@@ -14,7 +14,7 @@ SIDE_EFFECTS = {"stream_counts_events", "stream_latest_events", "stream_dedupe_e
                 "sgd_first_steps_embeddings", "sgd_ranks_embeddings", "stream_counts_expiring",
                 "word_top_threshold"}
 # MapInArrow: per-task X^T X; sorted partitions integrated as they stream by; products of bitmaps
-ARROW_BATCHED = {"gram_matrix", "integral_user", "user_activity_events", "label_overlaps_titles"}
+ARROW_BATCHED = {"gram_matrix", "integral_user", "user_activity_events", "label_overlaps_titles", "matmul_tiled_gram"}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
@@ -53,7 +53,8 @@ def _windows(node):
 # Unpartitioned windows allowed only over bounded inputs: one row per time bucket (trend deltas),
 # per range partition (sequence offsets, range proofs).
 BOUNDED_GLOBAL_WINDOWS = {"trend_delta_orders": 1, "trend_day_events": 1, "global_sequence_events": 1,
-                          "sorted_ranges_check": 1, "epoch_shards_embeddings": 2}
+                          "sorted_ranges_check": 1, "epoch_shards_embeddings": 2, "integral_windows_user": 1,
+                          "integral_windows_whole": 1, "metric_series_filled": 2}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
@@ -86,7 +87,8 @@ def test_no_cross_join(spark, name):
 BOUNDED_BROADCASTS = {"rank_variants_genre": 1, "top_per_genre": 1, "running_count_user": 2,
                       "user_activity_events": 2, "global_sequence_events": 1,
                       "epoch_shards_embeddings": 2, "matmul_order_size": 1,
-                      "schema_report_orders": 1}  # one row per column of the table
+                      "schema_report_orders": 1,  # one row per column of the table
+                      "integral_windows_user": 1, "integral_windows_whole": 1, "metric_series_filled": 2}  # one row per range partition
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
