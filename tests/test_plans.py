@@ -88,7 +88,8 @@ BOUNDED_BROADCASTS = {"rank_variants_genre": 1, "top_per_genre": 1, "running_cou
                       "user_activity_events": 2, "global_sequence_events": 1,
                       "epoch_shards_embeddings": 2, "matmul_order_size": 1,
                       "schema_report_orders": 1,  # one row per column of the table
-                      "integral_windows_user": 1, "integral_windows_whole": 1, "metric_series_filled": 2}  # one row per range partition
+                      "integral_windows_user": 1, "integral_windows_whole": 1, "metric_series_filled": 3,  # one row per range partition
+                      "label_overlaps_titles": 2, "matmul_tiled_gram": 1}  # one row per label; tiles of one side, sized by Catalyst
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
