@@ -14,6 +14,7 @@ from ..sources.split_csv import read_csv_split
 from ..streaming import streams, timed
 from . import movies
 from .catalog import R, RL, query, with_base, with_titles
+from .sizing import materialize
 from .views import LONG_TAIL_SQL, MESSY_EVENTS_SQL, TASK_LOG_SQL, long_tail, messy_events, table, task_log, titles
 
 #: Block of a split CSV file in the queries, so that a file of a few megabytes is several.
@@ -285,18 +286,39 @@ def _events_stream(spark, sf):
     return streams.file_stream(spark, sf, "events.parquet")
 
 
-def _base(spark, name):
-    """A folder of its own for every run of a registered query, where stream state belongs."""
-    return streams.stream_base(spark, f"{name}-{uuid.uuid4().hex}")
+_BASES: list[str] = []  # folders of the stream query that runs
 
 
-@query("stream_counts_events", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def _base(spark, name):
+    """A folder of its own for every run of a registered query, where stream state belongs."""
+    _BASES.append(streams.stream_base(spark, f"{name}-{uuid.uuid4().hex}"))
+    return _BASES[-1]
+
+
+def stream_query(name, oracle):
+    """A registered query whose result is stored, and whose stream folders (state and logs) then go."""
+    def wrap(fn):
+        def run(spark, sf):
+            first = len(_BASES)
+            try:
+                return materialize(fn(spark, sf), "stream_result")
+            finally:
+                for base in _BASES[first:]:
+                    streams.remove_base(spark, base)
+                del _BASES[first:]
+        run.__doc__ = fn.__doc__
+        query(name, oracle)(run)
+        return run
+    return wrap
+
+
+@stream_query("stream_counts_events", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def q_stream_counts(spark, sf):
     return streams.run_updates(streams.stream_counts(_events_stream(spark, sf), "event_type"), ["event_type"],
                                _base(spark, "stream_counts"))
 
 
-@query("stream_latest_events", """
+@stream_query("stream_latest_events", """
 SELECT user_id, ts, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def q_stream_latest(spark, sf):
@@ -305,7 +327,7 @@ def q_stream_latest(spark, sf):
     return cur.select("user_id", "ts", "event_id", "value")
 
 
-@query("stream_dedupe_events", "SELECT event_id, ts, user_id, event_type, value FROM events")
+@stream_query("stream_dedupe_events", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def q_stream_dedupe(spark, sf):
     """Every event delivered twice (two sources over the same files); one copy survives."""
     one = streams.with_event_time(_events_stream(spark, sf), "ts")
@@ -315,7 +337,7 @@ def q_stream_dedupe(spark, sf):
     return rows.select("event_id", "ts", "user_id", "event_type", "value")
 
 
-@query("metric_series_day", f"""
+@stream_query("metric_series_day", f"""
 SELECT event_type, date_trunc('day', ts) AS window_start, count(*) AS n, {R('avg(value)', 6)} AS avg_value
 FROM events GROUP BY ALL""")
 def q_metric_series(spark, sf):
@@ -344,7 +366,7 @@ def _arrivals(spark, sf, name, run, again=False):
     return out
 
 
-@query("stream_counts_restarted", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+@stream_query("stream_counts_restarted", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def q_counts_restarted(spark, sf):
     """T1 with evidence: several files, at least six micro-batches, two restarts, compaction every third batch."""
     base = _base(spark, "stream_counts_restarted")
@@ -355,7 +377,7 @@ def q_counts_restarted(spark, sf):
 _TTL = 2 * _DAY
 
 
-@query("stream_counts_expiring", f"""
+@stream_query("stream_counts_expiring", f"""
 WITH e AS (SELECT user_id, ts, epoch_ms(ts) - lag(epoch_ms(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events),
      s AS (SELECT user_id, ts, sum(CASE WHEN gap >= {_TTL}000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM e),
      c AS (SELECT user_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM s GROUP BY user_id, no),
@@ -375,7 +397,7 @@ def q_stream_counts_expiring(spark, sf):
     return both.select(F.col("key").alias("user_id"), "n", instant_to_ntz("first").alias("first_ts"), instant_to_ntz("last").alias("last_ts"), "is_open")
 
 
-@query("stream_latest_restarted", """
+@stream_query("stream_latest_restarted", """
 SELECT user_id, ts, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def q_latest_restarted(spark, sf):
@@ -386,7 +408,7 @@ def q_latest_restarted(spark, sf):
     return cur.select("user_id", "ts", "event_id", "value")
 
 
-@query("stream_dedupe_batches", "SELECT event_id, ts, user_id, event_type, value FROM events")
+@stream_query("stream_dedupe_batches", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def q_dedupe_batches(spark, sf):
     """T3 with copies in different micro-batches and across restarts: two of the three deliveries bring
     every row of the one before again. The delay spans the deliveries, so one copy of each survives."""
@@ -399,7 +421,7 @@ def q_dedupe_batches(spark, sf):
     return _arrivals(spark, sf, "dedupe_in", run, again=True).select("event_id", "ts", "user_id", "event_type", "value")
 
 
-@query("metric_series_restarted", f"""
+@stream_query("metric_series_restarted", f"""
 SELECT event_type, date_trunc('day', ts) AS window_start, count(*) AS n, {R('avg(value)', 6)} AS avg_value
 FROM events GROUP BY ALL""")
 def q_series_restarted(spark, sf):
@@ -414,7 +436,7 @@ def q_series_restarted(spark, sf):
     return streams.flatten_window(cur).select("event_type", "window_start", "n", round_to("avg_value", 6).alias("avg_value"))
 
 
-@query("metric_latest_stream", f"""
+@stream_query("metric_latest_stream", f"""
 SELECT event_type, arg_max(value, (ts, event_id)) AS latest, {R('avg(value)', 6)} AS mean,
        max(value) AS max, count(*) AS n FROM events GROUP BY event_type""")
 def q_metric_latest_stream(spark, sf):

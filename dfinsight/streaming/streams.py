@@ -53,6 +53,14 @@ def stream_base(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/dfinsight-streams/{name}"
 
 
+def remove_base(spark: SparkSession, base: str) -> bool:
+    """Delete the folder of a stream that will not be run again: its state, log and output."""
+    if "/dfinsight-streams/" not in base:
+        raise ValueError(f"{base} is not a folder of a stream")
+    fs, jpath = _file_system(spark, base)
+    return bool(fs.exists(jpath) and fs.delete(jpath, True))
+
+
 def start_updates(agg: DataFrame, base: str, trigger: dict | None = None, keys: list[str] | None = None,
                   compact_every: int | None = None):
     """Start an aggregating stream in update mode writing its change log under ``base``; return
