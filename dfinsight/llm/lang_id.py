@@ -151,6 +151,7 @@ class Scorer:
     def __init__(self, model: dict):
         self.langs, self.tables = model["langs"], model["tables"]
         self.entry = [dict(zip(t["grams"], range(len(t["grams"])))) for t in self.tables]
+        self.met: list[dict] = [{} for _ in self.tables]  # votes of the entries met
         self.forget()
 
     def forget(self) -> None:
@@ -158,34 +159,42 @@ class Scorer:
         self.start, self.held = np.zeros(1025, np.int64), 0  # votes of the words met, one after another
         self.lang, self.vote = np.zeros(4096, np.int32), np.zeros(4096, np.float32)
 
-    def votes_of(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+    def votes_of(self, word: str) -> list[tuple[int, float]]:
         """The languages a word votes for, and its votes."""
         if (i := self.entry[0].get(word)) is not None:
-            return self._entry(0, i)
+            return self._votes(0, i)
         for n in range(ORDER, 0, -1):
             known = [i for i in map(self.entry[n].get, grams_of(word, n)) if i is not None]
             if known:
-                langs, votes = map(np.concatenate, zip(*(self._entry(n, i) for i in known)))
-                which, where = np.unique(langs, return_inverse=True)
-                return which, np.bincount(where, votes) / len(known)
-        return np.zeros(0, np.int32), np.zeros(0, np.float32)
-
-    def _entry(self, n: int, i: int) -> tuple[np.ndarray, np.ndarray]:
-        t = self.tables[n]
-        return t["langs"][t["starts"][i]:t["starts"][i + 1]], t["votes"][t["starts"][i]:t["starts"][i + 1]]
+                total: dict[int, float] = {}
+                for i in known:
+                    for lang, vote in self._votes(n, i):
+                        total[lang] = total.get(lang, 0.0) + vote
+                return [(lang, vote / len(known)) for lang, vote in total.items()]
+        return []
+
+    def _votes(self, n: int, i: int) -> list[tuple[int, float]]:
+        held = self.met[n].get(i)
+        if held is None:
+            t = self.tables[n]
+            lo, hi = t["starts"][i:i + 2]
+            held = self.met[n][i] = list(zip(t["langs"][lo:hi].tolist(), t["votes"][lo:hi].tolist()))
+        return held
 
     def row_of(self, word: str) -> int:
         i = self.seen.get(word)
         if i is None:
             i = self.seen[word] = len(self.seen)
-            langs, votes = self.votes_of(word)
-            end = self.held + len(langs)
+            votes = self.votes_of(word)
+            end = self.held + len(votes)
             if i + 2 > len(self.start):
                 self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             while end > len(self.lang):
                 self.lang, self.vote = (np.concatenate([x, np.zeros_like(x)]) for x in (self.lang, self.vote))
-            self.lang[self.held:end], self.vote[self.held:end] = langs, votes
-            self.start[i + 1] = self.held = end
+            for lang, vote in votes:
+                self.lang[self.held], self.vote[self.held] = lang, vote
+                self.held += 1
+            self.start[i + 1] = end
         return i
 
     def predict(self, text: str | None) -> tuple[str, float]:
