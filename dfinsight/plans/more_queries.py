@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import instant_to_ntz, ntz_to_instant, round_to
@@ -390,11 +391,18 @@ def q_stream_counts_expiring(spark, sf):
 
     def run(stream, span):
         rows = streams.with_event_time(stream, "ts")  # a delivery is a third of the span, in any order
-        return streams.run_append(timed.expiring_counts(rows, "user_id", "event_time", f"{int(span.split()[0]) // 3 + 1} seconds", _TTL), base)
+        return streams.run_append(timed.expiring_counts(rows, "user_id", "event_time", f"{int(span.split()[0]) // 3 + 1} seconds", _TTL), base,
+                                  state_store=streams.ROCKSDB)
 
     closed = _arrivals(spark, sf, "expiring_in", run)
     both = closed.withColumn("is_open", F.lit(False)).union(timed.open_counts(spark, base).withColumn("is_open", F.lit(True)))
-    return both.select(F.col("key").alias("user_id"), "n", instant_to_ntz("first").alias("first_ts"), instant_to_ntz("last").alias("last_ts"), "is_open")
+    counters = both.select(F.col("key").alias("user_id"), "n", instant_to_ntz("first").alias("first_ts"), instant_to_ntz("last").alias("last_ts"), "is_open")
+    # arrivals without a time have no place in the stream: like in the SQL they go to their user's last counter, or are one
+    timeless = table(spark, sf, "events").filter("ts IS NULL").groupBy("user_id").agg(F.count("*").alias("n"))
+    by_time = Window.partitionBy("user_id").orderBy(F.col("last_ts").asc_nulls_last())
+    joined = F.when(F.lead("last_ts").over(by_time).isNull(), F.coalesce(F.lead("n").over(by_time), F.lit(0))).otherwise(0)
+    return (counters.unionByName(timeless, allowMissingColumns=True).withColumns({"no": F.row_number().over(by_time), "n": F.col("n") + joined})
+            .filter("last_ts IS NOT NULL OR no = 1").drop("no"))
 
 
 @stream_query("stream_latest_restarted", """

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -49,9 +50,7 @@ class ExpiringCounters(StatefulProcessor):
             self.state.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import numpy as np
-
-        times = np.sort(np.concatenate([r["micros"].to_numpy(np.int64) for r in rows]))
+        times = np.sort(np.fromiter((r["micros"] for r in rows), np.int64))
         parts = np.split(times, np.flatnonzero(np.diff(times // 1000) >= self.ttl_ms) + 1)
         before = self._counters()
         merged: list[tuple[int, int, int]] = []
@@ -64,25 +63,25 @@ class ExpiringCounters(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        import pandas as pd
-
         now = expiredTimerInfo.getExpiryTimeInMs()
         held = self._counters()
         closed, alive = ([c for c in held if (c[2] // 1000 + self.ttl_ms <= now) is ended] for ended in (True, False))
         self._hold(alive, alive)  # a timer that fires is gone by itself
         if closed:
-            yield pd.DataFrame([(key[0], *c) for c in closed], columns=["key", "n", "first", "last"])
+            yield from (Row(key=key[0], n=n, first=first, last=last) for n, first, last in closed)
 
     def close(self) -> None:
         pass
 
 
 def expiring_counts(stream: DataFrame, key: str, event_time: str, delay: str, ttl_seconds: float) -> DataFrame:
-    """Closed counters (key, n, first, last) of ``stream``, in append mode. Needs the RocksDB state store."""
+    """Closed counters (key, n, first, last) of ``stream``, in append mode; a null is a key as well, a row without event time belongs to no counter. Timers need the RocksDB
+    state store: run it by ``streams.run_append(..., state_store=streams.ROCKSDB)``, which sets it where the session does not."""
     importable(stream.sparkSession)
     kind = dict(stream.dtypes)[key]
-    rows = stream.select(F.col(key).alias("key"), F.col(event_time).alias("event_time"), F.unix_micros(event_time).alias("micros")).withWatermark("event_time", delay)
-    closed = rows.groupBy("key").transformWithStateInPandas(ExpiringCounters(ttl_seconds), f"key {kind}, n long, first long, last long", "Append", "EventTime")
+    rows = stream.filter(F.col(event_time).isNotNull()).select(F.col(key).alias("key"), F.col(event_time).alias("event_time"), F.unix_micros(event_time).alias("micros")).withWatermark("event_time", delay)
+    # as Rows: a DataFrame of pandas holds whole numbers beside a null as floats, which are no keys of a long
+    closed = rows.groupBy("key").transformWithState(ExpiringCounters(ttl_seconds), f"key {kind}, n long, first long, last long", "Append", "EventTime")
     return closed.select("key", "n", F.timestamp_micros("first").alias("first"), F.timestamp_micros("last").alias("last"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from dfinsight.plans import more_queries
 from dfinsight.streaming import streams, timed
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -30,3 +31,18 @@ def test_counters_merge_expire_and_are_read_back(spark, tmp_path):
     assert closed == ended and alive == {("a", 4, 0, 15), ("c", 1, 54, 54)}
     closed, alive = deliver(("a", 30), ("c", 60))  # at 30: a has expired, and its new arrival begins again
     assert closed == ended | {("a", 4, 0, 15)} and alive == {("a", 1, 30, 30), ("c", 2, 54, 60)}
+
+
+def test_query_needs_no_setting_of_the_session(spark, tmp_path):
+    """The driver's session has Spark's default state store, which has no timers; null users and times beside others."""
+    plain, default = spark.newSession(), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    plain.conf.set(streams.STATE_STORE, default)
+    plain.conf.set("spark.sql.shuffle.partitions", "2")
+    at = lambda day, hour=0: dt.datetime(2024, 1, day, hour)
+    times = [(7, at(1)), (7, at(2, 12)), (7, at(4, 12)), (8, at(10)), (8, at(11, 23)), (None, at(3)), (9, at(30)), (7, None), (6, None), (6, None)]
+    rows = [(i, ts, user, "view", 1.0, None) for i, (user, ts) in enumerate(times)]
+    plain.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    got = {tuple(r) for r in more_queries.q_stream_counts_expiring(plain, str(tmp_path)).collect()}
+    assert got == {(7, 2, at(1), at(2, 12), False), (7, 2, at(4, 12), at(4, 12), False), (6, 2, None, None, None), (8, 2, at(10), at(11, 23), False),
+                   (None, 1, at(3), at(3), False), (9, 1, at(30), at(30), True)}
+    assert plain.conf.get(streams.STATE_STORE) == default
