@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 
 import numpy as np
 import pytest
@@ -72,3 +73,14 @@ def test_exchange_runs_in_a_barrier_stage(spark):
     model = sgd.train_sgd(emb, "embedding", "label", "vec_id", ranks=3, epochs=1, batch=64)
     one = sgd.train_sgd(emb, "embedding", "label", "vec_id", ranks=1, epochs=1, batch=64)
     assert np.abs(model.weights - one.weights).max() < 1e-9
+
+
+def test_a_step_costs_far_less_than_a_second(data):
+    def seconds(batch):
+        began = time.monotonic()
+        model = sgd.train_sgd(data[2], "x", "y", "id", ranks=3, epochs=1, batch=batch, n_classes=C)
+        return time.monotonic() - began, model.history[0][2]
+
+    seconds(N)
+    (one, steps), (many, more) = seconds(N), seconds(3)
+    assert (steps, more) == (1, 53) and many - one < 40
