@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from .base import importable, table
 
 K, LINES, SHARE, RATIO, MISS, SEED = 10, 96, 0.8, 1.1, 0.05, 17
-BLOCK_VALUES, QUERY_BLOCK = 1 << 20, 2048
+BLOCK_VALUES, QUERY_BLOCK, AHEAD = 1 << 21, 2048, 8
 
 
 def sure_reach(lines: int, need: int) -> float:
@@ -78,14 +78,13 @@ class CollisionIndex:
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and distances of the k nearest found, by distance, then id; ``verified``: how many vectors were compared."""
         self.verified = 0
-        n, lines = len(self.ids), len(self.values)
+        n = len(self.ids)
         at = (query * self.scale) @ self.axes
         own = self.ids == query_id
         left = n - int(own.sum())
         if not left:
             return self.ids[:0], np.zeros(0)
-        lo = np.array([np.searchsorted(v, a) for v, a in zip(self.values, at)])
-        hi = lo.copy()
+        lo = hi = [int(v.searchsorted(a)) for v, a in zip(self.values, at)]
         # first window: about one vector in fifty on the middle line
         step = max(1, min(n - 1, max(k, n // 50)))
         around = [np.sort(np.abs(v[max(0, m - step):m + step] - a)) for v, m, a in zip(self.values, lo, at)]
@@ -93,13 +92,16 @@ class CollisionIndex:
         counts = np.zeros(n, np.int32)
         waits = ~own  # not verified yet
         ids, found = np.zeros(0, self.ids.dtype), np.zeros(0)
+        bounds: list = []  # of the next windows, looked up for some at a time
         while True:
-            fresh = []
-            for j in range(lines):
-                a = np.searchsorted(self.values[j, :lo[j]], at[j] - half, "left")
-                b = hi[j] + np.searchsorted(self.values[j, hi[j]:], at[j] + half, "right")
-                fresh += [self.order[j, a:lo[j]], self.order[j, hi[j]:b]]
-                lo[j], hi[j] = a, b
+            if not bounds:
+                widths = half * np.cumprod([1.0] + [RATIO] * (AHEAD - 1))
+                below = np.array([v.searchsorted(a - widths, "left") for v, a in zip(self.values, at)])
+                above = np.array([v.searchsorted(a + widths, "right") for v, a in zip(self.values, at)])
+                bounds = [*zip(widths.tolist(), below.T.tolist(), above.T.tolist())][::-1]
+            half, wider_lo, wider_hi = bounds.pop()
+            fresh = [ids_of[a:b] for ids_of, a, b in zip(self.order, wider_lo, lo)] + [ids_of[a:b] for ids_of, a, b in zip(self.order, hi, wider_hi)]
+            lo, hi = wider_lo, wider_hi
             counts += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int32)
             new = np.flatnonzero((counts >= self.need) & waits)
             if len(new):
@@ -108,7 +110,7 @@ class CollisionIndex:
             if len(ids) == k and half >= self.reach * found[-1] * self.scale or not waits.any():
                 self.verified = left - int(waits.sum())
                 return ids, found
-            half *= RATIO
+            half *= RATIO  # the next, where the bounds run out
 
     @staticmethod
     def _nearest_of(ids: np.ndarray, found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -63,3 +63,20 @@ def test_mixed_magnitudes_keep_their_distances():
     vectors = np.array([[1e200, 0.0], [3e-3, 4e-3], [6e-3, 8e-3], [0.0, 1e-3], [1e-180, 2e-180]])
     assert ann.distances(vectors, vectors[1]).tolist() == pytest.approx([1e200, 0, 5e-3, np.hypot(3e-3, 3e-3), 5e-3])
     assert ann.distances(vectors, np.array([0.0, 1e-180]))[4] == pytest.approx(np.hypot(1, 1) * 1e-180)
+
+
+def test_windows_are_looked_up_for_several_widenings_at_once():
+    class Counted(np.ndarray):
+        calls = 0
+
+        def searchsorted(self, *args, **kwargs):
+            Counted.calls += 1
+            return np.asarray(self).searchsorted(*args, **kwargs)
+
+    vectors = np.random.default_rng(5).normal(size=(3000, 64))
+    index = ann.CollisionIndex(np.arange(3000), vectors)
+    want = index.search(0, vectors[0], 10)
+    index.values = index.values.view(Counted)
+    got = index.search(0, vectors[0], 10)
+    assert [x.tolist() for x in got] == [x.tolist() for x in want]
+    assert 0 < Counted.calls <= ann.LINES * 17  # a search of 64 widenings; one by one it was 2 calls a line and widening
